@@ -1,0 +1,71 @@
+"""Joins that stay balanced when a few keys hold most of the rows."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 2_000_000
+SLICE_ROWS = 1_000_000
+TRACKED_KEYS = 1_000
+HOT_KEYS = 100
+
+
+def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Count the frame (one job) and say whether it may be broadcast."""
+    return df.count() <= max_rows
+
+
+def hot_keys(df: DataFrame, keys: list[str], slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The keys worth splitting, as (_key, _slices): at most HOT_KEYS rows.
+
+    A frequent-items sketch finds them without shuffling the keys. An estimate is enough here: it
+    decides how many slices a key gets, not which rows the join returns.
+    """
+    hashed = df.select(F.xxhash64(*keys).alias("_key"))
+    sketch = hashed.agg(F.expr(f"approx_top_k(_key, {HOT_KEYS}, {TRACKED_KEYS})").alias("top"))
+    return (
+        sketch.select(F.inline("top").alias("_key", "_rows"))
+        .where(F.col("_rows") > slice_rows)
+        .select("_key", F.ceil(F.col("_rows") / slice_rows).cast("int").alias("_slices"))
+    )
+
+
+def sliced_left_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: list[str],
+    spread_by: list[str],
+    residual: Column | None = None,
+    slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
+    """Left join on equal keys, with each hot key's rows spread over slices.
+
+    Left rows of a hot key take a slice from a hash of `spread_by`, so a re-run task puts them in
+    the same place; the right rows of that key are repeated once per slice. All other keys have one
+    slice. `right` must not carry columns of `left` other than the keys.
+    """
+    hot = F.broadcast(hot_keys(left, keys, slice_rows))
+    slices = F.coalesce("_slices", F.lit(1))
+
+    def with_slices(df):
+        return df.withColumn("_key", F.xxhash64(*keys)).join(hot, "_key", "left")
+
+    a = (
+        with_slices(left)
+        .withColumn("_slice", F.pmod(F.xxhash64(*spread_by), slices).cast("int"))
+        .drop("_key", "_slices")
+    )
+    b = (
+        with_slices(right)
+        .withColumn("_slice", F.explode(F.sequence(F.lit(0), slices - 1)))
+        .drop("_key", "_slices")
+        .withColumnsRenamed({k: f"_right_{k}" for k in keys})
+        .withColumnRenamed("_slice", "_right_slice")
+    )
+    on = F.col("_slice") == F.col("_right_slice")
+    for k in keys:
+        on = on & (F.col(k) == F.col(f"_right_{k}"))
+    if residual is not None:
+        on = on & residual
+    return a.join(b, on, "left").drop("_slice", "_right_slice", *[f"_right_{k}" for k in keys])
