@@ -1,9 +1,20 @@
 """Column contracts of the input tables and of the two reports."""
 
+import re
+
 from pyspark.sql.types import StructType
 
+
+def columns(text: str) -> StructType:
+    """A schema from `name type, name type`; unlike DDL it needs no running session."""
+    schema = StructType()
+    for entry in re.split(r",\s+", text.strip()):
+        schema.add(*entry.split())
+    return schema
+
+
 # Column names and types of the input tables.
-CLAIMS = StructType.fromDDL(
+CLAIMS = columns(
     """
     claimlineid string, claiminvoiceid string, memberid string, originalclaiminvoiceid string,
     partnerid string, productid string, policyid string, legalentityid string, claimchannel string,
@@ -12,9 +23,9 @@ CLAIMS = StructType.fromDDL(
     productcurrencycode string, edw_businesslinedesc string, edw_producttreedesc string,
     edw_producttreekey string, edw_businessbook string, edw_businessline string, lineofcover string,
     market string, countryofassignment string, incurredcountry string, legalentityname string,
-    partnername string, policyname string, bednight int, benefitname string,
+    partnername string, policyname string, bednight integer, benefitname string,
     billingprovidercompanyname string, ccs_lv2_desc string, claimexternalinvoicereference string,
-    planname string, tds_claimage int, tds_casetype string, claiminvoicestatuslevel1 string,
+    planname string, tds_claimage integer, tds_casetype string, claiminvoicestatuslevel1 string,
     claiminvoicestatuslevel2 string, claiminvoicestatuslevel3 string, claimlinestatuslevel1 string,
     claimlinestatuslevel2 string, claimlinestatuslevel3 string, claimpaymentstatuslevel1 string,
     claimpaymentstatuslevel2 string, claimpaymentstatuslevel3 string, claimsriskarrangement string,
@@ -26,14 +37,14 @@ CLAIMS = StructType.fromDDL(
     """
 )
 
-EXCHANGE_RATE = StructType.fromDDL(
+EXCHANGE_RATE = columns(
     """
     exchangeratecurrencyfromcode string, exchangeratecurrencytocode string, exchangeratedate date,
     exchangeratesourcecode string, exchangerate double
     """
 )
 
-RESIDENCE = StructType.fromDDL(
+RESIDENCE = columns(
     """
     customerid string, sourcesystemid string, countryofresidencetypecode string,
     countryofresidencecode string, countryofresidencestartdate timestamp,
@@ -41,11 +52,11 @@ RESIDENCE = StructType.fromDDL(
     """
 )
 
-TRIANGLE = StructType.fromDDL(
+TRIANGLE = columns(
     """
     metric_type string, metric_value string, book_of_business string, legal_entity_id string,
     legal_entity_name string, incurred_period string, incurred_period_type string,
-    paid_lag_value int, sum_amount_base_currency decimal(27,2), sum_amount_usd decimal(38,8),
+    paid_lag_value integer, sum_amount_base_currency decimal(27,2), sum_amount_usd decimal(38,8),
     sum_amount_gbp decimal(38,8), sum_amount_euro decimal(38,8), sum_amount_chf decimal(38,8),
     triangle_report_type string
     """
