@@ -25,6 +25,7 @@ from spelltide.sources import files as IO
 from spelltide.sources import tables as TB
 
 AS_OF = "2001-12-31"
+TYPED: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -33,10 +34,8 @@ def portable(df: DataFrame) -> DataFrame:
 
     def column(field):
         c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
-        elif isinstance(field.dataType, TimestampType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(field.dataType, (DateType, TimestampType)):
+            c = c.cast("string")
         elif isinstance(field.dataType, DecimalType):
             c = F.round(c, 4).cast("double")
         return c.alias(field.name)
@@ -48,6 +47,7 @@ def query(build):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return portable(build(spark, sf_dir))
 
+    TYPED[build.__name__] = build
     QUERIES[build.__name__] = run
     return build
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 2_000_000
 SLICE_ROWS = 1_000_000
-TRACKED_KEYS = 1_000
-HOT_KEYS = 100
+TRACKED_KEYS = 2_000
+HOT_KEYS = 200
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:

@@ -148,8 +148,8 @@ def with_source_key(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {
             "memberid_source": F.col("memberid"),
-            f"{FROM}_source": F.date_format(FROM, "yyyy-MM-dd"),
-            f"{TO}_source": F.date_format(TO, "yyyy-MM-dd"),
+            f"{FROM}_source": F.col(FROM).cast("string"),
+            f"{TO}_source": F.col(TO).cast("string"),
         }
     )
 

@@ -74,14 +74,14 @@ def _leg_rows(claims: DataFrame, legs: list[Leg]) -> DataFrame:
             for i, leg in enumerate(legs)
         ]
     )
+    labelled = fully_insured(claims).select(
+        F.col("legalentityname").alias("legal_entity_name"),
+        F.col("legalentityid").alias("legal_entity_id"),
+        book_label(F.col("sourcesystemid"), F.col("legalentityid")).alias("book_of_business"),
+        sides.alias("sides"),
+    )
     return (
-        fully_insured(claims)
-        .select(
-            F.col("legalentityname").alias("legal_entity_name"),
-            F.col("legalentityid").alias("legal_entity_id"),
-            book_label(F.col("sourcesystemid"), F.col("legalentityid")).alias("book_of_business"),
-            F.inline(sides),
-        )
+        labelled.select(*DIMENSIONS[2:], F.inline("sides"))
         .where("start_date <= end_date")
         .select(*DIMENSIONS, "amount", "start_date", P.month_number(F.col("end_date")).alias("end_month"))
     )

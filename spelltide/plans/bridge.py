@@ -28,7 +28,8 @@ def claims(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A claim line per order line."""
     lines, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     risk = F.when(F.col("l_returnflag") == "A", "Fully Insured").when(F.col("l_returnflag") == "N", "FULLY INSURED")
-    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+    # Orders grow with the lines, so the join is shuffled however small the test data is.
+    return lines.join(orders.hint("merge"), lines.l_orderkey == orders.o_orderkey).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey").alias("claimlineid"),
         F.col("o_custkey").cast("string").alias("memberid"),
         _day("o_orderdate").alias("servicedate"),

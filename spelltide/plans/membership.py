@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, MONTH, TO, coverage_measures, touches_month
@@ -47,21 +47,35 @@ def order_columns(df: DataFrame, codes: list[str]) -> DataFrame:
     return lenient_select(df, MEMBERSHIP_LEADING + codes + MEMBERSHIP_TRAILING)
 
 
+# More than the days between the first and last date that has a four-digit year.
+DAY_SPAN = 4_000_000
+
+
+def _preference(active: Column) -> Column:
+    """One number that orders the spells of a member and month as `best_spell_per_month` does:
+    eligible first, nearest start, earlier start, earlier end."""
+    distance = F.datediff(F.col(MONTH), F.col(FROM)).cast("bigint")
+    later = F.when(distance < 0, 1).otherwise(0)
+    end = F.datediff(F.col(TO), F.lit("0001-01-01").cast("date"))
+    return (((1 - active) * DAY_SPAN + F.abs(distance)) * 2 + later) * DAY_SPAN + end
+
+
 def best_months(eligibility: DataFrame, codes: list[str], as_of=None) -> DataFrame:
     """The spell that counts for each member and month, as bare keys.
 
     Only keys and dates are expanded to months and shuffled, and each task keeps its own best
-    candidate per member and month before the shuffle.
+    candidate per member and month before the shuffle. The preference is a plain number, so both
+    steps are hash aggregates and nothing is sorted.
     """
     rows = S.covered(S.cover_override(S.as_dates(eligibility)).where(F.col("memberid").isNotNull()))
-    spells = rows.groupBy(*S.SPELL).agg(F.max(F.trim(S.CODE).isin(codes)).alias("_counts"))
-    active = F.when(F.col("_counts"), touches_month(F.col(MONTH), F.col(FROM), F.col(TO))).otherwise(0)
-    distance = F.abs(F.datediff(MONTH, FROM))
+    spells = rows.groupBy(*S.SPELL).agg(F.max(F.trim(S.CODE).isin(codes).cast("int")).alias("_counts"))
+    active = F.when(F.col("_counts") == 1, touches_month(F.col(MONTH), F.col(FROM), F.col(TO))).otherwise(0)
     return (
         S.month_expand(spells, as_of)
+        .withColumn("_preference", _preference(active))
         .groupBy("memberid", MONTH)
-        .agg(F.min(F.struct((-active).alias("rank"), distance.alias("distance"), FROM, TO)).alias("best"))
-        .select("memberid", f"best.{FROM}", f"best.{TO}", MONTH)
+        .agg(F.min_by(FROM, "_preference").alias(FROM), F.min_by(TO, "_preference").alias(TO))
+        .select("memberid", FROM, TO, MONTH)
     )
 
 
@@ -71,7 +85,9 @@ def membership_report(
     """One row per member and month with covers, coverage measures, attributes and residence.
 
     The wide attributes are shuffled once, by spell. Residence and the choice of spell per month are
-    worked out on key columns alone and then joined to the spells, which already lie by spell.
+    worked out on key columns alone and then joined to the spells, which already lie by spell. The
+    joins are sort-merge by hint: months outgrow the size Spark estimates for them, which must not
+    lead to a broadcast.
     """
     rows = S.cover_override(S.as_dates(eligibility))
     codes = codes or S.discover_codes(rows, as_of)
@@ -79,7 +95,11 @@ def membership_report(
     keys = S.spell_covers(rows, codes, carry=R.KEYS).select(*S.SPELL, *R.KEYS)
     placed = R.with_residence(keys, R.residence_current(residence)).drop(*R.KEYS)
     bare = spells.drop(R.TYPE, R.CODE, R.START, R.END)
-    months = best_months(eligibility, codes, as_of).join(bare, S.SPELL).join(placed, S.SPELL)
+    months = (
+        best_months(eligibility, codes, as_of)
+        .join(bare.hint("merge"), S.SPELL)
+        .join(placed.hint("merge"), S.SPELL)
+    )
     return order_columns(coverage_measures(S.with_source_key(S.flag_covers(months, codes, absent))), codes)
 
 
