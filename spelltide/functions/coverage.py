@@ -33,17 +33,24 @@ def eligible_flag(df: DataFrame, cover_columns: list[str]) -> DataFrame:
 
 
 def coverage_measures(df: DataFrame) -> DataFrame:
-    """Add the end-of-month and mid-month flags, the days covered and their share of the month."""
-    month, start, end = (F.col(c).cast("date") for c in (MONTH, FROM, TO))
-    last = F.last_day(month)
+    """Add the end-of-month and mid-month flags, the days covered and their share of the month.
+
+    Values that several measures need are columns of their own, so they are worked out once.
+    """
+    month, start, end, last = (F.col(c) for c in (MONTH, FROM, TO, "_last"))
     middle = F.date_add(F.trunc(month, "MM"), 14)
     apart = (month > end) | (last < start)
-    days = F.when(apart, 0).otherwise(F.datediff(F.least(last, end), F.greatest(month, start)) + 1)
-    return df.withColumns({MONTH: month, FROM: start, TO: end}).withColumns(
-        {
-            "eligibility_eom": flag(last.between(start, end)),
-            "eligibility_15th": flag(middle.between(start, end)),
-            "eligible_days": days,
-            "pro_rata_membership": days / F.dayofmonth(last),
-        }
+    days = F.datediff(F.least(last, end), F.greatest(month, start)) + 1
+    return (
+        df.withColumns({c: F.col(c).cast("date") for c in (MONTH, FROM, TO)})
+        .withColumn("_last", F.last_day(month))
+        .withColumns(
+            {
+                "eligibility_eom": flag(last.between(start, end)),
+                "eligibility_15th": flag(middle.between(start, end)),
+                "eligible_days": F.when(apart, 0).otherwise(days),
+            }
+        )
+        .withColumn("pro_rata_membership", F.col("eligible_days") / F.dayofmonth(last))
+        .drop("_last")
     )

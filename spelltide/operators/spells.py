@@ -100,11 +100,12 @@ def spell_covers(df: DataFrame, codes: list[str], carry: list[str] | None = None
 def flag_covers(df: DataFrame, codes: list[str], absent: int | None = 0) -> DataFrame:
     """Turn the spell's held-cover columns into month flags named by code, and add `eligible`."""
     held = _held(codes)
-    active = touches_month(F.col(MONTH), F.col(FROM), F.col(TO))
+    months = df.withColumn("_active", touches_month(F.col(MONTH), F.col(FROM), F.col(TO)))
     flags = [
-        F.when(F.col(h) == 1, active).otherwise(F.lit(absent).cast("int")).alias(c) for c, h in zip(codes, held)
+        F.when(F.col(h) == 1, F.col("_active")).otherwise(F.lit(absent).cast("int")).alias(c)
+        for c, h in zip(codes, held)
     ]
-    return eligible_flag(df.select(*[c for c in df.columns if c not in held], *flags), codes)
+    return eligible_flag(months.select(*[c for c in df.columns if c not in held], *flags), codes)
 
 
 def cover_pivot(

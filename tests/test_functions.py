@@ -1,0 +1,127 @@
+from datetime import date
+
+import pytest
+from conftest import SF, day, rows
+from pyspark.sql import functions as F
+
+from spelltide.functions import claims as C
+from spelltide.functions import coverage as V
+from spelltide.functions import periods as P
+from spelltide.operators import spells as S
+
+
+def dates(spark, *pairs):
+    return spark.createDataFrame([(day(a), day(b)) for a, b in pairs], "start date, end date")
+
+
+@pytest.mark.parametrize(
+    "start, end, months, quarters, years",
+    [
+        ("2024-01-31", "2024-03-01", 2, 0, 0),
+        ("2023-12-31", "2024-01-01", 1, 1, 1),
+        ("2018-01-01", "2022-12-01", 59, 19, 4),
+        ("2018-01-01", "2023-01-01", 99, 20, 5),
+        ("2018-01-01", "2018-01-01", 0, 0, 0),
+        ("1900-01-01", "2024-01-01", 99, 99, 99),
+    ],
+)
+def test_lags_are_calendar_lags_with_a_last_bucket(spark, start, end, months, quarters, years):
+    got = P.lag_buckets(dates(spark, (start, end)), "start", "end").first()
+    assert (got.paid_lag_months, got.paid_lag_quarters, got.paid_lag_years) == (months, quarters, years)
+
+
+def test_lag_of_a_missing_date_is_null(spark):
+    assert P.lag_buckets(dates(spark, ("2024-01-01", None)), "start", "end").first().paid_lag_months is None
+
+
+def test_period_labels(spark):
+    df = P.period_labels(dates(spark, ("2024-05-07", None), ("0999-12-31", None), (None, None)), "start")
+    assert rows(df, "year_month", "year_quarter", "year_only") == [
+        ("099912", "0999Q4", "0999"),
+        ("202405", "2024Q2", "2024"),
+        (None, None, None),
+    ]
+
+
+def test_relative_labels(spark):
+    got = spark.range(1).select(
+        P.days_before("2024-03-15").alias("d"),
+        P.month_before("2024-03-31", 1).alias("m"),
+        P.month_before("2024-01-31", 13).alias("m13"),
+        P.year_before("2024-02-29", 2).alias("y"),
+    )
+    assert rows(got) == [(date(2024, 2, 14), "202402", "202212", "2022")]
+
+
+def test_relative_filter_bounds_reach_the_scan(spark, tmp_path, capsys):
+    spark.sql("SELECT explode(sequence(date'2023-01-01', date'2024-12-31', interval 1 day)) AS d").write.parquet(str(tmp_path / "d"))
+    df = P.relative_period_filter(spark.read.parquet(str(tmp_path / "d")), "d", "2024-06-15", months=2)
+    assert df.agg(F.min("d")).first()[0] == date(2024, 4, 1)
+    df.explain("formatted")
+    assert "GreaterThanOrEqual(d,2024-04-01)" in capsys.readouterr().out
+
+
+@pytest.mark.parametrize(
+    "source, entity, book",
+    [
+        ("1", "82813", "IOH"),
+        ("5", "82813", "CGIC Qatar"),
+        ("5", "53154", "GHB Bahrain NA"),
+        ("5", "53134", "GHB Czech NA"),
+        ("5", "1", "CGIC NA"),
+        ("5", None, "CGIC NA"),
+        ("8", "82440", "GIH"),
+        ("2", "82440", "GHB Singapore"),
+        ("3", "82810", "GHB Africa"),
+        ("4", "82811", "GHB Africa"),
+        ("2", "82812", "GHB Africa"),
+        ("3", "53154", "GHB Europe"),
+        ("4", None, "GHB Europe"),
+        ("7", "82440", None),
+        (None, "82440", None),
+    ],
+)
+def test_book_of_business(spark, source, entity, book):
+    df = spark.createDataFrame([(source, entity)], "sourcesystemid string, legalentityid string")
+    assert C.book_of_business(df).first().book_of_business == book
+
+
+def test_claim_filters(spark):
+    df = spark.createDataFrame([("Fully Insured",), ("FULLY INSURED",), ("ASO",), (None,)], "claimsriskarrangement string")
+    assert C.fully_insured(df).count() == 2
+    df = dates(spark, ("2024-01-01", "2024-01-01"), ("2024-01-02", "2024-01-01"), (None, "2024-01-01"), ("2024-01-01", None))
+    assert C.dates_in_order(df, "start", "end").count() == 1
+
+
+def spell(spark, start, end):
+    return spark.createDataFrame([("m", day(start), day(end))], f"memberid string, {V.FROM} date, {V.TO} date")
+
+
+def test_coverage_of_a_spell_by_month(spark):
+    months = V.month_eligible_flag(S.month_expand(spell(spark, "2024-01-10", "2024-03-20"), "2024-12-31"))
+    got = V.coverage_measures(months).orderBy(V.MONTH).collect()
+    assert [r.is_eligible for r in got] == [1, 1, 1] + [0] * 9
+    assert [r.eligibility_eom for r in got] == [1, 1] + [0] * 10
+    assert [r.eligibility_15th for r in got] == [1, 1, 1] + [0] * 9
+    assert [r.eligible_days for r in got] == [22, 29, 20] + [0] * 9
+    assert [r.pro_rata_membership for r in got] == [22 / 31, 1.0, 20 / 31] + [0.0] * 9
+
+
+def test_single_day_spell(spark):
+    months = S.month_expand(spell(spark, "2024-02-15", "2024-02-15"), "2024-02-20")
+    got = V.coverage_measures(months).where("eligible_days > 0").collect()
+    assert [(r.eligible_days, r.eligibility_15th, r.eligibility_eom) for r in got] == [(1, 1, 0)]
+
+
+def test_covered_days_stay_within_the_month(spark):
+    from checks.queries import TYPED
+
+    bad = TYPED["coverage_measures"](spark, SF).where(
+        "eligible_days < 0 OR eligible_days > dayofmonth(last_day(eligible_month_dt_key))"
+    )
+    assert bad.isEmpty()
+
+
+def test_eligible_flag_ignores_nulls(spark):
+    df = spark.createDataFrame([(1, None), (None, 1), (0, None), (None, None)], "a int, b int")
+    assert rows(V.eligible_flag(df, ["a", "b"]), "eligible") == [(0,), (0,), (1,), (1,)]

@@ -1,0 +1,64 @@
+import pytest
+from conftest import plan_of, rows
+from pyspark.sql import functions as F
+
+from spelltide.operators import skew as K
+
+
+@pytest.fixture(scope="module")
+def sides(spark):
+    """A third of 9 000 rows on key 0, some keys without a partner, some null."""
+    left = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 100 == 1, None).otherwise(F.col("id") % 400).alias("k"),
+        F.col("id").alias("row"),
+    )
+    right = spark.range(0, 400, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    twice = right.unionAll(spark.createDataFrame([(0, 7), (0, 8)], "k bigint, v bigint"))
+    return left.withColumn("k", F.col("k").cast("bigint")), twice
+
+
+def test_hot_keys_finds_the_heavy_ones(spark, sides):
+    hot = K.hot_keys(sides[0], ["k"], slice_rows=500)
+    key = sides[0].where("k = 0").select(F.xxhash64("k")).first()[0]
+    assert rows(hot) == [(key, 7)]
+
+
+@pytest.mark.parametrize("slice_rows", [1, 10, 500, 10**9])
+def test_sliced_join_equals_plain_join(sides, slice_rows):
+    left, right = sides
+    got = K.sliced_left_join(left, right, ["k"], ["row"], slice_rows=slice_rows)
+    want = left.join(right, "k", "left")
+    assert got.columns == ["k", "row", "v"]
+    assert got.count() == want.count()
+    assert got.exceptAll(want.select("k", "row", "v")).isEmpty()
+
+
+def test_residual_is_part_of_the_join(sides):
+    left, right = sides
+    got = K.sliced_left_join(left, right, ["k"], ["row"], F.col("v") > F.col("row"), slice_rows=500)
+    want = left.alias("l").join(right.alias("r"), (F.col("l.k") == F.col("r.k")) & (F.col("v") > F.col("row")), "left")
+    assert got.exceptAll(want.select("l.k", "row", "v")).isEmpty() and got.count() == want.count()
+
+
+def test_hot_rows_are_spread(spark, sides):
+    left, right = sides
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = K.sliced_left_join(left, right.dropDuplicates(["k"]), ["k"], ["row"], slice_rows=200)
+        sizes = got.where("k = 0").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(sizes) > 1
+
+
+def test_join_uses_equal_keys_and_a_bounded_broadcast(spark, sides, capsys):
+    plan = plan_of(K.sliced_left_join(*sides, ["k"], ["row"]), capsys)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "approx_top_k" in plan
+
+
+def test_size_check(spark):
+    assert K.fits_broadcast(spark.range(10), 10)
+    assert not K.fits_broadcast(spark.range(11), 10)
