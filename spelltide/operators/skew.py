@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 2_000_000
+BROADCAST_ROWS = 1_000_000
 SLICE_ROWS = 1_000_000
 TRACKED_KEYS = 2_000
 HOT_KEYS = 200

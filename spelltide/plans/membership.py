@@ -60,15 +60,15 @@ def _preference(active: Column) -> Column:
     return (((1 - active) * DAY_SPAN + F.abs(distance)) * 2 + later) * DAY_SPAN + end
 
 
-def best_months(eligibility: DataFrame, codes: list[str], as_of=None) -> DataFrame:
-    """The spell that counts for each member and month, as bare keys.
+def best_months(rows: DataFrame, codes: list[str], as_of=None) -> DataFrame:
+    """The spell that counts for each member and month, as bare keys; `rows` have their cover override.
 
     Only keys and dates are expanded to months and shuffled, and each task keeps its own best
     candidate per member and month before the shuffle. The preference is a plain number, so both
     steps are hash aggregates and nothing is sorted.
     """
-    rows = S.covered(S.cover_override(S.as_dates(eligibility)).where(F.col("memberid").isNotNull()))
-    spells = rows.groupBy(*S.SPELL).agg(F.max(F.trim(S.CODE).isin(codes).cast("int")).alias("_counts"))
+    counted = F.max(F.trim(S.CODE).isin(codes).cast("int")).alias("_counts")
+    spells = S.covered(rows.where(F.col("memberid").isNotNull())).groupBy(*S.SPELL).agg(counted)
     active = F.when(F.col("_counts") == 1, touches_month(F.col(MONTH), F.col(FROM), F.col(TO))).otherwise(0)
     return (
         S.month_expand(spells, as_of)
@@ -96,7 +96,7 @@ def membership_report(
     placed = R.with_residence(keys, R.residence_current(residence)).drop(*R.KEYS)
     bare = spells.drop(R.TYPE, R.CODE, R.START, R.END)
     months = (
-        best_months(eligibility, codes, as_of)
+        best_months(rows, codes, as_of)
         .join(bare.hint("merge"), S.SPELL)
         .join(placed.hint("merge"), S.SPELL)
     )
