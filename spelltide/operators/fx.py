@@ -94,5 +94,6 @@ def fx_convert(
     A claim without any rate for its currency and day gets nulls.
     """
     wide = fx_wide(fx)
-    joined = join_rates(claims, wide, currency_col, date_col, fits_broadcast(wide), spread_by=["claimlineid"])
+    spread = ["claimlineid"] if "claimlineid" in claims.columns else claims.columns
+    joined = join_rates(claims, wide, currency_col, date_col, fits_broadcast(wide), spread)
     return book_of_business(joined.withColumns(converted(F.col(amount_col))))

@@ -66,9 +66,12 @@ def residence_overlap_join(spells: DataFrame, current: DataFrame, slice_rows: in
     """Attach the current residence of a spell's customer where the two intervals overlap.
 
     Every input row stays once. `current` has at most one row per customer, and a customer with very
-    many spells is spread over several tasks.
+    many spells is spread over several tasks. Residence columns replace those of the spells; of any
+    other name that both have, the spell's column stays.
     """
     bare = spells.drop(TYPE, CODE, START, END)
+    taken = {c.lower() for c in bare.columns} - set(KEYS)
+    current = current.drop(*[c for c in current.columns if c.lower() in taken])
     residual = overlaps(F.col(FROM), F.col(TO), F.col(START), F.col(END))
     spread = [c for c in ("memberid", FROM, TO, "eligible_month_dt_key") if c in bare.columns]
     return sliced_left_join(bare, current, KEYS, spread, residual, slice_rows)

@@ -100,6 +100,9 @@ def spell_covers(df: DataFrame, codes: list[str], carry: list[str] | None = None
 def flag_covers(df: DataFrame, codes: list[str], absent: int | None = 0) -> DataFrame:
     """Turn the spell's held-cover columns into month flags named by code, and add `eligible`."""
     held = _held(codes)
+    taken = {c.lower() for c in df.columns}.intersection(c.lower() for c in codes)
+    if taken:
+        raise ValueError(f"cover codes have the names of other columns: {sorted(taken)}")
     months = df.withColumn("_active", touches_month(F.col(MONTH), F.col(FROM), F.col(TO)))
     flags = [
         F.when(F.col(h) == 1, F.col("_active")).otherwise(F.lit(absent).cast("int")).alias(c)

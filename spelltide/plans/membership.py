@@ -93,8 +93,9 @@ def membership_report(
     codes = codes or S.discover_codes(rows, as_of)
     spells = S.spell_covers(rows, codes, carry=_carried(rows))
     keys = S.spell_covers(rows, codes, carry=R.KEYS).select(*S.SPELL, *R.KEYS)
-    placed = R.with_residence(keys, R.residence_current(residence)).drop(*R.KEYS)
-    bare = spells.drop(R.TYPE, R.CODE, R.START, R.END)
+    stay = [R.TYPE, R.CODE, R.START, R.END]
+    placed = R.with_residence(keys, R.residence_current(residence)).select(*S.SPELL, *stay)
+    bare = spells.drop(*stay)
     months = (
         best_months(rows, codes, as_of)
         .join(bare.hint("merge"), S.SPELL)

@@ -1,5 +1,9 @@
 """Session settings the reports rely on."""
 
+from __future__ import annotations
+
+import math
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -13,9 +17,25 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
+PARTITION_BYTES = 128 << 20
+MOST_PARTITIONS = 50_000
+
+
+def shuffle_partitions(shuffled_bytes: int, cores: int) -> int:
+    """Partitions of about 128 MB each, at least two per core and at most 50 000."""
+    return max(2 * cores, min(MOST_PARTITIONS, math.ceil(shuffled_bytes / PARTITION_BYTES)))
+
+
+def apply_settings(spark: SparkSession, shuffled_bytes: int | None = None, overrides: dict[str, str] | None = None) -> SparkSession:
+    """Set the run-time options.
 
-def apply_settings(spark: SparkSession, **overrides: str) -> SparkSession:
-    """Set the run-time options; overrides use the option name with dots as underscores left as is."""
-    for key, value in {**SETTINGS, **overrides}.items():
+    With the expected size of the largest shuffle given, shuffles start with enough partitions for
+    it; AQE merges those that turn out small.
+    """
+    settings = dict(SETTINGS)
+    if shuffled_bytes is not None:
+        wanted = shuffle_partitions(shuffled_bytes, spark.sparkContext.defaultParallelism)
+        settings["spark.sql.adaptive.coalescePartitions.initialPartitionNum"] = str(wanted)
+    for key, value in {**settings, **(overrides or {})}.items():
         spark.conf.set(key, value)
     return spark

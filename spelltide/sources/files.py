@@ -15,7 +15,7 @@ from spelltide.operators.conform import mirror_column
 log = logging.getLogger(__name__)
 
 TEXT_FORMATS = {"txt": "csv", "csv": "csv"}
-FORMATS = {**TEXT_FORMATS, "json": "json", "parquet": "parquet", "orc": "orc"}
+FORMATS = {**TEXT_FORMATS, **{kind: kind for kind in ("json", "parquet", "orc", "text", "xml", "avro")}}
 REPORT_NAME_LENGTH = 30
 
 

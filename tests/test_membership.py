@@ -41,6 +41,14 @@ def test_report_with_a_hot_member_and_ties(spark, sf):
     assert same(M.membership_report(hot, r, CODES, AS_OF), step_by_step(spark, hot, r, CODES))
 
 
+def test_report_with_columns_both_tables_have(spark, sf):
+    e = B.eligibility(spark, sf).withColumns({"etlchecksum": F.lit("e"), "cor_checksum": F.lit("e"), R.CODE: F.lit("old"), "segment": F.lit("s")})
+    r = B.residences(spark, sf).withColumns({"etlchecksum": F.lit("r"), "segment": F.lit("other")})
+    report = M.membership_report(e, r, CODES, AS_OF)
+    assert same(report, step_by_step(spark, e, r, CODES))
+    assert [x.segment for x in report.select("segment").distinct().collect()] == ["s"]
+
+
 def test_one_row_per_member_and_month(spark, sf):
     report = M.membership_report(B.eligibility(spark, sf), B.residences(spark, sf), CODES, AS_OF)
     assert report.groupBy("memberid", MONTH).count().where("count > 1").isEmpty()

@@ -7,7 +7,8 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import difference, duck
-from checks.queries import QUERIES
+from checks.queries import QUERIES, TYPED
+from conftest import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -20,6 +21,12 @@ def test_query_equals_its_sql(spark, con, sf, name):
     assert difference(spark, con, sf, name) is None
 
 
+@pytest.mark.parametrize("name", sorted(TYPED))
+def test_plans_join_on_equal_keys_without_python(spark, sf, name, capsys):
+    plan = plan_of(TYPED[name](spark, sf), capsys)
+    assert not re.search("CartesianProduct|NestedLoopJoin|PythonUDF|ArrowEval|MapInPandas", plan)
+
+
 def test_every_query_has_sql():
     assert set(contract.oracle_sql()) == set(contract.queries())
 

@@ -74,3 +74,13 @@ def test_old_residence_columns_are_replaced(spark):
     df = spells(spark, ("C1", "1", "2024-01-01", "2024-02-01")).withColumn(R.CODE, F.lit("old"))
     current = R.residence_current(stays(spark, ("PRI", "X", None, None)))
     assert rows(R.with_residence(df, current), R.CODE) == [("X",)]
+
+
+def test_columns_both_sides_have(spark):
+    from pyspark.sql import functions as F
+
+    df = spells(spark, ("C1", "1", "2024-01-01", "2024-02-01")).withColumn("etlchecksum", F.lit("spell"))
+    stay = stays(spark, ("PRI", "X", None, None)).withColumn("MemberId", F.lit("other"))
+    got = R.with_residence(df, R.residence_current(stay))
+    assert len({c.lower() for c in got.columns}) == len(got.columns)
+    assert rows(got, "memberid", "etlchecksum", "cor_checksum") == [("m", "spell", "X")]

@@ -78,6 +78,8 @@ def test_codes_with_odd_names(spark):
     assert S.cover_pivot(df, as_of="2024-01-01").columns[-1] == "A.B c"
     with pytest.raises(ValueError):
         S.cover_pivot(df, ["med", "MED"])
+    with pytest.raises(ValueError):
+        M.membership_months(df, ["CustomerId"])
 
 
 def test_codes_of_spells_after_the_cut_off_are_not_discovered(spark):

@@ -11,7 +11,7 @@ from spelltide.operators import conform as N
 from spelltide.operators import filters as L
 from spelltide.plans import bridge as B
 from spelltide.schemas import CLAIMS, EXCHANGE_RATE, columns
-from spelltide.session import apply_settings
+from spelltide.session import apply_settings, shuffle_partitions
 from spelltide.sources import files as IO
 from spelltide.sources import tables as TB
 
@@ -86,7 +86,9 @@ def test_read_files(spark, tmp_path):
     assert rows(IO.read_files(spark, str(tmp_path / "csv"), "txt", options={"inferSchema": "true"})) == rows(df)
     both = [str(tmp_path / "parquet")] * 2
     assert IO.read_files(spark, both).count() == 4
-    unknown = IO.read_files(spark, "nowhere", "xml", df.schema)
+    lines = IO.read_files(spark, str(tmp_path / "csv"), "text")
+    assert {r.value for r in lines.collect()} == {"id,t", '1,"a,b"', "2,"}
+    unknown = IO.read_files(spark, "nowhere", "xlsx", df.schema)
     assert unknown.schema == df.schema and unknown.isEmpty()
 
 
@@ -217,5 +219,12 @@ def test_contracts(spark, sf):
 
 
 def test_settings(spark):
-    apply_settings(spark)
+    initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    apply_settings(spark, 10 << 30, {"spark.sql.adaptive.skewJoin.enabled": "false"})
     assert spark.conf.get("spark.sql.parquet.datetimeRebaseModeInRead") == "CORRECTED"
+    assert spark.conf.get(initial) == "80"
+    assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "false"
+    spark.conf.unset(initial)
+    apply_settings(spark)
+    assert shuffle_partitions(100 << 40, 4000) == 50_000
+    assert shuffle_partitions(1, 4) == 8
