@@ -7,7 +7,7 @@ import time
 from collections import Counter
 
 import duckdb
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from checks.oracles import SQL
 from checks.queries import QUERIES
@@ -28,9 +28,8 @@ def rows_of(columns, rows) -> Counter:
     return Counter(tuple(row[i] for i in order) for row in rows)
 
 
-def difference(spark: SparkSession, con, sf_dir: str, name: str) -> str | None:
-    """What differs between a query and its SQL, or None."""
-    df = QUERIES[name](spark, sf_dir)
+def difference(con, name: str, df: DataFrame) -> str | None:
+    """What differs between a query's result and its SQL, or None."""
     have = rows_of(df.columns, [tuple(r) for r in df.collect()])
     if name not in SQL:
         return None
@@ -61,7 +60,7 @@ def main(sf_dir: str, names: list[str]) -> int:
     for name in names or QUERIES:
         start = time.time()
         try:
-            found = difference(spark, con, sf_dir, name)
+            found = difference(con, name, QUERIES[name](spark, sf_dir))
         except Exception as error:  # one broken query must not hide the others
             found = f"{type(error).__name__}: {str(error)[:600]}"
         wrong += found is not None

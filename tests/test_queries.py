@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as contract
 from checks.compare import difference, duck
-from checks.queries import QUERIES, TYPED
+from checks.queries import QUERIES
 from conftest import plan_of
 
 
@@ -17,14 +17,10 @@ def con(sf):
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query_equals_its_sql(spark, con, sf, name):
-    assert difference(spark, con, sf, name) is None
-
-
-@pytest.mark.parametrize("name", sorted(TYPED))
-def test_plans_join_on_equal_keys_without_python(spark, sf, name, capsys):
-    plan = plan_of(TYPED[name](spark, sf), capsys)
-    assert not re.search("CartesianProduct|NestedLoopJoin|PythonUDF|ArrowEval|MapInPandas", plan)
+def test_query_equals_its_sql(spark, con, sf, name, capsys):
+    df = QUERIES[name](spark, sf)
+    assert difference(con, name, df) is None
+    assert not re.search("CartesianProduct|NestedLoopJoin|PythonUDF|ArrowEval|MapInPandas", plan_of(df, capsys))
 
 
 def test_every_query_has_sql():
