@@ -4,6 +4,7 @@ from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -44,6 +45,12 @@ def rows(df, *columns):
     return sorted((tuple(r) for r in picked.collect()), key=repr)
 
 
+def same(a, b):
+    """Whether two frames hold the same rows equally often, each computed once."""
+    sides = a.withColumn("_n", F.lit(1)).unionByName(b.select(*a.columns).withColumn("_n", F.lit(-1)))
+    return sides.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").isEmpty()
+
+
 def plan_of(df, capsys):
     """The formatted physical plan as text."""
     capsys.readouterr()

@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from conftest import day, plan_of, rows
+from conftest import day, plan_of, rows, same
 
 from spelltide.operators import fx as X
 from spelltide.plans import bridge as B
@@ -89,7 +89,7 @@ def test_wide_holds_the_preferred_rates(spark, sf):
     assert wide.groupBy("basecurrencycode", "exchangeratedate").count().where("count > 1").isEmpty()
     usd = wide.where("exchangerate_usd > 0").selectExpr("basecurrencycode", "exchangeratedate", "exchangerate_usd AS exchangerate")
     want = X.fx_preferred_rate(fx).where("newcurrencycode = 'USD'").select(*usd.columns)
-    assert usd.exceptAll(want).isEmpty() and want.exceptAll(usd).isEmpty()
+    assert same(usd, want)
 
 
 def test_claims_stay_one_row_and_rates_are_broadcast(spark, sf, capsys):
@@ -107,4 +107,4 @@ def test_rates_too_many_to_broadcast(spark, sf, monkeypatch, capsys):
     got = X.fx_convert(c, fx, "servicedate")
     assert "approx_top_k" in plan_of(got, capsys)
     got = got.select(*columns)
-    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert same(got, want)

@@ -1,6 +1,6 @@
 """The composed reports against their step-by-step form."""
 
-from conftest import plan_of
+from conftest import plan_of, same
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, MONTH, TO, coverage_measures
@@ -15,11 +15,6 @@ AS_OF = "2001-12-31"
 CODES = ["DEN", "MED", "VIS"]
 
 
-def same(a, b):
-    b = b.select(*a.columns)
-    return a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
-
-
 def step_by_step(spark, eligibility, residence, codes):
     months = M.membership_months(eligibility, codes, AS_OF)
     placed = R.with_residence(months, R.residence_current(residence))

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import day, plan_of, rows
+from conftest import day, plan_of, rows, same
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, MONTH, TO
@@ -113,7 +113,7 @@ def test_one_aggregate_equals_pivot_plus_snapshot_join(spark, sf):
     direct = M.membership_months(B.eligibility(spark, sf), codes, "2001-12-31")
     columns = [c for c in joined.columns if not c.endswith("_source")]
     a, b = joined.select(*columns), direct.select(*columns)
-    assert a.exceptAll(b).isEmpty() and b.exceptAll(a).isEmpty()
+    assert same(a, b)
 
 
 def test_snapshot_limits_each_group_before_the_shuffle(spark, sf, capsys):
