@@ -1,7 +1,7 @@
 """Time the headline queries; prints one JSON line.
 
 BENCH_SF_DIR names the tables and BENCH_CPUS the local cores. Every query is run to its last row
-into Spark's no-op sink, twice to warm up and then twice more; the fastest run counts.
+into Spark's no-op sink, three times; the fastest run counts, so the first ones serve as warm-up.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ HEADLINE = [
     "scan_distinct",
     "write_roundtrip_partitioned",
 ]
-RUNS = 4
+RUNS = 3
 
 
 def seconds(spark: SparkSession, name: str, sf_dir: str) -> float:

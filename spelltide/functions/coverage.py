@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,11 +28,8 @@ def month_eligible_flag(df: DataFrame) -> DataFrame:
 
 def eligible_flag(df: DataFrame, cover_columns: list[str]) -> DataFrame:
     """1 when any cover column is 1; nulls do not count."""
-    covers = [F.coalesce(F.col(f"`{c}`").cast("int") == 1, F.lit(False)) for c in cover_columns]
-    held = covers[0]
-    for cover in covers[1:]:
-        held = held | cover
-    return df.withColumn("eligible", flag(held))
+    held = [F.coalesce(F.col(f"`{c}`").cast("int") == 1, F.lit(False)) for c in cover_columns]
+    return df.withColumn("eligible", flag(reduce(or_, held, F.lit(False))))
 
 
 def coverage_measures(df: DataFrame) -> DataFrame:

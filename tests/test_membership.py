@@ -44,6 +44,14 @@ def test_report_with_columns_both_tables_have(spark, sf):
     assert [x.segment for x in report.select("segment").distinct().collect()] == ["s"]
 
 
+def test_empty_inputs(spark, sf):
+    e, r = B.eligibility(spark, sf), B.residences(spark, sf)
+    assert M.membership_report(e.where("false"), r, CODES, AS_OF).isEmpty()
+    assert M.membership_report(e.where("false"), r, as_of=AS_OF).isEmpty()
+    alone = M.membership_report(e, r.where("false"), CODES, AS_OF)
+    assert alone.where(f"{R.CODE} is not null").isEmpty() and not alone.isEmpty()
+
+
 def test_one_row_per_member_and_month(spark, sf):
     report = M.membership_report(B.eligibility(spark, sf), B.residences(spark, sf), CODES, AS_OF)
     assert report.groupBy("memberid", MONTH).count().where("count > 1").isEmpty()

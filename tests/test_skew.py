@@ -32,6 +32,12 @@ def test_sliced_join_equals_plain_join(sides, slice_rows):
     assert same(got, want)
 
 
+def test_empty_sides(sides):
+    left, right = sides
+    assert K.sliced_left_join(left.where("row < 0"), right, ["k"], ["row"]).isEmpty()
+    assert K.sliced_left_join(left, right.where("k < 0"), ["k"], ["row"], slice_rows=500).where("v is null").count() == 9000
+
+
 def test_residual_is_part_of_the_join(sides):
     left, right = sides
     got = K.sliced_left_join(left, right, ["k"], ["row"], F.col("v") > F.col("row"), slice_rows=500)
