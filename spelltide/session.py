@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import math
+import shutil
+import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -39,3 +42,17 @@ def apply_settings(spark: SparkSession, shuffled_bytes: int | None = None, overr
     for key, value in {**settings, **(overrides or {})}.items():
         spark.conf.set(key, value)
     return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors' Python, once per application, as a zip file through Spark."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent
+    archive = shutil.make_archive(str(Path(tempfile.mkdtemp()) / package.name), "zip", package.parent, package.name)
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
