@@ -5,11 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spelltide.llm import fm, secrets, urls
 from spelltide.llm.interleave import stratified_shards
 from spelltide.llm.warc import roundtrip
+from spelltide.session import ship_package
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +22,33 @@ def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def held_out(modulus: int):
+    """Whether crc32 of the id as text leaves 2."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == 2, F.lit(False))
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document: fixed patterns and random strings."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = secrets.scan(documents, secrets.fit(documents))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str, learn) -> fm.Model:
+    """Fit on the documents with one quality label, of those that `learn` holds for."""
+    labels = table(spark, sf_dir, "labels").where(learn).groupBy("doc_id").agg(F.min("quality").alias("_q"), F.max("quality").alias("_most"))
+    known = documents.select("doc_id", "text", "n_chars").join(labels.where("_q = _most").drop("_most"), "doc_id")
+    return fm.fit(known, "doc_id", "_q")
+
+
+def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quality score of every document, learnt from labels that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    model = quality_model(spark, documents, sf_dir, ~held_out(4))
+    scored = fm.score(documents, model)
+    return scored.select("doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
 def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards that match the mixture of sources; their row counts differ by one at most."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -29,9 +59,24 @@ def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+RULES = [
+    urls.Rule("block", "net/"), urls.Rule("allow", "example.net/en/"), urls.Rule("block", "example.com/de/"), urls.Rule("allow", "org/fr/"),
+]
+
+
+def op10_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by rules, or by models of the urls that rules allow and block."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = urls.fit(urls.rule_labels(pages, RULES), "url", "accepted")
+    return urls.judge(pages, model, RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 QUERIES = {
     "op1_warc_zstd": op1_warc_zstd,
+    "op3_secret_scan": op3_secret_scan,
+    "op6_quality_fm": op6_quality_fm,
     "op9_stratified_shards": op9_stratified_shards,
+    "op10_url_ratio": op10_url_ratio,
 }
 
 SQL = {
