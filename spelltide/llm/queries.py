@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spelltide.llm import fm, secrets, urls
+from spelltide.llm import decontam, fm, secrets, urls
 from spelltide.llm.interleave import stratified_shards
 from spelltide.llm.warc import roundtrip
 from spelltide.session import ship_package
@@ -49,6 +49,13 @@ def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that contain benchmark items: one row per document and item."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontam.with_leaks(documents, table(spark, sf_dir, "benchmark")).select("doc_id", F.explode("leaks").alias("leak"))
+    return found.select("doc_id", "leak.item_id", "leak.score", "leak.question_overlap", "leak.answer_overlap")
+
+
 def op9_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in 24 shards that match the mixture of sources; their row counts differ by one at most."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -75,6 +82,7 @@ QUERIES = {
     "op1_warc_zstd": op1_warc_zstd,
     "op3_secret_scan": op3_secret_scan,
     "op6_quality_fm": op6_quality_fm,
+    "op8_benchmark_leaks": op8_benchmark_leaks,
     "op9_stratified_shards": op9_stratified_shards,
     "op10_url_ratio": op10_url_ratio,
 }
