@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spelltide.llm import decontam, fm, secrets, urls
+from spelltide.llm import decontam, fm, sampling, secrets, urls
 from spelltide.llm.interleave import stratified_shards
+from spelltide.llm.ngram_join import link_documents
 from spelltide.llm.warc import roundtrip
 from spelltide.session import ship_package
 
@@ -22,6 +23,11 @@ def op1_warc_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's number of shingles and the component of documents that it is linked with."""
+    return link_documents(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def held_out(modulus: int):
     """Whether crc32 of the id as text leaves 2."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == 2, F.lit(False))
@@ -49,6 +55,16 @@ def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct sampled segmentations of every document, and whether they decode to its text."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = sampling.decode(sampling.encode(documents, "doc_id"))
+    return decoded.select(
+        "doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
+        F.coalesce(F.col("text"), F.lit("")).eqNullSafe(F.col("decoded")).alias("round_trip"),
+    )
+
+
 def op8_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that contain benchmark items: one row per document and item."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -80,8 +96,10 @@ def op10_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_warc_zstd": op1_warc_zstd,
+    "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_secret_scan": op3_secret_scan,
     "op6_quality_fm": op6_quality_fm,
+    "op7_sampled_pieces": op7_sampled_pieces,
     "op8_benchmark_leaks": op8_benchmark_leaks,
     "op9_stratified_shards": op9_stratified_shards,
     "op10_url_ratio": op10_url_ratio,
@@ -101,4 +119,27 @@ SQL = {
             CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM f
     """,
+    "op2_ngram_jaccard": """
+        WITH RECURSIVE w AS (
+            SELECT DISTINCT doc_id, text, list_filter(regexp_split_to_array(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words
+            FROM documents
+        ), s AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+                ELSE list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')) END) AS shingle
+            FROM w
+        ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        common AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY ALL
+        ), links AS (
+            SELECT a, b FROM common c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c.n >= 75 * (x.n + y.n - c.n)
+        ), reach AS (
+            SELECT doc_id AS node, doc_id AS other FROM documents
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+        )
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, r.component_id
+        FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
+        JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = d.doc_id
+    """,
 }
