@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from spelltide.llm import decontam, fm, sampling, secrets, urls
 from spelltide.llm.interleave import stratified_shards
+from spelltide.llm.katz import katz_scores
 from spelltide.llm.ngram_join import link_documents
+from spelltide.llm.pivots import near_duplicates
 from spelltide.llm.warc import roundtrip
 from spelltide.session import ship_package
 
@@ -40,6 +42,17 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
 
 
+def op4_pivot_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's number of near duplicates and the component that it belongs to."""
+    return near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's log probability under a bigram model of those that are not held out."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", held_out(7).alias("held"))
+    return katz_scores(documents, "doc_id", "text", "held")
+
+
 def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str, learn) -> fm.Model:
     """Fit on the documents with one quality label, of those that `learn` holds for."""
     labels = table(spark, sf_dir, "labels").where(learn).groupBy("doc_id").agg(F.min("quality").alias("_q"), F.max("quality").alias("_most"))
@@ -98,6 +111,8 @@ QUERIES = {
     "op1_warc_zstd": op1_warc_zstd,
     "op2_ngram_jaccard": op2_ngram_jaccard,
     "op3_secret_scan": op3_secret_scan,
+    "op4_pivot_vectors": op4_pivot_vectors,
+    "op5_katz_scores": op5_katz_scores,
     "op6_quality_fm": op6_quality_fm,
     "op7_sampled_pieces": op7_sampled_pieces,
     "op8_benchmark_leaks": op8_benchmark_leaks,
@@ -142,4 +157,22 @@ SQL = {
         FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id
         JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = d.doc_id
     """,
+    "op4_pivot_vectors": """
+        WITH RECURSIVE v AS (
+            SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+                AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+        ), links AS (
+            SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+        ), reach AS (
+            SELECT vec_id AS node, vec_id AS other FROM embeddings
+            UNION
+            SELECT r.node, l.b FROM reach r JOIN links l ON l.a = r.other
+        )
+        SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, r.component_id, e.vec_id = r.component_id AS kept
+        FROM embeddings e
+        JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = e.vec_id
+        LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
+    """,
 }
