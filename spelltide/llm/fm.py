@@ -114,8 +114,8 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.margin(x, rows), -30, 30)))
 
 
-def _feature_rows(df: DataFrame, text: str, n_chars: str | None) -> DataFrame:
-    """Features of each row as arrays, next to `_label` and `_order`."""
+def _feature_rows(rows: DataFrame) -> DataFrame:
+    """Features as arrays of rows of label, order, told length and text."""
 
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -130,34 +130,35 @@ def _feature_rows(df: DataFrame, text: str, n_chars: str | None) -> DataFrame:
                     "dense": pa.array(list(x.dense), pa.list_(pa.float64())),
                 })
 
-    told = F.col(n_chars).cast("long") if n_chars else F.lit(None).cast("long")
-    rows = df.select("_label", "_order", told.alias("_told"), F.col(text).cast("string").alias("_text"))
     return rows.mapInArrow(build, "label int, order long, word array<int>, weight array<float>, dense array<double>")
 
 
 def fit(
-    labelled: DataFrame, id_col: str, label: str, text: str = "text", n_chars: str | None = "n_chars",
+    df: DataFrame, labels: DataFrame, key: str, label: str, text: str = "text", n_chars: str | None = "n_chars",
     per_class: int = SAMPLE_PER_CLASS, seed: int = 11,
 ) -> Model:
-    """Fit on at most `per_class` rows of either label, those with the smallest hash of their id.
+    """Fit on at most `per_class` rows of either label: the labelled keys with the smallest hash.
 
-    `labelled` has the text and a label of 0 or 1; rows with another or no label are left out, null and
-    empty texts are kept. Only the features of the bounded sample reach the driver. The two classes
-    weigh there as they do among all labelled rows. Without rows of both classes the score is constant:
-    the share of label 1, or 1 where nothing is labelled.
+    `labels` has keys and labels of 0 or 1; other labels, null keys and keys labelled both ways are left
+    out. The keys are chosen among the labels, so that only their texts are looked up in `df`, by a
+    broadcast of at most 2 * per_class keys. Of rows with the same key the one with the largest text
+    counts. The two classes weigh in the loss as they do among all labels. Without labels of both classes
+    the score is constant: the share of label 1, or 1 where nothing is labelled.
     """
-    rows = labelled.withColumns({"_label": F.col(label).cast("int"), "_order": F.xxhash64(F.lit(seed), F.col(id_col))})
-    rows = rows.where("_label in (0, 1)")
-    found = {r["_label"]: r["n"] for r in rows.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    once = labels.where(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).alias("_key"))
+    once = once.agg(F.min(label).cast("int").alias("_label"), F.max(label).cast("int").alias("_most"))
+    once = once.where("_label = _most").select("_key", "_label", F.xxhash64(F.lit(seed), "_key").alias("_order"))
+    found = {r["_label"]: r["n"] for r in once.groupBy("_label").agg(F.count(F.lit(1)).alias("n")).collect()}
     prior = found.get(1, 0) / sum(found.values()) if found else 1.0
     if len(found) < 2:
         return Model(prior)
-    keys = rows.select("_label", "_order")
-    chosen = [keys.where(F.col("_label") == k).orderBy("_order").limit(per_class) for k in (0, 1)]
-    wanted = F.broadcast(chosen[0].union(chosen[1]).distinct())  # at most 2 * per_class rows
-    sample = _feature_rows(rows.join(wanted, ["_label", "_order"], "left_semi"), text, n_chars).toArrow()
-    sample = sample.sort_by([("order", "ascending"), ("label", "ascending")])
-    return _train(sample, prior, seed)
+    chosen = [once.where(F.col("_label") == k).orderBy("_order", "_key").limit(per_class) for k in (0, 1)]
+    told = F.col(n_chars).cast("long") if n_chars else F.lit(None).cast("long")
+    rows = df.select(F.col(key).alias("_key"), F.struct(F.col(text).cast("string").alias("_text"), told.alias("_told")).alias("_row"))
+    rows = rows.join(F.broadcast(chosen[0].union(chosen[1])), "_key")
+    rows = rows.groupBy("_key", "_label", "_order").agg(F.max("_row").alias("_row"))
+    sample = _feature_rows(rows.select("_label", "_order", "_row._told", "_row._text")).toArrow()
+    return _train(sample.sort_by([("order", "ascending"), ("label", "ascending")]), prior, seed)
 
 
 def _train(sample: pa.Table, prior: float, seed: int) -> Model:

@@ -53,17 +53,10 @@ def op5_katz_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz_scores(documents, "doc_id", "text", "held")
 
 
-def quality_model(spark: SparkSession, documents: DataFrame, sf_dir: str, learn) -> fm.Model:
-    """Fit on the documents with one quality label, of those that `learn` holds for."""
-    labels = table(spark, sf_dir, "labels").where(learn).groupBy("doc_id").agg(F.min("quality").alias("_q"), F.max("quality").alias("_most"))
-    known = documents.select("doc_id", "text", "n_chars").join(labels.where("_q = _most").drop("_most"), "doc_id")
-    return fm.fit(known, "doc_id", "_q")
-
-
 def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A quality score of every document, learnt from labels that are not held out."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
-    model = quality_model(spark, documents, sf_dir, ~held_out(4))
+    model = fm.fit(documents, table(spark, sf_dir, "labels").where(~held_out(4)), "doc_id", "quality")
     scored = fm.score(documents, model)
     return scored.select("doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
