@@ -14,8 +14,22 @@ from spelltide.llm.warc import roundtrip
 from spelltide.session import ship_package
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+#: Rows that Spark hands to Python at once. Texts can be very long, and a batch must fit in a task several times.
+BATCH_ROWS = 1_000
+
+
+#: Least score of an accepted document.
+QUALITY = 0.7
+
+
+def prepared(spark: SparkSession) -> None:
+    """What the operators need of a session: this package on the executors, and bounded batches."""
     ship_package(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    prepared(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -58,16 +72,17 @@ def op6_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
     model = fm.fit(documents, table(spark, sf_dir, "labels").where(~held_out(4)), "doc_id", "quality")
     scored = fm.score(documents, model)
-    return scored.select("doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", held_out(4).alias("held_out"), "score", (F.col("score") >= QUALITY).cast("int").alias("predicted"))
 
 
 def op7_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinct sampled segmentations of every document, and whether they decode to its text."""
-    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
-    decoded = sampling.decode(sampling.encode(documents, "doc_id"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", F.sha2(F.encode(text, "UTF-8"), 256).alias("text_hash"))
+    decoded = sampling.decode(sampling.encode(documents, "doc_id", columns=["doc_id", "text_hash"]))
     return decoded.select(
         "doc_id", "sample", F.size("ids").alias("n_pieces"), F.xxhash64("ids").alias("ids_hash"), "log_prob", "perturbed", "log_inclusion",
-        F.coalesce(F.col("text"), F.lit("")).eqNullSafe(F.col("decoded")).alias("round_trip"),
+        (F.sha2(F.encode("decoded", "UTF-8"), 256) == F.col("text_hash")).alias("round_trip"),
     )
 
 
