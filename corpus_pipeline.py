@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from spelltide.llm import decontam, fm, sampling, secrets
 from spelltide.llm.ngram_join import link_documents
 from spelltide.llm.queries import QUALITY, held_out, prepared, table
-from spelltide.llm.scratch import stored
+from spelltide.llm.scratch import stored, unused
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -23,7 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier accepts: score 0.7 or more. It learns from labels that are not held out."""
     labels = table(spark, sf_dir, "labels").where(~held_out(4))
     model = fm.fit(docs, labels, "doc_id", "quality")
-    return fm.score(docs, model, out="_quality").where(F.col("_quality") >= QUALITY).drop("_quality")
+    score = unused("_score", docs)
+    return fm.score(docs, model, out=score).where(F.col(score) >= QUALITY).drop(score)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,23 +37,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     kept = stored(linked.where("doc_id = component_id").select("doc_id").distinct(), "pipeline-kept")
     known = docs.where("doc_id is not null").join(kept.hint("merge"), "doc_id")
     first = W.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
-    once = known.withColumn("_row", F.row_number().over(first)).where("_row = 1").select(*docs.columns)
+    row = unused("_row", docs)
+    once = known.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)
     return once.unionByName(docs.where("doc_id is null"))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark item's question and answer."""
-    found = decontam.with_leaks(docs, table(spark, sf_dir, "benchmark"), out="_leaks")
-    return found.where(F.size("_leaks") == 0).drop("_leaks")
+    leaks = unused("_leaks", docs)
+    return decontam.with_leaks(docs, table(spark, sf_dir, "benchmark"), out=leaks).where(F.size(leaks) == 0).drop(leaks)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with a mask in place of each secret and n_chars of the new text."""
     prepared(spark)
-    found = secrets.scan(docs, secrets.fit(docs), prefix="_")
-    changed = F.col("_spans") != ""
-    length = F.when(changed, F.char_length("_clean_text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": F.col("_clean_text"), "n_chars": length}).select(*docs.columns)
+    prefix = "_" * (1 + max(len(c) for c in docs.columns))
+    found = secrets.scan(docs, secrets.fit(docs), prefix=prefix)
+    changed, clean = F.col(f"{prefix}spans") != "", F.col(f"{prefix}clean_text")
+    length = F.when(changed, F.char_length(clean).cast("long")).otherwise(F.col("n_chars"))
+    return found.withColumns({"text": clean, "n_chars": length}).select(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spelltide.llm.scratch import stored
+from spelltide.llm.scratch import stored, unused
 from spelltide.llm.words import hashes, mix, pieces, spans, utf8
 
 K1, B = 1.2, 0.75
@@ -280,10 +280,9 @@ def with_leaks(
 
     Documents are not shuffled. The index of up to 16 MB of item text is broadcast; a larger benchmark
     is indexed in blocks by hash of its id, each asked with all documents, with word statistics of all
-    items in every block.
+    items in every block. A column that is called `out` is replaced.
     """
-    if out in df.columns:
-        raise ValueError(f"there is a column {out} already")
+    df = df.drop(out)
     clean = items.where(F.col(item_id).isNotNull()).select(
         F.col(item_id).cast("long").alias("item"), F.lower(F.coalesce(F.col(item_text).cast("string"), F.lit(""))).alias("text")
     )
@@ -309,17 +308,17 @@ def with_leaks(
 
 def _ask(df: DataFrame, index: Index, text: str, shares: tuple[float, float], out: str) -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(index)
-    names = df.columns
+    names, new = df.columns, unused("_found", df)
 
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             found: list[list[dict]] = []
             for low, high, data, offsets in pieces(batch.column(len(names))):
                 found += leaks(shared.value, *token_hashes(data, offsets), high - low, shares)
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, kind)], [*names, "_found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, kind)], [*names, new])
 
     kind = pa.list_(pa.struct([("item_id", pa.int64()), *((c, pa.float64()) for c in ("score", "question_overlap", "answer_overlap"))]))
     kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
     lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_leak_text")
-    asked = df.select("*", lowered).mapInArrow(build, f"{kept}, _found {LEAKS}")
-    return asked.withColumn(out, F.concat(out, "_found")).drop("_found")
+    asked = df.select("*", lowered).mapInArrow(build, f"{kept}, {new} {LEAKS}")
+    return asked.withColumn(out, F.concat(out, new)).drop(new)

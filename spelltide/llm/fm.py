@@ -211,11 +211,10 @@ def _train(sample: pa.Table, prior: float, seed: int) -> Model:
 def score(df: DataFrame, model: Model, text: str = "text", n_chars: str | None = "n_chars", out: str = "score") -> DataFrame:
     """All columns of `df` and the probability of label 1, computed from whole texts without a shuffle.
 
-    Null and empty texts get a score from their statistics alone. The model is of fixed size.
+    A column that is called `out` is replaced. Null and empty texts get a score from their statistics alone. The model is of fixed size.
     """
+    df = df.drop(out)
     names = df.columns
-    if out in names:
-        raise ValueError(f"there is a column {out} already")
     shared = df.sparkSession.sparkContext.broadcast(model)
     ready = df.select(
         "*", F.col(text).cast("string").alias("_fm_text"), (F.col(n_chars).cast("long") if n_chars else F.lit(None).cast("long")).alias("_fm_told")

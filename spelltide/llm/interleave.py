@@ -23,8 +23,9 @@ def stratified_shards(
     """Deal rows to shards so that each holds its share of every stratum.
 
     Rows of a stratum are shuffled by a seeded hash of the key and ranked r = 1..n; all rows are then
-    sorted by (2r - 1) / 2n and cut into shards whose row counts differ by one at most. So a shard
-    holds of each stratum its exact share, give or take the rows at its two ends. Returns key, stratum
+    sorted by (2r - 1) / 2n and cut into shards whose row counts differ by one at most. A shard's
+    share of a stratum is exact but for roundings, of which each stratum adds at most one at either end
+    of the shard. Returns key, stratum
     and the columns of `carry`, with position (from 0), shard and slot (from 0 in each shard).
 
     Null strata form one stratum of their own; null keys hash alike. Rows that agree in the key's hash

@@ -259,7 +259,7 @@ def _pair_merger(unigrams: Unigrams):
         known, count_of, p1 = known[first][there], total[there], unigrams.probability(word[first][there])
         sums = [np.bincount(known, count_of == r, len(own)) for r in range(1, K + 1)]
         sums += [np.bincount(known, np.where(count_of > K, x, 0), len(own)) for x in (count_of, 1)]
-        fields = [pa.array(own[told].view(np.int64)), *(pa.array(s[told].astype(np.int64)) for s in sums), pa.array(np.bincount(known, p1, len(own))[told])]
+        fields = [pa.array(own[told].view(np.int64)), *(pa.array(s[told].astype(np.int64)) for s in sums), pa.array(np.bincount(known, p1, len(own)).astype(float)[told])]
         table = pa.StructArray.from_arrays(fields, fields=list(_HISTORY))
         histories = pa.ListArray.from_arrays(pa.array([0] * (len(keys) + 1) + [len(table)], pa.int32()), table)
         times = [int(t) for t in np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]]

@@ -82,7 +82,7 @@ def _compare(table: pa.Table) -> pa.Table:
     weight, root = np.zeros(n, np.int64), np.arange(n)
     for low in range(0, n, 512):
         high = min(n, low + 512)
-        met = marks[low:high] @ marks.T >= SHARED
+        met = marks[low:high] @ marks.T >= min(SHARED, order.shape[1])
         met &= np.arange(n)[None, :] > np.arange(low, high)[:, None]
         met &= size[low:high, None] == size[None, :]
         met &= node[low:high, None] != node[None, :]
@@ -121,7 +121,7 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
 
     Equal vectors are one node with a number of copies. Each node is described by its 12 nearest pivots,
     in order; pivots are 4 * sqrt(nodes) nodes, 65 536 at most, those whose keys have the smallest
-    hashes, without those at a cosine of 0.7 or more to another. Every node is in the lists of all 12. Nodes that share a list and 3 pivots are verified, so
+    hashes, without those at a cosine of 0.7 or more to another. Every node is in the lists of all 12. Nodes that share a list and 3 pivots (all, if there are fewer) are verified, so
     the result holds no wrong link and misses those whose surroundings share fewer pivots. A list is
     compared in slices of 2 048; what leaves a task are sums and a spanning forest, not pairs.
     """

@@ -7,6 +7,14 @@ from pyspark.sql import DataFrame, SparkSession
 from spelltide.sources.files import scratch_path
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """The name, with as many underscores behind it as make it none of the frame's columns."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame as Parquet under the shared folder and read it again.
 

@@ -32,6 +32,8 @@ LEAST_RANDOM = 20
 #: Natural log of the odds at which a candidate counts as random: about one to 160 000.
 LOG_ODDS = 12.0
 SMOOTHING = 2.0
+#: Rarer contexts leave the word to shorter ones, so that no text is judged by its own few characters.
+LEAST_SEEN = 32
 #: Generated samples of random strings: so many of each alphabet.
 SAMPLES, SAMPLE_LENGTH = 400, 40
 SAMPLE_ALPHABETS = (
@@ -80,12 +82,13 @@ def _random_counts() -> np.ndarray:
 
 
 def _smoothed(counts: np.ndarray) -> np.ndarray:
-    """log P(symbol | two symbols), each order blended into the next lower one."""
+    """log P(symbol | two symbols), each order blended into the next lower one and used where its context is known well."""
     lower = np.full((1, SYMBOLS), 1 / SYMBOLS)
     for order in range(ORDER + 1):
         seen = counts.reshape(-1, SYMBOLS**order, SYMBOLS).sum(0)
         base = np.tile(lower, (SYMBOLS if order else 1, 1))
-        lower = (seen + SMOOTHING * base) / (seen.sum(-1, keepdims=True) + SMOOTHING)
+        total = seen.sum(-1, keepdims=True)
+        lower = np.where(total >= LEAST_SEEN, (seen + SMOOTHING * base) / (total + SMOOTHING), base)
     return np.log(lower).ravel()
 
 
@@ -179,14 +182,12 @@ def scan(df: DataFrame, model: SecretModel, text: str = "text", mask: str = "[SE
 
     `spans` are all hits as kind:start:end, comma-joined by start and kind; base_sha256 is the hash of
     the same list without the random ones; clean_text has the mask in place of every hit. A null text
-    has no hits and a null clean_text. `prefix` keeps the new names apart from columns of `df`. Nothing
-    is shuffled; the model has a fixed size.
+    has no hits and a null clean_text. Columns of these names are replaced; `prefix` keeps the new names
+    apart from them. Nothing is shuffled; the model has a fixed size.
     """
-    names = df.columns
     new = {"n_assign": "long", "n_access": "long", "n_hex": "long", "base_sha256": "string", "spans": "string", "clean_text": "string"}
-    taken = {prefix + c for c in new} & set(names)
-    if taken:
-        raise ValueError(f"there are columns {sorted(taken)} already")
+    df = df.drop(*(prefix + c for c in new))
+    names = df.columns
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def build(batches: Iterator[pa.RecordBatch]):

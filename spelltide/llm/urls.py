@@ -183,11 +183,10 @@ def judge(df: DataFrame, model: UrlModel, rules: Sequence[Rule], url: str = "url
     """All columns of `df`, with host, path, rule, the model's score and the verdict `allow` or `block`.
 
     The longest rule that fits decides; where none does, the score must reach the threshold. A null url
-    or one without `://` has an empty host and path, fits no rule and is judged by the model.
+    or one without `://` has an empty host and path, fits no rule and is judged by the model. Columns with
+    one of the new names are replaced.
     """
-    taken = {"host", "path", "rule", "verdict", score} & set(df.columns)
-    if taken:
-        raise ValueError(f"there are columns {sorted(taken)} already")
+    df = df.drop("host", "path", "rule", "verdict", score)
     address = F.col(url).cast("string")
     placed = df.withColumns({"host": url_host(address), "path": url_path(address)})
     placed = _scored(placed.withColumn("rule", longest_rule(F.col("host"), F.col("path"), rules)), url, model.ratio, score)

@@ -1,0 +1,79 @@
+"""The pipeline against brute force, stage by stage, and as a whole."""
+
+import sys
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
+import corpus_pipeline as pipeline
+from spelltide.llm import sampling
+from test_ngram_join import expected
+from test_secrets import base
+
+
+@pytest.fixture(scope="module")
+def steps(spark, sf):
+    """The rows that each stage has returned."""
+    docs, out = spark.read.parquet(f"{sf}/documents.parquet"), []
+    out.append(docs.collect())
+    for _, stage in pipeline.STAGES:
+        docs = stage(spark, docs, sf).cache()
+        out.append(docs.collect())
+    return out
+
+
+def test_stages_keep_the_columns(steps):
+    assert all(set(s[0].asDict()) == set(pipeline.COLUMNS) for s in steps[:-1])
+    assert [n for n, _ in pipeline.STAGES] == ["quality", "near_duplicates", "decontaminate", "redact", "encode"]
+
+
+def test_quality_rejects_labelled_junk_and_keeps_good(spark, sf, steps):
+    labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    kept = {r.doc_id for r in steps[1]}
+    good, bad = ([i for i, q in labels.items() if q == k] for k in (1, 0))
+    assert sum(i in kept for i in good) >= 0.95 * len(good) and sum(i in kept for i in bad) <= 0.25 * len(bad)
+
+
+def test_one_document_of_each_group_stays(steps):
+    want = {i for i, _, c in expected([(r.doc_id, r.text) for r in steps[1]]) if i == c}
+    assert {r.doc_id for r in steps[2]} == want and len(steps[2]) == len(want)
+
+
+def test_benchmark_texts_are_gone_and_others_stay(spark, sf, steps):
+    items = [r.text.lower() for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    leaked = {r.doc_id for r in steps[2] if any(t in r.text.lower() for t in items)}
+    assert leaked and {r.doc_id for r in steps[2]} - {r.doc_id for r in steps[3]} == leaked
+
+
+def test_secrets_are_masked_and_nothing_else_changes(steps):
+    before = {r.doc_id: r for r in steps[3]}
+    assert {r.doc_id for r in steps[4]} == set(before)
+    for r in steps[4]:
+        assert not base(r.text) and r.n_chars == len(r.text)
+        if not base(before[r.doc_id].text) and "[SECRET]" not in r.text:
+            assert r == before[r.doc_id]
+
+
+def test_ids_decode_to_the_texts(spark, steps):
+    texts = {r.doc_id: r.text for r in steps[4]}
+    back = sampling.decode(spark.createDataFrame(steps[5])).collect()
+    assert {r.doc_id for r in back} == set(texts) and all(r.decoded == texts[r.doc_id] for r in back)
+
+
+def test_run_gives_the_last_stage(spark, sf, steps):
+    have = sorted((r.doc_id, r.sample, tuple(r.ids)) for r in pipeline.run(spark, sf).collect())
+    assert have == sorted((r.doc_id, r.sample, tuple(r.ids)) for r in steps[5])
+
+
+def test_odd_rows_pass_all_stages(spark, sf, documents):
+    rows = [(None, "a text without an id but with some words in it."), (1, None), (2, ""), (3, "one two three four five six."), (3, "one two three four five six."), (4, "x " * 50_000)]
+    docs = documents(rows)
+    for _, stage in pipeline.STAGES[1:]:
+        docs = stage(spark, docs, sf)
+    assert sorted({r.doc_id or 0 for r in docs.collect()}) == [0, 1, 2, 3, 4]
+    empty = documents([])
+    for _, stage in pipeline.STAGES:
+        empty = stage(spark, empty, sf)
+    assert empty.count() == 0

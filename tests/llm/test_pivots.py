@@ -1,0 +1,75 @@
+import math
+
+import numpy as np
+import pytest
+
+from spelltide.llm import pivots
+from test_ngram_join import roots
+
+VECTOR = "vec_id long, embedding array<float>, label int"
+
+
+def expected(rows):
+    """(id, links, component) by comparing all pairs in doubles."""
+    good = {}
+    for n, (i, v) in enumerate(rows):
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            x = np.array(v, np.float32).astype(float)
+            good[n] = x / np.abs(x).max()
+    links = []
+    for a in good:
+        for b in good:
+            if a < b and len(good[a]) == len(good[b]):
+                x, y = good[a], good[b]
+                if x @ y >= 0.9 * math.sqrt((x @ x) * (y @ y)):
+                    links.append((a, b))
+    found = roots({i for i, _ in rows}, [(rows[a][0], rows[b][0]) for a, b in links])
+    return [(i, sum(n in link for link in links), found[i], i == found[i]) for n, (i, _) in enumerate(rows)]
+
+
+def clusters(n, seed=1, size=16):
+    rng = np.random.Generator(np.random.PCG64(seed))
+    centres = rng.normal(size=(n // 6, size))
+    rows = [centres[rng.integers(len(centres))] + rng.normal(scale=rng.choice([0, 0.05, 0.2, 1.0]), size=size) for _ in range(n)]
+    return [(i, [float(np.float32(x)) for x in r]) for i, r in enumerate(rows)]
+
+
+def run(spark, rows):
+    return sorted(tuple(r) for r in pivots.near_duplicates(spark.createDataFrame([(i, v, 1) for i, v in rows], VECTOR)).collect())
+
+
+def test_recall_and_precision(spark):
+    rows = clusters(900)
+    have, want = run(spark, rows), sorted(expected(rows))
+    assert sum(h[1] for h in have) >= 0.9 * sum(w[1] for w in want) and all(h[1] <= w[1] for h, w in zip(have, want))
+    assert sum(h[2] == w[2] for h, w in zip(have, want)) >= 0.95 * len(want)
+
+
+def test_separate_groups_and_copies_are_exact(spark, monkeypatch):
+    rng = np.random.Generator(np.random.PCG64(2))
+    rows = []
+    for g in range(30):
+        centre = rng.normal(size=32)
+        rows += [centre + rng.normal(scale=0.03, size=32) for _ in range(g)] + [centre] * (g % 3)
+    rows = [(i, [float(np.float32(x)) for x in r]) for i, r in enumerate(rows)]
+    want = sorted(expected(rows))
+    assert run(spark, rows) == want
+    monkeypatch.setattr(pivots, "SLICE", 7)
+    assert run(spark, rows) == want
+
+
+def test_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, None), (2, []), (3, [0.0, 0.0]), (4, [nan, 1.0]), (5, [inf, 1.0]), (6, [None, 1.0]), (7, [1.0, 0.0]), (8, [2.0, 0.0]), (9, [1.0, 0.0, 0.0]), (10, [1e-30, 0.0]), (11, [3e38, 0.0])]
+    assert run(spark, rows) == sorted(expected(rows))
+
+
+def test_repeated_and_null_keys_and_extra_columns(spark):
+    df = spark.createDataFrame([(5, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (6, [0.0, 1.0], 1), (5, [0.0, 1.0], 1), (None, [1.0, 0.0], 1)], VECTOR)
+    out = sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in pivots.near_duplicates(df.selectExpr("*", "1 as node", "2 as pivot")).collect())
+    assert out == [(0, 0, 0, False), (5, 1, 5, True), (5, 1, 5, True), (5, 1, 5, True), (6, 1, 5, False)]
+
+
+@pytest.mark.parametrize("rows", [[], [(1, [1.0])], [(1, None)]])
+def test_few_rows(spark, rows):
+    assert run(spark, rows) == sorted(expected(rows))
