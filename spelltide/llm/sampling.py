@@ -16,15 +16,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spelltide.llm.words import mix, pieces
+from spelltide.llm.words import mix, pieces, span_hashes
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Exponent of a segmentation's weight: 1 keeps to the likeliest ones, 0 draws evenly.
 SMOOTHING = 0.2
-PIECE_BYTES = 4 << 20
-#: No Gumbel variate made of a 53-bit uniform number is larger.
-MOST_GUMBEL = 36.8
+PIECE_BYTES = 2 << 20
+#: No Gumbel variate made of a 32-bit uniform number is larger.
+MOST_GUMBEL = 22.9
 #: Weight of a character that the model only has as bytes.
 BYTE_WEIGHT = -16.0
 #: Units of more characters are summed in logarithms.
@@ -131,7 +131,7 @@ def _uniform(*parts: np.ndarray) -> np.ndarray:
     x = np.full(1, 0x243F6A8885A308D3, np.uint64)
     for part in parts:
         x = mix(x ^ (np.atleast_1d(part).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x9E3779B97F4A7C15)))
-    return ((x >> np.uint64(11)).astype(float) + 0.5) * 2.0**-53
+    return ((x >> np.uint64(32)).astype(float) + 0.5) * 2.0**-32
 
 
 def _gumbel(*parts: np.ndarray) -> np.ndarray:
@@ -209,10 +209,8 @@ def build_lattice(vocabulary: Vocabulary, texts: list[str]) -> Lattice:
     length = np.diff(np.append(start, len(points)))
     row = rows[start]
 
-    powers = np.cumprod(np.full(max(len(points), 1), 0x9E3779B97F4A7C15, np.uint64))
-    inverse = np.cumprod(np.full(max(len(points), 1), pow(0x9E3779B97F4A7C15, -1, 1 << 64), np.uint64))
-    total = np.concatenate([[np.uint64(0)], np.cumsum(mix(points.astype(np.uint64) + np.uint64(1)) * powers[: len(points)])])
-    key = mix((total[start + length] - total[start]) * inverse[start] if len(start) else np.zeros(0, np.uint64))
+    # One odd number per code point, so that units can be hashed like the spans of bytes.
+    key = span_hashes(mix(points.astype(np.uint64)) | np.uint64(1), start, start + length)
     _, chosen, kind = np.unique(key, return_index=True, return_inverse=True)
 
     lengths = length[chosen]
@@ -278,7 +276,7 @@ def search(lattice: Lattice, seeds: np.ndarray, samples: int) -> tuple[list[Samp
     segmentations come out in the order of their scores, each once.
 
     Waiting prefixes matter only while one could be among the next best: a prefix of log probability p
-    scores p + 36.8 at most. Beyond that the rest of a segmentation is an ordinary sample, which is drawn
+    scores p + 22.9 at most. Beyond that the rest of a segmentation is an ordinary sample, which is drawn
     elsewhere for all units at once.
     """
     n, wide = len(seeds), lattice.edge.shape[1]
@@ -460,24 +458,21 @@ def decode_ids(vocabulary: Vocabulary, ids: np.ndarray, offsets: np.ndarray) ->
 
 def encode(
     df: DataFrame, key: str, text: str = "text", samples: int = SAMPLES, seed: int = 17, model_file: str = MODEL_FILE,
-    smoothing: float = SMOOTHING,
+    smoothing: float = SMOOTHING, columns: list[str] | None = None,
 ) -> DataFrame:
-    """All columns of `df`, repeated for up to `samples` distinct segmentations of the whole text.
+    """The given columns of `df`, or all, repeated for up to `samples` distinct segmentations of the whole text.
 
     Adds sample (from 0, by falling perturbed score), ids, log_prob of the segmentation, its perturbed
     score, and log_inclusion, the log probability that a segmentation of its log_prob is among the
     samples, given the score of the first one left out. The samples are drawn without replacement with
     probability proportional to the weights of their pieces, and depend on the seed, the row's key and
     the text alone. A text with fewer segmentations has fewer rows, all with inclusion 1. Null and empty
-    texts have one, without ids. Rows with equal keys and texts have equal samples. Nothing is shuffled;
+    texts have one, without ids. Columns with one of the new names are replaced. Rows with equal keys and texts have equal samples. Nothing is shuffled;
     the vocabulary is of fixed size.
     """
-    names = df.columns
-    taken = {"sample", "ids", "log_prob", "perturbed", "log_inclusion"} & set(names)
-    if taken:
-        raise ValueError(f"there are columns {sorted(taken)} already")
+    names = [c for c in (df.columns if columns is None else columns) if c not in {"sample", "ids", "log_prob", "perturbed", "log_inclusion"}]
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(model_file, smoothing))
-    ready = df.select("*", F.col(text).cast("string").alias("_sp_text"), F.xxhash64(F.lit(seed), F.col(key)).alias("_sp_seed"))
+    ready = df.select(*names, F.col(text).cast("string").alias("_sp_text"), F.xxhash64(F.lit(seed), F.col(key)).alias("_sp_seed"))
 
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -497,15 +492,17 @@ def encode(
                     kept = batch.slice(low, high - low).take(pa.array(rows))
                     yield pa.RecordBatch.from_arrays([*kept.columns[: len(names)], *made], [*names, *(c.split()[0] for c in ENCODED.split(", "))])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in ready.schema.fields[: len(names)])
     return ready.mapInArrow(build, f"{kept}, {ENCODED}")
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model_file: str = MODEL_FILE) -> DataFrame:
-    """All columns of `df` and the text of the ids. Null ids give null; bytes that are no UTF-8 become U+FFFD."""
+    """All columns of `df` and the text of the ids. Null ids give null; bytes that are no UTF-8 become U+FFFD.
+
+    A column that is called `out` is replaced.
+    """
+    df = df.drop(out)
     names = df.columns
-    if out in names:
-        raise ValueError(f"there is a column {out} already")
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(model_file))
     place = names.index(ids)
 

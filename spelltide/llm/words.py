@@ -78,14 +78,19 @@ def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return starts, np.flatnonzero(last) + 1, np.searchsorted(offsets, starts, "right") - 1
 
 
-def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span's bytes, the same wherever the span stands."""
-    powers, inverses = _powers(len(data))
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_VALUES[data] * powers[: len(data)], out=total[1:])
+def span_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of odd numbers, the same wherever the span stands."""
+    powers, inverses = _powers(len(values))
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers[: len(values)], out=total[1:])
     return mix((total[ends] - total[starts]) * inverses[starts])
 
 
+def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span's bytes."""
+    return span_hashes(_VALUES[data], starts, ends)
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every word, in order."""
     starts, ends, row = spans(~WHITE[data], offsets)
