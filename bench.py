@@ -49,8 +49,6 @@ def main() -> None:
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
-        # Spells are few bytes each and expand to many months, so small partitions are worth a task.
-        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")

@@ -144,12 +144,13 @@ medical AS (
 
 RESIDENCE = """
 b_residence AS (
-    SELECT 'C' || CAST(c_custkey AS VARCHAR) AS customerid, CAST(1 + c_custkey % 5 AS VARCHAR) AS sourcesystemid,
+    SELECT 'C' || CAST(c_custkey AS VARCHAR) AS customerid,
+           CASE WHEN c_custkey % 7 = 0 THEN '9' ELSE CAST(1 + c_custkey % 5 AS VARCHAR) END AS sourcesystemid,
            CASE v.k WHEN 0 THEN 'PRI' WHEN 1 THEN 'PRI' ELSE 'SEC' END AS countryofresidencetypecode,
            CAST((c_nationkey + v.k) % 25 AS VARCHAR) AS countryofresidencecode,
            CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE DATE '1995-01-01' + CAST((c_custkey * 7 + v.k * 400) % 2400 AS INTEGER) END AS countryofresidencestartdate,
            CASE WHEN (c_custkey + v.k) % 3 = 0 THEN NULL ELSE DATE '1995-01-01' + CAST((c_custkey * 7 + v.k * 400) % 2400 + 365 AS INTEGER) END AS countryofresidenceenddate
-    FROM customer CROSS JOIN (VALUES (0),(1),(2)) v(k) WHERE c_custkey % 7 <> 0
+    FROM customer CROSS JOIN (VALUES (0),(1),(2)) v(k)
 ),
 residence AS (
     SELECT customerid, sourcesystemid, countryofresidencetypecode, countryofresidencecode, countryofresidencestartdate,
@@ -209,7 +210,7 @@ def with_(ctes: list[str], select: str) -> str:
 
 
 def number(column: str, name: str | None = None) -> str:
-    return f"CAST(ROUND({column}, 4) AS DOUBLE) AS {name or column}"
+    return f"CAST({column} AS VARCHAR) AS {name or column}"
 
 
 # report, metric, currency, amount, start, end
@@ -300,8 +301,8 @@ PERIOD_BROKEN = """(incurred_period_type = 'MONTH' AND NOT regexp_matches(incurr
     OR (incurred_period_type = 'YEAR' AND NOT regexp_matches(incurred_period, '^[0-9]{4}$'))
     OR (incurred_period_type = 'QUARTER' AND NOT regexp_matches(incurred_period, '^[0-9]{4}Q[1-4]$'))"""
 LAG_BROKEN = "paid_lag_value < 0 OR paid_lag_value > 99 OR (incurred_period_type = 'MONTH' AND paid_lag_value > 59 AND paid_lag_value <> 99)"
-LAG_DETAILS = "allow_negative=False, max_val=99, month_cap_59_to_99=True"
-PERIOD_DETAILS = "MONTH must be yyyyMM, YEAR yyyy, QUARTER yyyyQ[1-4]"
+LAG_DETAILS = "rows with a paid_lag_value below 0, above 99, or of months above 59 and not 99"
+PERIOD_DETAILS = "rows whose incurred_period is not written as its incurred_period_type asks"
 CRITICAL = [
     "metric_type", "metric_value", "book_of_business", "legal_entity_id", "legal_entity_name", "incurred_period",
     "incurred_period_type", "paid_lag_value", "triangle_report_type", "triangle_report_type_val",
@@ -325,35 +326,35 @@ AMOUNTS = """c.*, c.productcurrencypaymentamount * r.exchangerate_usd AS amount_
 def suite() -> str:
     amounts = ["sum_amount_base_currency", *FX_SUMS]
     checks = [
-        ("critical_fields_not_null", " OR ".join(f"{c} IS NULL" for c in CRITICAL), f"Nulls in {CRITICAL}"),
-        ("triangle_report_type_allowed", f"triangle_report_type NOT IN ({listed(REPORT_TYPES)})", f"triangle_report_type not in {REPORT_TYPES}"),
+        ("critical_fields_not_null", " OR ".join(f"{c} IS NULL" for c in CRITICAL), "rows without a value in one of: " + ", ".join(CRITICAL)),
+        ("triangle_report_type_allowed", f"triangle_report_type NOT IN ({listed(REPORT_TYPES)})", "rows with a triangle_report_type other than: " + ", ".join(REPORT_TYPES)),
         (
             "incurred_period_type_allowed",
             "incurred_period_type NOT IN ('MONTH', 'QUARTER', 'YEAR')",
-            f"incurred_period_type not in {['MONTH', 'QUARTER', 'YEAR']}",
+            "rows with a incurred_period_type other than: MONTH, QUARTER, YEAR",
         ),
         (
             "metric_type_allowed",
             "metric_type NOT IN ('Productcurrency', 'Paymentcurrency')",
-            f"metric_type not in {['Productcurrency', 'Paymentcurrency']}",
+            "rows with a metric_type other than: Productcurrency, Paymentcurrency",
         ),
         (
             "metric_value_currency_code_format",
             "NOT regexp_matches(metric_value, '^[A-Z]{3}$')",
-            "metric_value does not match regex ^[A-Z]{3}$",
+            "rows with a metric_value unlike ^[A-Z]{3}$",
         ),
         ("incurred_period_format_by_type", PERIOD_BROKEN, PERIOD_DETAILS),
         ("paid_lag_sanity", LAG_BROKEN, LAG_DETAILS),
-        ("no_nan_in_amounts", " OR ".join(f"isnan(CAST({c} AS DOUBLE))" for c in amounts), f"NaN present in {amounts}"),
+        ("no_nan_in_amounts", " OR ".join(f"isnan(CAST({c} AS DOUBLE))" for c in amounts), "rows with a NaN in one of: " + ", ".join(amounts)),
         (
             "fx_conversions_present_when_base_present",
             "sum_amount_base_currency IS NOT NULL AND sum_amount_base_currency <> 0 AND " + " AND ".join(f"{c} IS NULL" for c in FX_SUMS),
-            f"Base present but {FX_SUMS} all null",
+            "rows with a sum_amount_base_currency and none of: " + ", ".join(FX_SUMS),
         ),
         (
             "triangle_type_value_matches_partition",
             "triangle_report_type_val <> triangle_report_type",
-            "triangle_report_type_val must equal triangle_report_type",
+            "rows where triangle_report_type_val and triangle_report_type differ",
         ),
     ]
     mirrored = "\nmirrored AS (SELECT *, triangle_report_type AS triangle_report_type_val FROM triangle)"
@@ -363,12 +364,17 @@ def suite() -> str:
 ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority"
 PAIRS = {report: [leg for leg in LEGS if leg[0] == report] for report in REPORT_TYPES}
 
+OPEN_ENDED = """b_open AS (
+    SELECT * REPLACE (CASE WHEN sysbatchdttm % 97 = 0 THEN DATE '9999-12-31' ELSE eligibilitytodate END AS eligibilitytodate) FROM b_eligibility
+),
+"""
+
 SQL = {
     "scan_projected": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')",
     "scan_partition_pruned": f"SELECT {ORDERS} FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'",
     "scan_distinct": "SELECT DISTINCT o_custkey, o_orderpriority FROM orders",
     "scan_union_tables": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'F'
-        UNION SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_totalprice > 100000""",
+        UNION SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F' OR o_totalprice > 100000""",
     "scan_empty_fallback": "SELECT c_custkey, c_name, c_nationkey FROM customer",
     "view_scan_filtered": """SELECT DISTINCT c_nationkey, c_mktsegment FROM customer
         WHERE c_acctbal IS NOT NULL AND c_nationkey >= 5 AND c_acctbal > 0""",
@@ -385,12 +391,14 @@ SQL = {
     "multi_report_sink": """SELECT o_orderstatus AS key, COUNT(*) AS orders, 'number of orders by order stat' AS report FROM orders GROUP BY 1
         UNION ALL SELECT o_orderpriority, COUNT(*), 'orders by priority' FROM orders GROUP BY 1""",
     "conjunctive_filter": f"SELECT {ORDERS} FROM orders WHERE o_orderstatus = 'F' AND o_totalprice >= 1000 AND o_orderpriority <> '5-LOW'",
+    "id_list_filter_long": """SELECT l_returnflag, l_linenumber, l_orderkey FROM lineitem
+        WHERE l_orderkey < 6000 AND l_orderkey >= 0 AND l_orderkey % 4 = 0""",
     "id_list_filter": "SELECT l_orderkey, l_linenumber, l_partkey, l_returnflag FROM lineitem WHERE l_returnflag IN ('A', 'R')",
     "lenient_select": "SELECT p_partkey, p_brand, p_size FROM part",
     "rename_columns": "SELECT s_suppkey AS supplier_id, s_name AS supplier_name, s_nationkey, s_acctbal FROM supplier",
     "translate_names": "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "conform_schema": """SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_quantity AS INTEGER) AS l_quantity,
-        CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, CAST(CAST(l_tax AS DECIMAL(4,2)) AS DOUBLE) AS l_tax,
+        CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, CAST(CAST(l_tax AS DECIMAL(4,2)) AS VARCHAR) AS l_tax,
         TRY_CAST(l_returnflag AS INTEGER) AS l_returnflag, CAST(NULL AS VARCHAR) AS l_comment FROM lineitem""",
     "cast_to_schema": """SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice,
         CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, o_orderpriority FROM orders""",
@@ -509,30 +517,38 @@ SQL = {
     "membership_medical": with_(
         [ELIGIBILITY, MEDICAL], f"SELECT {SPELL_MONTH}, customerid, eligible, {MEASURES}, MED, sourcesystemid FROM medical"
     ),
+    "membership_medical_as_of": with_(
+        [
+            ELIGIBILITY.replace("FROM b_eligibility", "FROM b_open").replace("overridden AS (", OPEN_ENDED + "overridden AS ("),
+            MEDICAL,
+        ],
+        f"""SELECT {SPELL_MONTH}, customerid, eligible, {MEASURES}, MED, sourcesystemid FROM medical
+        WHERE eligible_month_dt_key <= {AS_OF_MONTH}""",
+    ),
     "dq_not_null": with_(
         [ELIGIBILITY],
-        rule("cover_present", "memberid IS NULL OR lineofcovercode IS NULL", "Nulls in ['memberid', 'lineofcovercode']", "b_eligibility"),
+        rule("cover_present", "memberid IS NULL OR lineofcovercode IS NULL", "rows without a value in one of: memberid, lineofcovercode", "b_eligibility"),
     ),
     "dq_in_set": with_(
         [ELIGIBILITY],
-        rule("cover_known", "lineofcovercode NOT IN ('MED', 'DEN')", "lineofcovercode not in ['MED', 'DEN']", "b_eligibility"),
+        rule("cover_known", "lineofcovercode NOT IN ('MED', 'DEN')", "rows with a lineofcovercode other than: MED, DEN", "b_eligibility"),
     ),
     "dq_regex": with_(
         [ELIGIBILITY],
         rule(
             "cover_format",
             "NOT regexp_matches(lineofcovercode, '^[A-Z]{3}$')",
-            "lineofcovercode does not match regex ^[A-Z]{3}$",
+            "rows with a lineofcovercode unlike ^[A-Z]{3}$",
             "b_eligibility",
         ),
     ),
-    "dq_no_nan": rule("rates_are_numbers", "l_tax = 0 OR l_discount = 0", "NaN present in ['tax', 'discount']", "lineitem"),
+    "dq_no_nan": rule("rates_are_numbers", "l_tax = 0 OR l_discount = 0", "rows with a NaN in one of: tax, discount", "lineitem"),
     "dq_column_match": with_(
         [CLAIMS],
         rule(
             "one_currency",
             "paymentcurrencycode <> productcurrencycode",
-            "paymentcurrencycode must equal productcurrencycode",
+            "rows where paymentcurrencycode and productcurrencycode differ",
             "b_claims",
         ),
     ),
@@ -553,12 +569,31 @@ SQL = {
             AS paid_lag_value, 'MONTH' AS incurred_period_type FROM b_claims)""",
         ),
     ),
+    "dq_lag_without_period_type": with_(
+        [CLAIMS],
+        rule(
+            "paid_lag_sanity",
+            "lag < 0 OR lag > 99",
+            LAG_DETAILS,
+            """(SELECT (year(claiminvoicereceiveddate) - year(servicedate)) * 12 + month(claiminvoicereceiveddate) - month(servicedate)
+            AS lag FROM b_claims)""",
+        ),
+    ),
+    "dq_key_uniqueness_any_case": with_(
+        [RATES],
+        rule(
+            "fx_join_keys_unique",
+            "n > 1",
+            "keys that occur again, by BaseCurrencyCode, EXCHANGERATEDATE",
+            "(SELECT COUNT(*) AS n FROM preferred GROUP BY basecurrencycode, exchangeratedate)",
+        ),
+    ),
     "dq_fx_missing": with_(
         [CLAIMS, RATES],
         rule(
             "fx_conversions_present_when_base_present",
             "productcurrencypaymentamount <> 0 AND amount_usd IS NULL AND amount_gbp IS NULL AND amount_euro IS NULL AND amount_chf IS NULL",
-            "Base present but ['amount_usd', 'amount_gbp', 'amount_euro', 'amount_chf'] all null",
+            "rows with a productcurrencypaymentamount and none of: amount_usd, amount_gbp, amount_euro, amount_chf",
             fx_claims(AMOUNTS),
         ),
     ),
@@ -567,27 +602,27 @@ SQL = {
         rule(
             "fx_join_keys_unique",
             "n > 1",
-            "FX duplicates on keys ['basecurrencycode', 'exchangeratedate']",
+            "keys that occur again, by basecurrencycode, exchangeratedate",
             "(SELECT COUNT(*) AS n FROM preferred GROUP BY basecurrencycode, exchangeratedate)",
         ),
     ),
     "dq_row_explosion": with_(
         [CLAIMS, RATES],
         """SELECT 'no_row_explosion_after_fx_join' AS name, a = b AS passed, CAST(a - b AS BIGINT) AS failed_rows,
-        'before=' || CAST(b AS VARCHAR) || ', after=' || CAST(a AS VARCHAR) AS details
+        CAST(b AS VARCHAR) || ' rows became ' || CAST(a AS VARCHAR) AS details
         FROM (SELECT (SELECT COUNT(*) FROM b_claims) AS b, (SELECT COUNT(*) FROM b_claims c LEFT JOIN preferred p
               ON c.productcurrencycode = p.basecurrencycode AND c.servicedate = p.exchangeratedate) AS a)""",
     ),
     "dq_fx_suite": with_(
         [CLAIMS, RATES],
         f"""SELECT 'no_row_explosion_after_fx_join' AS name, a = b AS passed, CAST(a - b AS BIGINT) AS failed_rows,
-        'before=' || CAST(b AS VARCHAR) || ', after=' || CAST(a AS VARCHAR) AS details
+        CAST(b AS VARCHAR) || ' rows became ' || CAST(a AS VARCHAR) AS details
         FROM (SELECT (SELECT COUNT(*) FROM b_claims) AS b, (SELECT COUNT(*) FROM {fx_claims("c.claimlineid")}) AS a)
         UNION ALL """
         + rule(
             "fx_join_keys_unique",
             "n > 1",
-            "FX duplicates on keys ['basecurrencycode', 'exchangeratedate']",
+            "keys that occur again, by basecurrencycode, exchangeratedate",
             "(SELECT COUNT(*) AS n FROM wide GROUP BY basecurrencycode, exchangeratedate)",
         ),
     ),
@@ -595,11 +630,11 @@ SQL = {
     "dq_missing_column": with_(
         [CLAIMS],
         """SELECT 'needs_a_missing_column' AS name, FALSE AS passed, CAST(0 AS BIGINT) AS failed_rows,
-        'Missing columns: [''no_such_column'']' AS details UNION ALL """
+        'no such columns: no_such_column' AS details UNION ALL """
         + rule(
             "currency_known",
             "productcurrencycode NOT IN ('USD', 'EUR', 'GBP', 'CHF')",
-            "productcurrencycode not in ['USD', 'EUR', 'GBP', 'CHF']",
+            "rows with a productcurrencycode other than: USD, EUR, GBP, CHF",
             "b_claims",
         ),
     ),

@@ -30,14 +30,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def portable(df: DataFrame) -> DataFrame:
-    """Dates and times as text and decimals as doubles, so both engines hash the same values."""
+    """Dates, times and decimals as text at full scale, so both engines hash the same values."""
 
     def column(field):
         c = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, (DateType, TimestampType)):
+        if isinstance(field.dataType, (DateType, TimestampType, DecimalType)):
             c = c.cast("string")
-        elif isinstance(field.dataType, DecimalType):
-            c = F.round(c, 4).cast("double")
         return c.alias(field.name)
 
     return df.select(*[column(f) for f in df.schema])
@@ -96,7 +94,7 @@ def scan_distinct(spark, sf):
 def scan_union_tables(spark, sf):
     tables = (
         view(spark, sf, "orders", "open", "o_orderstatus <> 'F'"),
-        view(spark, sf, "orders", "large", "o_totalprice > 100000"),
+        view(spark, sf, "orders", "done", "o_orderstatus = 'F' or o_totalprice > 100000"),
     )
     spec = TB.TableSpec(tables=tables, columns=("o_orderkey", "o_orderstatus", "o_totalprice"), distinct=True)
     return TB.scan_tables(spark, spec)
@@ -215,6 +213,12 @@ def id_list_filter(spark, sf):
     return L.id_list_filter(lines, "l_returnflag", "'A', 'R'")
 
 
+@query
+def id_list_filter_long(spark, sf):
+    lines = B.table(spark, sf, "lineitem").select("l_returnflag", "l_linenumber", "l_orderkey")
+    return L.id_list_filter(lines, "l_orderkey", [str(i) for i in range(0, 6_000, 4)])
+
+
 @query
 def lenient_select(spark, sf):
     return N.lenient_select(B.table(spark, sf, "part"), ["P_PARTKEY", "no_such", "nor_this", "p_brand", "p_size"]).withColumnRenamed(
@@ -325,7 +329,8 @@ def fx_convert(spark, sf):
 
 
 def _one_leg(spark, sf, grains):
-    return T.development_triangle(B.claims(spark, sf), B.exchange_rates(spark, sf), T.LEGS[:1], grains)
+    legs = [leg for leg in T.report_legs("Incurred to Received") if leg.metric == "Productcurrency"]
+    return T.development_triangle(B.claims(spark, sf), B.exchange_rates(spark, sf), legs, grains)
 
 
 @query
@@ -497,6 +502,13 @@ def membership_medical(spark, sf):
     return M.membership_medical(B.eligibility(spark, sf))
 
 
+@query
+def membership_medical_as_of(spark, sf):
+    rows = B.eligibility(spark, sf)
+    open_ended = F.when(F.col("sysbatchdttm") % 97 == 0, F.lit("9999-12-31").cast("date")).otherwise(F.col(V.TO))
+    return M.membership_medical(rows.withColumn(V.TO, open_ended), AS_OF)
+
+
 # --- quality ---
 
 
@@ -554,6 +566,17 @@ def dq_lag_sanity(spark, sf):
     return _rule(claims, Q.lag_sanity())
 
 
+@query
+def dq_lag_without_period_type(spark, sf):
+    lag = P.month_number(F.col("claiminvoicereceiveddate")) - P.month_number(F.col("servicedate"))
+    return _rule(B.claims(spark, sf).select(lag.alias("paid_lag_value")), Q.lag_sanity())
+
+
+@query
+def dq_key_uniqueness_any_case(spark, sf):
+    return Q.key_uniqueness(X.fx_preferred_rate(B.exchange_rates(spark, sf)), ("BaseCurrencyCode", "EXCHANGERATEDATE"))
+
+
 @query
 def dq_fx_missing(spark, sf):
     claims = X.fx_convert(B.claims(spark, sf), B.exchange_rates(spark, sf), "servicedate")

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spelltide.functions.claims import book_of_business
-from spelltide.operators.skew import fits_broadcast, sliced_left_join
 
 # Preferred rate source, and target currency by name of its amount column.
 PREFERRED_SOURCE = "OAB"
@@ -61,20 +60,11 @@ def fx_wide(fx: DataFrame) -> DataFrame:
     return grouped.select(BASE, DAY, *rates, quotes)
 
 
-def join_rates(
-    df: DataFrame, wide: DataFrame, currency_col: str, date_col: str, small: bool, spread_by: list[str] | None = None
-) -> DataFrame:
-    """Left join the rates of a row's currency and day.
-
-    Rates whose size was checked are broadcast. Otherwise the join shuffles, and with `spread_by`
-    the rows of a hot currency-day are spread over slices by those columns.
-    """
-    if not small and spread_by is not None:
-        keyed = wide.withColumnsRenamed({BASE: currency_col, DAY: date_col})
-        return sliced_left_join(df, keyed, [currency_col, date_col], spread_by)
+def join_rates(df: DataFrame, wide: DataFrame, currency_col: str, date_col: str) -> DataFrame:
+    """Left join the rates of a row's currency and day; AQE broadcasts them when they turn out small."""
     keyed = wide.withColumnsRenamed({BASE: "_base", DAY: "_day"})
     on = (F.col(currency_col) == F.col("_base")) & (F.col(date_col) == F.col("_day"))
-    return df.join(F.broadcast(keyed) if small else keyed, on, "left").drop("_base", "_day")
+    return df.join(keyed, on, "left").drop("_base", "_day")
 
 
 def converted(amount: Column) -> dict[str, Column]:
@@ -91,9 +81,8 @@ def fx_convert(
 ) -> DataFrame:
     """Add the amount in four currencies and the book of business; every claim stays one row.
 
-    A claim without any rate for its currency and day gets nulls.
+    A claim without any rate for its currency and day gets nulls. A target that is quoted with a null or
+    zero rate is null too, and 0 where it is not quoted. Nothing runs while the plan is built.
     """
-    wide = fx_wide(fx)
-    spread = ["claimlineid"] if "claimlineid" in claims.columns else claims.columns
-    joined = join_rates(claims, wide, currency_col, date_col, fits_broadcast(wide), spread)
+    joined = join_rates(claims, fx_wide(fx), currency_col, date_col)
     return book_of_business(joined.withColumns(converted(F.col(amount_col))))

@@ -7,7 +7,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, TO
-from spelltide.operators.skew import SLICE_ROWS, sliced_left_join
 
 KEYS = ["customerid", "sourcesystemid"]
 TYPE = "countryofresidencetypecode"
@@ -62,21 +61,23 @@ def overlaps(spell_start: Column, spell_end: Column, start: Column, end: Column)
     return spell_start.between(start, end) | start.between(spell_start, spell_end)
 
 
-def residence_overlap_join(spells: DataFrame, current: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def residence_overlap_join(spells: DataFrame, current: DataFrame) -> DataFrame:
     """Attach the current residence of a spell's customer where the two intervals overlap.
 
-    Every input row stays once. `current` has at most one row per customer, and a customer with very
-    many spells is spread over several tasks. Residence columns replace those of the spells; of any
+    Every input row stays once, as `current` has at most one row per customer. It is a plain left join on
+    the keys, so their types are brought together as Spark does, and size and skew are left to AQE. Residence columns replace those of the spells; of any
     other name that both have, the spell's column stays.
     """
     bare = spells.drop(TYPE, CODE, START, END)
     taken = {c.lower() for c in bare.columns} - set(KEYS)
     current = current.drop(*[c for c in current.columns if c.lower() in taken])
     residual = overlaps(F.col(FROM), F.col(TO), F.col(START), F.col(END))
-    spread = [c for c in ("memberid", FROM, TO, "eligible_month_dt_key") if c in bare.columns]
-    return sliced_left_join(bare, current, KEYS, spread, residual, slice_rows)
+    placed = current.withColumnsRenamed({k: f"_{k}" for k in KEYS})
+    for key in KEYS:
+        residual = residual & (F.col(key) == F.col(f"_{key}"))
+    return bare.join(placed, residual, "left").drop(*[f"_{k}" for k in KEYS])
 
 
-def with_residence(spells: DataFrame, current: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def with_residence(spells: DataFrame, current: DataFrame) -> DataFrame:
     """The overlap join with open intervals written as dates."""
-    return open_interval_defaults(residence_overlap_join(spells, current, slice_rows))
+    return open_interval_defaults(residence_overlap_join(spells, current))

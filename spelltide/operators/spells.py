@@ -12,7 +12,6 @@ from spelltide.functions.periods import as_of_date
 SPELL = ["memberid", FROM, TO]
 CODE = "lineofcovercode"
 LOADED = "sysbatchdttm"
-MAX_CODES = 10_000  # Spark's own default limit on discovered pivot values
 
 
 def as_dates(df: DataFrame) -> DataFrame:
@@ -64,9 +63,10 @@ def month_expand(df: DataFrame, as_of=None, cut_off: bool = True) -> DataFrame:
 def discover_codes(df: DataFrame, as_of=None, cut_off: bool = True) -> list[str]:
     """The cover codes in use, sorted: one narrow job."""
     first, last = month_range(as_of, cut_off)
-    found = covered(df).where(first <= last).select(F.trim(CODE)).distinct().limit(MAX_CODES + 1).collect()
-    if len(found) > MAX_CODES:
-        raise ValueError(f"more than {MAX_CODES} cover codes; pass the codes to report")
+    most = int(df.sparkSession.conf.get("spark.sql.pivotMaxValues"))
+    found = covered(df).where(first <= last).select(F.trim(CODE)).distinct().limit(most + 1).collect()
+    if len(found) > most:
+        raise ValueError(f"more than {most} cover codes; pass the codes to report")
     return sorted(row[0] for row in found)
 
 
@@ -138,13 +138,17 @@ def spell_snapshot(df: DataFrame) -> DataFrame:
 
 
 def spell_snapshot_join(months: DataFrame, snapshot: DataFrame) -> DataFrame:
-    """Attach each spell's snapshot to its months, on member and day."""
+    """Attach each spell's snapshot to its months, on member and day.
+
+    The join is sort-merge by hint: months outgrow the size Spark estimates for them, which must not
+    make them the side that is broadcast.
+    """
     a = as_dates(months)
     b = snapshot.withColumns({f"{c}_source": F.col(f"{c}_source").cast("date") for c in (FROM, TO)})
     on = F.lit(True)
     for c in SPELL:
         on = on & (F.col(c) == F.col(f"{c}_source"))
-    return a.join(b, on, "inner")
+    return a.join(b.hint("merge"), on, "inner")
 
 
 def with_source_key(df: DataFrame) -> DataFrame:

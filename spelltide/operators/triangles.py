@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from spelltide.functions import periods as P
 from spelltide.functions.claims import book_label, fully_insured
 from spelltide.operators.fx import converted, fx_wide, join_rates
-from spelltide.operators.skew import fits_broadcast
 from spelltide.schemas import TRIANGLE
 
 
@@ -88,15 +87,15 @@ def _leg_rows(claims: DataFrame, legs: list[Leg]) -> DataFrame:
 
 
 def _month_sums(claims: DataFrame, fx: DataFrame, legs: list[Leg], fanout: bool) -> DataFrame:
-    """Sums by start month and end month, the finest grain all three periods and lags follow from."""
-    rows, wide = _leg_rows(claims, legs), fx_wide(fx)
-    small = fits_broadcast(wide)
-    if not small:
-        # The join will shuffle, so bring each currency-day down to one row per group first.
-        rows = rows.groupBy(*DIMENSIONS, "start_date", "end_month").agg(
-            F.sum("amount").cast("decimal(23,2)").alias("amount")
-        )
-    joined = join_rates(rows, wide, "metric_value", "start_date", small)
+    """Sums by start month and end month, the finest grain all three periods and lags follow from.
+
+    Claims are added up per currency and day before the rates are joined, at any size: the join then
+    carries cells and not claims, and no currency-day is hot in it. A cell's amount may have 21 digits
+    before the point; more raise an overflow.
+    """
+    rows = _leg_rows(claims, legs).groupBy(*DIMENSIONS, "start_date", "end_month")
+    cells = rows.agg(F.sum("amount").cast("decimal(23,2)").alias("amount"))
+    joined = join_rates(cells, fx_wide(fx), "metric_value", "start_date")
     base = F.col("amount")
     if fanout:
         base = base * F.greatest(F.coalesce("quotes", F.lit(1)), F.lit(1))

@@ -94,15 +94,15 @@ def eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def residences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three residence rows for most customers, some with an open start or end."""
+    """Three residence rows per customer, some with an open start or end, some from a system without spells."""
     versions = F.array(F.lit(0), F.lit(1), F.lit(2))
-    rows = table(spark, sf_dir, "customer").where("c_custkey % 7 <> 0").withColumn("v", F.explode(versions))
+    rows = table(spark, sf_dir, "customer").withColumn("v", F.explode(versions))
     key, v = F.col("c_custkey"), F.col("v")
     offset = ((key * 7 + v * 400) % 2400).cast("int")
     origin = F.lit("1995-01-01").cast("date")
     return rows.select(
         F.concat(F.lit("C"), key.cast("string")).alias("customerid"),
-        (key % 5 + 1).cast("string").alias("sourcesystemid"),
+        F.when(key % 7 == 0, "9").otherwise((key % 5 + 1).cast("string")).alias("sourcesystemid"),
         F.when(v == 2, "SEC").otherwise("PRI").alias("countryofresidencetypecode"),
         ((F.col("c_nationkey") + v) % 25).cast("string").alias("countryofresidencecode"),
         F.when(key % 11 != 0, F.date_add(origin, offset)).alias("countryofresidencestartdate"),

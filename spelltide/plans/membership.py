@@ -10,6 +10,7 @@ from spelltide.operators import residence as R
 from spelltide.operators import spells as S
 from spelltide.operators.conform import lenient_select
 from spelltide.schemas import MEMBERSHIP_LEADING, MEMBERSHIP_TRAILING
+from spelltide.session import apply_settings
 from spelltide.sources.files import write_frame
 from spelltide.sources.tables import TableSpec, scan_table
 
@@ -42,9 +43,15 @@ def membership_with_residence(
     return S.with_source_key(S.flag_covers(S.month_expand(placed, as_of), codes, absent))
 
 
-def order_columns(df: DataFrame, codes: list[str]) -> DataFrame:
-    """The report's column order; columns the input does not have are left out."""
-    return lenient_select(df, MEMBERSHIP_LEADING + codes + MEMBERSHIP_TRAILING)
+def order_columns(df: DataFrame, codes: list[str], strict: bool = False) -> DataFrame:
+    """The report's column order; columns the input does not have are left out, or raise with `strict`."""
+    wanted = MEMBERSHIP_LEADING + codes + MEMBERSHIP_TRAILING
+    if strict:
+        have = {c.lower() for c in df.columns}
+        lacking = [c for c in wanted if c.lower() not in have]
+        if lacking:
+            raise ValueError(f"the report lacks columns: {lacking}")
+    return lenient_select(df, wanted)
 
 
 # More than the days between the first and last date that has a four-digit year.
@@ -104,24 +111,39 @@ def membership_report(
     return order_columns(coverage_measures(S.with_source_key(S.flag_covers(months, codes, absent))), codes)
 
 
-def membership_medical(eligibility: DataFrame) -> DataFrame:
-    """The medical-only report: every spell by month of its whole years, flagged for medical cover."""
+def membership_medical(eligibility: DataFrame, as_of=None) -> DataFrame:
+    """The medical-only report: every spell by month of its whole years, flagged for medical cover.
+
+    With `as_of` no month after it is generated. Without it a spell that is open to 9999 has a row for
+    every month until then.
+    """
     codes = ["MED"]
     rows = S.eligibility_source(eligibility)
     spells = S.spell_covers(rows, codes, carry=_carried(rows))
-    months = S.flag_covers(S.month_expand(spells, cut_off=False), codes)
+    months = S.flag_covers(S.month_expand(spells, as_of, cut_off=as_of is not None), codes)
     return order_columns(coverage_measures(months), codes)
 
 
-def run_medical(spark: SparkSession, table: TableSpec, path: str) -> int:
+def run_medical(spark: SparkSession, table: TableSpec, path: str, as_of=None, shuffled_bytes: int | None = None) -> int:
     """Read the eligibility table, build the medical report and overwrite it at the path."""
-    return write_frame(membership_medical(scan_table(spark, table, force=True)), path, skip_empty=False)
+    apply_settings(spark, shuffled_bytes)
+    return write_frame(membership_medical(scan_table(spark, table, force=True), as_of), path, skip_empty=False)
 
 
 def run_membership(
-    spark: SparkSession, eligibility: TableSpec, residence: TableSpec, path: str, codes: list[str] | None = None, as_of=None
+    spark: SparkSession,
+    eligibility: TableSpec,
+    residence: TableSpec,
+    path: str,
+    codes: list[str] | None = None,
+    as_of=None,
+    shuffled_bytes: int | None = None,
 ) -> int:
-    """Read both tables, build the membership report and overwrite it at the path."""
+    """Read both tables, build the membership report and overwrite it at the path.
+
+    `shuffled_bytes`, the size of the largest shuffle to expect, sets how many partitions shuffles start with.
+    """
+    apply_settings(spark, shuffled_bytes)
     report = membership_report(
         scan_table(spark, eligibility, force=True), scan_table(spark, residence), codes=codes, as_of=as_of
     )

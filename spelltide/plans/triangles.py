@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import SparkSession
 
 from spelltide.operators.conform import conform_schema, mirror_column
 from spelltide.operators.quality import enforce, triangle_suite
 from spelltide.operators.triangles import triangle_report
 from spelltide.schemas import CLAIMS, EXCHANGE_RATE, TRIANGLE
-from spelltide.sources.files import write_frame
+from spelltide.session import apply_settings
+from spelltide.sources.files import drop_path, scratch_path, write_frame
 from spelltide.sources.tables import TableSpec, scan_table
 
 CLAIMS_TABLE = TableSpec(name="claims", schema=CLAIMS)
@@ -25,19 +25,25 @@ def run_triangles(
     strict: bool = False,
     as_written: bool = False,
     csv_path: str | None = None,
+    scratch: str | None = None,
+    shuffled_bytes: int | None = None,
 ) -> list:
     """Build the report, check it and write it; returns the check results.
 
-    The report is kept between check and write, so the claims are read once. With `strict` a failed
-    check stops before anything is written.
+    The report is first written to a scratch folder that all executors share, so the claims are read
+    once and a lost executor costs nothing; what was written is checked and then published. With
+    `strict` a failed check stops before anything is published.
     """
+    apply_settings(spark, shuffled_bytes)
+    scratch = scratch or scratch_path(spark, "triangles")
     report = triangle_report(scan_table(spark, claims, force=True), scan_table(spark, rates, force=True), as_written)
-    report = mirror_column(conform_schema(report, TRIANGLE), "triangle_report_type").persist(StorageLevel.DISK_ONLY)
     try:
-        results = enforce(triangle_suite(report), "DQ", strict)
-        write_frame(report, path, partition_by=partition_by)
+        write_frame(mirror_column(conform_schema(report, TRIANGLE), "triangle_report_type"), scratch, skip_empty=False)
+        kept = spark.read.parquet(scratch)
+        results = enforce(triangle_suite(kept), "DQ", strict)
+        write_frame(kept, path, partition_by=partition_by)
         if csv_path:
-            write_frame(report, csv_path, file_format="csv", partition_by=partition_by)
+            write_frame(kept, csv_path, file_format="csv", partition_by=partition_by)
     finally:
-        report.unpersist()
+        drop_path(spark, scratch)
     return results

@@ -11,6 +11,8 @@ from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Overflowing amounts raise instead of turning null.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.parquet.datetimeRebaseModeInRead": "CORRECTED",
     "spark.sql.parquet.datetimeRebaseModeInWrite": "CORRECTED",
     "spark.sql.parquet.int96RebaseModeInRead": "CORRECTED",
@@ -18,6 +20,8 @@ SETTINGS = {
     "spark.sql.legacy.timeParserPolicy": "CORRECTED",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Spells are few bytes each and expand to many months, so small partitions are worth a task.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
 }
 
 PARTITION_BYTES = 128 << 20

@@ -62,6 +62,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store it is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def write_frame(
     df: DataFrame,
     path: str,
@@ -76,7 +83,8 @@ def write_frame(
 ) -> int:
     """Write a frame and return how many rows went out, counted by the write itself.
 
-    `files` merges output without a shuffle. `cluster` shuffles rows to their partition value
+    `files` deals the output to so many files, by a shuffle so that the work before it keeps its tasks.
+    `cluster` shuffles rows to their partition value
     first, which avoids a small file per task and value; AQE splits a value that is too large. An
     empty frame leaves the target untouched.
     """
@@ -89,7 +97,7 @@ def write_frame(
     if cluster and columns:
         df = df.hint("rebalance", *columns)
     if files:
-        df = df.coalesce(files)
+        df = df.repartition(files)
     counted = Observation()
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(FORMATS.get(file_format, file_format))
     writer = writer.mode(mode).options(**options)

@@ -80,12 +80,16 @@ def scan_table(spark: SparkSession, spec: TableSpec, force: bool = False) -> Dat
 
 
 def scan_tables(spark: SparkSession, spec: TableSpec, force: bool = False) -> DataFrame:
-    """The rows of every table of the list, matched by column name. Missing tables are left out."""
-    frames = [
-        _scan(spark, spec, name, False, force)
-        for name in spec.tables
-        if force or spark.catalog.tableExists(spec.qualified(name))
-    ]
+    """The rows of every table of the list, matched by column name.
+
+    A missing table is left out with a warning; with `force` it raises.
+    """
+    frames = []
+    for name in spec.tables:
+        if force or spark.catalog.tableExists(spec.qualified(name)):
+            frames.append(_scan(spark, spec, name, False, force))
+        else:
+            log.warning("no table %s", spec.qualified(name))
     if not frames:
         return _absent(spark, spec, ", ".join(spec.tables), force)
     df = reduce(DataFrame.unionByName, frames)

@@ -147,6 +147,9 @@ def test_paths(spark):
         ("name in ('a','c'),id=1", [1]),
         ("", [1, 2, 2]),
         ("name='a,b'", []),
+        ("name='b' or id = 1", [1, 2, 2]),
+        ("name='it''s'", []),
+        (["name = 'b' and id is not null"], [2, 2]),
     ],
 )
 def test_conjunctive_filter(spark, people, conditions, ids):
@@ -157,6 +160,27 @@ def test_conjunctive_filter_other_separator(spark, people):
     assert L.conjunctive_filter(spark.table("people"), "id=2;part=y", sep=";").count() == 2
 
 
+def test_doubled_quotes(spark):
+    df = spark.createDataFrame([("O'Brien",), ("NEW YORK",), ("a,b",)], "n string")
+    assert L.conjunctive_filter(df, "n='O''Brien'").count() == 1
+    assert L.parse_id_list("NEW YORK , 'a,b','O''Brien',,") == ["NEW YORK", "a,b", "O'Brien"]
+    assert L.id_list_filter(df, "n", "NEW YORK, 'a,b'").count() == 2
+    with pytest.raises(ValueError):
+        L.parse_id_list("a'b")
+
+
+@pytest.mark.parametrize("ids", [1, 1001])
+def test_columns_stay_in_order(spark, ids):
+    df = spark.range(2_000).selectExpr("id % 7 as a", "id as b")
+    got = L.id_list_filter(df, "b", [str(i) for i in range(ids)])
+    assert got.columns == ["a", "b"] and rows(got) == sorted([(i % 7, i) for i in range(ids)], key=repr)
+
+
+def test_missing_tables_are_named(spark, people, caplog):
+    TB.scan_tables(spark, TB.TableSpec(tables=("people", "no_such_people"), columns=("id",)))
+    assert "no_such_people" in caplog.text
+
+
 def test_id_lists(spark, people, monkeypatch):
     df = spark.table("people")
     assert L.parse_id_list("'1', 2") == ["1", "2"]
