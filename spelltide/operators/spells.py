@@ -70,7 +70,8 @@ def discover_codes(df: DataFrame, as_of=None, cut_off: bool = True) -> list[str]
     return sorted(row[0] for row in found)
 
 
-def _held(codes: list[str]) -> list[str]:
+def held_columns(codes: list[str]) -> list[str]:
+    """Names of the columns that tell which covers a spell holds."""
     if len({c.lower() for c in codes}) < len(codes):
         raise ValueError(f"cover codes differ only in case: {codes}")
     return [f"_held_{i}" for i in range(len(codes))]
@@ -85,7 +86,7 @@ def spell_covers(df: DataFrame, codes: list[str], carry: list[str] | None = None
     """
     code = F.trim(CODE)
     rows = df.where(F.col("memberid").isNotNull() & F.col(FROM).isNotNull() & F.col(TO).isNotNull())
-    measures = [F.max(F.when(code == c, 1)).alias(h) for c, h in zip(codes, _held(codes))]
+    measures = [F.max(F.when(code == c, 1)).alias(h) for c, h in zip(codes, held_columns(codes))]
     if carry is None:
         return covered(rows).groupBy(*SPELL).agg(F.count("*").alias("_rows"), *measures).drop("_rows")
     measures.append(F.min(F.struct(LOADED, *carry)).alias("_first"))
@@ -93,13 +94,13 @@ def spell_covers(df: DataFrame, codes: list[str], carry: list[str] | None = None
         rows.groupBy(*SPELL)
         .agg(F.max(code != "").alias("_covered"), *measures)
         .where("_covered")
-        .select(*SPELL, *_held(codes), "_first.*")
+        .select(*SPELL, *held_columns(codes), "_first.*")
     )
 
 
 def flag_covers(df: DataFrame, codes: list[str], absent: int | None = 0) -> DataFrame:
     """Turn the spell's held-cover columns into month flags named by code, and add `eligible`."""
-    held = _held(codes)
+    held = held_columns(codes)
     taken = {c.lower() for c in df.columns}.intersection(c.lower() for c in codes)
     if taken:
         raise ValueError(f"cover codes have the names of other columns: {sorted(taken)}")

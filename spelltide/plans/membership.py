@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,16 +70,15 @@ def _preference(active: Column) -> Column:
     return (((1 - active) * DAY_SPAN + F.abs(distance)) * 2 + later) * DAY_SPAN + end
 
 
-def best_months(rows: DataFrame, codes: list[str], as_of=None) -> DataFrame:
-    """The spell that counts for each member and month, as bare keys; `rows` have their cover override.
+def best_months(spells: DataFrame, codes: list[str], as_of=None) -> DataFrame:
+    """The spell that counts for each member and month, as bare keys, of spells with their held covers.
 
     Only keys and dates are expanded to months and shuffled, and each task keeps its own best
     candidate per member and month before the shuffle. The preference is a plain number, so both
     steps are hash aggregates and nothing is sorted.
     """
-    counted = F.max(F.trim(S.CODE).isin(codes).cast("int")).alias("_counts")
-    spells = S.covered(rows.where(F.col("memberid").isNotNull())).groupBy(*S.SPELL).agg(counted)
-    active = F.when(F.col("_counts") == 1, touches_month(F.col(MONTH), F.col(FROM), F.col(TO))).otherwise(0)
+    held = F.coalesce(F.lit(None).cast("int"), *[F.col(c) for c in S.held_columns(codes)])
+    active = F.when(held == 1, touches_month(F.col(MONTH), F.col(FROM), F.col(TO))).otherwise(0)
     return (
         S.month_expand(spells, as_of)
         .withColumn("_preference", _preference(active))
@@ -92,19 +94,24 @@ def membership_report(
     """One row per member and month with covers, coverage measures, attributes and residence.
 
     The wide attributes are shuffled once, by spell. Residence and the choice of spell per month are
-    worked out on key columns alone and then joined to the spells, which already lie by spell. The
-    joins are sort-merge by hint: months outgrow the size Spark estimates for them, which must not
-    lead to a broadcast.
+    worked out on key columns alone and then joined to the spells, which already lie by spell. Both start
+    from one narrow aggregate, whose exchange Spark reuses, so the table is read twice: once narrow, once
+    wide. The joins are sort-merge by hint: months outgrow the size Spark estimates for them, which must
+    not lead to a broadcast.
     """
     rows = S.cover_override(S.as_dates(eligibility))
     codes = codes or S.discover_codes(rows, as_of)
     spells = S.spell_covers(rows, codes, carry=_carried(rows))
-    keys = S.spell_covers(rows, codes, carry=R.KEYS).select(*S.SPELL, *R.KEYS)
+    # Both uses of the narrow aggregate must ask for the same, or they could not share its exchange: only
+    # spells with months, and, by a condition that always holds, every column.
+    first, last = S.month_range(as_of)
+    used = [first <= last] + [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) >= 0 for c in (*S.held_columns(codes), *R.KEYS)]
+    keys = S.spell_covers(rows, codes, carry=R.KEYS).where(reduce(and_, used))
     stay = [R.TYPE, R.CODE, R.START, R.END]
-    placed = R.with_residence(keys, R.residence_current(residence)).select(*S.SPELL, *stay)
+    placed = R.with_residence(keys.select(*S.SPELL, *R.KEYS), R.residence_current(residence)).select(*S.SPELL, *stay)
     bare = spells.drop(*stay)
     months = (
-        best_months(rows, codes, as_of)
+        best_months(keys, codes, as_of)
         .join(bare.hint("merge"), S.SPELL)
         .join(placed.hint("merge"), S.SPELL)
     )

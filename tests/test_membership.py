@@ -1,5 +1,9 @@
 """The composed reports against their step-by-step form."""
 
+import re
+from datetime import date
+
+import pytest
 from conftest import plan_of, same
 from pyspark.sql import functions as F
 
@@ -92,3 +96,27 @@ def test_medical_keeps_the_covered_years_whole(spark, sf):
     report = M.membership_medical(B.eligibility(spark, sf))
     per_spell = report.groupBy("memberid", FROM, TO).agg(F.count("*").alias("n")).where(f"n <> 12 * (year({TO}) - year({FROM}) + 1)")
     assert per_spell.isEmpty()
+
+
+def test_report_reads_eligibility_twice(spark, sf, tmp_path):
+    B.eligibility(spark, sf).write.parquet(str(tmp_path / "eligibility"))
+    B.residences(spark, sf).write.parquet(str(tmp_path / "residence"))
+    rows, stays = (spark.read.parquet(str(tmp_path / n)) for n in ("eligibility", "residence"))
+    report = M.membership_report(rows, stays, ["DEN", "MED", "VIS"], "2001-12-31")
+    report.collect()
+    plan = report._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet.*memberid", plan)) == 2
+
+
+def test_order_can_be_strict(spark, sf):
+    months = M.membership_months(B.eligibility(spark, sf), ["DEN"], "2001-12-31")
+    with pytest.raises(ValueError, match="familyunitid"):
+        M.order_columns(months, ["DEN"], strict=True)
+    wide = months.withColumns({c: F.lit(None).cast("string") for c in M.MEMBERSHIP_LEADING + M.MEMBERSHIP_TRAILING if c not in months.columns})
+    assert M.order_columns(wide, ["DEN"], strict=True).columns == M.MEMBERSHIP_LEADING + ["DEN"] + M.MEMBERSHIP_TRAILING
+
+
+def test_medical_months_end_at_the_cut_off(spark):
+    row = ("m", "c", "1", date(2020, 1, 5), date(9999, 12, 31), "Medical", "MED", 1)
+    schema = "memberid string, customerid string, sourcesystemid string, eligibilityfromdate date, eligibilitytodate date, lineofcover string, lineofcovercode string, sysbatchdttm long"
+    assert M.membership_medical(spark.createDataFrame([row], schema), "2021-03-15").count() == 15
