@@ -183,4 +183,27 @@ SQL = {
         JOIN (SELECT node, min(other) AS component_id FROM reach GROUP BY node) r ON r.node = e.vec_id
         LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) n ON n.a = e.vec_id
     """,
+    "op9_stratified_shards": """
+        WITH crc AS MATERIALIZED (
+            SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8),
+                lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS step
+        ), b AS MATERIALIZED (
+            SELECT doc_id, coalesce('s' || source, 'null') AS s, md5('7:' || coalesce(doc_id::VARCHAR, 'null')) AS h,
+                list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::BIGINT) AS bytes
+            FROM documents
+        ), d AS MATERIALIZED (
+            SELECT doc_id, s, h, len(bytes) + 8 AS size,
+                xor(list_reduce(bytes, lambda a, x: xor(a >> 8, step[1 + (xor(a, x) & 255)]), 4294967295::BIGINT), 4294967295)::BIGINT AS text_crc32
+            FROM b, crc
+        ), r AS (
+            SELECT *, (2 * row_number() OVER (PARTITION BY s ORDER BY h, doc_id, size, text_crc32) - 1)::DOUBLE
+                / (2 * count(*) OVER (PARTITION BY s))::DOUBLE AS part
+            FROM d
+        ), g AS (
+            SELECT *, row_number() OVER (ORDER BY part, s, h, doc_id, size, text_crc32) - 1 AS place, count(*) OVER () AS n FROM r
+        )
+        SELECT doc_id, size::BIGINT AS size, text_crc32, 'rows' AS law, (place * 24 // n)::INT AS shard,
+            place - ((place * 24 // n) * n + 23) // 24 AS slot, NULL::INT AS grown_shard
+        FROM g
+    """,
 }
