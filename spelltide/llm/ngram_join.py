@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,11 +16,13 @@ from spelltide.llm.words import mix, pieces, word_hashes
 WORDS = 5
 #: Least Jaccard similarity of two linked documents, in hundredths.
 PERCENT = 75
-GROUPS = 64
+GROUPS = 256
 #: Smallest shingle hashes of a set by which documents meet, and the part of them that two linked sets share.
 BOTTOM, SHARED = 64, 0.3
 #: Documents of a block that are compared by one task; larger blocks are cut into pairs of slices.
-SLICE = 2_048
+SLICE = 1_024
+#: Blocks of up to so many nodes are gone through pair by pair, and so many rows of blocks make a group.
+SMALL_BLOCK, GROUP_ROWS = 64, 4_096
 #: Hash values by which texts are sorted out before they are shuffled.
 SIEVE = 1 << 20
 LEAF, FANOUT = 16, 8
@@ -59,7 +60,7 @@ def _lists(values: np.ndarray, size: np.ndarray) -> pa.Array:
 
 
 def signatures(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Per row: doc_id, n_shingles, two hashes of the whole set, its smallest hashes, and its count vector (64 uint32)."""
+    """Per row: doc_id, n_shingles, two hashes of the whole set, its smallest hashes, and its count vector (256 uint32)."""
 
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -113,7 +114,7 @@ class CountTree:
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
         self.order = np.lexsort((*vectors.T[:4], sizes))
-        self.vectors, self.sizes = vectors[self.order].astype(np.int64), sizes[self.order]
+        self.vectors, self.sizes = vectors[self.order], sizes[self.order]
         self.levels = []
         high, low, top = self.vectors, self.sizes, self.sizes
         width = LEAF
@@ -123,28 +124,32 @@ class CountTree:
             self.levels.append((width, high, low, top))
             width = FANOUT
 
-    def _fits(self, query: np.ndarray, high: np.ndarray, low: np.ndarray, top: np.ndarray) -> np.ndarray:
-        size = self.sizes[query]
+    def _fits(self, query: np.ndarray, node: np.ndarray, high: np.ndarray, low: np.ndarray, top: np.ndarray) -> np.ndarray:
+        size, low, top = self.sizes[query], low[node], top[node]
         fits = (100 * top >= PERCENT * size) & (PERCENT * low <= 100 * size)
         at = np.flatnonzero(fits)
-        for part in np.array_split(at, -(-len(at) // 65_536) or 1):
-            bound = np.minimum(self.vectors[query[part]], high[part]).sum(1)
+        for part in np.array_split(at, -(-len(at) // 4_096) or 1):
+            bound = np.minimum(self.vectors[query[part]], high[node[part]]).sum(1, dtype=np.int64)
             least = np.maximum(low[part], -(-PERCENT * size[part] // 100))
             fits[part] = bound >= least_overlap(size[part], least)
         return fits
 
-    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of all pairs, each once, whose bound allows a link."""
+    def pairs(self, wanted=None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of all pairs, each once, whose bound allows a link and that `wanted` says yes to."""
         n = len(self.sizes)
         out = []
-        for low in range(0, n, 512):
-            query = np.arange(low, min(n, low + 512))
+        below = [*[(level[1:], level[0]) for level in reversed(self.levels)], ((self.vectors, self.sizes, self.sizes), 0)]
+        for low in range(0, n, 256):
+            query = np.arange(low, min(n, low + 256))
             node = np.zeros(len(query), np.int64)
-            below = [*[(level[1:], level[0]) for level in reversed(self.levels)], ((self.vectors, self.sizes, self.sizes), 0)]
             for i, ((high, least, most), width) in enumerate(below):
-                fits = self._fits(query, high[node], least[node], most[node])
-                if i == len(below) - 1:
-                    fits &= query < node
+                if not width:
+                    later = query < node
+                    query, node = query[later], node[later]
+                    if wanted is not None:
+                        fits = wanted(self.order[query], self.order[node])
+                        query, node = query[fits], node[fits]
+                fits = self._fits(query, node, high, least, most)
                 query, node = query[fits], node[fits]
                 if width:
                     length = len(below[i + 1][0][1])
@@ -155,17 +160,77 @@ class CountTree:
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
 
 
-def _block_pairs(block: pd.DataFrame) -> pd.DataFrame:
-    """Pairs of a block that could be linked and are neither of one component nor compared already."""
-    block = block.drop_duplicates(["node", "vector"]).reset_index(drop=True)
-    vectors = np.frombuffer(b"".join(block["vector"]), np.uint32).reshape(len(block), GROUPS)
-    a, b = CountTree(vectors, block["n_shingles"].to_numpy()).pairs()
-    node, part, slice_, pivot = (block[c].to_numpy() for c in ("node", "component", "slice", "pivot"))
-    wanted = (part[a] != part[b]) & (node[a] != pivot[a]) & (node[b] != pivot[b])
-    if len(np.unique(slice_)) > 1:
-        wanted &= slice_[a] != slice_[b]
-    a, b = node[a[wanted]], node[b[wanted]]
-    return pd.DataFrame({"a": np.maximum(a, b), "b": np.minimum(a, b)}).drop_duplicates()
+def _token_rows(lists: pa.ListArray) -> np.ndarray:
+    """The nodes' shared tokens as small numbers, rarest first, each row filled up with -1."""
+    size = lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(size)), size)
+    place = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+    out = np.full((len(size), BOTTOM), -1, np.int32)
+    out[row, place] = np.unique(lists.flatten().to_numpy(zero_copy_only=False), return_inverse=True)[1]
+    return out
+
+
+def _near_rows(block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of the same block, rows being sorted by block, a few steps apart at a time."""
+    rows = np.arange(len(block))
+    for step in range(1, len(block)):
+        rows = rows[: np.searchsorted(rows, len(block) - step)]
+        rows = rows[block[rows] == block[rows + step]]
+        if not len(rows):
+            return
+        yield rows, rows + step
+
+
+def _block_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of the group's blocks that could be linked and are neither of one component nor compared already.
+
+    Small blocks are gone through pair by pair, all at once; a larger one has an R-tree. What passes the
+    bound must also share as many of its smallest hashes as linked sets do. A pair may meet in many blocks
+    and counts in that of the first token that both have: it lies before all others that they share, so
+    neither has left it out.
+    """
+    group = group.sort_by([(c, "ascending") for c in ("token", "i", "j")]).combine_chunks()
+    token, i, j, node, part, slice_, pivot, size, of, slices = (
+        group[c].to_numpy() for c in ("token", "i", "j", "node", "component", "slice", "pivot", "n_shingles", "of", "slices")
+    )
+    vectors = np.frombuffer(b"".join(group["vector"].to_pylist()), np.uint32).reshape(len(node), GROUPS)
+    lists = group["tokens"].chunk(0)
+    tokens, least = _token_rows(lists), np.ceil(of * SHARED).astype(np.int64)
+    flat, ends = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
+    spot = np.flatnonzero(flat == np.repeat(token, np.diff(np.append(0, ends))))
+    own = tokens[np.arange(len(node)), spot - np.append(0, ends[:-1])]
+    changes = (token[1:] != token[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])
+    block = np.append(0, np.cumsum(changes))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def wanted(a, b):
+        fits = (part[a] != part[b]) & (node[a] != pivot[a]) & (node[b] != pivot[b])
+        return fits & ((slices[a] == 1) | (slice_[a] != slice_[b]) | (i[a] == j[a]))
+
+    def keep(a, b, bounded):
+        fits = wanted(a, b) & (100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b]))
+        a, b = a[fits], b[fits]
+        for low in range(0, len(a), 4_096):
+            one, two = a[low : low + 4_096], b[low : low + 4_096]
+            if not bounded:
+                fits = np.minimum(vectors[one], vectors[two]).sum(1, dtype=np.int64) >= least_overlap(size[one], size[two])
+                one, two = one[fits], two[fits]
+            common = (tokens[one][:, :, None] == tokens[two][:, None, :]).any(2) & (tokens[one] >= 0)
+            enough = common.sum(1) >= np.maximum(least[one], least[two])
+            here = enough & (tokens[one, common.argmax(1)] == own[one])
+            found.append((node[one[here]], node[two[here]]))
+
+    small = np.flatnonzero(np.bincount(block)[block] <= SMALL_BLOCK)
+    for a, b in _near_rows(block[small]):
+        keep(small[a], small[b], False)
+    starts = np.append(np.flatnonzero(np.append(True, changes)), len(node))
+    for low, high in zip(starts[:-1].tolist(), starts[1:].tolist()):
+        if high - low > SMALL_BLOCK:
+            tree = CountTree(vectors[low:high], size[low:high])
+            keep(*(low + x for x in tree.pairs(lambda a, b: wanted(low + a, low + b))), True)
+    a, b = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
+    pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
 def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -224,7 +289,7 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     3. In each block, the pairs with its smallest node are tested by the bound on their count vectors and
        verified; that joins most copies without all pairs.
     4. In blocks that still hold several components, an R-tree over the count vectors finds the other
-       pairs across components. Blocks are cut into slices of 2 048 nodes that meet pairwise.
+       pairs across components. Blocks are cut into slices of 1 024 nodes that meet pairwise.
     5. The survivors are verified on their whole sets, and the components built from all links.
     """
     signed = stored(signatures(df, key, text), "shingle-signatures")
@@ -234,13 +299,15 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
         real.groupBy(*same).agg(F.min(F.struct(F.col("doc_id").alias("node"), "bottom", "vector")).alias("_first")).select(*same, "_first.*"),
         "shingle-nodes",
     )
-    postings = nodes.select("node", F.explode("bottom").alias("token"), F.size("bottom").alias("of"))
+    # A document that repeats its id may be a node with several sets, which k1 tells apart.
+    postings = nodes.select("node", "k1", F.explode("bottom").alias("token"), F.size("bottom").alias("of"))
     frequent = postings.groupBy("token").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = stored(frequent, "shingle-tokens")
-    met = postings.join(shared.hint("merge"), "token").groupBy("node", "of").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("list"))
+    met = postings.join(shared.hint("merge"), "token").groupBy("node", "k1", "of").agg(F.sort_array(F.collect_list(F.struct("n", "token"))).alias("list"))
     # A token that occurs once stands before all others, so the list's last ones are the most frequent.
     kept = F.greatest(F.lit(0), F.size("list") - (F.ceil(F.col("of") * SHARED).cast("int") - 1))
-    blocks = stored(met.select("node", F.explode(F.slice("list", F.lit(1), kept)).alias("t")).select("node", "t.token"), "shingle-blocks")
+    lists = stored(met.select("node", "k1", "of", F.col("list.token").alias("tokens"), kept.alias("kept")), "shingle-lists")
+    blocks = lists.select("node", "k1", F.explode(F.slice("tokens", F.lit(1), F.col("kept"))).alias("token"))
     small = stored(blocks.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1"), "shingle-pivots")
     stars = blocks.join(small.select("token", "pivot").hint("merge"), "token").where("node <> pivot")
     stars = stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
@@ -248,7 +315,7 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 
     first = components(links)
     placed = blocks.join(first.hint("merge"), blocks["node"] == first["node"], "left")
-    placed = stored(placed.select("token", blocks["node"], F.coalesce("root", blocks["node"]).alias("component")), "shingle-placed")
+    placed = stored(placed.select("token", blocks["node"], "k1", F.coalesce("root", blocks["node"]).alias("component")), "shingle-placed")
     mixed = placed.groupBy("token").agg(
         F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size"), F.min("component").alias("low"), F.max("component").alias("high")
     )
@@ -258,9 +325,12 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     met = placed.join(mixed.hint("merge"), "token").withColumn("slices", slices).withColumn("slice", own)
     other = F.explode(F.sequence(F.lit(0), F.col("slices") - 1))
     met = met.withColumn("other", other).withColumn("i", F.least("slice", "other")).withColumn("j", F.greatest("slice", "other"))
-    met = met.join(nodes.select("node", "n_shingles", "vector").hint("merge"), "node")
-    found = met.select("token", "i", "j", "node", "component", "slice", "pivot", "n_shingles", "vector")
-    pairs = found.groupBy("token", "i", "j").applyInPandas(_block_pairs, "a long, b long").distinct()
+    met = met.join(nodes.select("node", "k1", "n_shingles", "vector").hint("merge"), ["node", "k1"])
+    met = met.join(lists.select("node", "k1", "of", "tokens").hint("merge"), ["node", "k1"])
+    rows = mixed.agg(F.sum(F.col("size") * slices)).first()[0] or 0
+    dealt = F.pmod(F.xxhash64("token", "i", "j"), F.lit(-(-rows // GROUP_ROWS) or 1)).alias("group")
+    found = met.select(dealt, "token", "i", "j", "node", "component", "slice", "slices", "pivot", "n_shingles", "vector", "of", "tokens")
+    pairs = found.groupBy("group").applyInArrow(_block_pairs, "a long, b long").distinct()
     more = stored(_verified(stored(pairs, "shingle-pairs"), df, key, text), "shingle-links")
 
     member = signed.select("doc_id", *same).join(nodes.select(*same, "node").hint("merge"), same, "left")
@@ -268,6 +338,7 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     member = stored(member, "shingle-members")
     least = stored(member.groupBy("doc_id").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low <> high"), "shingle-repeats")
     repeats = member.join(least.hint("merge"), "doc_id").select(F.col("node").alias("a"), F.col("low").alias("b"))
-    roots = stored(components(links.unionAll(more).unionAll(repeats)), "shingle-roots")
+    known = first.select(F.col("node").alias("a"), F.col("root").alias("b"))
+    roots = components(known.unionAll(more).unionAll(repeats))
     placed = member.join(roots.hint("merge"), "node", "left")
     return placed.select(F.col("doc_id").alias(key), "n_shingles", F.coalesce("root", "node").alias("component_id"))

@@ -83,6 +83,16 @@ def test_short_empty_null_and_repeated(spark, documents):
     assert out[8] == [(1, 8)] and out[9] == [(2, 9)]
 
 
+def test_repeated_ids_with_unlike_texts(spark, documents):
+    """Ids 0 to 9 have several texts each, which meet in the same blocks."""
+    texts = [t for _, t in corpus(5, 90) if len(t.split()) > 30]
+    rows = [(i % 10, t) for i, t in enumerate(texts)]
+    sets = [(i, sets_of(t)) for i, t in rows]
+    links = [(a, b) for a, x in sets for b, y in sets if a < b and 100 * len(x & y) >= 75 * len(x | y)]
+    want = roots(set(range(10)), links)
+    assert found(documents(rows)) == sorted((i, len(s), want[i]) for i, s in sets)
+
+
 def test_empty_table(spark, documents):
     assert found(documents([])) == []
 
