@@ -20,7 +20,7 @@ GROUPS = 256
 #: Smallest shingle hashes of a set by which documents meet, and the part of them that two linked sets share.
 BOTTOM, SHARED = 64, 0.3
 #: Documents of a block that are compared by one task; larger blocks are cut into pairs of slices.
-SLICE = 1_024
+SLICE = 2_048
 #: Blocks of up to so many nodes are gone through pair by pair, and so many rows of blocks make a group.
 SMALL_BLOCK, GROUP_ROWS = 64, 4_096
 #: Hash values by which texts are sorted out before they are shuffled.
@@ -289,7 +289,7 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     3. In each block, the pairs with its smallest node are tested by the bound on their count vectors and
        verified; that joins most copies without all pairs.
     4. In blocks that still hold several components, an R-tree over the count vectors finds the other
-       pairs across components. Blocks are cut into slices of 1 024 nodes that meet pairwise.
+       pairs across components. Blocks are cut into slices of 2 048 nodes that meet pairwise.
     5. The survivors are verified on their whole sets, and the components built from all links.
     """
     signed = stored(signatures(df, key, text), "shingle-signatures")
