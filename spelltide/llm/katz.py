@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from spelltide.llm.scratch import stored
 from spelltide.llm.words import mix, pieces, word_hashes
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 20
 #: Counts above this are hardly discounted.
 K = 5
 #: What a count above K is lowered by, so that every history leaves something to unseen words.
@@ -28,7 +28,7 @@ HIGH_DISCOUNT = 0.05
 #: A history is dealt to one more partition for so many of its tokens.
 HISTORY_SLICE = 1 << 18
 #: Hash ranges of words and of bigrams: at least so many, and one per so many blocks.
-LEAST_RANGES, BLOCKS_PER_WORD_RANGE, BLOCKS_PER_PAIR_RANGE = 64, 4, 2
+LEAST_RANGES, BLOCKS_PER_WORD_RANGE, BLOCKS_PER_PAIR_RANGE = 64, 2, 1
 
 END, START = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -36,13 +36,13 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 def _pack(x: np.ndarray) -> bytes:
     """Numbers as bytes, the low bytes of all first, compressed."""
-    planes = np.ascontiguousarray(x.astype("<u4")).view(np.uint8).reshape(-1, 4).T
+    planes = np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8).T
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
+    return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
 @dataclass(frozen=True)
@@ -101,23 +101,35 @@ class Unigrams:
 def _blocks(df: DataFrame, key: str, text: str, held: str) -> DataFrame:
     """Blocks of whole texts: ids, the sorted hashes of their words, counts in training texts, and all tokens."""
 
+    def block(ids: list, held: list, sizes: list, tokens: list) -> pa.RecordBatch:
+        size, token = np.concatenate(sizes), np.concatenate(tokens)
+        words, number = np.unique(token, return_inverse=True)
+        trains = np.repeat(~np.array(held, bool), size)
+        return pa.RecordBatch.from_pydict({
+            "block": pa.array([uuid.uuid4().int >> 65], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())),
+            "held": pa.array([held], pa.list_(pa.bool_())), "words": pa.array([words.tobytes()], pa.binary()),
+            "counts": pa.array([_pack(np.bincount(number[trains], minlength=len(words)))], pa.binary()),
+            "sizes": pa.array([_pack(size)], pa.binary()), "tokens": pa.array([_pack(number)], pa.binary()),
+        })
+
     def build(batches: Iterator[pa.RecordBatch]):
+        ids, held, sizes, tokens, total = [], [], [], [], 0
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(2), BLOCK_BYTES):
+            for low, high, data, offsets in pieces(batch.column(2)):
                 word, row = word_hashes(data, offsets)
                 rows = high - low
-                size = np.bincount(row, minlength=rows) + 1
                 token = np.full(len(word) + rows, END)
                 token[np.arange(len(word)) + row] = word
-                words, number = np.unique(token, return_inverse=True)
-                held = batch.column(1).slice(low, rows)
-                trains = np.repeat(~held.to_numpy(zero_copy_only=False), size)
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([uuid.uuid4().int >> 65], pa.int64()), "ids": pa.array([batch.column(0).slice(low, rows).to_pylist()], pa.list_(pa.int64())),
-                    "held": pa.array([held.to_pylist()], pa.list_(pa.bool_())), "words": pa.array([words.tobytes()], pa.binary()),
-                    "counts": pa.array([_pack(np.bincount(number[trains], minlength=len(words)))], pa.binary()),
-                    "sizes": pa.array([_pack(size)], pa.binary()), "tokens": pa.array([_pack(number)], pa.binary()),
-                })
+                ids += batch.column(0).slice(low, rows).to_pylist()
+                held += batch.column(1).slice(low, rows).to_pylist()
+                sizes.append(np.bincount(row, minlength=rows) + 1)
+                tokens.append(token)
+                total += len(data)
+                if total >= BLOCK_BYTES:
+                    yield block(ids, held, sizes, tokens)
+                    ids, held, sizes, tokens, total = [], [], [], [], 0
+        if ids:
+            yield block(ids, held, sizes, tokens)
 
     rows = df.select(F.col(key).cast("long").alias("id"), F.coalesce(F.col(held), F.lit(False)).alias("held"), F.col(text).cast("string").alias("text"))
     return rows.mapInArrow(build, "block long, ids array<long>, held array<boolean>, words binary, counts binary, sizes binary, tokens binary")
@@ -145,24 +157,26 @@ def _word_requests(blocks: DataFrame, ranges: int) -> DataFrame:
 
 
 def _merge_words(group: pa.Table) -> pa.Table:
-    """A reply per request, and in a row without block how many words occur once, twice, ..., all tokens and distinct words."""
+    """A reply per request: the words' counts and their places in the range. In a row without block, how many words
+    occur once, twice, ..., all tokens and distinct words."""
     words = [np.frombuffer(w, np.uint64) for w in group["words"].to_pylist()]
     counts = np.concatenate([_unpack(c) for c in group["counts"].to_pylist()])
     known, place = np.unique(np.concatenate(words), return_inverse=True)
     total = np.bincount(place, counts, len(known)).astype(np.int64)
-    replies = np.split(total[place], np.cumsum([len(w) for w in words])[:-1])
+    cut = np.cumsum([len(w) for w in words])[:-1]
     times = [*np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2], total.sum(), (total > 0).sum()]
     return pa.table({
         "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(words) + 1), pa.int32()),
-        "counts": pa.array([*map(_pack, replies), None], pa.binary()),
+        "counts": pa.array([*map(_pack, np.split(total[place], cut)), None], pa.binary()),
+        "places": pa.array([*map(_pack, np.split(place, cut)), None], pa.binary()),
         "times": pa.array([*[None] * len(words), [int(t) for t in times]], pa.list_(pa.int64())),
     })
 
 
-def _gathered(replies: DataFrame, name: str) -> DataFrame:
+def _gathered(replies: DataFrame, name: str, *columns: str) -> DataFrame:
     """The replies to a block in one row, by part."""
     rows = replies.where("block is not null").groupBy("block")
-    return rows.agg(F.sort_array(F.collect_list(F.struct("part", "counts"))).alias(name))
+    return rows.agg(F.sort_array(F.collect_list(F.struct("part", *columns))).alias(name))
 
 
 @dataclass
@@ -170,6 +184,7 @@ class Block:
     """A block's texts with the counts of its words."""
 
     words: np.ndarray  # hashes, that of the start last
+    ids: np.ndarray  # range and place in it, the same in all blocks and shorter than a hash once packed
     counts: np.ndarray  # in training texts; of the start, how many these are
     history: np.ndarray  # by token
     token: np.ndarray
@@ -178,15 +193,16 @@ class Block:
     @classmethod
     def of(cls, words: bytes, sizes: bytes, tokens: bytes, replies: list[dict]) -> Block:
         words = np.append(np.frombuffer(words, np.uint64), START)
+        ids = np.concatenate([_unpack(r["places"]) + (r["part"] << 32) for r in replies])
         counts = np.concatenate([_unpack(r["counts"]) for r in replies])
         counts = np.append(counts, counts[np.searchsorted(words[:-1], END)])
         sizes, token = _unpack(sizes), _unpack(tokens)
         history = np.append(len(words) - 1, token[:-1])
         history[np.cumsum(sizes)[:-1]] = len(words) - 1
-        return cls(words, counts, history, token, sizes)
+        return cls(words, np.append(ids, -1), counts, history, token, sizes)
 
     def pairs(self, ranges: int) -> tuple[np.ndarray, ...]:
-        """History, word and hash of the distinct bigrams by part, which of them each token is, and where the parts begin.
+        """History and word of the distinct bigrams by part, which of them each token is, and where the parts begin.
 
         A history's bigrams are dealt to parts by its hash, those of a frequent one by the word too.
         """
@@ -200,8 +216,7 @@ class Block:
         back = np.empty(len(order), np.int64)
         back[order] = np.arange(len(order))
         history, word = history[order], word[order]
-        key = mix(mix(self.words[history]) + self.words[word] * _ODD)
-        return history, word, key, back[place], np.searchsorted(part[order], np.arange(ranges + 1))
+        return history, word, back[place], np.searchsorted(part[order], np.arange(ranges + 1))
 
 
 def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
@@ -209,24 +224,23 @@ def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
         for batch in batches:
             for number, held, words, sizes, tokens, replies in zip(*(x.to_pylist() for x in batch.columns)):
                 block = Block.of(words, sizes, tokens, replies)
-                history, word, key, place, cut = block.pairs(ranges)
+                history, word, place, cut = block.pairs(ranges)
                 trains = np.repeat(~np.array(held, bool), block.sizes)
-                seen = np.bincount(place[trains], minlength=len(key))
+                seen = np.bincount(place[trains], minlength=len(word))
                 rows = []
                 for i in np.flatnonzero(np.diff(cut)):
                     own = slice(cut[i], cut[i + 1])
                     first = np.flatnonzero(np.append(True, history[own][1:] != history[own][:-1]))
                     heads = history[own][first]
                     rows.append((
-                        int(i), number, block.words[heads].tobytes(), _pack(np.minimum(block.counts[heads], 0xFFFFFFFF)),
-                        _pack(np.diff(np.append(first, cut[i + 1] - cut[i]))), key[own].tobytes(),
-                        _pack(np.minimum(block.counts[word[own]], 0xFFFFFFFF)), _pack(seen[own]),
+                        int(i), number, _pack(block.ids[heads]), _pack(block.counts[heads]), _pack(np.diff(np.append(first, cut[i + 1] - cut[i]))),
+                        _pack(block.ids[word[own]]), _pack(block.counts[word[own]]), _pack(seen[own]),
                     ))
-                names = ("part", "block", "heads", "head_counts", "lengths", "keys", "word_counts", "seen")
+                names = ("part", "block", "heads", "head_counts", "lengths", "words", "word_counts", "seen")
                 kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], list(names))
 
-    schema = "part int, block long, heads binary, head_counts binary, lengths binary, keys binary, word_counts binary, seen binary"
+    schema = "part int, block long, heads binary, head_counts binary, lengths binary, words binary, word_counts binary, seen binary"
     return joined.select("block", "held", "words", "sizes", "tokens", "word_replies").mapInArrow(ask, schema)
 
 
@@ -237,20 +251,21 @@ def _pair_merger(unigrams: Unigrams):
     def merge(group: pa.Table) -> pa.Table:
         """A reply per request with the histories whose backoff weight it needs; in a row without block what
         those histories' continuations add up to, and how many bigrams occur once, twice, ..."""
-        heads = [np.frombuffer(x, np.uint64) for x in group["heads"].to_pylist()]
+        heads = [_unpack(x) for x in group["heads"].to_pylist()]
         lengths = [_unpack(x) for x in group["lengths"].to_pylist()]
         head_counts = [_unpack(x) for x in group["head_counts"].to_pylist()]
-        keys = [np.frombuffer(x, np.uint64) for x in group["keys"].to_pylist()]
+        words = [_unpack(x) for x in group["words"].to_pylist()]
         history = np.concatenate([np.repeat(h, n) for h, n in zip(heads, lengths)])
         of_history = np.concatenate([np.repeat(c, n) for c, n in zip(head_counts, lengths)])
         word = np.concatenate([_unpack(x) for x in group["word_counts"].to_pylist()])
         seen = np.concatenate([_unpack(x) for x in group["seen"].to_pylist()])
-        _, first, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        key = mix(mix(history.view(np.uint64)) + np.concatenate(words).view(np.uint64) * _ODD)
+        _, first, place = np.unique(key, return_index=True, return_inverse=True)
         total = np.bincount(place, seen, len(first)).astype(np.int64)
         count = total[place]
-        cut = np.cumsum([len(k) for k in keys])
+        cut = np.cumsum([len(w) for w in words])
         open_ = (count == 0) & (of_history > 0)
-        need = [np.unique(h[o]).view(np.int64) for h, o in zip(np.split(history, cut[:-1]), np.split(open_, cut[:-1]))]
+        need = [np.unique(h[o]) for h, o in zip(np.split(history, cut[:-1]), np.split(open_, cut[:-1]))]
 
         own, known = np.unique(history, return_inverse=True)
         told = np.zeros(len(own), bool)
@@ -259,15 +274,15 @@ def _pair_merger(unigrams: Unigrams):
         known, count_of, p1 = known[first][there], total[there], unigrams.probability(word[first][there])
         sums = [np.bincount(known, count_of == r, len(own)) for r in range(1, K + 1)]
         sums += [np.bincount(known, np.where(count_of > K, x, 0), len(own)) for x in (count_of, 1)]
-        fields = [pa.array(own[told].view(np.int64)), *(pa.array(s[told].astype(np.int64)) for s in sums), pa.array(np.bincount(known, p1, len(own)).astype(float)[told])]
+        fields = [pa.array(own[told]), *(pa.array(s[told].astype(np.int64)) for s in sums), pa.array(np.bincount(known, p1, len(own)).astype(float)[told])]
         table = pa.StructArray.from_arrays(fields, fields=list(_HISTORY))
-        histories = pa.ListArray.from_arrays(pa.array([0] * (len(keys) + 1) + [len(table)], pa.int32()), table)
+        histories = pa.ListArray.from_arrays(pa.array([0] * (len(words) + 1) + [len(table)], pa.int32()), table)
         times = [int(t) for t in np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]]
         return pa.table({
-            "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(keys) + 1), pa.int32()),
+            "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(words) + 1), pa.int32()),
             "counts": pa.array([*map(_pack, np.split(count, cut[:-1])), None], pa.binary()),
             "need": pa.array([*need, []], pa.list_(pa.int64())), "histories": histories,
-            "times": pa.array([*[None] * len(keys), times], pa.list_(pa.int64())),
+            "times": pa.array([*[None] * len(words), times], pa.list_(pa.int64())),
         })
 
     return merge
@@ -293,13 +308,13 @@ def _scores(joined: DataFrame, ranges: int, unigrams: Unigrams, discount: Discou
         for batch in batches:
             for ids, held, words, sizes, tokens, word_replies, pair_replies, weights in zip(*(x.to_pylist() for x in batch.columns)):
                 block = Block.of(words, sizes, tokens, word_replies)
-                history, word, _, place, _ = block.pairs(ranges)
+                history, word, place, _ = block.pairs(ranges)
                 count = np.concatenate([_unpack(r["counts"]) for r in pair_replies])
                 alpha = np.ones(len(block.words))
                 if weights:
-                    by_hash = np.argsort(block.words)
-                    at = np.searchsorted(block.words[by_hash], np.array([w["h"] for w in weights], np.int64).view(np.uint64))
-                    alpha[by_hash[at]] = [w["alpha"] for w in weights]
+                    by_id = np.argsort(block.ids)
+                    at = np.searchsorted(block.ids[by_id], [w["h"] for w in weights])
+                    alpha[by_id[at]] = [w["alpha"] for w in weights]
                 with np.errstate(divide="ignore"):
                     p = np.where(
                         count > 0, discount(count) / np.maximum(block.counts[history], 1), alpha[history] * unigrams.probability(block.counts[word])
@@ -347,7 +362,7 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     word_ranges = max(LEAST_RANGES, number // BLOCKS_PER_WORD_RANGE)
     pair_ranges = max(LEAST_RANGES, number // BLOCKS_PER_PAIR_RANGE)
 
-    reply = "block long, part int, counts binary, times array<long>"
+    reply = "block long, part int, counts binary, places binary, times array<long>"
     words = stored(_word_requests(blocks, word_ranges).groupBy("part").applyInArrow(_merge_words, reply), "katz-words")
     times = _totals(words, K + 3)
     discount = good_turing(times[: K + 1])
@@ -358,7 +373,7 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     unknown = 1 - (low + high - discount.high * many) / tokens if tokens else 1.0
     unigrams = Unigrams(tokens, distinct, discount, unknown)
 
-    known = blocks.join(_gathered(words, "word_replies").hint("merge"), "block")
+    known = blocks.join(_gathered(words, "word_replies", "counts", "places").hint("merge"), "block")
     fields = ", ".join(f"{f.name}: {'double' if f.name == 'p1' else 'long'}" for f in _HISTORY)
     reply = f"block long, part int, counts binary, need array<long>, histories array<struct<{fields}>>, times array<long>"
     requests = _pair_requests(known, pair_ranges)
@@ -367,7 +382,7 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     weights = stored(backoff_weights(pairs.where("block is null").select(F.inline("histories")), discount), "katz-weights")
     need = pairs.where("block is not null").select("block", F.explode("need").alias("h")).distinct()
     found = need.join(weights.hint("merge"), "h").groupBy("block").agg(F.collect_list(F.struct("h", "alpha")).alias("weights"))
-    ready = known.join(_gathered(pairs, "pair_replies").hint("merge"), "block").join(found.hint("merge"), "block", "left")
+    ready = known.join(_gathered(pairs, "pair_replies", "counts").hint("merge"), "block").join(found.hint("merge"), "block", "left")
     scored = stored(_scores(ready, pair_ranges, unigrams, discount), "katz-scores")
     spark.sql(f"DROP TABLE {name}")
     return scored.select(
