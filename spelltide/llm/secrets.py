@@ -32,8 +32,13 @@ LEAST_RANDOM = 20
 #: Natural log of the odds at which a candidate counts as random: about one to 160 000.
 LOG_ODDS = 12.0
 SMOOTHING = 2.0
-#: Rarer contexts leave the word to shorter ones, so that no text is judged by its own few characters.
-LEAST_SEEN = 32
+#: Rarer contexts leave the word to shorter ones, so that no text is judged by its own few characters: so many
+#: characters, and in texts so large a share of all, which many texts do not reach more easily than few.
+LEAST_SEEN, LEAST_SHARE = 32, 1e-6
+#: Shorter runs are ordinary; longer ones may be random themselves.
+LEAST_DOUBTED = 8
+#: In the first model, so many characters for each of the shorter runs' are dealt evenly to the alphabet, for what these lack.
+EVEN = 0.01
 #: Generated samples of random strings: so many of each alphabet.
 SAMPLES, SAMPLE_LENGTH = 400, 40
 SAMPLE_ALPHABETS = (
@@ -81,14 +86,15 @@ def _random_counts() -> np.ndarray:
     return counts
 
 
-def _smoothed(counts: np.ndarray) -> np.ndarray:
-    """log P(symbol | two symbols), each order blended into the next lower one and used where its context is known well."""
+def _smoothed(counts: np.ndarray, least: float = LEAST_SEEN, highest: int = ORDER) -> np.ndarray:
+    """log P(symbol | two symbols), each order up to the highest blended into the next lower one and used where its
+    context was seen `least` times."""
     lower = np.full((1, SYMBOLS), 1 / SYMBOLS)
     for order in range(ORDER + 1):
         seen = counts.reshape(-1, SYMBOLS**order, SYMBOLS).sum(0)
         base = np.tile(lower, (SYMBOLS if order else 1, 1))
         total = seen.sum(-1, keepdims=True)
-        lower = np.where(total >= LEAST_SEEN, (seen + SMOOTHING * base) / (total + SMOOTHING), base)
+        lower = np.where((total >= least) & (order <= highest), (seen + SMOOTHING * base) / (total + SMOOTHING), base)
     return np.log(lower).ravel()
 
 
@@ -114,35 +120,63 @@ def _labelled(data: np.ndarray, offsets: np.ndarray, texts: list[str]) -> tuple[
     return starts, ends, covered[ends] > covered[starts]
 
 
+def _random(which: np.ndarray, code: np.ndarray, spans: int, model: SecretModel) -> np.ndarray:
+    """Whether the model calls a span random."""
+    return np.bincount(which, model.ratio[code], spans) >= model.log_odds
+
+
+def _model(counts: np.ndarray, log_odds: float, highest: int = ORDER) -> SecretModel:
+    """Both models from the counts of ordinary runs and of random ones that were found; contexts of the ordinary one up to the highest order."""
+    ordinary, random = counts
+    # Found secrets may outnumber the generated ones and be of one alphabet, so they weigh no more than those do.
+    made = _random_counts()
+    random = random * min(1.0, made.sum() / max(random.sum(), 1)) + made
+    return SecretModel(_smoothed(random) - _smoothed(ordinary, max(LEAST_SEEN, LEAST_SHARE * ordinary.sum()), highest), log_odds)
+
+
 def fit(df: DataFrame, text: str = "text", log_odds: float = LOG_ODDS) -> SecretModel:
     """Train both models on all texts, labelled by the fixed patterns.
 
-    Ordinary are the runs of the alphabet that no pattern touches; random are the runs of 20 and more
-    characters that lie in a hit, and a fixed number of strings generated from the usual alphabets of
-    keys. Tasks count by code (68^3 at most), which is all that is shuffled and collected. Null texts
-    are empty; without texts the ordinary model is even.
+    Random are the runs of 20 and more characters that lie in a hit, and a fixed number of strings
+    generated from the usual alphabets of keys. Ordinary are the runs of the alphabet that no pattern
+    touches and that are not random themselves: unlabelled random strings would teach the ordinary model
+    their contexts, the better the more texts there are. So texts are read three times. The first model
+    knows only how frequent each character is in runs of less than eight; the second and third learn from
+    these runs and from those longer ones that the model before does not call random. Random strings of
+    less than eight characters are counted as ordinary. Tasks count by code (68^3 at most), which is all that
+    is shuffled and collected. Null texts are empty; without texts the ordinary model is even.
     """
-
-    def count(batches: Iterator[pa.RecordBatch]):
-        totals = np.zeros((2, SYMBOLS ** (ORDER + 1)), np.int64)
-        for batch in batches:
-            texts = batch.column(0).fill_null("")
-            for low, high, data, offsets in pieces(texts):
-                starts, ends, hit = _labelled(data, offsets, texts.slice(low, high - low).to_pylist())
-                for label, chosen in ((0, ~hit), (1, hit & (ends - starts >= LEAST_RANDOM))):
-                    _, code = _codes(data, starts[chosen], ends[chosen])
-                    totals[label] += np.bincount(code, minlength=totals.shape[1])
-        label, code = np.nonzero(totals)
-        yield pa.RecordBatch.from_pydict({"label": label.astype(np.int32), "code": code.astype(np.int32), "n": totals[label, code]})
-
     texts = df.select(F.col(text).cast("string").alias("_text"))
-    found = texts.mapInArrow(count, "label int, code int, n long").groupBy("label", "code").agg(F.sum("n").alias("n")).toArrow()
-    counts = np.zeros((2, SYMBOLS ** (ORDER + 1)))
-    counts[found["label"].to_numpy(), found["code"].to_numpy()] = found["n"].to_numpy()
-    # Found secrets may outnumber the generated ones and be of one alphabet, so they weigh no more than those do.
-    made = _random_counts()
-    counts[1] *= min(1.0, made.sum() / max(counts[1].sum(), 1))
-    return SecretModel(_smoothed(counts[1] + made) - _smoothed(counts[0]), log_odds)
+
+    def counted(model: SecretModel | None) -> np.ndarray:
+        shared = df.sparkSession.sparkContext.broadcast(model)
+
+        def count(batches: Iterator[pa.RecordBatch]):
+            totals = np.zeros((2, SYMBOLS ** (ORDER + 1)), np.int64)
+            for batch in batches:
+                texts = batch.column(0).fill_null("")
+                for low, high, data, offsets in pieces(texts):
+                    starts, ends, hit = _labelled(data, offsets, texts.slice(low, high - low).to_pylist())
+                    which, code = _codes(data, starts, ends)
+                    ordinary = ~hit & (ends - starts < LEAST_DOUBTED)
+                    if shared.value:
+                        ordinary |= ~hit & ~_random(which, code, len(starts), shared.value)
+                    for label, chosen in ((0, ordinary), (1, hit & (ends - starts >= LEAST_RANDOM))):
+                        totals[label] += np.bincount(code[chosen[which]], minlength=totals.shape[1])
+            label, code = np.nonzero(totals)
+            yield pa.RecordBatch.from_pydict({"label": label.astype(np.int32), "code": code.astype(np.int32), "n": totals[label, code]})
+
+        found = texts.mapInArrow(count, "label int, code int, n long").groupBy("label", "code").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros((2, SYMBOLS ** (ORDER + 1)))
+        counts[found["label"].to_numpy(), found["code"].to_numpy()] = found["n"].to_numpy()
+        return counts
+
+    first = counted(None)
+    first[0] += EVEN * first[0].mean()
+    model = _model(first, log_odds, highest=0)
+    for _ in range(2):
+        model = _model(counted(model), log_odds)
+    return model
 
 
 def scan_texts(data: np.ndarray, offsets: np.ndarray, texts: list[str], model: SecretModel) -> list[list[tuple[int, int, str]]]:
@@ -153,7 +187,7 @@ def scan_texts(data: np.ndarray, offsets: np.ndarray, texts: list[str], model: S
     long = ends - starts >= LEAST_RANDOM
     starts, ends, row = starts[long], ends[long], row[long]
     which, code = _codes(data, starts, ends)
-    random = np.bincount(which, model.ratio[code], len(starts)) >= model.log_odds
+    random = _random(which, code, len(starts), model)
     points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
     for a, b, i in zip(starts[random], ends[random], row[random]):
         first = int(points[a] - points[offsets[i]])

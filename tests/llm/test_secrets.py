@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 from spelltide.llm import secrets
 
@@ -60,3 +61,20 @@ def test_counts_hash_and_redaction(spark, documents):
 
 def test_empty_table(spark, documents):
     assert secrets.scan(documents([]), secrets.fit(documents([]))).count() == 0
+
+
+def test_recall_of_each_alphabet_does_not_fade_with_the_corpus(spark, documents):
+    rng = random.Random(4)
+    upper, digits = string.ascii_uppercase, string.digits
+    alphabets = {"HEX": digits + "ABCDEF", "base32": upper + "234567", "KEY": upper + digits, "key": string.ascii_lowercase + digits, "base62": string.ascii_letters + digits}
+    prose = "It is told that Anna and Peter met in Rome on 12 May 1987. NASA and the UN paid 250 of them; Quebec, Oslo and Zurich did not".split()
+    lines = [" ".join(rng.choice(WORDS + prose) for _ in range(250)) for _ in range(50)]
+    for size in (50, 5_000):  # the same share of random strings, one of 32 and one of 12 characters a text
+        made = [(a := rng.choice(list(alphabets)), "".join(rng.choice(alphabets[a]) for _ in range(32))) for _ in range(size)]
+        short = ["".join(rng.choice(rng.choice(list(alphabets.values()))) for _ in range(12)) for _ in range(size)]
+        df = documents([(i, f"{lines[i % 50]} {short[i]} {made[i][1]}") for i in range(size)])
+        clean = {r.doc_id: r.clean_text for r in secrets.scan(df, secrets.fit(df)).select("doc_id", "clean_text").collect()}
+        for a in alphabets:
+            found = [key not in clean[i] for i, (b, key) in enumerate(made) if a == b]
+            assert sum(found) >= 0.9 * len(found), (size, a, sum(found), len(found))
+        assert all(clean[i].startswith(lines[i % 50]) for i in range(size))
