@@ -8,7 +8,6 @@ operator defines it; an empty table stays empty.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spelltide.llm import decontam, fm, sampling, secrets
@@ -28,18 +27,23 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of linked ones: that with the smallest id.
+    """One row of each group of rows with linked texts: that with the smallest id, rows without an id last.
 
-    Rows without an id stay. Of rows that repeat the id, the one with the smallest text stays.
+    Texts alone link rows, so rows that share an id but not their text stay, and copies without an id go.
+    Null and wordless texts link with nothing; of rows that agree in id and such a text, one stays. Hashes
+    of the text and the other columns settle what is still equal.
     """
     prepared(spark)
-    linked = link_documents(docs.select("doc_id", "text"))
-    kept = stored(linked.where("doc_id = component_id").select("doc_id").distinct(), "pipeline-kept")
-    known = docs.where("doc_id is not null").join(kept.hint("merge"), "doc_id")
-    first = W.partitionBy("doc_id").orderBy("text", *[c for c in docs.columns if c not in ("doc_id", "text")])
     row = unused("_row", docs)
-    once = known.withColumn(row, F.row_number().over(first)).where(F.col(row) == 1).select(*docs.columns)
-    return once.unionByName(docs.where("doc_id is null"))
+    # Stored, so that a row has the same key whenever it is read again.
+    rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
+    linked = link_documents(rows.select(row, "text"), key=row)
+    named = rows.select(row, F.col("doc_id").alias("_id"), F.md5("text").alias("_text"), F.xxhash64(*docs.columns).alias("_rest"))
+    alone = F.col("n_shingles") == 0
+    group = [F.when(~alone, F.col("component_id")).alias("_a"), F.when(alone, F.col("_id")).alias("_b"), F.when(alone, F.col("_text")).alias("_c")]
+    first = F.min(F.struct(F.col("_id").isNull(), "_id", "_text", "_rest", row))[row].alias(row)
+    kept = stored(named.join(linked.hint("merge"), row).groupBy(*group).agg(first).select(row), "pipeline-kept")
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

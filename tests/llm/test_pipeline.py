@@ -77,3 +77,11 @@ def test_odd_rows_pass_all_stages(spark, sf, documents):
     for _, stage in pipeline.STAGES:
         empty = stage(spark, empty, sf)
     assert empty.count() == 0
+
+
+def test_texts_alone_decide_which_rows_are_copies(spark, documents):
+    words = [" ".join(f"{x}{i}" for i in range(40)) for x in "abcd"]
+    rows = [(7, words[0]), (7, words[1]), (7, words[1]), (None, words[2]), (None, words[2]), (9, words[2]), (8, words[2]), (None, words[3]), (None, words[3])]
+    rows += [(1, None), (1, None), (2, ""), (3, "")]
+    out = pipeline.near_duplicates(spark, documents(rows), "").collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in out) == [(0, words[3]), (1, ""), (2, ""), (3, ""), (7, words[0]), (7, words[1]), (8, words[2])]
