@@ -9,6 +9,7 @@ from spelltide.llm import decontam, fm, sampling, secrets, urls
 from spelltide.llm.interleave import stratified_shards
 from spelltide.llm.katz import katz_scores
 from spelltide.llm.ngram_join import link_documents
+from spelltide.llm.packing import pack
 from spelltide.llm.pivots import near_duplicates
 from spelltide.llm.warc import roundtrip
 from spelltide.session import ship_package
@@ -115,6 +116,18 @@ def op10_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, model, RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+#: Name of the packed sequences' tokenizer, and the id that ends a document.
+PACKING, END = "word_bpe_49k.json", 1
+
+
+def op13_concat_cut(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """Every document's tokens in sequences of 2 048: one row per piece."""
+    import public_tokenizers
+
+    pieces = pack(table(spark, sf_dir, "documents"), "doc_id", "text", tokenizer or public_tokenizers.path(PACKING), end=END)
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "padded_to")
+
+
 QUERIES = {
     "op1_warc_zstd": op1_warc_zstd,
     "op2_ngram_jaccard": op2_ngram_jaccard,
@@ -126,6 +139,7 @@ QUERIES = {
     "op8_benchmark_leaks": op8_benchmark_leaks,
     "op9_stratified_shards": op9_stratified_shards,
     "op10_url_ratio": op10_url_ratio,
+    "op13_concat_cut": op13_concat_cut,
 }
 
 SQL = {

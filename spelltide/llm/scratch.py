@@ -15,7 +15,7 @@ def unused(name: str, df: DataFrame) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
+def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
     """Write a frame as Parquet under the shared folder and read it again.
 
     Cuts the lineage: a lost executor costs a re-read, not the work before. The folder is left to
@@ -23,5 +23,5 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark: SparkSession = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
