@@ -1,14 +1,12 @@
 import sys
-from datetime import date
 from pathlib import Path
 
 import pytest
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
-sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+sys.path[:0] = [str(Path(__file__).resolve().parents[1]), str(Path(__file__).resolve().parent)]
 
-SF = "/root/testdata/sf0.001"
+from support import SF  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -32,26 +30,3 @@ def spark(tmp_path_factory):
 @pytest.fixture(scope="session")
 def sf():
     return SF
-
-
-def day(text):
-    return None if text is None else date.fromisoformat(text)
-
-
-def rows(df, *columns):
-    """The rows of a small result as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)
-
-
-def same(a, b):
-    """Whether two frames hold the same rows equally often, each computed once."""
-    sides = a.withColumn("_n", F.lit(1)).unionByName(b.select(*a.columns).withColumn("_n", F.lit(-1)))
-    return sides.groupBy(*a.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").isEmpty()
-
-
-def plan_of(df, capsys):
-    """The formatted physical plan as text."""
-    capsys.readouterr()
-    df.explain("formatted")
-    return capsys.readouterr().out

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import SF, day, rows
+from support import SF, day, rows
 from pyspark.sql import functions as F
 
 from spelltide.functions import claims as C

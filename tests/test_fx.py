@@ -2,7 +2,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from conftest import day, rows, same
+from support import day, rows, same
 
 from spelltide.operators import fx as X
 from spelltide.operators import triangles as T

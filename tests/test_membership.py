@@ -4,7 +4,7 @@ import re
 from datetime import date
 
 import pytest
-from conftest import plan_of, same
+from support import plan_of, same
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, MONTH, TO, coverage_measures

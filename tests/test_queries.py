@@ -2,6 +2,8 @@
 
 import itertools
 import re
+import subprocess
+import sys
 from pathlib import Path
 
 import pytest
@@ -10,7 +12,7 @@ import __spark_entry__ as contract
 from checks.compare import difference, duck
 from checks.oracles import SQL
 from checks.queries import QUERIES
-from conftest import plan_of
+from support import plan_of
 
 
 @pytest.fixture(scope="module")
@@ -51,3 +53,10 @@ def test_entry(spark):
 def test_no_query_limits_its_input():
     text = (Path(__file__).parents[1] / "checks" / "queries.py").read_text()
     assert not re.search(r"\.limit\(|\.sample\(|\.head\(", text)
+
+
+def test_entry_without_optional_libraries():
+    """Without a library of the optional package, the queries of the core are all there."""
+    code = "import sys; sys.modules['zstandard'] = None; import __spark_entry__ as e; print(len(e.queries()), set(e.oracle_sql()) <= set(e.queries()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=Path(__file__).parents[1], capture_output=True, text=True, check=True)
+    assert out.stdout.split() == [str(len(QUERIES)), "True"]

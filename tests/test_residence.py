@@ -1,6 +1,6 @@
 from datetime import datetime
 
-from conftest import day, rows
+from support import day, rows
 
 from spelltide.functions.coverage import FROM, TO
 from spelltide.operators import residence as R

@@ -1,7 +1,7 @@
 from datetime import date
 
 import pytest
-from conftest import day, plan_of, rows, same
+from support import day, plan_of, rows, same
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, MONTH, TO

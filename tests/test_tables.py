@@ -4,7 +4,7 @@ from datetime import date
 from decimal import Decimal as D
 
 import pytest
-from conftest import plan_of, rows
+from support import plan_of, rows
 from pyspark.sql import functions as F
 
 from spelltide.operators import conform as N

@@ -3,7 +3,7 @@ from decimal import Decimal as D
 
 import pytest
 from pyspark.errors import ArithmeticException
-from conftest import day, plan_of, rows, same
+from support import day, plan_of, rows, same
 from pyspark.sql import functions as F
 
 from spelltide.operators import triangles as T
