@@ -10,6 +10,8 @@ from spelltide.llm.interleave import stratified_shards
 from spelltide.llm.katz import katz_scores
 from spelltide.llm.ngram_join import link_documents
 from spelltide.llm.packing import pack
+from spelltide.llm.scratch import stored
+from spelltide.llm.trie import trie, turn_keys
 from spelltide.llm.pivots import near_duplicates
 from spelltide.llm.warc import roundtrip
 from spelltide.session import ship_package
@@ -116,6 +118,28 @@ def op10_url_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(pages, model, RULES).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def rebuilt(keys: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Turns and conversations where conversation c starts with the first crc32(c) % 9 turns of c - c % 5.
+
+    Its own turns follow after as many of them; the largest number of turns taken over is 8, so heads are small.
+    """
+    counts = keys.groupBy("conv").agg(F.count(F.lit(1)).alias("n"))
+    counts = stored(counts.withColumns({"h": F.crc32(F.col("conv").cast("string")) % 9, "base": F.col("conv") - F.col("conv") % 5}), "rebuilt-counts")
+    sizes = counts.select(F.col("conv").alias("base"), F.col("n").alias("of_base"))
+    plan = counts.join(sizes.hint("merge"), "base", "left").withColumn("taken", F.least("h", F.coalesce("of_base", F.lit(0).cast("long"))))
+    plan = stored(plan.select("conv", "base", "h", "taken"), "rebuilt-plan")
+    first = keys.where("conv % 5 = 0 and pos <= 8").withColumnRenamed("conv", "base")
+    heads = plan.where("taken > 0").join(first.hint("merge"), "base").where("pos <= taken").select("conv", *keys.columns[1:])
+    own = keys.join(plan.hint("merge"), "conv").where("pos > h").withColumn("pos", F.col("pos") - F.col("h") + F.col("taken"))
+    return stored(heads.unionAll(own.select(*keys.columns)), "rebuilt-turns"), plan.select("conv")
+
+
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prefix trie of all conversations, each rebuilt with the start of another: one row per node."""
+    keys = stored(turn_keys(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role", "text"), "rebuilt-keys")
+    return trie(*rebuilt(keys)).drop("n_ends")
+
+
 #: Name of the packed sequences' tokenizer, and the id that ends a document.
 PACKING, END = "word_bpe_49k.json", 1
 
@@ -139,6 +163,7 @@ QUERIES = {
     "op8_benchmark_leaks": op8_benchmark_leaks,
     "op9_stratified_shards": op9_stratified_shards,
     "op10_url_ratio": op10_url_ratio,
+    "op11_prefix_trie": op11_prefix_trie,
     "op13_concat_cut": op13_concat_cut,
 }
 
@@ -220,4 +245,38 @@ SQL = {
             place - ((place * 24 // n) * n + 23) // 24 AS slot, NULL::INT AS grown_shard
         FROM g
     """,
+    "op11_prefix_trie": """
+        WITH crc AS MATERIALIZED (
+            SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8),
+                lambda a, i: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END, n)) AS step
+        ), t AS (
+            SELECT conv_id, list({'role': coalesce(role, ''), 'text': coalesce(text, '')} ORDER BY turn NULLS FIRST) AS turns
+            FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), h AS (
+            SELECT conv_id, turns, xor(list_reduce(list_transform(regexp_extract_all(hex(encode(conv_id::VARCHAR)), '..'), lambda x: ('0x' || x)::BIGINT),
+                lambda a, x: xor(a >> 8, step[1 + (xor(a, x) & 255)]), 4294967295::BIGINT), 4294967295)::BIGINT % 9 AS h
+            FROM t, crc
+        ), c AS MATERIALIZED (
+            SELECT h.conv_id, list_concat(coalesce(b.turns[1:h.h], []), h.turns[h.h + 1:]) AS turns
+            FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % 5
+        ), p AS MATERIALIZED (
+            SELECT conv_id, d AS depth, turns[1:d] AS way, len(turns) = d AS last, octet_length(encode(coalesce(turns[d].text, ''))) AS size
+            FROM c, unnest(range(0, len(turns) + 1)) AS r(d)
+        ), n AS MATERIALIZED (
+            SELECT depth, way, min(conv_id) AS rep, count(*) AS n_convs, max(size) AS size,
+                sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE last), '')) AS ends_sha256
+            FROM p GROUP BY depth, way
+        ), q AS MATERIALIZED (SELECT p.conv_id, n.* FROM p JOIN n USING (depth, way)),
+        k AS (
+            SELECT up.rep, up.depth, count(*) AS n_children
+            FROM n JOIN q up ON up.conv_id = n.rep AND up.depth = n.depth - 1 GROUP BY ALL
+        ), s AS (
+            SELECT up.rep, up.depth, sum((k.n_children IS NULL)::INT)::BIGINT AS n_leaves, sum((n.n_convs - 1) * n.size)::BIGINT AS saved_tokens
+            FROM n LEFT JOIN k ON k.rep = n.rep AND k.depth = n.depth JOIN q up ON up.conv_id = n.rep AND up.depth <= n.depth GROUP BY ALL
+        )
+        SELECT n.rep AS conv_id, n.depth, q.rep AS parent_conv_id, n.n_convs, coalesce(k.n_children, 0) AS n_children, s.n_leaves, s.saved_tokens, n.ends_sha256
+        FROM n LEFT JOIN k ON k.rep = n.rep AND k.depth = n.depth
+        JOIN s ON s.rep = n.rep AND s.depth = n.depth
+        LEFT JOIN q ON q.conv_id = n.rep AND q.depth = n.depth - 1
+    """,
 }
