@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spelltide.llm import decontam, fm, sampling, secrets, urls
+from spelltide.llm import covertree, decontam, fm, sampling, secrets, urls
 from spelltide.llm.interleave import stratified_shards
 from spelltide.llm.katz import katz_scores
 from spelltide.llm.ngram_join import link_documents
@@ -140,6 +140,17 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trie(*rebuilt(keys)).drop("n_ends")
 
 
+def op12_cover_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every anchor and each of its positives, the best rows of other labels in a window below the positive."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    # Null where a component is null, not finite or too large for the operator.
+    finite = F.forall("embedding", lambda x: F.coalesce(F.abs(x.cast("double") * 256) < covertree.LARGEST - 1, F.lit(False)))
+    vector = F.when(finite, F.transform("embedding", lambda x: F.floor(x.cast("double") * 256)))
+    rows = rows.select("vec_id", label.alias("label"), vector.alias("vector"))
+    return covertree.hard_negatives(rows, "vec_id", "vector", "label", F.col("vec_id") % 100 == 0)
+
+
 #: Name of the packed sequences' tokenizer, and the id that ends a document.
 PACKING, END = "word_bpe_49k.json", 1
 
@@ -164,6 +175,7 @@ QUERIES = {
     "op9_stratified_shards": op9_stratified_shards,
     "op10_url_ratio": op10_url_ratio,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_cover_tree": op12_cover_tree,
     "op13_concat_cut": op13_concat_cut,
 }
 
@@ -279,4 +291,23 @@ SQL = {
         JOIN s ON s.rep = n.rep AND s.depth = n.depth
         LEFT JOIN q ON q.conv_id = n.rep AND q.depth = n.depth - 1
     """,
+    "op12_cover_tree": """
+        WITH v AS MATERIALIZED (
+            SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS MATERIALIZED (
+            SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS alike, list_inner_product(a.e, b.e)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+        ), p AS (
+            SELECT anchor_id, other AS positive_id, score AS positive_score FROM s WHERE alike
+            QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5
+        )
+        SELECT anchor_id, positive_id, (row_number() OVER best)::INT AS rank, other AS negative_id, positive_score, score AS negative_score
+        FROM p JOIN s USING (anchor_id) WHERE NOT alike AND 80 * positive_score <= 100 * score AND 100 * score <= 100 * positive_score
+        WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other)
+        QUALIFY row_number() OVER best <= 5
+    """,
 }
