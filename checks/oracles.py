@@ -372,6 +372,8 @@ OPEN_ENDED = """b_open AS (
 SQL = {
     "scan_projected": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH')",
     "scan_partition_pruned": f"SELECT {ORDERS} FROM orders WHERE o_orderstatus = 'F' AND o_orderpriority = '2-HIGH'",
+    "scan_catalog_partitions": """SELECT o_orderkey, o_custkey, o_totalprice, o_orderstatus, o_orderpriority FROM orders
+        WHERE o_orderstatus = 'F' AND o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 1000""",
     "scan_distinct": "SELECT DISTINCT o_custkey, o_orderpriority FROM orders",
     "scan_union_tables": """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus <> 'F'
         UNION SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderstatus = 'F' OR o_totalprice > 100000""",
@@ -387,6 +389,8 @@ SQL = {
         FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey GROUP BY n.n_name""",
     "sql_clean_names": "SELECT o_orderstatus AS order_status, COUNT(*) AS order_count FROM orders GROUP BY o_orderstatus",
     "write_roundtrip_partitioned": "SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem",
+    "write_dynamic_overwrite": """SELECT o_orderkey, o_orderpriority, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus <> 'F'
+        UNION ALL SELECT o_orderkey, 'done', o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 1000""",
     "partition_mirror": "SELECT o_orderkey, o_orderstatus, o_orderstatus AS o_orderstatus_val FROM orders",
     "multi_report_sink": """SELECT o_orderstatus AS key, COUNT(*) AS orders, 'number of orders by order stat' AS report FROM orders GROUP BY 1
         UNION ALL SELECT o_orderpriority, COUNT(*), 'orders by priority' FROM orders GROUP BY 1""",
@@ -626,6 +630,20 @@ SQL = {
             "(SELECT COUNT(*) AS n FROM wide GROUP BY basecurrencycode, exchangeratedate)",
         ),
     ),
+    "dq_thresholds": with_(
+        [CLAIMS],
+        """, n AS (SELECT COUNT(*) AS n, COUNT(*) FILTER (WHERE productcurrencycode NOT IN ('USD', 'EUR', 'GBP', 'CHF')) AS money,
+            COUNT(*) FILTER (WHERE servicedate IS NULL OR paymentdate IS NULL) AS days FROM b_claims),
+        r(name, severity, failed, allowed, n, details) AS (
+            SELECT 'currency_known', 'error', money, floor(n * 0.35), n, 'rows with a productcurrencycode other than: USD, EUR, GBP, CHF' FROM n
+            UNION ALL SELECT 'currency_known', 'warning', money, floor(n * 0.05), n, 'rows with a productcurrencycode other than: USD, EUR, GBP, CHF' FROM n
+            UNION ALL SELECT 'currency_known', 'error', money, 10, n, 'rows with a productcurrencycode other than: USD, EUR, GBP, CHF' FROM n
+            UNION ALL SELECT 'dates_present', 'error', days, 0, n, 'rows without a value in one of: servicedate, paymentdate' FROM n
+            UNION ALL SELECT 'needs_a_missing_column', 'error', 0, greatest(n, 1000000), n, 'no such columns: no_such_column' FROM n
+        )
+        SELECT name, severity, failed <= allowed AND name <> 'needs_a_missing_column' AS passed, CAST(failed AS BIGINT) AS failed_rows,
+            CAST(allowed AS BIGINT) AS allowed_rows, CAST(n AS BIGINT) AS total_rows, details FROM r""",
+    ),
     "dq_triangle_suite": suite(),
     "dq_missing_column": with_(
         [CLAIMS],

@@ -84,6 +84,20 @@ def scan_partition_pruned(spark, sf):
     return TB.scan_path(spark, root, "o_orderstatus=F and o_orderpriority=2-HIGH")
 
 
+@query
+def scan_catalog_partitions(spark, sf):
+    """A catalog table with partitions, of which the predicate leaves some; the contract names and types its columns."""
+    orders = B.table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    path = stored(spark, orders, "catalog-orders", partition_by=["o_orderstatus", "o_orderpriority"], cluster=True)
+    TB.register_table(spark, path, "orders_by_status", "spelltide_checks", ["o_orderstatus", "o_orderpriority"])
+    schema = columns("o_orderkey long, o_custkey long, o_totalprice double, o_orderstatus string, o_orderpriority string")
+    spec = TB.TableSpec(
+        name="orders_by_status", database="spelltide_checks", schema=schema, contract="exact",
+        predicate="o_orderstatus = 'F',o_orderpriority in ('1-URGENT','2-HIGH'),o_totalprice > 1000",
+    )
+    return TB.scan_table(spark, spec, force=True)
+
+
 @query
 def scan_distinct(spark, sf):
     spec = TB.TableSpec(name=view(spark, sf, "orders"), columns=("o_custkey", "o_orderpriority"), distinct=True)
@@ -180,6 +194,16 @@ def partition_mirror(spark, sf):
     return spark.read.parquet(stored(spark, orders, "mirror", partition_by=["o_orderstatus"], mirror="o_orderstatus"))
 
 
+@query
+def write_dynamic_overwrite(spark, sf):
+    """Orders by status, then the finished ones again with their priority left out: other partitions stay."""
+    orders = B.table(spark, sf, "orders").select("o_orderkey", "o_orderpriority", "o_totalprice", "o_orderstatus")
+    path = stored(spark, orders, "by-status", partition_by=["o_orderstatus"], cluster=True)
+    again = orders.where("o_orderstatus = 'F' and o_totalprice > 1000").withColumn("o_orderpriority", F.lit("done"))
+    IO.write_frame(again, path, partition_by=["o_orderstatus"], cluster=True, partitionOverwriteMode="dynamic")
+    return spark.read.parquet(path)
+
+
 @query
 def multi_report_sink(spark, sf):
     orders = B.table(spark, sf, "orders")
@@ -463,7 +487,7 @@ def open_interval_defaults(spark, sf):
 @query
 def residence_overlap_join(spark, sf):
     spells = B.eligibility(spark, sf).select(*S.SPELL, "customerid", "sourcesystemid", "sysbatchdttm")
-    return R.residence_overlap_join(spells, R.residence_current(B.residences(spark, sf))).select(
+    return R.residence_overlap_join(spells, R.residence_lookup(B.residences(spark, sf))).select(
         "memberid", "sysbatchdttm", R.TYPE, R.CODE, R.START, R.END
     )
 
@@ -592,14 +616,20 @@ def dq_fx_key_uniqueness(spark, sf):
 @query
 def dq_row_explosion(spark, sf):
     claims, rates = B.claims(spark, sf), X.fx_preferred_rate(B.exchange_rates(spark, sf))
-    on = (claims.productcurrencycode == rates.basecurrencycode) & (claims.servicedate == rates.exchangeratedate)
-    return Q.row_explosion(claims, claims.join(rates, on, "left"))
+    on = (F.col("productcurrencycode") == F.col("basecurrencycode")) & (F.col("servicedate") == F.col("exchangeratedate"))
+    counts = Q.RowCounts()
+    joined = counts.after(counts.before(claims).join(rates, on, "left"))
+    stored(spark, joined.select("claimlineid", "newcurrencycode", "exchangerate"), "joined")
+    return counts.result()
 
 
 @query
 def dq_fx_suite(spark, sf):
     claims, rates = B.claims(spark, sf), B.exchange_rates(spark, sf)
-    return Q.fx_suite(claims, X.fx_convert(claims, rates, "servicedate"), X.fx_wide(rates))
+    counts = Q.RowCounts()
+    converted = counts.after(X.fx_convert(counts.before(claims), rates, "servicedate"))
+    stored(spark, converted.select("claimlineid", "amount_usd"), "converted")
+    return Q.fx_suite(counts, X.fx_wide(rates))
 
 
 @query
@@ -608,6 +638,20 @@ def dq_triangle_suite(spark, sf):
     return Q.triangle_suite(N.mirror_column(report, "triangle_report_type"))
 
 
+@query
+def dq_thresholds(spark, sf):
+    currency = Q.in_set("productcurrencycode", ["USD", "EUR", "GBP", "CHF"], "currency_known")
+    day = Q.not_null(["servicedate", "paymentdate"], "dates_present")
+    checks = [
+        (currency, Q.Threshold(share=0.35)),
+        (currency, Q.Threshold(share=0.05, severity="warning")),
+        (currency, Q.Threshold(rows=10)),
+        (day, Q.Threshold()),
+        (Q.not_null(["no_such_column"], "needs_a_missing_column"), Q.Threshold(rows=1_000_000, share=1.0)),
+    ]
+    return Q.check_thresholds(B.claims(spark, sf), checks)
+
+
 @query
 def dq_missing_column(spark, sf):
     rules = [

@@ -100,6 +100,14 @@ def missing_names(wanted: list[str], have: list[str]) -> list[str]:
     return [name for name in wanted if name not in have]
 
 
+def schema_differences(have: StructType, want: StructType) -> list[tuple[str, str | None, str | None]]:
+    """(column, expected, actual) of every column that is missing, extra or of another type; names in any case."""
+    actual = {f.name.lower(): f.dataType.simpleString() for f in have}
+    expected = {f.name.lower(): f.dataType.simpleString() for f in want}
+    named = {f.name.lower(): f.name for f in (*have, *want)}
+    return [(named[c], expected.get(c), actual.get(c)) for c in sorted({*expected, *actual}) if expected.get(c) != actual.get(c)]
+
+
 def schema_drift(df: DataFrame, schema: StructType) -> DataFrame:
     """One row (column, expected, actual) per column that is missing, extra or of another type."""
     expected = {f.name: f.dataType.simpleString() for f in schema}

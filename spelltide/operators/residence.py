@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, TO
+from spelltide.sources.staging import staged
 
 KEYS = ["customerid", "sourcesystemid"]
 TYPE = "countryofresidencetypecode"
@@ -54,6 +55,13 @@ def residence_current(df: DataFrame) -> DataFrame:
     )
 
 
+def residence_lookup(df: DataFrame) -> DataFrame:
+    """`residence_current`, stored, so that a join with it has two inputs that come straight from an exchange of
+    their own: AQE can then split the rows of a customer that has very many spells. It also knows the size of the table, and
+    broadcasts it only where it is small."""
+    return staged(residence_current(df), "residence")
+
+
 def overlaps(spell_start: Column, spell_end: Column, start: Column, end: Column) -> Column:
     """The spell starts during the residence, or the residence starts during the spell."""
     start = F.coalesce(start, _day(OPEN_START))
@@ -65,8 +73,9 @@ def residence_overlap_join(spells: DataFrame, current: DataFrame) -> DataFrame:
     """Attach the current residence of a spell's customer where the two intervals overlap.
 
     Every input row stays once, as `current` has at most one row per customer. It is a plain left join on
-    the keys, so their types are brought together as Spark does, and size and skew are left to AQE. Residence columns replace those of the spells; of any
-    other name that both have, the spell's column stays.
+    the keys, so their types are brought together as Spark does, and size and skew are left to AQE, which
+    splits a hot customer if `current` is a stored table (`residence_lookup`). Residence columns replace those
+    of the spells; of any other name that both have, the spell's column stays.
     """
     bare = spells.drop(TYPE, CODE, START, END)
     taken = {c.lower() for c in bare.columns} - set(KEYS)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spelltide.functions import periods as P
 from spelltide.functions.claims import book_label, fully_insured
 from spelltide.operators.fx import converted, fx_wide, join_rates
+from spelltide.operators.quality import RowCounts
 from spelltide.schemas import TRIANGLE
 
 
@@ -86,7 +87,7 @@ def _leg_rows(claims: DataFrame, legs: list[Leg]) -> DataFrame:
     )
 
 
-def _month_sums(claims: DataFrame, fx: DataFrame, legs: list[Leg], fanout: bool) -> DataFrame:
+def _month_sums(claims: DataFrame, fx: DataFrame, legs: list[Leg], fanout: bool, counts: RowCounts | None = None) -> DataFrame:
     """Sums by start month and end month, the finest grain all three periods and lags follow from.
 
     Claims are added up per currency and day before the rates are joined, at any size: the join then
@@ -95,7 +96,9 @@ def _month_sums(claims: DataFrame, fx: DataFrame, legs: list[Leg], fanout: bool)
     """
     rows = _leg_rows(claims, legs).groupBy(*DIMENSIONS, "start_date", "end_month")
     cells = rows.agg(F.sum("amount").cast("decimal(23,2)").alias("amount"))
-    joined = join_rates(cells, fx_wide(fx), "metric_value", "start_date")
+    joined = join_rates(counts.before(cells) if counts else cells, fx_wide(fx), "metric_value", "start_date")
+    if counts:
+        joined = counts.after(joined)
     base = F.col("amount")
     if fanout:
         base = base * F.greatest(F.coalesce("quotes", F.lit(1)), F.lit(1))
@@ -111,11 +114,13 @@ def development_triangle(
     legs: list[Leg] | None = None,
     grains: tuple[str, ...] = GRAINS,
     fanout: bool = False,
+    counts: RowCounts | None = None,
 ) -> DataFrame:
     """Amounts by incurred period and development lag, for the given legs and period grains.
 
     Claims are read once. The first aggregate leaves one row per month pair; the period grains are
-    rolled up from that small result, with capped lags falling together.
+    rolled up from that small result, with capped lags falling together. `counts` takes the cells before and
+    after the rates are joined.
     """
     legs = LEGS if legs is None else legs
     start, end = F.col("start_month"), F.col("end_month")
@@ -136,7 +141,7 @@ def development_triangle(
     )
     names = F.array(*[F.struct(F.lit(leg.report).alias("report"), F.lit(leg.metric).alias("metric")) for leg in legs])
     return (
-        _month_sums(claims, fx, legs, fanout)
+        _month_sums(claims, fx, legs, fanout, counts)
         .select(*DIMENSIONS, *SUMS, F.inline(by_grain))
         .groupBy(*DIMENSIONS, "incurred_period_type", "incurred_period", "paid_lag_value")
         .agg(*[F.sum(s).alias(f"sum_amount_{s}") for s in SUMS])
@@ -152,9 +157,9 @@ def report_legs(report: str, legs: list[Leg] = LEGS) -> list[Leg]:
     return [leg for leg in legs if (leg.start, leg.end) == (start, end)]
 
 
-def triangle_report(claims: DataFrame, fx: DataFrame, as_written: bool = False) -> DataFrame:
+def triangle_report(claims: DataFrame, fx: DataFrame, as_written: bool = False, counts: RowCounts | None = None) -> DataFrame:
     """All three triangles, both currency sides, all grains.
 
     `as_written` uses the compatibility legs and counts a claim's base amount once per quoted target.
     """
-    return development_triangle(claims, fx, LEGS_AS_WRITTEN if as_written else LEGS, fanout=as_written)
+    return development_triangle(claims, fx, LEGS_AS_WRITTEN if as_written else LEGS, fanout=as_written, counts=counts)

@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spelltide.errors import PreValidationError
 from spelltide.functions.coverage import FROM, MONTH, TO, coverage_measures, touches_month
 from spelltide.operators import residence as R
 from spelltide.operators import spells as S
 from spelltide.operators.conform import lenient_select
+from spelltide.operators.quality import Check, validate
 from spelltide.schemas import MEMBERSHIP_LEADING, MEMBERSHIP_TRAILING
 from spelltide.session import apply_settings
 from spelltide.sources.files import write_frame
-from spelltide.sources.tables import TableSpec, scan_table
+from spelltide.sources.staging import scratch_scope
+from spelltide.sources.tables import TableSpec, require_rows, scan_table
 
 
 def _carried(df: DataFrame) -> list[str]:
@@ -38,11 +42,14 @@ def membership_months(eligibility: DataFrame, codes: list[str] | None = None, as
 def membership_with_residence(
     eligibility: DataFrame, residence: DataFrame, codes: list[str] | None = None, as_of=None, absent: int | None = 0
 ) -> DataFrame:
-    """Membership months with the country of residence, attached per spell before months are expanded."""
+    """Membership months with the country of residence, attached per spell before months are expanded.
+
+    The current residences are stored first, so building the plan runs a job; `scratch_scope` removes them.
+    """
     rows = S.cover_override(S.as_dates(eligibility))
     codes = codes or S.discover_codes(rows, as_of)
     spells = S.spell_covers(rows, codes, carry=_carried(rows))
-    placed = R.with_residence(spells, R.residence_current(residence))
+    placed = R.with_residence(spells, R.residence_lookup(residence))
     return S.with_source_key(S.flag_covers(S.month_expand(placed, as_of), codes, absent))
 
 
@@ -108,7 +115,7 @@ def membership_report(
     used = [first <= last] + [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) >= 0 for c in (*S.held_columns(codes), *R.KEYS)]
     keys = S.spell_covers(rows, codes, carry=R.KEYS).where(reduce(and_, used))
     stay = [R.TYPE, R.CODE, R.START, R.END]
-    placed = R.with_residence(keys.select(*S.SPELL, *R.KEYS), R.residence_current(residence)).select(*S.SPELL, *stay)
+    placed = R.with_residence(keys.select(*S.SPELL, *R.KEYS), R.residence_lookup(residence)).select(*S.SPELL, *stay)
     bare = spells.drop(*stay)
     months = (
         best_months(keys, codes, as_of)
@@ -131,10 +138,29 @@ def membership_medical(eligibility: DataFrame, as_of=None) -> DataFrame:
     return order_columns(coverage_measures(months), codes)
 
 
-def run_medical(spark: SparkSession, table: TableSpec, path: str, as_of=None, shuffled_bytes: int | None = None) -> int:
-    """Read the eligibility table, build the medical report and overwrite it at the path."""
+def run_medical(
+    spark: SparkSession, table: TableSpec, path: str, as_of=None, shuffled_bytes: int | None = None, pre: Sequence[Check] = (), post: Sequence[Check] = ()
+) -> int:
+    """Read the eligibility table, build the medical report and overwrite it at the path.
+
+    `pre` are checks of the eligibility table, `post` of the report before it is published. An empty table raises
+    TableNotFoundError and leaves the target as it was.
+    """
     apply_settings(spark, shuffled_bytes)
-    return write_frame(membership_medical(scan_table(spark, table, force=True), as_of), path, skip_empty=False)
+    rows = scan_table(spark, table, force=True, probe=False)
+    validate(rows, pre, table.name, PreValidationError)
+    return _published(membership_medical(rows, as_of), path, "medical report", post, eligibility=rows)
+
+
+def _published(report: DataFrame, path: str, label: str, post: Sequence[Check], **inputs: DataFrame) -> int:
+    """Write the report, check what was written and publish it; an empty one is published if its inputs have rows."""
+
+    def check(kept: DataFrame, rows: int) -> None:
+        if not rows:
+            require_rows(**inputs)
+        validate(kept, post, label)
+
+    return write_frame(report, path, skip_empty=False, check=check)
 
 
 def run_membership(
@@ -145,13 +171,17 @@ def run_membership(
     codes: list[str] | None = None,
     as_of=None,
     shuffled_bytes: int | None = None,
+    pre: Sequence[Check] = (),
+    post: Sequence[Check] = (),
 ) -> int:
     """Read both tables, build the membership report and overwrite it at the path.
 
-    `shuffled_bytes`, the size of the largest shuffle to expect, sets how many partitions shuffles start with.
+    `shuffled_bytes`, the size of the largest shuffle to expect, sets how many partitions shuffles start with. `pre` and
+    `post` are as for `run_medical`.
     """
     apply_settings(spark, shuffled_bytes)
-    report = membership_report(
-        scan_table(spark, eligibility, force=True), scan_table(spark, residence), codes=codes, as_of=as_of
-    )
-    return write_frame(report, path, skip_empty=False)
+    rows = scan_table(spark, eligibility, force=True, probe=False)
+    validate(rows, pre, eligibility.name, PreValidationError)
+    with scratch_scope(spark):
+        report = membership_report(rows, scan_table(spark, residence), codes=codes, as_of=as_of)
+        return _published(report, path, "membership report", post, eligibility=rows)

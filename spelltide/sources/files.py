@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import logging
-import tempfile
-import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spelltide.operators.conform import mirror_column
+from spelltide.sources.scratch import drop_path, file_system, hadoop_path, scratch_path
+from spelltide.sources.staging import publish, staging_path
+
+__all__ = ["drop_path", "output_path", "read_files", "scratch_path", "write_frame", "write_reports"]
 
 log = logging.getLogger(__name__)
 
@@ -48,27 +51,6 @@ def output_path(bucket: str, prefix: str, name: str, output_format: str | None =
     return f"{scheme}://" + "/".join(p.strip("/") for p in parts if p) + "/"
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new folder name under the shared folder of the cluster.
-
-    The folder is `spark.checkpoint.dir`. Only a local session without one falls back to a
-    temporary folder of the machine.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        shared = tempfile.mkdtemp(prefix="spelltide-")
-    return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
-
-
-def drop_path(spark: SparkSession, path: str) -> None:
-    """Delete a folder in whatever store it is."""
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
-
-
 def write_frame(
     df: DataFrame,
     path: str,
@@ -79,32 +61,59 @@ def write_frame(
     mirror: str | None = None,
     cluster: bool = False,
     skip_empty: bool = True,
+    check: Callable[[DataFrame, int], None] | None = None,
+    staging: str | None = None,
+    direct: bool = False,
     **options: str,
 ) -> int:
     """Write a frame and return how many rows went out, counted by the write itself.
 
+    The frame is computed once: it is written to a hidden folder beside the target (or to `staging`, in the same
+    store), and published by renames. An empty frame leaves the target as it was (`skip_empty`), and so does a failed write and
+    an error of `check`, which gets the staged rows and their count. A frame may read the path that it
+    overwrites. `partitionOverwriteMode="dynamic"`, as an option or as the session's setting, replaces only the partitions that the frame has.
+
     `files` deals the output to so many files, by a shuffle so that the work before it keeps its tasks.
-    `cluster` shuffles rows to their partition value
-    first, which avoids a small file per task and value; AQE splits a value that is too large. An
-    empty frame leaves the target untouched.
+    `cluster` shuffles rows to their partition value first, which avoids a small file per task and value; AQE
+    splits a value that is too large. `direct` leaves the write to Spark's committers, for stores
+    where a rename is a copy; emptiness is then a job of its own, and there is no check.
     """
+    spark = df.sparkSession
     if mirror:
         df = mirror_column(df, mirror)
-    if skip_empty and df.isEmpty():
+    columns = [c for c in partition_by or [] if c.strip()]
+    kind = FORMATS.get(file_format, file_format)
+    if mode in ("ignore", "error", "errorifexists"):
+        if file_system(spark, path).exists(hadoop_path(spark, path)):
+            df.write.format(kind).mode(mode).save(path)  # raises, or does nothing
+            return 0
+        mode = "overwrite"
+    if direct and skip_empty and df.isEmpty():
         log.info("nothing to write to %s", path)
         return 0
-    columns = [c for c in partition_by or [] if c.strip()]
     if cluster and columns:
         df = df.hint("rebalance", *columns)
     if files:
         df = df.repartition(files)
+    asked = {k.lower(): k for k in options}.get("partitionoverwritemode")
+    way = (options.get(asked) if asked else spark.conf.get("spark.sql.sources.partitionOverwriteMode")).lower()
+    dynamic = mode == "overwrite" and bool(columns) and way == "dynamic"
     counted = Observation()
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(FORMATS.get(file_format, file_format))
-    writer = writer.mode(mode).options(**options)
-    if columns:
-        writer = writer.partitionBy(*columns)
-    writer.save(path)
-    rows = counted.get["rows"]
+    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write.format(kind).partitionBy(*columns)
+    if direct:
+        writer.mode(mode).options(**options).save(path)
+        return counted.get["rows"]
+
+    place = staging or staging_path(path)
+    try:
+        writer.mode("errorifexists").options(**{k: v for k, v in options.items() if k != asked}).save(place)
+        rows = counted.get["rows"]
+        if check:
+            check(spark.read.format(kind).options(**options).schema(df.schema).load(place), rows)
+        if rows or not skip_empty:
+            publish(spark, place, path, mode, dynamic)
+    finally:
+        drop_path(spark, place)
     log.info("wrote %d rows to %s", rows, path)
     return rows
 

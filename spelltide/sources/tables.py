@@ -3,27 +3,31 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
-from spelltide.operators.conform import underscore_names
+from spelltide.errors import ColumnNotFoundError, InvalidTableSchemaError, TableNotFoundError
+from spelltide.operators.conform import schema_differences, underscore_names
 from spelltide.operators.filters import conjunctive_filter, normalise_predicate, split_conditions
 
 log = logging.getLogger(__name__)
 
 
-class TableNotFoundError(Exception):
-    """A required table is missing or has no matching rows."""
-
+#: How much of a table must agree with its schema: columns asked for are there; the contract's columns have
+#: its types; there are no other columns.
+CONTRACTS = ("names", "types", "exact")
 
 @dataclass(frozen=True)
 class TableSpec:
     """What to read: a table or several, its contract, and the rows wanted.
 
-    `predicate` takes comma-separated conditions. `columns` defaults to the schema's fields.
+    `predicate` takes comma-separated conditions. `columns` defaults to the schema's fields. `contract` says what
+    is checked against the schema while the plan is built: that the wanted columns exist ("names"), that the
+    schema's columns have its types too ("types"), or that the table has no others besides ("exact").
     """
 
     name: str = ""
@@ -35,6 +39,11 @@ class TableSpec:
     tables: tuple[str, ...] = ()
     key_columns: tuple[str, ...] = ()
     partition_columns: tuple[str, ...] = field(default=())
+    contract: str = "names"
+
+    def __post_init__(self):
+        if self.contract not in CONTRACTS:
+            raise ValueError(f"no such contract: {self.contract}")
 
     def qualified(self, name: str | None = None) -> str:
         parts = [p for p in (self.database, name or self.name) if p]
@@ -57,26 +66,76 @@ def _absent(spark: SparkSession, spec: TableSpec, name: str, force: bool) -> Dat
     return spark.createDataFrame([], spec.schema or StructType([]))
 
 
-def _scan(spark: SparkSession, spec: TableSpec, name: str, distinct: bool, force: bool) -> DataFrame:
+def register_table(
+    spark: SparkSession, path: str, name: str, database: str | None = None, partition_by: Sequence[str] = (), file_format: str = "parquet"
+) -> str:
+    """Enter the files at a path in the catalog, with the partitions found there; returns the qualified name.
+
+    A scan of the table then lists only the partitions that its predicate names. A table of that name is
+    replaced; its files and those at the path stay as they are.
+    """
+    table = TableSpec(name=name, database=database).qualified()
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    text = spark.read.format(file_format).load(path).schema.toDDL()
+    parts = ", ".join(f"`{c}`" for c in partition_by)
+    place = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({text}) USING {file_format} {f'PARTITIONED BY ({parts})' if parts else ''} LOCATION '{place}'")
+    if parts:
+        spark.catalog.recoverPartitions(table)
+    return table
+
+
+def check_contract(have: StructType, spec: TableSpec, table: str) -> None:
+    """Raise where a table's columns break the spec's contract. Looks at schemas alone, so no job runs.
+
+    Names are compared as Spark does, in any case; of columns that the schema does not tell, only the names count.
+    """
+    names = {f.name.lower() for f in have}
+    # Paths into structs and the star are left to Spark.
+    lacking = [c for c in spec.wanted if c.isidentifier() and c.lower() not in names]
+    if lacking:
+        raise ColumnNotFoundError(table, lacking)
+    if spec.schema is None or spec.contract == "names":
+        return
+    differences = schema_differences(have, spec.schema)
+    if spec.contract == "types":
+        differences = [d for d in differences if d[1] is not None]
+    if differences:
+        raise InvalidTableSchemaError(table, differences)
+
+
+def _scan(spark: SparkSession, spec: TableSpec, name: str, distinct: bool, force: bool, probe: bool = True) -> DataFrame:
     table = spec.qualified(name)
     if not spark.catalog.tableExists(table):
         return _absent(spark, spec, table, force)
     df = spark.table(table)
+    check_contract(df.schema, spec, table)
     if spec.predicate:
         df = df.where(normalise_predicate(spec.predicate))
     df = df.select(*spec.wanted)
-    if force and df.isEmpty():
+    if force and probe and df.isEmpty():
         return _absent(spark, spec, table, force)
     return df.distinct() if distinct else df
 
 
-def scan_table(spark: SparkSession, spec: TableSpec, force: bool = False) -> DataFrame:
+def scan_table(spark: SparkSession, spec: TableSpec, force: bool = False, probe: bool = True) -> DataFrame:
     """The wanted columns and rows of one table.
 
     A missing table gives an empty frame with the contract's columns; with `force`, a missing or
-    empty one raises.
+    empty one raises. Looking for a first row is a job; without `probe` it is left out, and a job that finds its result
+    empty calls `require_rows` for its inputs. A table that breaks its contract raises while the plan is
+    built.
     """
-    return _scan(spark, spec, spec.name, spec.distinct, force)
+    return _scan(spark, spec, spec.name, spec.distinct, force, probe)
+
+
+def require_rows(**frames: DataFrame) -> None:
+    """Raise for the first input without rows; called by jobs whose result came out empty."""
+    for name, df in frames.items():
+        if df.isEmpty():
+            raise TableNotFoundError(f"{name} is missing or empty")
 
 
 def scan_tables(spark: SparkSession, spec: TableSpec, force: bool = False) -> DataFrame:

@@ -84,3 +84,35 @@ def test_columns_both_sides_have(spark):
     got = R.with_residence(df, R.residence_current(stay))
     assert len({c.lower() for c in got.columns}) == len(got.columns)
     assert rows(got, "memberid", "etlchecksum", "cor_checksum") == [("m", "spell", "X")]
+
+
+def test_a_customer_with_a_third_of_the_spells_is_split(spark):
+    """The stored residences and the spells both come straight from an exchange, so AQE splits the hot customer."""
+    days = [f"date_add(date'2020-01-01', cast(id % 900 as int)) AS {FROM}", f"date_add(date'2020-03-01', cast(id % 1100 as int)) AS {TO}"]
+    who = "CASE WHEN id % 3 = 0 THEN 'hot' ELSE concat('C', id % 5000) END"
+    spells = spark.range(60_000).selectExpr("cast(id as string) AS memberid", f"{who} AS customerid", "'1' AS sourcesystemid", *days, "sha2(cast(id as string), 512) AS note")
+    stay = [
+        f"'PRI' AS {R.TYPE}", f"cast(id % 40 as string) AS {R.CODE}", f"date'2020-02-01' AS {R.START}",
+        f"date_add(date'2021-01-01', cast(id % 700 as int)) AS {R.END}",
+    ]
+    homes = spark.range(5_000).selectExpr("CASE WHEN id = 0 THEN 'hot' ELSE concat('C', id) END AS customerid", "'1' AS sourcesystemid", *stay, "'x' AS etlchecksum")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128k",
+    }
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        plain = R.with_residence(spells.repartition(8), R.residence_current(homes))
+        split = R.with_residence(spells.repartition(8), R.residence_lookup(homes))
+        want, have = rows(plain, "memberid", R.CODE, R.START, R.END), rows(split, "memberid", R.CODE, R.START, R.END)
+        plans = []
+        for df in (plain, split):
+            df.collect()
+            plans.append(df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0])
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert want == have
+    assert "skew=true" not in plans[0] and "SortMergeJoin(skew=true)" in plans[1]

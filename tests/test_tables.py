@@ -1,18 +1,21 @@
 """Scans, sinks, filters and conformance."""
 
 from datetime import date
+from pathlib import Path
 from decimal import Decimal as D
 
 import pytest
 from support import plan_of, rows
 from pyspark.sql import functions as F
 
+from spelltide.errors import ColumnNotFoundError, InvalidTableSchemaError
 from spelltide.operators import conform as N
 from spelltide.operators import filters as L
 from spelltide.plans import bridge as B
 from spelltide.schemas import CLAIMS, EXCHANGE_RATE, columns
 from spelltide.session import apply_settings, shuffle_partitions
 from spelltide.sources import files as IO
+from spelltide.sources import staging
 from spelltide.sources import tables as TB
 
 
@@ -252,3 +255,158 @@ def test_settings(spark):
     apply_settings(spark)
     assert shuffle_partitions(100 << 40, 4000) == 50_000
     assert shuffle_partitions(1, 4) == 8
+
+
+# --- contracts, catalog tables, staged writes ---
+
+
+def test_contract_is_checked_while_the_plan_is_built(spark, people):
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    with pytest.raises(ColumnNotFoundError, match="people.*nobody") as lacking:
+        TB.scan_table(spark, TB.TableSpec(name="people", columns=("id", "NAME", "nobody")))
+    assert lacking.value.columns == ("nobody",)
+    retyped = columns("id long, name string")
+    assert TB.scan_table(spark, TB.TableSpec(name="people", schema=retyped)).columns == ["id", "name"]
+    with pytest.raises(InvalidTableSchemaError) as broken:
+        TB.scan_table(spark, TB.TableSpec(name="people", schema=retyped, contract="types"))
+    assert broken.value.differences == (("id", "bigint", "int"),)
+    TB.scan_table(spark, TB.TableSpec(name="people", schema=columns("ID integer, name string"), contract="types"))
+    with pytest.raises(InvalidTableSchemaError, match="part: not in the contract, found string"):
+        TB.scan_table(spark, TB.TableSpec(name="people", schema=people, contract="exact"))
+    with pytest.raises(ColumnNotFoundError):
+        TB.scan_table(spark, TB.TableSpec(name="people", schema=columns("id integer, gone string"), contract="exact"))
+    with pytest.raises(ValueError):
+        TB.TableSpec(name="people", contract="loose")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs
+
+
+def test_scan_without_a_probe(spark, people):
+    empty = TB.TableSpec(name="people", schema=people, predicate="id > 9")
+    df = TB.scan_table(spark, empty, force=True, probe=False)
+    with pytest.raises(TB.TableNotFoundError, match="people"):
+        TB.require_rows(people=df)
+    TB.require_rows(people=TB.scan_table(spark, TB.TableSpec(name="people"), force=True, probe=False))
+    with pytest.raises(TB.TableNotFoundError):
+        TB.scan_table(spark, TB.TableSpec(name="nobody"), force=True, probe=False)
+
+
+def test_registered_table_prunes_partitions(spark, tmp_path, capsys):
+    path = str(tmp_path / "it's")
+    df = spark.range(60).selectExpr("id", "id % 3 AS a", "concat('x', id % 2) AS b")
+    IO.write_frame(df, path, partition_by=["a", "b"])
+    assert TB.register_table(spark, path, "registered", "spelltide_tests", ["a", "b"]) == "`spelltide_tests`.`registered`"
+    assert N.table_types(spark, "spelltide_tests.registered") == {"id": "bigint", "a": "int", "b": "string"}
+    spec = TB.TableSpec(name="registered", database="spelltide_tests", predicate="a = 1,b = 'x1',id > 10", columns=("id",))
+    scan = TB.scan_table(spark, spec, force=True)
+    assert rows(scan) == [(i,) for i in range(60) if i % 3 == 1 and i % 2 and i > 10]
+    plan = plan_of(scan, capsys)
+    assert "(a#" in plan.split("PartitionFilters:")[1].split("\n")[0] and "(b#" in plan.split("PartitionFilters:")[1].split("\n")[0]
+    assert "ReadSchema: struct<id:bigint>" in plan
+    assert all("/a=1/b=x1/" in f for f in scan.inputFiles())
+    IO.write_frame(spark.range(2), str(tmp_path / "plain"))
+    TB.register_table(spark, str(tmp_path / "plain"), "registered", "spelltide_tests")
+    assert spark.table("spelltide_tests.registered").count() == 2 and spark.read.parquet(path).count() == 60
+
+
+def jobs_of(spark, run):
+    """How many jobs a call starts."""
+    context, group = spark.sparkContext, f"g{id(run)}"
+    context.setJobGroup(group, group)
+    try:
+        run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    return len(context.statusTracker().getJobIdsForGroup(group))
+
+
+def leftovers(folder):
+    return [p.name for p in folder.iterdir() if p.name.startswith("_staging")]
+
+
+def test_write_is_one_job_and_keeps_the_target(spark, tmp_path):
+    path = str(tmp_path / "out")
+    df = spark.range(20).selectExpr("id", "id % 2 AS p")
+    assert jobs_of(spark, lambda: IO.write_frame(df, path)) == 1
+    before = sorted(p.name for p in (tmp_path / "out").iterdir())
+    assert IO.write_frame(df.where("id < 0"), path) == 0
+    broken = df.select(F.when(F.col("id") < 19, F.col("id")).otherwise(F.raise_error(F.lit("no"))).cast("long").alias("id"), "p")
+    for mode in ("overwrite", "append"):
+        with pytest.raises(Exception, match="no"):
+            IO.write_frame(broken, path, mode=mode)
+
+    def refuse(kept, count):
+        assert (kept.count(), count, set(kept.columns)) == (20, 20, {"id", "p"})
+        raise ValueError("not this one")
+
+    with pytest.raises(ValueError, match="not this one"):
+        IO.write_frame(df, path, check=refuse)
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == before and not leftovers(tmp_path)
+    assert IO.write_frame(df.where("id < 0"), path, skip_empty=False) == 0
+    assert spark.read.parquet(path).count() == 0 and not leftovers(tmp_path)
+
+
+def test_a_frame_may_overwrite_what_it_reads(spark, tmp_path):
+    path = str(tmp_path / "self")
+    IO.write_frame(spark.range(5), path)
+    assert IO.write_frame(spark.read.parquet(path).where("id > 2"), path + "/") == 2
+    assert rows(spark.read.parquet(path)) == [(3,), (4,)]
+
+
+@pytest.mark.parametrize("by_setting", [True, False])
+def test_dynamic_overwrite_leaves_other_partitions(spark, tmp_path, by_setting):
+    path = str(tmp_path / "d")
+    df = spark.range(12).selectExpr("id", "id % 3 AS a", "id % 2 AS b")
+    IO.write_frame(df, path, partition_by=["a", "b"])
+    kept = {p: p.stat().st_mtime_ns for p in (tmp_path / "d").rglob("*.parquet") if "a=1" not in str(p)}
+    options = {} if by_setting else {"partitionOverwriteMode": "dynamic"}
+    if by_setting:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        new = spark.createDataFrame([(100, 1, 0), (101, 7, 1)], "id long, a long, b long")
+        assert IO.write_frame(new, path, partition_by=["a", "b"], **options) == 2
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    want = [r for r in rows(df) if not (r[1] == 1 and r[2] == 0)] + [(100, 1, 0), (101, 7, 1)]
+    assert rows(spark.read.parquet(path), "id", "a", "b") == sorted(want, key=repr)
+    assert {p: p.stat().st_mtime_ns for p in kept if p.exists()} == kept and not leftovers(tmp_path)
+
+
+def test_failed_publishing_is_undone(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "u")
+    df = spark.range(6).selectExpr("id", "id % 3 AS a")
+    IO.write_frame(df, path, partition_by=["a"])
+    move, moved = staging._Moves.move, []
+
+    def once(self, source, target):
+        if len(moved) == 3:
+            raise OSError("store is gone")
+        moved.append(source)
+        move(self, source, target)
+
+    monkeypatch.setattr(staging._Moves, "move", once)
+    for options in ({"partitionOverwriteMode": "dynamic"}, {"mode": "append"}):
+        moved.clear()
+        with pytest.raises(OSError, match="store is gone"):
+            IO.write_frame(df.repartition(4).selectExpr("id + 100 AS id", "a"), path, partition_by=["a"], **options)
+        assert rows(spark.read.parquet(path)) == rows(df) and not leftovers(tmp_path)
+
+
+def test_direct_and_ignored_writes(spark, tmp_path):
+    path = str(tmp_path / "n")
+    assert IO.write_frame(spark.range(0), path, direct=True) == 0 and not (tmp_path / "n").exists()
+    assert IO.write_frame(spark.range(3), path, direct=True) == 3
+    assert IO.write_frame(spark.range(9), path, mode="ignore") == 0
+    assert IO.write_frame(spark.range(9), str(tmp_path / "m"), mode="ignore") == 9
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_scratch_scope_removes_what_it_staged(spark):
+    with pytest.raises(ValueError, match="stop"):
+        with staging.scratch_scope(spark):
+            df = staging.staged(spark.range(5), "scoped")
+            folder = Path(df.inputFiles()[0].removeprefix("file:")).parent
+            assert df.count() == 5 and folder.exists()
+            raise ValueError("stop")
+    assert not folder.exists()
+    outside = staging.staged(spark.range(5), "unscoped")
+    assert outside.count() == 5

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from spelltide.operators import triangles as T
 from spelltide.plans import bridge as B
 from spelltide.plans.triangles import run_triangles
+from spelltide.errors import PostValidationError, PreValidationError
+from spelltide.operators import quality as Q
 from spelltide.operators.quality import DataQualityError
 from spelltide.schemas import EXCHANGE_RATE, TRIANGLE
 from spelltide.sources.tables import TableNotFoundError, TableSpec
@@ -181,3 +183,30 @@ def test_report_job_in_another_session(spark, sf, tmp_path):
     B.claims(spark, sf).withColumn("productcurrencypaymentamount", huge).createOrReplaceTempView("huge_claims")
     with pytest.raises(ArithmeticException):
         run_triangles(spark, str(tmp_path / "huge"), TableSpec(name="huge_claims"), rates)
+
+
+def test_report_job_validates_before_and_after(spark, sf, tmp_path):
+    B.claims(spark, sf).createOrReplaceTempView("valid_claims")
+    B.exchange_rates(spark, sf).createOrReplaceTempView("valid_rates")
+    claims, rates = TableSpec(name="valid_claims"), TableSpec(name="valid_rates", schema=EXCHANGE_RATE)
+    out = str(tmp_path / "out")
+    results = run_triangles(spark, out, claims, rates)
+    counted = {r.name: r for r in results}[Q.ROWS_RULE]
+    assert counted.passed and counted.details.split()[0] == counted.details.split()[-1] != "0"
+    before = sorted(p.name for p in (tmp_path / "out").iterdir())
+    euro = (Q.in_set("productcurrencycode", ["EUR"], "euro_only"), Q.Threshold(share=0.5))
+    with pytest.raises(PreValidationError, match="claims.*\neuro_only"):
+        run_triangles(spark, out, claims, rates, pre={"claims": [euro]})
+    months = (Q.in_set("incurred_period_type", ["MONTH"], "months_only"), Q.Threshold(rows=3))
+    with pytest.raises(PostValidationError, match="triangle report"):
+        run_triangles(spark, out, claims, rates, post=[months])
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == before
+    lenient = [(euro[0], Q.Threshold(severity="warning"))], [(months[0], Q.Threshold(share=1.0))]
+    results = run_triangles(spark, out, claims, rates, pre={"claims": lenient[0], "rates": []}, post=lenient[1])
+    assert results[-1].name == "months_only" and results[-1].passed
+    assert not [p for p in tmp_path.iterdir() if p.name.startswith("_")]
+    with pytest.raises(TableNotFoundError, match="claims"):
+        run_triangles(spark, out, TableSpec(name="valid_claims", predicate="claimlineid is null"), rates)
+    with pytest.raises(TableNotFoundError, match="rates"):
+        run_triangles(spark, out, claims, TableSpec(name="valid_rates", schema=EXCHANGE_RATE, predicate="exchangerate < 0"))
+    assert spark.read.parquet(out).count() > 0
