@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from spelltide.llm import decontam, fm, sampling, secrets
 from spelltide.llm.ngram_join import link_documents
 from spelltide.llm.queries import QUALITY, held_out, prepared, table
-from spelltide.llm.scratch import stored, unused
+from spelltide.llm.scratch import quoted, stored, unused
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -38,12 +38,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     # Stored, so that a row has the same key whenever it is read again.
     rows = stored(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-rows")
     linked = link_documents(rows.select(row, "text"), key=row)
-    named = rows.select(row, F.col("doc_id").alias("_id"), F.md5("text").alias("_text"), F.xxhash64(*docs.columns).alias("_rest"))
+    named = rows.select(row, F.col("doc_id").alias("_id"), F.md5("text").alias("_text"), F.xxhash64(*[F.col(quoted(c)).cast("string") for c in docs.columns]).alias("_rest"))
     alone = F.col("n_shingles") == 0
     group = [F.when(~alone, F.col("component_id")).alias("_a"), F.when(alone, F.col("_id")).alias("_b"), F.when(alone, F.col("_text")).alias("_c")]
     first = F.min(F.struct(F.col("_id").isNull(), "_id", "_text", "_rest", row))[row].alias(row)
     kept = stored(named.join(linked.hint("merge"), row).groupBy(*group).agg(first).select(row), "pipeline-kept")
-    return rows.join(kept.hint("merge"), row, "left_semi").select(*docs.columns)
+    return rows.join(kept.hint("merge"), row, "left_semi").select(*map(quoted, docs.columns))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +59,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = secrets.scan(docs, secrets.fit(docs), prefix=prefix)
     changed, clean = F.col(f"{prefix}spans") != "", F.col(f"{prefix}clean_text")
     length = F.when(changed, F.char_length(clean).cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns({"text": clean, "n_chars": length}).select(*docs.columns)
+    return found.withColumns({"text": clean, "n_chars": length}).select(*map(quoted, docs.columns))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
