@@ -21,8 +21,8 @@ GROUPS = 256
 BOTTOM, SHARED = 64, 0.3
 #: Documents of a block that are compared by one task; larger blocks are cut into pairs of slices.
 SLICE = 2_048
-#: Blocks of up to so many nodes are gone through pair by pair, and so many rows of blocks make a group.
-SMALL_BLOCK, GROUP_ROWS = 64, 4_096
+#: Rows of blocks that share a tree.
+GROUP_ROWS = 4_096
 #: Hash values by which texts are sorted out before they are shuffled.
 SIEVE = 1 << 20
 LEAF, FANOUT = 16, 8
@@ -105,28 +105,32 @@ def least_overlap(a, b):
 
 
 class CountTree:
-    """An R-tree over count vectors, packed by set size.
+    """An R-tree over count vectors of the sets of many blocks, packed by block and set size.
 
-    A node keeps its largest count per group and its range of sizes. The intersection of two sets is at
-    most the sum over groups of the smaller count, so a node whose largest counts give too little for
-    its smallest size holds no partner.
+    A node keeps its largest count per group and its ranges of sizes and blocks. The intersection of two
+    sets is at most the sum over groups of the smaller count, so a node whose largest counts give too
+    little for its smallest size holds no partner, and none where its blocks leave out that of the set.
     """
 
-    def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
-        self.order = np.lexsort((*vectors.T[:4], sizes))
-        self.vectors, self.sizes = vectors[self.order], sizes[self.order]
+    def __init__(self, vectors: np.ndarray, sizes: np.ndarray, block: np.ndarray | None = None):
+        block = np.zeros(len(sizes), np.int64) if block is None else block
+        self.order = np.lexsort((*vectors.T[:4], sizes, block))
+        self.vectors, self.sizes, self.block = vectors[self.order], sizes[self.order], block[self.order]
         self.levels = []
-        high, low, top = self.vectors, self.sizes, self.sizes
+        high, low, top, first, last = self.vectors, self.sizes, self.sizes, self.block, self.block
         width = LEAF
         while len(high) > 1:
             cut = np.arange(0, len(high), width)
-            high, low, top = np.maximum.reduceat(high, cut), np.minimum.reduceat(low, cut), np.maximum.reduceat(top, cut)
-            self.levels.append((width, high, low, top))
+            high = np.maximum.reduceat(high, cut)
+            low, first = (np.minimum.reduceat(x, cut) for x in (low, first))
+            top, last = (np.maximum.reduceat(x, cut) for x in (top, last))
+            self.levels.append((width, (high, low, top, first, last)))
             width = FANOUT
 
-    def _fits(self, query: np.ndarray, node: np.ndarray, high: np.ndarray, low: np.ndarray, top: np.ndarray) -> np.ndarray:
-        size, low, top = self.sizes[query], low[node], top[node]
-        fits = (100 * top >= PERCENT * size) & (PERCENT * low <= 100 * size)
+    def _fits(self, query: np.ndarray, node: np.ndarray, level: tuple[np.ndarray, ...]) -> np.ndarray:
+        high, low, top, first, last = level
+        size, low, top, block = self.sizes[query], low[node], top[node], self.block[query]
+        fits = (100 * top >= PERCENT * size) & (PERCENT * low <= 100 * size) & (first[node] <= block) & (block <= last[node])
         at = np.flatnonzero(fits)
         for part in np.array_split(at, -(-len(at) // 4_096) or 1):
             bound = np.minimum(self.vectors[query[part]], high[node[part]]).sum(1, dtype=np.int64)
@@ -134,29 +138,34 @@ class CountTree:
             fits[part] = bound >= least_overlap(size[part], least)
         return fits
 
-    def pairs(self, wanted=None) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of all pairs, each once, whose bound allows a link and that `wanted` says yes to."""
-        n = len(self.sizes)
+    def pairs(self, wanted=None, queries: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of all pairs of a block, each once, whose bound allows a link and that `wanted` says yes to.
+
+        With `queries`, of all pairs that begin with one of these positions.
+        """
+        place = np.empty(len(self.order), np.int64)
+        place[self.order] = np.arange(len(self.order))
+        asked = np.arange(len(self.order)) if queries is None else np.sort(place[queries])
+        points = (self.vectors, self.sizes, self.sizes, self.block, self.block)
+        steps = [(level, width) for width, level in reversed(self.levels)]
         out = []
-        below = [*[(level[1:], level[0]) for level in reversed(self.levels)], ((self.vectors, self.sizes, self.sizes), 0)]
-        for low in range(0, n, 256):
-            query = np.arange(low, min(n, low + 256))
+        for low in range(0, len(asked), 256):
+            query = asked[low : low + 256]
             node = np.zeros(len(query), np.int64)
-            for i, ((high, least, most), width) in enumerate(below):
-                if not width:
-                    later = query < node
-                    query, node = query[later], node[later]
-                    if wanted is not None:
-                        fits = wanted(self.order[query], self.order[node])
-                        query, node = query[fits], node[fits]
-                fits = self._fits(query, node, high, least, most)
+            for i, (level, width) in enumerate(steps):
+                fits = self._fits(query, node, level)
+                query, node = query[fits], node[fits]
+                length = len(steps[i + 1][0][1]) if i + 1 < len(steps) else len(self.order)
+                query = np.repeat(query, width)
+                node = (node[:, None] * width + np.arange(width)).ravel()
+                query, node = query[node < length], node[node < length]
+            other = query != node if queries is not None else query < node
+            query, node = query[other], node[other]
+            if wanted is not None:
+                fits = wanted(self.order[query], self.order[node])
                 query, node = query[fits], node[fits]
-                if width:
-                    length = len(below[i + 1][0][1])
-                    query = np.repeat(query, width)
-                    node = (node[:, None] * width + np.arange(width)).ravel()
-                    query, node = query[node < length], node[node < length]
-            out.append((self.order[query], self.order[node]))
+            fits = self._fits(query, node, points)
+            out.append((self.order[query[fits]], self.order[node[fits]]))
         return tuple(np.concatenate(x) for x in zip(*out)) if out else (np.zeros(0, np.int64),) * 2
 
 
@@ -170,24 +179,12 @@ def _token_rows(lists: pa.ListArray) -> np.ndarray:
     return out
 
 
-def _near_rows(block: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Pairs of rows of the same block, rows being sorted by block, a few steps apart at a time."""
-    rows = np.arange(len(block))
-    for step in range(1, len(block)):
-        rows = rows[: np.searchsorted(rows, len(block) - step)]
-        rows = rows[block[rows] == block[rows + step]]
-        if not len(rows):
-            return
-        yield rows, rows + step
-
-
 def _block_pairs(group: pa.Table) -> pa.Table:
     """Pairs of the group's blocks that could be linked and are neither of one component nor compared already.
 
-    Small blocks are gone through pair by pair, all at once; a larger one has an R-tree. What passes the
-    bound must also share as many of its smallest hashes as linked sets do. A pair may meet in many blocks
-    and counts in that of the first token that both have: it lies before all others that they share, so
-    neither has left it out.
+    One R-tree holds the points of all blocks of the group, and every pair comes out of it. It must also share as many
+    of its smallest hashes as linked sets do. A pair may meet in many blocks and counts in that of the
+    first token that both have: it lies before all others that they share, so neither has left it out.
     """
     group = group.sort_by([(c, "ascending") for c in ("token", "i", "j")]).combine_chunks()
     token, i, j, node, part, slice_, pivot, size, of, slices = (
@@ -207,48 +204,43 @@ def _block_pairs(group: pa.Table) -> pa.Table:
         fits = (part[a] != part[b]) & (node[a] != pivot[a]) & (node[b] != pivot[b])
         return fits & ((slices[a] == 1) | (slice_[a] != slice_[b]) | (i[a] == j[a]))
 
-    def keep(a, b, bounded):
-        fits = wanted(a, b) & (100 * np.minimum(size[a], size[b]) >= PERCENT * np.maximum(size[a], size[b]))
-        a, b = a[fits], b[fits]
-        for low in range(0, len(a), 4_096):
-            one, two = a[low : low + 4_096], b[low : low + 4_096]
-            if not bounded:
-                fits = np.minimum(vectors[one], vectors[two]).sum(1, dtype=np.int64) >= least_overlap(size[one], size[two])
-                one, two = one[fits], two[fits]
-            common = (tokens[one][:, :, None] == tokens[two][:, None, :]).any(2) & (tokens[one] >= 0)
-            enough = common.sum(1) >= np.maximum(least[one], least[two])
-            here = enough & (tokens[one, common.argmax(1)] == own[one])
-            found.append((node[one[here]], node[two[here]]))
-
-    small = np.flatnonzero(np.bincount(block)[block] <= SMALL_BLOCK)
-    for a, b in _near_rows(block[small]):
-        keep(small[a], small[b], False)
-    starts = np.append(np.flatnonzero(np.append(True, changes)), len(node))
-    for low, high in zip(starts[:-1].tolist(), starts[1:].tolist()):
-        if high - low > SMALL_BLOCK:
-            tree = CountTree(vectors[low:high], size[low:high])
-            keep(*(low + x for x in tree.pairs(lambda a, b: wanted(low + a, low + b))), True)
+    one, two = CountTree(vectors, size, block).pairs(wanted)
+    for low in range(0, len(one), 4_096):
+        a, b = one[low : low + 4_096], two[low : low + 4_096]
+        common = (tokens[a][:, :, None] == tokens[b][:, None, :]).any(2) & (tokens[a] >= 0)
+        enough = common.sum(1) >= np.maximum(least[a], least[b])
+        here = enough & (tokens[a, common.argmax(1)] == own[a])
+        found.append((node[a[here]], node[b[here]]))
     a, b = (np.concatenate([x[k] for x in found]) if found else np.zeros(0, np.int64) for k in (0, 1))
     pairs = np.unique(np.stack([np.maximum(a, b), np.minimum(a, b)], 1), axis=0)
     return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
 
-def _bounded(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """The pairs whose sizes and count vectors allow a link."""
+def _pivot_pairs(group: pa.Table) -> pa.Table:
+    """Pairs of a node and its block's pivot that the tree over the group's points allows."""
+    pivot, slice_, node, asks, size = (group[c].to_numpy() for c in ("pivot", "slice", "node", "asks", "n_shingles"))
+    vectors = np.frombuffer(b"".join(group["vector"].to_pylist()), np.uint32).reshape(len(node), GROUPS)
+    block = np.unique(np.stack([pivot, slice_], 1), axis=0, return_inverse=True)[1].ravel()
+    a, b = CountTree(vectors, size, block).pairs(lambda a, b: ~asks[b], np.flatnonzero(asks))
+    pairs = np.unique(np.stack([node[b], node[a]], 1), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
-    def keep(batches: Iterator[pa.RecordBatch]):
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            a, b, na, nb = (batch.column(i).to_numpy() for i in range(4))
-            va, vb = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, GROUPS) for i in (4, 5))
-            fits = np.minimum(va, vb).sum(1, dtype=np.int64) >= least_overlap(na, nb)
-            yield pa.RecordBatch.from_pydict({"a": a[fits], "b": b[fits]})
 
-    one = nodes.select(F.col("node").alias("a"), F.col("n_shingles").alias("na"), F.col("vector").alias("va"))
-    two = nodes.select(F.col("node").alias("b"), F.col("n_shingles").alias("nb"), F.col("vector").alias("vb"))
-    both = pairs.join(one.hint("merge"), "a").join(two.hint("merge"), "b")
-    return both.select("a", "b", "na", "nb", "va", "vb").mapInArrow(keep, "a long, b long").distinct()
+def _starred(stars: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) of a node and a pivot whose sizes and count vectors allow a link.
+
+    The nodes that meet a pivot are its block; blocks are cut into slices, each with a copy of the pivot,
+    and slices share trees, which the pivots' points are searched in. So no pivot gathers its block in one task.
+    """
+    wide = nodes.select("node", "n_shingles", "vector")
+    sizes = stored(stars.groupBy("b").agg(F.ceil(F.count(F.lit(1)) / SLICE).cast("int").alias("slices"), F.count(F.lit(1)).alias("n")), "shingle-blocks")
+    rows = sizes.agg(F.sum(F.col("n") + F.col("slices"))).first()[0] or 0
+    held = stars.join(sizes.select("b", "slices").hint("merge"), "b").withColumn("slice", F.pmod(F.xxhash64("a"), F.col("slices")).cast("int"))
+    held = held.select(F.col("b").alias("pivot"), "slice", F.col("a").alias("node"), F.lit(False).alias("asks"))
+    pivots = sizes.select(F.col("b").alias("pivot"), F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"), F.col("b").alias("node"), F.lit(True).alias("asks"))
+    met = held.unionAll(pivots).join(wide.hint("merge"), "node")
+    dealt = F.pmod(F.xxhash64("pivot", "slice"), F.lit(-(-rows // GROUP_ROWS) or 1)).alias("group")
+    return met.select(dealt, *met.columns).groupBy("group").applyInArrow(_pivot_pairs, "a long, b long").distinct()
 
 
 def _verified(pairs: DataFrame, df: DataFrame, key: str, text: str) -> DataFrame:
@@ -286,9 +278,9 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
        64 smallest hashes of the union is in both with a probability of at least 0.75, so they share 30 %
        of them but for a chance of about 3e-13. Hence each node leaves out the 30 % that are most
        frequent in the corpus, and passages that many documents share hardly make blocks.
-    3. In each block, the pairs with its smallest node are tested by the bound on their count vectors and
-       verified; that joins most copies without all pairs.
-    4. In blocks that still hold several components, an R-tree over the count vectors finds the other
+    3. An R-tree over the count vectors of many blocks, the block being one more coordinate, is searched
+       with each block's smallest node; what it allows is verified, which joins most copies without all pairs.
+    4. For blocks that still hold several components, a second such tree joined with itself gives the other
        pairs across components. Blocks are cut into slices of 2 048 nodes that meet pairwise.
     5. The survivors are verified on their whole sets, and the components built from all links.
     """
@@ -310,8 +302,8 @@ def link_documents(df: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     blocks = lists.select("node", "k1", F.explode(F.slice("tokens", F.lit(1), F.col("kept"))).alias("token"))
     small = stored(blocks.groupBy("token").agg(F.min("node").alias("pivot"), F.count(F.lit(1)).alias("size")).where("size > 1"), "shingle-pivots")
     stars = blocks.join(small.select("token", "pivot").hint("merge"), "token").where("node <> pivot")
-    stars = stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct()
-    links = stored(_verified(stored(_bounded(stars, nodes), "shingle-pairs"), df, key, text), "shingle-links")
+    stars = stored(stars.select(F.col("node").alias("a"), F.col("pivot").alias("b")).distinct(), "shingle-stars")
+    links = stored(_verified(stored(_starred(stars, nodes), "shingle-pairs"), df, key, text), "shingle-links")
 
     first = components(links)
     placed = blocks.join(first.hint("merge"), blocks["node"] == first["node"], "left")

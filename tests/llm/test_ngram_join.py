@@ -117,3 +117,58 @@ def test_components(spark, seed):
     want = roots({x for e in edges for x in e}, edges)
     assert out == {n: r for n, r in want.items() if n != r}
     assert graph.components(spark.createDataFrame([(4, 4)], "a long, b long")).count() == 0
+
+
+def test_tree_keeps_blocks_apart_and_searches_for_some():
+    rng = np.random.Generator(np.random.PCG64(8))
+    vectors = rng.poisson(3, (40, ngram_join.GROUPS))[rng.integers(0, 40, 700)].astype(np.uint32)
+    sizes, block = vectors.sum(1).astype(np.int64), rng.integers(0, 90, 700)
+    tree = ngram_join.CountTree(vectors, sizes, block)
+    bound = np.minimum(vectors[:, None], vectors[None]).sum(2) >= ngram_join.least_overlap(sizes[:, None], sizes[None])
+    want = {(i, j) for i, j in zip(*np.nonzero(bound & (block[:, None] == block[None]))) if i != j}
+    assert {tuple(sorted(x)) for x in zip(*(x.tolist() for x in tree.pairs()))} == {p for p in want if p[0] < p[1]}
+    some = rng.choice(700, 60, replace=False)
+    a, b = tree.pairs(lambda a, b: b % 3 > 0, some)
+    assert set(zip(a.tolist(), b.tolist())) == {p for p in want if p[0] in set(some.tolist()) and p[1] % 3}
+
+
+def test_every_candidate_comes_out_of_the_tree(spark, documents, monkeypatch):
+    """Both searches yield nothing without the tree, and what the tree gives holds all links of the corpus."""
+    rows = corpus(4, 150)
+    given, plain = [], ngram_join.CountTree.pairs
+    keep = {}
+
+    def counted(self, wanted=None, queries=None):
+        pairs = plain(self, wanted, queries)
+        given.append(len(pairs[0]))
+        return pairs
+
+    monkeypatch.setattr(ngram_join.CountTree, "pairs", counted)
+    for name in ("_pivot_pairs", "_block_pairs"):
+        group = getattr(ngram_join, name)
+        keep[name] = []
+        table = GROUPS_OF[name]()
+        found_ = group(table)
+        assert found_.num_rows and given and given[-1] >= found_.num_rows
+        monkeypatch.setattr(ngram_join.CountTree, "pairs", lambda self, wanted=None, queries=None: (np.zeros(0, np.int64),) * 2)
+        assert group(table).num_rows == 0
+        monkeypatch.setattr(ngram_join.CountTree, "pairs", counted)
+    assert found(documents(rows)) == expected(rows)
+
+
+def _vectors(n):
+    return [v.tobytes() for v in np.random.Generator(np.random.PCG64(1)).poisson(4, (1, ngram_join.GROUPS)).astype(np.uint32).repeat(n, 0)]
+
+
+def _pivot_group():
+    size = int(np.frombuffer(_vectors(1)[0], np.uint32).sum())
+    return ngram_join.pa.table({"pivot": [1, 1, 1, 7], "slice": [0, 0, 0, 0], "node": [1, 2, 3, 9], "asks": [True, False, False, False], "n_shingles": [size] * 4, "vector": _vectors(4)})
+
+
+def _block_group():
+    size, tokens = int(np.frombuffer(_vectors(1)[0], np.uint32).sum()), [[5, 6, 7]] * 3
+    columns = {"token": [5] * 3, "i": [0] * 3, "j": [0] * 3, "node": [1, 2, 3], "component": [1, 2, 3], "slice": [0] * 3, "slices": [1] * 3, "pivot": [1] * 3}
+    return ngram_join.pa.table({**columns, "n_shingles": [size] * 3, "vector": _vectors(3), "of": [3] * 3, "tokens": tokens})
+
+
+GROUPS_OF = {"_pivot_pairs": _pivot_group, "_block_pairs": _block_group}
