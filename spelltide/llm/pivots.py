@@ -55,7 +55,7 @@ def _apart(x: np.ndarray) -> np.ndarray:
 
 
 def _canonical(order: np.ndarray, a: np.ndarray, b: np.ndarray, pivot: int) -> np.ndarray:
-    """Whether the list's pivot is the smallest one that the pair shares."""
+    """Whether the list's pivot is the rarest one that the pair shares, which has the smallest number."""
     out = np.zeros(len(a), bool)
     for low in range(0, len(a), 65_536):
         one, two = order[a[low : low + 65_536]], order[b[low : low + 65_536]]
@@ -68,7 +68,7 @@ def _compare(table: pa.Table) -> pa.Table:
     """Links among the vectors of a list, or between two slices of it.
 
     Pairs that share enough pivots are verified. A pair may meet in several lists and counts in that of
-    the smallest pivot it shares. Returns per vector the weight of its links, and edges that connect
+    the rarest pivot it shares. Returns per vector the weight of its links, and edges that connect
     what is linked: two rows per vector at most.
     """
     pivot, node, copies, piece, size = (table[c].to_numpy() for c in ("pivot", "node", "copies", "slice", "dims"))
@@ -121,9 +121,11 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
 
     Equal vectors are one node with a number of copies. Each node is described by its 12 nearest pivots,
     in order; pivots are 4 * sqrt(nodes) nodes, 65 536 at most, those whose keys have the smallest
-    hashes, without those at a cosine of 0.7 or more to another. Every node is in the lists of all 12. Nodes that share a list and 3 pivots (all, if there are fewer) are verified, so
-    the result holds no wrong link and misses those whose surroundings share fewer pivots. A list is
-    compared in slices of 2 048; what leaves a task are sums and a spanning forest, not pairs.
+    hashes, without those at a cosine of 0.7 or more to another. Nodes that share 3 pivots (all, if there are
+    fewer) are verified, so the result holds no wrong link and misses those whose surroundings share fewer. Of 12 pivots in
+    the order of their frequency, the first 3 shared ones begin among the first 10, so a node is posted in the lists of its 10
+    rarest alone, and the longest lists stay short. A list is compared in slices of 2 048; what leaves a
+    task are sums and a spanning forest, not pairs.
     """
     good = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < float("inf"))) & F.exists(vector, lambda x: x != 0)
     rows = df.select(F.col(key).cast("long").alias("vec_id"), F.col(vector).alias("embedding"), F.coalesce(good, F.lit(False)).alias("_good"))
@@ -154,9 +156,29 @@ def near_duplicates(df: DataFrame, key: str = "vec_id", vector: str = "embedding
     kind = dict(nodes.dtypes)["embedding"]
     described = nodes.mapInArrow(describe, f"embedding {kind}, node long, copies long, dims int, nearest array<int>")
     described = stored(described, "vectors-described")
-    lengths = described.select(F.explode("nearest").alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("size"))
-    slices = lengths.where("size > 1").select("pivot", F.ceil(F.col("size") / SLICE).cast("int").alias("slices"))
-    lists = described.withColumn("pivot", F.explode("nearest")).join(F.broadcast(slices), "pivot")  # at most 65 536 rows
+    # At most 65 536 rows, one for each pivot. From here on a pivot goes by its rank, the rarest first.
+    lengths = described.select(F.explode("nearest").alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("size")).toArrow()
+    length = np.zeros(len(centres), np.int64)
+    length[lengths["pivot"].to_numpy()] = lengths["size"].to_numpy()
+    ranked = np.argsort(length, kind="stable")
+    rank = np.empty(len(centres), np.int32)
+    rank[ranked] = np.arange(len(centres))
+    ranks = df.sparkSession.sparkContext.broadcast((rank, length[ranked]))
+
+    def post(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            rank, size = ranks.value
+            nearest = batch.column(4)
+            order = np.sort(rank[nearest.flatten().to_numpy()].reshape(batch.num_rows, -1), 1)
+            held = order[:, : order.shape[1] - min(SHARED, order.shape[1]) + 1]
+            row, at = np.nonzero(size[held] > 1)
+            out = batch.take(pa.array(row))
+            sorted_ = pa.FixedSizeListArray.from_arrays(pa.array(order[row].ravel()), order.shape[1]).cast(pa.list_(pa.int32()))
+            pivot = held[row, at]
+            slices = -(-size[pivot] // SLICE)
+            yield pa.RecordBatch.from_arrays([*out.columns[:4], sorted_, pa.array(pivot), pa.array(slices.astype(np.int32))], [*out.schema.names[:5], "pivot", "slices"])
+
+    lists = described.mapInArrow(post, f"embedding {kind}, node long, copies long, dims int, nearest array<int>, pivot int, slices int") if total else described.withColumns({"pivot": F.lit(0), "slices": F.lit(1)})
     lists = lists.withColumn("slice", F.pmod(F.xxhash64("node"), F.col("slices")).cast("int"))
     lists = lists.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
     lists = lists.withColumns({"i": F.least("slice", "other"), "j": F.greatest("slice", "other")})
