@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spelltide.llm.scratch import extended, placed
 from spelltide.llm.words import pieces
 
 # Classes of characters: a-z in either case, the marks below, any digit, any other byte, and the end.
@@ -110,7 +111,7 @@ def _scored(df: DataFrame, column: str, ratio: np.ndarray, out: str) -> DataFram
     """All columns and the mean log-likelihood difference per character, the end included."""
     names = df.columns
     shared = df.sparkSession.sparkContext.broadcast(ratio.astype(np.float32))
-    ready = df.select("*", F.col(column).cast("string").alias("_url_text"))
+    ready = placed(df, F.col(column).cast("string"))
 
     def build(batches):
         for batch in batches:
@@ -120,14 +121,14 @@ def _scored(df: DataFrame, column: str, ratio: np.ndarray, out: str) -> DataFram
                 scores.append(np.bincount(row, each, high - low) / np.bincount(row, minlength=high - low))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(np.concatenate(scores))], [*names, out])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return ready.mapInArrow(build, f"{kept}, `{out}` double")
+    return ready.mapInArrow(build, extended(df, f"`{out}` double"))
 
 
 def fit(labelled: DataFrame, url: str, accepted: str) -> UrlModel:
-    """Train both models on all labelled urls and calibrate the threshold on every fifth distinct hash, held out.
+    """Train both models on the labelled urls of four fifths of the hosts and calibrate the threshold on the other hosts' urls.
 
-    `accepted` is a boolean column; rows where it is null are left out and null urls count as empty.
+    Hosts are held out whole, by hash, so that the threshold is not set by urls of hosts that the models know;
+    a url without a host stands for itself. `accepted` is a boolean column; rows where it is null are left out and null urls count as empty.
     What reaches the driver are counts by context, at most 44^4 per model, and a histogram. The
     threshold is the one with the best mean of both classes' hit rates, the middle of the best ones if
     there are several, and 0 where a class has nothing held out. Without labels the difference is 0
@@ -136,7 +137,8 @@ def fit(labelled: DataFrame, url: str, accepted: str) -> UrlModel:
     rows = labelled.where(F.col(accepted).isNotNull()).select(
         F.coalesce(F.col(url).cast("string"), F.lit("")).alias("_url"), F.col(accepted).alias("_ok")
     )
-    held = F.pmod(F.xxhash64("_url"), F.lit(5)) == 0
+    host = url_host(F.col("_url"))
+    held = F.pmod(F.xxhash64(F.when(host == "", F.col("_url")).otherwise(host)), F.lit(5)) == 0
 
     def count(batches):
         totals: dict[bool, np.ndarray] = {}

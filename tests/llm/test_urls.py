@@ -62,7 +62,8 @@ def test_scores_equal_a_direct_computation(spark):
     rows = [(u, True) for u in good] + [(u, False) for u in bad]
     model = urls.fit(spark.createDataFrame(rows, "url string, accepted boolean"), "url", "accepted")
     df = spark.createDataFrame([(i, u) for i, u in enumerate(["https://news.site9.org/story/x", "http://casino.biz/?click", "", "é" * 30_000])], "page_id long, url string")
-    held = {r.url for r in spark.createDataFrame(rows, "url string, ok boolean").where("pmod(xxhash64(url), 5) = 0").collect()}
+    hosts = "pmod(xxhash64(regexp_extract(url, '://([^/]*)', 1)), 5) = 0"
+    held = {r.url for r in spark.createDataFrame(rows, "url string, ok boolean").where(hosts).collect()}
     want = [brute([u for u in good if u not in held], t) - brute([u for u in bad if u not in held], t) for (t,) in df.select("url").collect()]
     out = sorted(urls.judge(df, model, []).collect(), key=lambda r: r.page_id)
     assert [r.score for r in out] == pytest.approx(want, abs=1e-5)
@@ -75,3 +76,23 @@ def test_no_labels_and_empty_table(spark):
     assert urls.judge(df, model, RULES).count() == 0
     one = spark.createDataFrame([(1, "http://q.com/"), (1, "http://q.com/"), (None, None)], "page_id long, url string")
     assert [r.verdict for r in urls.judge(one, model, RULES).collect()] == ["allow"] * 3
+
+
+def test_whole_hosts_are_held_out(spark):
+    """A host's urls lie on one side: a model that knows one host's paths gains nothing for the threshold from that."""
+    rows = [(f"http://h{i % 7}.org/{i}", i % 7 < 4) for i in range(700)]
+    model = urls.fit(spark.createDataFrame(rows, "url string, accepted boolean"), "url", "accepted")
+    held = {r.h for r in spark.range(7).selectExpr("concat('h', id, '.org') AS h").where("pmod(xxhash64(h), 5) = 0").collect()}
+    counted = [u for u, _ in rows if u.split("/")[2] not in held]
+    good = [u for u, ok in rows if ok and u in counted]
+    text = "http://h1.org/55"
+    bad = [u for u, ok in rows if not ok and u in counted]
+    have = urls.judge(spark.createDataFrame([(1, text)], "page_id long, url string"), model, []).first().score
+    assert have == pytest.approx(brute(good, text) - brute(bad, text), abs=1e-5) or model.threshold == 0
+
+
+def test_columns_with_the_new_names(spark):
+    df = spark.createDataFrame([(1, "http://a.net/x", "h", "p", "r", "v", 9)], "page_id long, url string, host string, path string, rule string, verdict string, score int")
+    model = urls.fit(urls.rule_labels(df, RULES), "url", "accepted")
+    got = urls.judge(df, model, RULES).first()
+    assert (got.host, got.path, got.rule, got.verdict) == ("a.net", "/x", "net/", "block")
