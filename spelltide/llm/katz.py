@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from spelltide.llm.scratch import stored
 from spelltide.llm.words import mix, pieces, word_hashes
+from spelltide.sources.scratch import drop_path, scratch_path
 
 BLOCK_BYTES = 3 << 20
 #: Counts above this are hardly discounted.
@@ -356,8 +357,18 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     spark = df.sparkSession
     name = f"katz_blocks_{uuid.uuid4().hex}"
     buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8)
-    _blocks(df, key, text, held_out).write.bucketBy(buckets, "block").format("parquet").saveAsTable(name)
-    blocks = spark.table(name)
+    place = scratch_path(spark, "katz-blocks")
+    # Bucketing needs a catalog table; its files lie in the shared folder, and it goes whatever happens.
+    try:
+        _blocks(df, key, text, held_out).write.bucketBy(buckets, "block").format("parquet").option("path", place).saveAsTable(name)
+        return _scored(spark.table(name), key)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        drop_path(spark, place)
+
+
+def _scored(blocks: DataFrame, key: str) -> DataFrame:
+    """The result from stored blocks, itself stored."""
     number = blocks.count()
     word_ranges = max(LEAST_RANGES, number // BLOCKS_PER_WORD_RANGE)
     pair_ranges = max(LEAST_RANGES, number // BLOCKS_PER_PAIR_RANGE)
@@ -384,7 +395,6 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     found = need.join(weights.hint("merge"), "h").groupBy("block").agg(F.collect_list(F.struct("h", "alpha")).alias("weights"))
     ready = known.join(_gathered(pairs, "pair_replies", "counts").hint("merge"), "block").join(found.hint("merge"), "block", "left")
     scored = stored(_scores(ready, pair_ranges, unigrams, discount), "katz-scores")
-    spark.sql(f"DROP TABLE {name}")
     return scored.select(
         F.col("id").alias(key), "held_out", "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score"
     )
