@@ -16,8 +16,8 @@ from spelltide.llm.scratch import stored
 
 #: Bytes of text that a task turns into tokens at once. Longer texts are cut at white space.
 PIECE_BYTES = 12 << 20
-#: Words that go to the tokenizer as one text.
-WORDS = 2_000
+#: Words that go to the tokenizer as one text, and distinct words that a task remembers.
+WORDS, REMEMBERED = 2_000, 1 << 20
 #: ASCII white space, which no token of a tokenizer that drops white space can span.
 WHITE = b"\t\n\x0b\x0c\r "
 #: One word for the tokenizer: letters alone, each a character that it neither composes with another nor splits.
@@ -31,7 +31,7 @@ class _Words:
     """Ids of many texts by a tokenizer that drops white space, by way of their distinct words.
 
     Words repeat, so a piece of the corpus is split at ASCII white space, and each distinct word goes to
-    the tokenizer once. Punctuation behind a word of letters is a word of its own, as the tokenizer
+    the tokenizer once; a million words are remembered from piece to piece. Punctuation behind a word of letters is a word of its own, as the tokenizer
     splits there too. Plain words travel together, and the marks of word ends tell their ids apart.
     """
 
@@ -41,6 +41,23 @@ class _Words:
         self.model = Tokenizer.from_file(path)
         size = self.model.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.model.id_to_token(i) or "").endswith(WORD_END) for i in range(size)], bool)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known = pa.array([], pa.large_string())
+        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """Where distinct words are among those remembered; new ones are encoded first."""
+        if len(self.known) > REMEMBERED:
+            self._forget()
+        fresh = words.filter(pc.invert(pc.is_in(words, value_set=self.known)))
+        if len(fresh):
+            ids, starts = self.table(fresh)
+            self.known = pa.concat_arrays([self.known, fresh])
+            self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
+            self.flat = np.concatenate([self.flat, ids])
+        return pc.index_in(words, value_set=self.known).to_numpy()
 
     def _each(self, words: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.model.encode_batch(words, add_special_tokens=False)]
@@ -85,8 +102,8 @@ class _Words:
         heads = pc.if_else(pc.is_valid(parts), pc.struct_field(parts, "head"), words.dictionary)
         tails = pc.if_else(pc.is_valid(parts), pc.struct_field(parts, "tail"), pa.scalar("", words.dictionary.type))
         pairs = pa.concat_arrays([heads, tails]).dictionary_encode()
-        ids, starts = self.table(pairs.dictionary)
-        code = pairs.indices.to_numpy()
+        code = self.places(pairs.dictionary)[pairs.indices.to_numpy()]
+        ids, starts = self.flat, self.starts
         head, tail = code[: len(heads)], code[len(heads) :]
         use = words.indices.to_numpy()
         order = np.stack([head[use], tail[use]], 1).ravel()
