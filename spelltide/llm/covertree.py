@@ -20,8 +20,9 @@ SAMPLE, MOST_CELLS = 4_096, 256
 TILE = 1 << 19
 #: Children of a node and points of a leaf at most.
 FAN_OUT, LEAF = 16, 64
-#: Anchors that are searched for at once, and leaves that each visits first, best bound first.
-TOGETHER, FIRST = 512, 4
+#: Anchors that are searched for at once, leaves that each visits first, best bound first, and leaves after which
+#: the floors are raised again.
+TOGETHER, FIRST, RAISED = 512, 4, 8
 #: Components are smaller than this, so that inner products fit in a long.
 LARGEST = 1 << 24
 #: Ends of a window without any.
@@ -105,20 +106,28 @@ class _Tree:
 class _Found:
     """The best `most` scores of each window, higher first, then the smaller id."""
 
-    def __init__(self, windows: int, most: int):
-        self.most, self.windows = most, windows
+    def __init__(self, windows: int, most: int, ids: np.ndarray):
+        self.most, self.windows, self.ids = most, windows, ids
         self.window, self.score, self.row = (np.zeros(0, np.int64) for _ in range(3))
-
-    def add(self, window: np.ndarray, score: np.ndarray, row: np.ndarray, ids: np.ndarray) -> None:
-        window, score, row = (np.concatenate(p) for p in ((self.window, window), (self.score, score), (self.row, row)))
-        order = np.lexsort((ids[row], -score, window))
-        window, score, row = window[order], score[order], row[order]
-        first = np.searchsorted(window, window)
-        keep = np.arange(len(window)) - first < self.most
-        self.window, self.score, self.row = window[keep], score[keep], row[keep]
+        self.fresh: list[tuple[np.ndarray, ...]] = []
+
+    def add(self, window: np.ndarray, score: np.ndarray, row: np.ndarray) -> None:
+        self.fresh.append((window, score, row))
+
+    def settle(self) -> _Found:
+        """Keep the best of what was added."""
+        if self.fresh:
+            window, score, row = (np.concatenate(p) for p in zip((self.window, self.score, self.row), *self.fresh))
+            self.fresh = []
+            order = np.lexsort((self.ids[row], -score, window))
+            window, score, row = window[order], score[order], row[order]
+            keep = np.arange(len(window)) - np.searchsorted(window, window) < self.most
+            self.window, self.score, self.row = window[keep], score[keep], row[keep]
+        return self
 
     def floor(self) -> np.ndarray:
         """The score that a window's next find must reach."""
+        self.settle()
         out = np.full(self.windows, LOWEST)
         count = np.bincount(self.window, minlength=self.windows)
         last = np.cumsum(count) - 1
@@ -154,7 +163,7 @@ def _search(tree: _Tree, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, nor
         points += [p for p in tree.leaves[level] if p is not None]
         alive = alive.copy()
     upper, lower = np.concatenate(upper_leaves, 1), np.concatenate(lower_leaves, 1)
-    found, floor = _Found(count * width, most), low.copy()
+    found, floor = _Found(count * width, most, ids), low.copy()
     exact = np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(x.shape[1], 1) < 2**52
     whole, whole_q = (x, q) if exact else (x.astype(np.int64), q.astype(np.int64))
 
@@ -169,7 +178,7 @@ def _search(tree: _Tree, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, nor
             parts.append((some[a] * width + w, score[a, b].astype(np.int64), held[b]))
         window, value, row = (np.concatenate(p) for p in zip(*parts))
         if len(window):
-            found.add(window, value, row, ids)
+            found.add(window, value, row)
 
     def raised() -> np.ndarray:
         return np.maximum(low, found.floor().reshape(low.shape))
@@ -183,12 +192,13 @@ def _search(tree: _Tree, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, nor
             verify(one, np.flatnonzero(ready & (leaf == one)))
         seen[np.arange(count), leaf] = True
         floor = raised()
-    for leaf in np.argsort(-upper.max(0, initial=-np.inf), kind="stable"):
+    for nth, leaf in enumerate(np.argsort(-upper.max(0, initial=-np.inf), kind="stable"), 1):
         some = np.flatnonzero(~seen[:, leaf] & (upper[:, leaf] >= floor.min(1)) & (lower[:, leaf] <= high.max(1)))
         if len(some):
             verify(leaf, some)
-            floor[some] = raised()[some]
-    return found
+        if nth % RAISED == 0:
+            floor = raised()
+    return found.settle()
 
 
 def _tile(norm: float, width: int, alike: bool, most: int):
