@@ -11,8 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spelltide.llm.scratch import stored, unused
-from spelltide.llm.words import hashes, mix, pieces, spans, utf8
+from spelltide.llm.scratch import extended, placed, stored, unused
+from spelltide.llm.words import mix, pieces, run_hashes, utf8
 
 K1, B = 1.2, 0.75
 #: Words of an index entry at most; a longer item has several entries. A passage has twice as many and
@@ -35,8 +35,7 @@ LEAKS = "array<struct<item_id: long, score: double, question_overlap: double, an
 
 def token_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of the runs of letters and digits of lower-cased texts."""
-    starts, ends, row = spans(_LETTER[data], offsets)
-    return hashes(data, starts, ends), row
+    return run_hashes(data, offsets, _LETTER)
 
 
 def grams(tokens: np.ndarray, size: int = GRAM) -> np.ndarray:
@@ -318,7 +317,6 @@ def _ask(df: DataFrame, index: Index, text: str, shares: tuple[float, float], ou
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(found, kind)], [*names, new])
 
     kind = pa.list_(pa.struct([("item_id", pa.int64()), *((c, pa.float64()) for c in ("score", "question_overlap", "answer_overlap"))]))
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit(""))).alias("_leak_text")
-    asked = df.select("*", lowered).mapInArrow(build, f"{kept}, {new} {LEAKS}")
+    lowered = F.lower(F.coalesce(F.col(text).cast("string"), F.lit("")))
+    asked = placed(df, lowered).mapInArrow(build, extended(df, f"{new} {LEAKS}"))
     return asked.withColumn(out, F.concat(out, new)).drop(new)

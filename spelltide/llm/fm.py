@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spelltide.llm.words import LOWER, hashes, pieces, spans, word_hashes
+from spelltide.llm.scratch import extended, placed
+from spelltide.llm.words import LOWER, PIECE_BYTES, pieces, run_hashes, spans, word_hashes
 
 WORD_BITS = 14
 FACTORS = 8
@@ -57,14 +58,18 @@ def features(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray) -> Feat
     weight = weight / np.maximum(norm[row_of], 1e-12)
 
     size = np.diff(offsets)
-    of = np.repeat(np.arange(rows, dtype=np.int64), size)
-    kinds = np.bincount(of * 11 + _KINDS[data], minlength=rows * 11).reshape(rows, 11).astype(float)
+    kinds = np.zeros((rows, 11))
+    for low in range(0, len(data), PIECE_BYTES):
+        of = np.searchsorted(offsets, np.arange(low, min(low + PIECE_BYTES, len(data))), "right") - 1
+        some = of[0], of[-1] + 1
+        found = np.bincount((of - some[0]) * 11 + _KINDS[data[low : low + PIECE_BYTES]], minlength=(some[1] - some[0]) * 11)
+        kinds[some[0] : some[1]] += found.reshape(-1, 11)
     chars = size - kinds[:, 7]
     words = np.bincount(row, minlength=rows).astype(float)
     per = lambda x, of: x / np.maximum(of, 1)
-    start, end, line_row = spans(data != 10, offsets)
+    line_hash, line_row = run_hashes(data, offsets, np.arange(256) != 10, LOWER)
     lines = np.bincount(line_row, minlength=rows).astype(float)
-    line_keys = np.unique(hashes(LOWER[data], start, end) ^ (line_row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)[1]
+    line_keys = np.unique(line_hash ^ (line_row.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), return_index=True)[1]
     distinct_lines = np.bincount(line_row[line_keys], minlength=rows)
     most = np.zeros(rows)
     np.maximum.at(most, row_of, count)
@@ -216,9 +221,7 @@ def score(df: DataFrame, model: Model, text: str = "text", n_chars: str | None =
     df = df.drop(out)
     names = df.columns
     shared = df.sparkSession.sparkContext.broadcast(model)
-    ready = df.select(
-        "*", F.col(text).cast("string").alias("_fm_text"), (F.col(n_chars).cast("long") if n_chars else F.lit(None).cast("long")).alias("_fm_told")
-    )
+    ready = placed(df, F.col(text).cast("string"), F.col(n_chars).cast("long") if n_chars else F.lit(None).cast("long"))
 
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -228,5 +231,4 @@ def score(df: DataFrame, model: Model, text: str = "text", n_chars: str | None =
                 scores.append(shared.value.score(features(data, offsets, told[low:high]), high - low))
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], pa.array(np.concatenate(scores))], [*names, out])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return ready.mapInArrow(build, f"{kept}, `{out}` double")
+    return ready.mapInArrow(build, extended(df, f"`{out}` double"))

@@ -16,6 +16,7 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from spelltide.llm.scratch import extended, placed, quoted
 from spelltide.llm.words import mix, pieces, span_hashes
 
 MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -472,7 +473,7 @@ def encode(
     """
     names = [c for c in (df.columns if columns is None else columns) if c not in {"sample", "ids", "log_prob", "perturbed", "log_inclusion"}]
     shared = df.sparkSession.sparkContext.broadcast(load_vocabulary(model_file, smoothing))
-    ready = df.select(*names, F.col(text).cast("string").alias("_sp_text"), F.xxhash64(F.lit(seed), F.col(key)).alias("_sp_seed"))
+    ready = placed(df, F.col(text).cast("string"), F.xxhash64(F.lit(seed), F.col(key)), names=names)
 
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -492,8 +493,7 @@ def encode(
                     kept = batch.slice(low, high - low).take(pa.array(rows))
                     yield pa.RecordBatch.from_arrays([*kept.columns[: len(names)], *made], [*names, *(c.split()[0] for c in ENCODED.split(", "))])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in ready.schema.fields[: len(names)])
-    return ready.mapInArrow(build, f"{kept}, {ENCODED}")
+    return ready.mapInArrow(build, extended(df.select(*map(quoted, names)), ENCODED))
 
 
 def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model_file: str = MODEL_FILE) -> DataFrame:
@@ -518,5 +518,4 @@ def decode(df: DataFrame, ids: str = "ids", out: str = "decoded", model_file: st
                 texts += [None if missing else t.decode("utf-8", "replace") for t, missing in zip(made, part.is_null().to_pylist())]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*names, out])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
-    return df.mapInArrow(build, f"{kept}, `{out}` string")
+    return placed(df).mapInArrow(build, extended(df, f"`{out}` string"))

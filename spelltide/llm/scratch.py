@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from spelltide.sources.files import scratch_path
+from spelltide.sources.staging import staged as stored
+
+__all__ = ["extended", "placed", "quoted", "stored", "unused"]
 
 
 def unused(name: str, df: DataFrame) -> str:
@@ -15,13 +19,17 @@ def unused(name: str, df: DataFrame) -> str:
     return name
 
 
-def stored(df: DataFrame, label: str, **options: str) -> DataFrame:
-    """Write a frame as Parquet under the shared folder and read it again.
+def quoted(name: str) -> str:
+    """A column's name as Spark takes it, whatever characters it has."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def extended(df: DataFrame, ddl: str) -> StructType:
+    """The frame's schema, whatever its names and types, and further columns given as DDL."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(ddl).fields])
+
 
-    Cuts the lineage: a lost executor costs a re-read, not the work before. The folder is left to
-    the clean-up that the cluster has for checkpoints.
-    """
-    spark: SparkSession = df.sparkSession
-    path = scratch_path(spark, label)
-    df.write.options(**options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def placed(df: DataFrame, *more: Column, names: list[str] | None = None) -> DataFrame:
+    """The frame's columns, or those named, and further ones, called by their place: so no name can clash or needs quotes."""
+    names = df.columns if names is None else names
+    return df.select(*[c.alias(f"_{i}") for i, c in enumerate([*(F.col(quoted(n)) for n in names), *more])])

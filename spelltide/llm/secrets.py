@@ -12,7 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spelltide.llm.words import pieces, spans
+from spelltide.llm.scratch import extended, placed
+from spelltide.llm.words import PIECE_BYTES, pieces, spans
 
 # The patterns, the least length of a hit, and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -62,16 +63,18 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return sorted(found, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Span and code of every character of the spans; a code is two symbols of context and the symbol."""
-    size = ends - starts
-    which = np.repeat(np.arange(len(starts)), size)
-    step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-    at = starts[which] + step
-    code = _CLASS[data[at]]
-    one = np.where(step >= 1, _CLASS[data[np.maximum(at - 1, 0)]], START)
-    two = np.where(step >= 2, _CLASS[data[np.maximum(at - 2, 0)]], START)
-    return which, (two * SYMBOLS + one) * SYMBOLS + code
+def _codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Span and code of every character of the spans, about a million at a time; a code is two symbols of context and the symbol."""
+    after = np.cumsum(ends - starts)
+    for low in range(0, int(after[-1]) if len(after) else 0, PIECE_BYTES):
+        nth = np.arange(low, min(low + PIECE_BYTES, int(after[-1])))
+        which = np.searchsorted(after, nth, "right")
+        step = nth - (after - (ends - starts))[which]
+        at = starts[which] + step
+        code = _CLASS[data[at]]
+        one = np.where(step >= 1, _CLASS[data[np.maximum(at - 1, 0)]], START)
+        two = np.where(step >= 2, _CLASS[data[np.maximum(at - 2, 0)]], START)
+        yield which, (two * SYMBOLS + one) * SYMBOLS + code
 
 
 def _random_counts() -> np.ndarray:
@@ -82,7 +85,8 @@ def _random_counts() -> np.ndarray:
         letters = np.frombuffer(alphabet, np.uint8)
         data = letters[rng.integers(0, len(letters), SAMPLES * SAMPLE_LENGTH)]
         starts = np.arange(SAMPLES) * SAMPLE_LENGTH
-        np.add.at(counts, _codes(data, starts, starts + SAMPLE_LENGTH)[1], 1)
+        for _, code in _codes(data, starts, starts + SAMPLE_LENGTH):
+            counts += np.bincount(code, minlength=len(counts))
     return counts
 
 
@@ -106,23 +110,43 @@ class SecretModel:
     log_odds: float = LOG_ODDS
 
 
+def _bytes_of(text: str, found: list[tuple[int, int, str]]) -> dict[int, int]:
+    """UTF-8 place of every place in code points at which a span starts or ends, in one way through the text."""
+    out, at, size = {}, 0, 0
+    for place in sorted({x for span in found for x in span[:2]}):
+        size += len(text[at:place].encode())
+        at = place
+        out[place] = size
+    return out
+
+
+def _touched(starts: np.ndarray, ends: np.ndarray, offsets: np.ndarray, texts: list[str], found: list[list[tuple[int, int, str]]]) -> np.ndarray:
+    """Whether a found span shares a byte with each of the runs."""
+    hits = []
+    for i, spans_ in enumerate(found):
+        places = _bytes_of(texts[i], spans_)
+        hits += [(offsets[i] + places[a], offsets[i] + places[b]) for a, b, _ in spans_]
+    if not hits:
+        return np.zeros(len(starts), bool)
+    first, last = np.array(sorted(hits)).T
+    before = np.searchsorted(first, ends) - 1
+    return (before >= 0) & (np.maximum.accumulate(last)[np.maximum(before, 0)] > starts)
+
+
 def _labelled(data: np.ndarray, offsets: np.ndarray, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Runs of the alphabet of four characters and more, and whether a fixed pattern touches them."""
-    starts, ends, row = spans(_CLASS[data] >= 0, offsets)
+    starts, ends, _ = spans(_CLASS[data] >= 0, offsets)
     long = ends - starts >= 4
-    starts, ends, row = starts[long], ends[long], row[long]
-    touched = np.zeros(len(data) + 1, np.int64)
-    for i, text in enumerate(texts):
-        for a, b, _ in base_spans(text):
-            touched[offsets[i] + len(text[:a].encode())] += 1
-            touched[offsets[i] + len(text[:b].encode())] -= 1
-    covered = np.concatenate([[0], np.cumsum(np.cumsum(touched) > 0)])
-    return starts, ends, covered[ends] > covered[starts]
+    starts, ends = starts[long], ends[long]
+    return starts, ends, _touched(starts, ends, offsets, texts, [base_spans(text) for text in texts])
 
 
-def _random(which: np.ndarray, code: np.ndarray, spans: int, model: SecretModel) -> np.ndarray:
+def _random(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: SecretModel) -> np.ndarray:
     """Whether the model calls a span random."""
-    return np.bincount(which, model.ratio[code], spans) >= model.log_odds
+    total = np.zeros(len(starts))
+    for which, code in _codes(data, starts, ends):
+        total += np.bincount(which, model.ratio[code], len(starts))
+    return total >= model.log_odds
 
 
 def _model(counts: np.ndarray, log_odds: float, highest: int = ORDER) -> SecretModel:
@@ -157,12 +181,12 @@ def fit(df: DataFrame, text: str = "text", log_odds: float = LOG_ODDS) -> Secret
                 texts = batch.column(0).fill_null("")
                 for low, high, data, offsets in pieces(texts):
                     starts, ends, hit = _labelled(data, offsets, texts.slice(low, high - low).to_pylist())
-                    which, code = _codes(data, starts, ends)
                     ordinary = ~hit & (ends - starts < LEAST_DOUBTED)
                     if shared.value:
-                        ordinary |= ~hit & ~_random(which, code, len(starts), shared.value)
+                        ordinary |= ~hit & ~_random(data, starts, ends, shared.value)
                     for label, chosen in ((0, ordinary), (1, hit & (ends - starts >= LEAST_RANDOM))):
-                        totals[label] += np.bincount(code[chosen[which]], minlength=totals.shape[1])
+                        for _, code in _codes(data, starts[chosen], ends[chosen]):
+                            totals[label] += np.bincount(code, minlength=totals.shape[1])
             label, code = np.nonzero(totals)
             yield pa.RecordBatch.from_pydict({"label": label.astype(np.int32), "code": code.astype(np.int32), "n": totals[label, code]})
 
@@ -186,14 +210,14 @@ def scan_texts(data: np.ndarray, offsets: np.ndarray, texts: list[str], model: S
     starts, ends, row = spans(_CLASS[data] >= 0, offsets)
     long = ends - starts >= LEAST_RANDOM
     starts, ends, row = starts[long], ends[long], row[long]
-    which, code = _codes(data, starts, ends)
-    random = _random(which, code, len(starts), model)
-    points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    random = _random(data, starts, ends, model) & ~_touched(starts, ends, offsets, texts, found)
+    of, at, points = -1, 0, 0
     for a, b, i in zip(starts[random], ends[random], row[random]):
-        first = int(points[a] - points[offsets[i]])
-        last = first + int(b - a)
-        if all(last <= t[0] or t[1] <= first for t in found[i]):
-            found[i].append((first, last, "random"))
+        if i != of:
+            of, at, points = i, int(offsets[i]), 0
+        points += int(np.count_nonzero((data[at:a] & 0xC0) != 0x80))
+        at = int(a)
+        found[i].append((points, points + int(b - a), "random"))
     return [sorted(each, key=lambda s: (s[0], KINDS.index(s[2]))) for each in found]
 
 
@@ -241,6 +265,5 @@ def scan(df: DataFrame, model: SecretModel, text: str = "text", mask: str = "[SE
             ]
             yield pa.RecordBatch.from_arrays([*batch.columns[: len(names)], *made], [*names, *(prefix + c for c in new)])
 
-    kept = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema.fields)
     made = ", ".join(f"`{prefix}{c}` {kind}" for c, kind in new.items())
-    return df.select("*", F.col(text).cast("string").alias("_secret_text")).mapInArrow(build, f"{kept}, {made}")
+    return placed(df, F.col(text).cast("string")).mapInArrow(build, extended(df, made))

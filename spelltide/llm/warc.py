@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spelltide.llm.scratch import stored
-from spelltide.sources.files import scratch_path
+from spelltide.sources.scratch import scratch_path
 
 # Magic numbers of the Zstandard and WARC-zstd formats.
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"

@@ -91,7 +91,51 @@ def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray
     return span_hashes(_VALUES[data], starts, ends)
 
 
+def _open_runs(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Hash and row of every run, block by block; a run that crosses blocks is carried as its sum and length."""
+    carried, length, owner = np.uint64(0), 0, -1
+    for low in range(0, len(data), PIECE_BYTES):
+        high = min(len(data), low + PIECE_BYTES)
+        block = data[low:high]
+        first = int(np.searchsorted(offsets, low, "right")) - 1
+        bounds = np.clip(offsets[first : int(np.searchsorted(offsets, high, "left")) + 1] - low, 0, len(block))
+        starts, ends, row = spans(inside[block], bounds)
+        row = row + first
+        powers, inverses = _powers(len(block))
+        total = np.zeros(len(block) + 1, np.uint64)
+        np.cumsum(_VALUES[fold[block]] * powers[: len(block)], out=total[1:])
+        sums = (total[ends] - total[starts]) * inverses[starts]
+        if owner >= 0:
+            if len(starts) and starts[0] == 0 and row[0] == owner:
+                shift = np.uint64(pow(_BASE, length, 1 << 64))
+                sums[:1] = carried + shift * sums[:1]
+                length += int(ends[0])
+            else:
+                yield mix(np.array([carried])), np.array([owner])
+                length, owner = 0, -1
+        if len(ends) and ends[-1] == len(block) and high < len(data) and inside[data[high]] and offsets[row[-1] + 1] > low + len(block):
+            if owner < 0 or len(ends) > 1:
+                length = int(ends[-1] - starts[-1])
+            carried, owner = sums[-1], int(row[-1])
+            sums, row = sums[:-1], row[:-1]
+        else:
+            length, owner = 0, -1
+        yield mix(sums), row
+
+
+def run_hashes(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray, fold: np.ndarray = np.arange(256, dtype=np.uint8)) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and row of the maximal runs of the bytes marked in `inside`, in order; bytes count as `fold` has them.
+
+    Longer data than two pieces goes through in blocks, so that a very long text needs little more memory than its
+    own bytes and the hashes of its runs.
+    """
+    if len(data) <= 2 * PIECE_BYTES:
+        starts, ends, row = spans(inside[data], offsets)
+        return hashes(fold[data], starts, ends), row
+    found = list(_open_runs(data, offsets, inside, fold))
+    return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
+
+
 def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash and row of every word, in order."""
-    starts, ends, row = spans(~WHITE[data], offsets)
-    return hashes(LOWER[data], starts, ends), row
+    return run_hashes(data, offsets, ~WHITE, LOWER)

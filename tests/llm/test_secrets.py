@@ -3,7 +3,11 @@ import random
 import re
 import string
 
+import numpy as np
+import pytest
+
 from spelltide.llm import secrets
+from spelltide.llm import words as words_module
 
 WORDS = "the quick brown foxes jumped over lazy dogs internationalization configuration_parameters getElementByIdentifier understanding".split()
 
@@ -78,3 +82,102 @@ def test_recall_of_each_alphabet_does_not_fade_with_the_corpus(spark, documents)
             found = [key not in clean[i] for i, (b, key) in enumerate(made) if a == b]
             assert sum(found) >= 0.9 * len(found), (size, a, sum(found), len(found))
         assert all(clean[i].startswith(lines[i % 50]) for i in range(size))
+
+
+# --- the ratio of the two models, by plain dictionaries ---
+
+NAMES = secrets.ALPHABET.decode()
+START_MARK = "^"
+
+
+def runs(text):
+    return [(m.start(), m.end()) for m in re.finditer(f"[{re.escape(NAMES)}]{{4,}}", text)]
+
+
+def symbols_of(run):
+    padded = START_MARK * secrets.ORDER + run
+    return [(padded[i : i + secrets.ORDER], padded[i + secrets.ORDER]) for i in range(len(run))]
+
+
+def plain_log_p(counts, least, highest=secrets.ORDER):
+    """A function (context, symbol) -> log P, from a dictionary of counts by (context of two, symbol)."""
+    tables = []
+    for order in range(secrets.ORDER + 1):
+        seen = {}
+        for (context, s), n in counts.items():
+            own = seen.setdefault(context[secrets.ORDER - order :], {})
+            own[s] = own.get(s, 0) + n
+        tables.append(seen)
+
+    def p(context, s, order):
+        below = 1 / secrets.SYMBOLS if order == 0 else p(context, s, order - 1)
+        own = tables[order].get(context[secrets.ORDER - order :], {})
+        total = sum(own.values())
+        if total < least or order > highest:
+            return below
+        return (own.get(s, 0) + secrets.SMOOTHING * below) / (total + secrets.SMOOTHING)
+
+    return lambda context, s: np.log(p(context, s, secrets.ORDER))
+
+
+def plain_ratio(texts):
+    """The log-likelihood ratio after three readings of the texts, as `fit` describes them."""
+    every = [(c + d, s) for c in NAMES + START_MARK for d in NAMES + START_MARK for s in NAMES + START_MARK]
+    code = {x: i for i, x in enumerate(NAMES + START_MARK)}
+    made = secrets._random_counts()
+    generated = {k: made[(code[k[0][0]] * secrets.SYMBOLS + code[k[0][1]]) * secrets.SYMBOLS + code[k[1]]] for k in every}
+    generated = {k: n for k, n in generated.items() if n}
+    labelled = []
+    for text in texts:
+        hits = base(text)
+        labelled += [(text[a:b], any(a < e and s < b for s, e, _ in hits)) for a, b in runs(text)]
+
+    def counted(chosen):
+        out = {}
+        for run in chosen:
+            for k in symbols_of(run):
+                out[k] = out.get(k, 0) + 1
+        return out
+
+    ratio = None
+    for reading in range(3):
+        ordinary = [r for r, hit in labelled if not hit and (len(r) < secrets.LEAST_DOUBTED or ratio and sum(ratio(*k) for k in symbols_of(r)) < secrets.LOG_ODDS)]
+        found = counted(r for r, hit in labelled if hit and len(r) >= secrets.LEAST_RANDOM)
+        own = counted(ordinary)
+        total = sum(own.values())
+        if reading == 0:
+            own = {k: own.get(k, 0) + secrets.EVEN * total / len(every) for k in every}
+        share = min(1.0, sum(generated.values()) / max(sum(found.values()), 1))
+        random_ = {k: found.get(k, 0) * share + generated.get(k, 0) for k in {*found, *generated}}
+        one, two = plain_log_p(random_, secrets.LEAST_SEEN), plain_log_p(own, max(secrets.LEAST_SEEN, secrets.LEAST_SHARE * sum(own.values())), 0 if reading == 0 else secrets.ORDER)
+        ratio = lambda c, s, one=one, two=two: one(c, s) - two(c, s)
+    return ratio
+
+
+def test_ratio_equals_a_plain_computation(spark):
+    rng = random.Random(4)
+    texts = []
+    for i in range(120):
+        words = [rng.choice(WORDS) for _ in range(rng.randint(5, 40))]
+        if i % 3 == 0:
+            words.insert(2, "".join(rng.choice(string.ascii_uppercase + string.digits) for _ in range(32)))
+        if i % 5 == 0:
+            words.insert(0, "token=" + "".join(rng.choice("0123456789abcdef") for _ in range(40)))
+        texts.append(" é ".join(words))
+    model = secrets.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    ratio = plain_ratio(texts)
+    code = {x: i for i, x in enumerate(NAMES + START_MARK)}
+    at = lambda c, s: (code[c[0]] * secrets.SYMBOLS + code[c[1]]) * secrets.SYMBOLS + code[s]
+    asked = {k for t in texts for a, b in runs(t) for k in symbols_of(t[a:b])} | set(symbols_of("Zq8kXv2LmP0sTr7YwB4n"))
+    assert [model.ratio[at(*k)] for k in sorted(asked)] == pytest.approx([ratio(*k) for k in sorted(asked)], abs=1e-9)
+    for text in (texts[0], texts[1], "getElementByIdentifierConfiguration Zq8kXv2LmP0sTr7YwB4nJc6H"):
+        data, offsets = words_module.utf8(words_module.pa.array([text]))
+        want = {(a, b) for a, b in runs(text) if b - a >= 20 and not any(a < e and s < b for s, e, _ in base(text)) and sum(ratio(*k) for k in symbols_of(text[a:b])) >= secrets.LOG_ODDS}
+        assert {(a, b) for a, b, kind in secrets.scan_texts(data, offsets, [text], model)[0] if kind == "random"} == want
+
+
+def test_repeated_rows(spark):
+    rows = [(1, "token=abcdef1234")] * 3 + [(None, "token=abcdef1234")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = secrets.scan(df, secrets.fit(df)).collect()
+    assert len(out) == 5 and len({(r.n_assign, r.spans, r.clean_text) for r in out}) == 1
