@@ -17,7 +17,8 @@ from pyspark.sql import SparkSession
 from checks.queries import TYPED
 from spelltide.plans import bridge
 from spelltide.session import apply_settings
-from spelltide.sources.files import drop_path, scratch_path
+from spelltide.sources.scratch import drop_path, scratch_path
+from spelltide.sources.tables import located
 
 HEADLINE = [
     "triangle_month",
@@ -26,9 +27,11 @@ HEADLINE = [
     "fx_wide",
     "fx_convert",
     "membership_months",
+    "membership_months_late",
     "membership_with_residence",
     "best_spell_per_month",
     "membership_report",
+    "membership_report_late",
     "membership_medical",
     "residence_overlap_join",
     "spell_snapshot",
@@ -48,6 +51,7 @@ def store_inputs(spark: SparkSession, sf_dir: str) -> str:
     for name in INPUTS:
         getattr(bridge, name)(spark, sf_dir).write.parquet(f"{root}/{name}")
         setattr(bridge, name, lambda spark, _, path=f"{root}/{name}": spark.read.parquet(path))
+    bridge.placed_eligibility = lambda spark, sf: located(bridge.eligibility(spark, sf))
     return root
 
 

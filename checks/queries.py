@@ -471,6 +471,21 @@ def membership_months(spark, sf):
     return M.membership_months(B.eligibility(spark, sf), as_of=AS_OF)
 
 
+@query
+def spell_snapshot_late(spark, sf):
+    return S.spell_snapshot(S.cover_override(B.placed_eligibility(spark, sf)))
+
+
+@query
+def membership_months_late(spark, sf):
+    return M.membership_months(B.placed_eligibility(spark, sf), as_of=AS_OF)
+
+
+@query
+def membership_report_late(spark, sf):
+    return M.membership_report(B.placed_eligibility(spark, sf), B.residences(spark, sf), as_of=AS_OF)
+
+
 # --- residence and coverage ---
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from spelltide.functions.coverage import FROM, MONTH, TO, eligible_flag, touches_month
 from spelltide.functions.periods import as_of_date
+from spelltide.sources.staging import staged
+from spelltide.sources.tables import LOCATOR
 
 SPELL = ["memberid", FROM, TO]
 CODE = "lineofcovercode"
@@ -77,27 +79,66 @@ def held_columns(codes: list[str]) -> list[str]:
     return [f"_held_{i}" for i in range(len(codes))]
 
 
+def is_located(df: DataFrame) -> bool:
+    """Whether the rows tell their place in a table, as `located` adds it."""
+    return set(LOCATOR) <= set(df.columns)
+
+
+def _keyed(df: DataFrame) -> DataFrame:
+    return df.where(F.col("memberid").isNotNull() & F.col(FROM).isNotNull() & F.col(TO).isNotNull())
+
+
+def _held(codes: list[str]) -> list[Column]:
+    return [F.max(F.when(F.trim(CODE) == c, 1)).alias(h) for c, h in zip(codes, held_columns(codes))]
+
+
 def spell_covers(df: DataFrame, codes: list[str], carry: list[str] | None = None) -> DataFrame:
     """One row per spell that has a cover: a 1-or-null column per code and, with `carry`, the
     first-loaded row's values of those columns.
 
     Both come from one aggregate with partial sums before its shuffle. The snapshot looks at every
-    row of the spell, also those without a cover code; the smallest values settle equal load times.
+    row of the spell, also those without a cover code; the smallest values settle equal load times. Rows that
+    tell their place (`located`) are materialised late instead, see `first_places`.
     """
-    code = F.trim(CODE)
-    rows = df.where(F.col("memberid").isNotNull() & F.col(FROM).isNotNull() & F.col(TO).isNotNull())
-    measures = [F.max(F.when(code == c, 1)).alias(h) for c, h in zip(codes, held_columns(codes))]
+    rows = _keyed(df)
     if carry is None:
-        return covered(rows).groupBy(*SPELL).agg(F.count("*").alias("_rows"), *measures).drop("_rows")
-    measures.append(F.min(F.struct(LOADED, *carry)).alias("_first"))
+        return covered(rows).groupBy(*SPELL).agg(F.count("*").alias("_rows"), *_held(codes)).drop("_rows")
+    if is_located(df):
+        return fetched(df, first_places(df, codes).where("_covered").drop("_covered"), [LOADED, *carry])
+    measures = [*_held(codes), F.min(F.struct(LOADED, *carry)).alias("_first")]
     return (
         rows.groupBy(*SPELL)
-        .agg(F.max(code != "").alias("_covered"), *measures)
+        .agg(F.max(F.trim(CODE) != "").alias("_covered"), *measures)
         .where("_covered")
         .select(*SPELL, *held_columns(codes), "_first.*")
     )
 
 
+def first_places(df: DataFrame, codes: list[str] | None = None, carry: list[str] | None = None) -> DataFrame:
+    """One row per spell: where its first-loaded row lies, and with `codes`, its held-cover columns and whether it has a cover.
+
+    Only keys, load time, cover code, place and the few columns of `carry` are read, aggregated and shuffled, whatever the
+    width of the table. Of rows loaded at the same time the first in the table counts. The result is
+    stored, so Spark knows its size when it joins the other columns.
+    """
+    choice = F.min(F.struct(LOADED, *LOCATOR, *(carry or []))).alias("_first")
+    marks = [] if codes is None else [F.max(F.trim(CODE) != "").alias("_covered"), *_held(codes)]
+    found = _keyed(df).groupBy(*SPELL).agg(*marks, choice)
+    kept = [] if codes is None else ["_covered", *held_columns(codes)]
+    return staged(found.select(*SPELL, *kept, *[f"_first.{c}" for c in (*LOCATOR, *(carry or []))]), "first-places")
+
+
+def fetched(df: DataFrame, places: DataFrame, columns: list[str]) -> DataFrame:
+    """The places' columns but for the place itself, with the given columns of the rows that lie there.
+
+    A join on the place: places that Spark sees to be small are broadcast, and the wide rows are then not
+    shuffled at all; else they are shuffled once, unsorted by anything but their place.
+    """
+    taken = [c for c in places.columns if c not in LOCATOR]
+    wide = df.select(*LOCATOR, *[c for c in columns if c not in taken])
+    return wide.join(places, LOCATOR).select(*taken, *[c for c in columns if c not in taken])
+
+
 def flag_covers(df: DataFrame, codes: list[str], absent: int | None = 0) -> DataFrame:
     """Turn the spell's held-cover columns into month flags named by code, and add `eligible`."""
     held = held_columns(codes)
@@ -126,9 +167,16 @@ def cover_pivot(
 
 
 def spell_snapshot(df: DataFrame) -> DataFrame:
-    """The first-loaded row of each spell, its key columns renamed to `<name>_source`."""
+    """The first-loaded row of each spell, its key columns renamed to `<name>_source`.
+
+    Rows that tell their place (`located`) are chosen by it and fetched afterwards; spells with a null key are
+    left out then, as they match no months. Others are ranked in full, one candidate per task before the shuffle.
+    """
     df = as_dates(df)
-    others = [c for c in df.columns if c not in SPELL and c != LOADED]
+    others = [c for c in df.columns if c not in SPELL and c not in LOCATOR and c != LOADED]
+    if is_located(df):
+        first = fetched(df, first_places(df), [LOADED, *others])
+        return first.withColumnsRenamed({c: f"{c}_source" for c in SPELL})
     order = W.partitionBy(*SPELL).orderBy(LOADED, *others)
     return (
         df.withColumn("_row", F.row_number().over(order))

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from spelltide.sources.staging import staged
+from spelltide.sources.tables import located
+
 CURRENCIES = ["USD", "EUR", "GBP", "CHF", "JPY"]
 ENTITIES = ["82440", "82813", "82810", "53154", "82811", "53134", "82812", "99999"]
 QUOTED = {"USD": 1, "EUR": 2, "GBP": 3, "CHF": 4, "AUD": 5}
@@ -108,3 +111,8 @@ def residences(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(key % 11 != 0, F.date_add(origin, offset)).alias("countryofresidencestartdate"),
         F.when((key + v) % 3 != 0, F.date_add(origin, offset + 365)).alias("countryofresidenceenddate"),
     )
+
+
+def placed_eligibility(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The spells as a table of files, each row with its place."""
+    return located(staged(eligibility(spark, sf_dir), "eligibility"))

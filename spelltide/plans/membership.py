@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +20,7 @@ from spelltide.schemas import MEMBERSHIP_LEADING, MEMBERSHIP_TRAILING
 from spelltide.session import apply_settings
 from spelltide.sources.files import write_frame
 from spelltide.sources.staging import scratch_scope
-from spelltide.sources.tables import TableSpec, require_rows, scan_table
+from spelltide.sources.tables import LOCATOR, TableSpec, located, require_rows, scan_table
 
 
 def _carried(df: DataFrame) -> list[str]:
@@ -28,7 +29,7 @@ def _carried(df: DataFrame) -> list[str]:
     The first-loaded row is the smallest of these values in order, so a plan that carries only the
     keys picks the same row as one that carries everything.
     """
-    return R.KEYS + [c for c in df.columns if c not in {*S.SPELL, S.LOADED, *R.KEYS}]
+    return R.KEYS + [c for c in df.columns if c not in {*S.SPELL, S.LOADED, *R.KEYS, *LOCATOR}]
 
 
 def membership_months(eligibility: DataFrame, codes: list[str] | None = None, as_of=None, absent: int | None = 0) -> DataFrame:
@@ -103,20 +104,31 @@ def membership_report(
     The wide attributes are shuffled once, by spell. Residence and the choice of spell per month are
     worked out on key columns alone and then joined to the spells, which already lie by spell. Both start
     from one narrow aggregate, whose exchange Spark reuses, so the table is read twice: once narrow, once
-    wide. The joins are sort-merge by hint: months outgrow the size Spark estimates for them, which must
+    wide. Rows that tell their place (`located`) are read once narrow, for keys, covers and the place of the first-loaded
+    row, and their attributes are fetched from there. The joins are sort-merge by hint: months outgrow the size Spark estimates for them, which must
     not lead to a broadcast.
     """
     rows = S.cover_override(S.as_dates(eligibility))
     codes = codes or S.discover_codes(rows, as_of)
+    stay = [R.TYPE, R.CODE, R.START, R.END]
+    if S.is_located(rows):
+        places = S.first_places(rows, codes, R.KEYS).where("_covered").drop("_covered")
+        keys = places.drop(*LOCATOR)
+        bare = S.fetched(rows, places.drop(*R.KEYS), [S.LOADED, *_carried(rows)]).drop(*stay)
+        return _reported(keys, bare, residence, codes, as_of, absent)
     spells = S.spell_covers(rows, codes, carry=_carried(rows))
     # Both uses of the narrow aggregate must ask for the same, or they could not share its exchange: only
     # spells with months, and, by a condition that always holds, every column.
     first, last = S.month_range(as_of)
     used = [first <= last] + [F.coalesce(F.length(F.col(c).cast("string")), F.lit(0)) >= 0 for c in (*S.held_columns(codes), *R.KEYS)]
     keys = S.spell_covers(rows, codes, carry=R.KEYS).where(reduce(and_, used))
+    return _reported(keys, spells.drop(*stay), residence, codes, as_of, absent)
+
+
+def _reported(keys: DataFrame, bare: DataFrame, residence: DataFrame, codes: list[str], as_of, absent: int | None) -> DataFrame:
+    """The report from narrow spells (keys and held covers) and from their attributes."""
     stay = [R.TYPE, R.CODE, R.START, R.END]
     placed = R.with_residence(keys.select(*S.SPELL, *R.KEYS), R.residence_lookup(residence)).select(*S.SPELL, *stay)
-    bare = spells.drop(*stay)
     months = (
         best_months(keys, codes, as_of)
         .join(bare.hint("merge"), S.SPELL)
@@ -149,7 +161,16 @@ def run_medical(
     apply_settings(spark, shuffled_bytes)
     rows = scan_table(spark, table, force=True, probe=False)
     validate(rows, pre, table.name, PreValidationError)
-    return _published(membership_medical(rows, as_of), path, "medical report", post, eligibility=rows)
+    with scratch_scope(spark):
+        return _published(membership_medical(_placed(rows), as_of), path, "medical report", post, eligibility=rows)
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """Rows with their place where they come from Parquet files; views over other things stay as they are."""
+    try:
+        return located(rows)
+    except AnalysisException:
+        return rows
 
 
 def _published(report: DataFrame, path: str, label: str, post: Sequence[Check], **inputs: DataFrame) -> int:
@@ -183,5 +204,5 @@ def run_membership(
     rows = scan_table(spark, eligibility, force=True, probe=False)
     validate(rows, pre, eligibility.name, PreValidationError)
     with scratch_scope(spark):
-        report = membership_report(rows, scan_table(spark, residence), codes=codes, as_of=as_of)
+        report = membership_report(_placed(rows), scan_table(spark, residence), codes=codes, as_of=as_of)
         return _published(report, path, "membership report", post, eligibility=rows)

@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from spelltide.errors import ColumnNotFoundError, InvalidTableSchemaError, TableNotFoundError
@@ -138,6 +139,19 @@ def require_rows(**frames: DataFrame) -> None:
             raise TableNotFoundError(f"{name} is missing or empty")
 
 
+#: Columns that tell a row's place in a table of files.
+LOCATOR = ["_file", "_place"]
+
+
+def located(df: DataFrame) -> DataFrame:
+    """A scan of Parquet files, with filters and projections at most, and each row's file and place in it.
+
+    Operators that choose one of many rows need only carry these two through their shuffles, and fetch the other columns
+    for the chosen rows afterwards.
+    """
+    return df.withColumns({LOCATOR[0]: F.col("_metadata.file_path"), LOCATOR[1]: F.col("_metadata.row_index")})
+
+
 def scan_tables(spark: SparkSession, spec: TableSpec, force: bool = False) -> DataFrame:
     """The rows of every table of the list, matched by column name.
 

@@ -2,18 +2,22 @@
 
 import re
 from datetime import date
+from pathlib import Path
 
 import pytest
 from support import plan_of, same
 from pyspark.sql import functions as F
 
+from spelltide.errors import PostValidationError, PreValidationError, TableNotFoundError
 from spelltide.functions.coverage import FROM, MONTH, TO, coverage_measures
+from spelltide.operators import quality as Q
 from spelltide.operators import residence as R
 from spelltide.operators import spells as S
 from spelltide.plans import bridge as B
 from spelltide.plans import membership as M
 from spelltide.schemas import MEMBERSHIP_LEADING, MEMBERSHIP_TRAILING
-from spelltide.sources.tables import TableSpec
+from spelltide.sources.staging import scratch_scope
+from spelltide.sources.tables import TableSpec, register_table
 
 AS_OF = "2001-12-31"
 CODES = ["DEN", "MED", "VIS"]
@@ -120,3 +124,32 @@ def test_medical_months_end_at_the_cut_off(spark):
     row = ("m", "c", "1", date(2020, 1, 5), date(9999, 12, 31), "Medical", "MED", 1)
     schema = "memberid string, customerid string, sourcesystemid string, eligibilityfromdate date, eligibilitytodate date, lineofcover string, lineofcovercode string, sysbatchdttm long"
     assert M.membership_medical(spark.createDataFrame([row], schema), "2021-03-15").count() == 15
+
+
+def test_jobs_over_stored_tables_validate_and_clean_up(spark, sf, tmp_path):
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    rows, stays = tmp_path / "eligibility", tmp_path / "residence"
+    B.eligibility(spark, sf).write.parquet(str(rows))
+    B.residences(spark, sf).write.parquet(str(stays))
+    register_table(spark, str(rows), "spells", "spelltide_tests")
+    register_table(spark, str(stays), "homes", "spelltide_tests")
+    spec, homes = (TableSpec(name=n, database="spelltide_tests") for n in ("spells", "homes"))
+    before = set(shared.iterdir())
+    report, medical = str(tmp_path / "report"), str(tmp_path / "medical")
+    M.run_membership(spark, spec, homes, report, CODES, AS_OF)
+    M.run_medical(spark, spec, medical, AS_OF)
+    assert set(shared.iterdir()) == before
+    with scratch_scope(spark):
+        assert same(spark.read.parquet(report), M.membership_report(B.eligibility(spark, sf), B.residences(spark, sf), CODES, AS_OF))
+    assert same(spark.read.parquet(medical), M.membership_medical(B.eligibility(spark, sf), AS_OF))
+    blank = (Q.matches("lineofcovercode", "[A-Z]", "cover_written"), Q.Threshold(share=0.01))
+    with pytest.raises(PreValidationError, match="cover_written"):
+        M.run_membership(spark, spec, homes, report, CODES, AS_OF, pre=[blank])
+    few = (Q.Rule("all_eligible", ("eligible",), F.col("eligible") != 1, "months without cover"), Q.Threshold(rows=5))
+    for run in (lambda: M.run_membership(spark, spec, homes, report, CODES, AS_OF, post=[few]), lambda: M.run_medical(spark, spec, medical, AS_OF, post=[few])):
+        with pytest.raises(PostValidationError, match="all_eligible"):
+            run()
+    with pytest.raises(TableNotFoundError, match="eligibility"):
+        M.run_medical(spark, TableSpec(name="spells", database="spelltide_tests", predicate="memberid = 'nobody'"), medical, AS_OF)
+    assert spark.read.parquet(report).count() > 0 < spark.read.parquet(medical).count()
+    assert set(shared.iterdir()) == before and not [p for p in tmp_path.iterdir() if p.name.startswith("_")]

@@ -1,3 +1,4 @@
+import re
 from datetime import date
 
 import pytest
@@ -8,6 +9,8 @@ from spelltide.functions.coverage import FROM, MONTH, TO
 from spelltide.operators import spells as S
 from spelltide.plans import bridge as B
 from spelltide.plans import membership as M
+from spelltide.sources import staging
+from spelltide.sources.tables import located
 
 SCHEMA = f"""memberid string, customerid string, sourcesystemid string, {FROM} date, {TO} date, lineofcover string,
     lineofcovercode string, sysbatchdttm bigint"""
@@ -139,3 +142,51 @@ def test_best_spell(spark):
         ("2", date(2024, 2, 20), date(2024, 3, 2)),
         ("3", date(2024, 2, 20), date(2024, 3, 2)),
     ]
+
+
+# --- late materialisation ---
+
+
+@pytest.fixture(scope="module")
+def stored_spells(spark, sf, tmp_path_factory):
+    """Spells with wide attributes, in four files."""
+    path = str(tmp_path_factory.mktemp("spells") / "table")
+    wide = {f"attribute{i}": F.sha2(F.concat("memberid", F.lit(i)), 256) for i in range(8)}
+    S.cover_override(B.eligibility(spark, sf)).withColumns(wide).repartition(4).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"])
+def test_late_equals_early(spark, stored_spells, broadcast):
+    codes = ["DEN", "MED", "VIS"]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
+    try:
+        assert same(S.spell_snapshot(stored_spells), S.spell_snapshot(located(stored_spells)))
+        early, late = (M.membership_months(x, codes, "2001-12-31") for x in (stored_spells, located(stored_spells)))
+        assert sorted(early.columns) == sorted(late.columns) and same(early, late)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_late_plan_neither_sorts_nor_shuffles_wide_rows(stored_spells, capsys):
+    for df in (S.spell_snapshot(located(stored_spells)), M.membership_months(located(stored_spells), ["DEN", "MED"], "2001-12-31")):
+        plan = plan_of(df, capsys)
+        assert "BroadcastHashJoin" in plan and not re.search(r"SortAggregate|Window|Sort\b|Exchange hashpartitioning", plan.split("\n(1)")[0])
+    assert "Exchange" in plan_of(S.spell_snapshot(stored_spells), capsys)
+
+
+def test_places_are_found_in_narrow_rows(spark, stored_spells, monkeypatch, capsys):
+    plans = []
+    monkeypatch.setattr(S, "staged", lambda df, label: plans.append(plan_of(df, capsys)) or staging.staged(df, label))
+    S.first_places(located(stored_spells), ["MED"], ["customerid"])
+    assert "attribute0" not in plans[0] and "lineofcovercode" in plans[0]
+
+
+def test_of_rows_loaded_together_the_first_in_the_table_counts(spark, tmp_path):
+    rows_ = [("1", "9", "2024-01-10", "2024-02-10", "DEN", 5), ("1", "2", "2024-01-10", "2024-02-10", "MED", 5), (None, "2", "2024-01-10", "2024-02-10", "MED", 5)]
+    eligibility(spark, *rows_).coalesce(1).write.parquet(str(tmp_path / "t"))
+    df = located(spark.read.parquet(str(tmp_path / "t")))
+    assert rows(S.spell_snapshot(df), "sourcesystemid") == [("9",)]
+    months = M.membership_months(df, as_of="2024-01-01")
+    assert rows(months, "sourcesystemid", "DEN", "MED") == [("9", 1, 1)]
+    assert M.membership_months(located(spark.read.parquet(str(tmp_path / "t")).where("false")), ["MED"], "2024-01-01").count() == 0
