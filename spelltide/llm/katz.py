@@ -2,13 +2,14 @@
 
 Texts are kept in blocks of some megabytes, as numbers of the block's own words. Counts are merged by
 hash range: a block asks for its distinct n-grams and is sent their counts, in the order in which it
-asked. So only distinct n-grams per block are shuffled, packed as arrays, and never a row per token.
+asked. So only distinct n-grams per block are shuffled, packed as arrays, and never a row per token. The
+ranges of a block are bounded; where blocks are many, unions of blocks ask in their stead.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,9 +17,11 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from spelltide.llm.scratch import stored
-from spelltide.llm.words import mix, pieces, word_hashes
+from spelltide.llm.words import PIECE_BYTES, mix, pieces, word_hashes
 from spelltide.sources.scratch import drop_path, scratch_path
 
 BLOCK_BYTES = 3 << 20
@@ -30,6 +33,8 @@ HIGH_DISCOUNT = 0.05
 HISTORY_SLICE = 1 << 18
 #: Hash ranges of words and of bigrams: at least so many, and one per so many blocks.
 LEAST_RANGES, BLOCKS_PER_WORD_RANGE, BLOCKS_PER_PAIR_RANGE = 64, 2, 1
+#: Requests that meet in one task; of more blocks, so many are folded into one first. Also the most ranges of a block.
+FAN = 512
 
 END, START = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -99,7 +104,7 @@ class Unigrams:
         return np.where(count > 0, self.discount(count) / max(self.tokens, 1), self.unknown)
 
 
-def _blocks(df: DataFrame, key: str, text: str, held: str) -> DataFrame:
+def _blocks(df: DataFrame, key: str, text: str, held: str, block_bytes: int) -> DataFrame:
     """Blocks of whole texts: ids, the sorted hashes of their words, counts in training texts, and all tokens."""
 
     def block(ids: list, held: list, sizes: list, tokens: list) -> pa.RecordBatch:
@@ -116,7 +121,7 @@ def _blocks(df: DataFrame, key: str, text: str, held: str) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]):
         ids, held, sizes, tokens, total = [], [], [], [], 0
         for batch in batches:
-            for low, high, data, offsets in pieces(batch.column(2)):
+            for low, high, data, offsets in pieces(batch.column(2), min(PIECE_BYTES, block_bytes)):
                 word, row = word_hashes(data, offsets)
                 rows = high - low
                 token = np.full(len(word) + rows, END)
@@ -126,7 +131,7 @@ def _blocks(df: DataFrame, key: str, text: str, held: str) -> DataFrame:
                 sizes.append(np.bincount(row, minlength=rows) + 1)
                 tokens.append(token)
                 total += len(data)
-                if total >= BLOCK_BYTES:
+                if total >= block_bytes:
                     yield block(ids, held, sizes, tokens)
                     ids, held, sizes, tokens, total = [], [], [], [], 0
         if ids:
@@ -149,16 +154,16 @@ def _word_requests(blocks: DataFrame, ranges: int) -> DataFrame:
                 cut = _cuts(words, ranges)
                 full = np.flatnonzero(np.diff(cut))
                 yield pa.RecordBatch.from_pydict({
-                    "part": full.astype(np.int32), "block": np.full(len(full), block),
+                    "part": full, "block": np.full(len(full), block),
                     "words": pa.array([words[cut[i] : cut[i + 1]].tobytes() for i in full], pa.binary()),
                     "counts": pa.array([_pack(counts[cut[i] : cut[i + 1]]) for i in full], pa.binary()),
                 })
 
-    return blocks.select("block", "words", "counts").mapInArrow(ask, "part int, block long, words binary, counts binary")
+    return blocks.select("block", "words", "counts").mapInArrow(ask, "part long, block long, words binary, counts binary")
 
 
 def _merge_words(group: pa.Table) -> pa.Table:
-    """A reply per request: the words' counts and their places in the range. In a row without block, how many words
+    """A reply per request: the words' counts and their numbers, range and place in it. In a row without block, how many words
     occur once, twice, ..., all tokens and distinct words."""
     words = [np.frombuffer(w, np.uint64) for w in group["words"].to_pylist()]
     counts = np.concatenate([_unpack(c) for c in group["counts"].to_pylist()])
@@ -166,10 +171,11 @@ def _merge_words(group: pa.Table) -> pa.Table:
     total = np.bincount(place, counts, len(known)).astype(np.int64)
     cut = np.cumsum([len(w) for w in words])[:-1]
     times = [*np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2], total.sum(), (total > 0).sum()]
+    part = group["part"][0].as_py()
     return pa.table({
-        "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(words) + 1), pa.int32()),
+        "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([part] * (len(words) + 1), pa.int64()),
         "counts": pa.array([*map(_pack, np.split(total[place], cut)), None], pa.binary()),
-        "places": pa.array([*map(_pack, np.split(place, cut)), None], pa.binary()),
+        "places": pa.array([*map(_pack, np.split(place + (part << 32), cut)), None], pa.binary()),
         "times": pa.array([*[None] * len(words), [int(t) for t in times]], pa.list_(pa.int64())),
     })
 
@@ -194,7 +200,7 @@ class Block:
     @classmethod
     def of(cls, words: bytes, sizes: bytes, tokens: bytes, replies: list[dict]) -> Block:
         words = np.append(np.frombuffer(words, np.uint64), START)
-        ids = np.concatenate([_unpack(r["places"]) + (r["part"] << 32) for r in replies])
+        ids = np.concatenate([_unpack(r["places"]) for r in replies])
         counts = np.concatenate([_unpack(r["counts"]) for r in replies])
         counts = np.append(counts, counts[np.searchsorted(words[:-1], END)])
         sizes, token = _unpack(sizes), _unpack(tokens)
@@ -220,6 +226,9 @@ class Block:
         return history, word, back[place], np.searchsorted(part[order], np.arange(ranges + 1))
 
 
+PAIRS = "heads binary, head_counts binary, lengths binary, words binary, word_counts binary, seen binary"
+
+
 def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
@@ -238,11 +247,10 @@ def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
                         _pack(block.ids[word[own]]), _pack(block.counts[word[own]]), _pack(seen[own]),
                     ))
                 names = ("part", "block", "heads", "head_counts", "lengths", "words", "word_counts", "seen")
-                kinds = (pa.int32(), pa.int64(), *[pa.binary()] * 6)
+                kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 6)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], list(names))
 
-    schema = "part int, block long, heads binary, head_counts binary, lengths binary, words binary, word_counts binary, seen binary"
-    return joined.select("block", "held", "words", "sizes", "tokens", "word_replies").mapInArrow(ask, schema)
+    return joined.select("block", "held", "words", "sizes", "tokens", "word_replies").mapInArrow(ask, f"part long, block long, {PAIRS}")
 
 
 _HISTORY = pa.struct([("h", pa.int64()), *((f"n{r}", pa.int64()) for r in range(1, K + 1)), ("big", pa.int64()), ("many", pa.int64()), ("p1", pa.float64())])
@@ -280,7 +288,7 @@ def _pair_merger(unigrams: Unigrams):
         histories = pa.ListArray.from_arrays(pa.array([0] * (len(words) + 1) + [len(table)], pa.int32()), table)
         times = [int(t) for t in np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]]
         return pa.table({
-            "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(words) + 1), pa.int32()),
+            "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(words) + 1), pa.int64()),
             "counts": pa.array([*map(_pack, np.split(count, cut[:-1])), None], pa.binary()),
             "need": pa.array([*need, []], pa.list_(pa.int64())), "histories": histories,
             "times": pa.array([*[None] * len(words), times], pa.list_(pa.int64())),
@@ -289,6 +297,143 @@ def _pair_merger(unigrams: Unigrams):
     return merge
 
 
+@dataclass(frozen=True)
+class _Kind:
+    """How requests of a kind are merged, and folded where too many would meet."""
+
+    payload: str  # columns of a request besides part and block
+    reply: str
+    merge: Callable[[pa.Table], pa.Table]
+    fold: Callable[[list[dict]], tuple[dict, list[np.ndarray]]]  # requests of one range to their union and each one's places in it
+    split: Callable[[dict, int], Iterator[tuple[int, dict]]]  # a union by ranges within its range, in its order
+    answer: Callable[[dict, list[dict], np.ndarray, int], dict]  # a request's reply from the union, the replies to that in order, and its places
+
+
+def _replies(requests: DataFrame, nodes: int, ranges: int, kind: _Kind, fan: int, label: str) -> DataFrame:
+    """The replies to the requests of so many blocks, merged by range.
+
+    Up to `fan` blocks meet in their ranges. Of more, about `fan` at a time are folded into one by range, and the
+    unions ask in their stead, each in `fan` ranges within every range; the replies to a union are then handed
+    down to its members. So a block makes as many requests as the first height has ranges, a union `fan` for each of its
+    ranges, and no task gets more than about `fan` of them, however many blocks there are.
+    """
+    if nodes <= fan:
+        return stored(requests.groupBy("part").applyInArrow(kind.merge, kind.reply), label)
+    above = -(-nodes // fan)
+    met = requests.withColumn("above", F.pmod(F.xxhash64(F.lit(ranges), "block"), F.lit(above)))
+
+    def fold(group: pa.Table) -> pa.Table:
+        rows = group.to_pylist()
+        union, places = kind.fold(rows)
+        where = {"above": rows[0]["above"], "part": rows[0]["part"]}
+        held = [{**where, "block": r["block"], "places": _pack(p)} for r, p in zip(rows, places)]
+        return pa.Table.from_pylist([*held, {**where, **union}], schema=folded_schema)
+
+    columns = ["above", "part", "block", "places", *(c.split()[0] for c in kind.payload.split(", "))]
+    folded_schema = pa.schema([(c, pa.int64() if c in ("above", "part", "block") else pa.binary()) for c in columns])
+    folded = stored(met.groupBy("above", "part").applyInArrow(fold, f"above long, part long, block long, places binary, {kind.payload}"), f"{label}-folded")
+
+    def split(batches: Iterator[pa.RecordBatch]):
+        for batch in batches:
+            for union in batch.to_pylist():
+                for sub, request in kind.split(union, ranges):
+                    yield pa.RecordBatch.from_pylist([{"part": union["part"] * fan + sub, "block": union["above"], **request}], schema=request_schema)
+
+    request_schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), *((c, pa.binary()) for c in columns[4:])])
+    asked = folded.where("block is null").mapInArrow(split, f"part long, block long, {kind.payload}")
+    told = _replies(asked, above, ranges * fan, kind, fan, f"{label}-above")
+
+    def hand_down(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, replies = left.to_pylist(), sorted(right.to_pylist(), key=lambda r: r["sub"])
+        union = next(r for r in rows if r["block"] is None)
+        out = [{"block": r["block"], "part": r["part"], **kind.answer(union, replies, _unpack(r["places"]), ranges)} for r in rows if r["block"] is not None]
+        return pa.Table.from_pylist(out, schema=reply_schema)
+
+    reply_schema = to_arrow_schema(T.StructType.fromDDL(kind.reply))
+    there = told.where("block is not null").withColumnsRenamed({"block": "above", "part": "sub"}).withColumn("part", F.expr(f"sub div {fan}"))
+    down = folded.groupBy("above", "part").cogroup(there.groupBy("above", "part")).applyInArrow(hand_down, kind.reply)
+    return stored(down.unionByName(told.where("block is null")), label)
+
+
+def _word_kind(reply: str, fan: int) -> _Kind:
+    def fold(rows: list[dict]) -> tuple[dict, list[np.ndarray]]:
+        words = [np.frombuffer(r["words"], np.uint64) for r in rows]
+        known, place = np.unique(np.concatenate(words), return_inverse=True)
+        total = np.bincount(place, np.concatenate([_unpack(r["counts"]) for r in rows]), len(known)).astype(np.int64)
+        return {"words": known.tobytes(), "counts": _pack(total)}, np.split(place, np.cumsum([len(w) for w in words])[:-1])
+
+    def split(union: dict, ranges: int) -> Iterator[tuple[int, dict]]:
+        words, counts = np.frombuffer(union["words"], np.uint64), _unpack(union["counts"])
+        first = union["part"] * fan
+        edges = [np.uint64(((1 << 64) * (first + i)) // (ranges * fan)) for i in range(fan)]
+        cut = np.append(np.searchsorted(words, edges), len(words))
+        for i in np.flatnonzero(np.diff(cut)):
+            own = slice(cut[i], cut[i + 1])
+            yield int(i), {"words": words[own].tobytes(), "counts": _pack(counts[own])}
+
+    def answer(union: dict, replies: list[dict], places: np.ndarray, ranges: int) -> dict:
+        return {c: _pack(np.concatenate([_unpack(r[c]) for r in replies])[places]) for c in ("counts", "places")}
+
+    return _Kind("words binary, counts binary", reply, _merge_words, fold, split, answer)
+
+
+def _wide(request: dict) -> tuple[np.ndarray, ...]:
+    """History, its count, word, its count and training count of each bigram of a request."""
+    lengths = _unpack(request["lengths"])
+    heads, head_counts = (np.repeat(_unpack(request[c]), lengths) for c in ("heads", "head_counts"))
+    return heads, head_counts, *(_unpack(request[c]) for c in ("words", "word_counts", "seen"))
+
+
+def _narrow(history: np.ndarray, of_history: np.ndarray, word: np.ndarray, count: np.ndarray, seen: np.ndarray) -> dict:
+    """The request of bigrams that lie together by history."""
+    first = np.flatnonzero(np.append(True, history[1:] != history[:-1]))
+    fields = (history[first], of_history[first], np.diff(np.append(first, len(history))), word, count, seen)
+    return {c.split()[0]: _pack(x) for c, x in zip(PAIRS.split(", "), fields)}
+
+
+def _sub_range(history: np.ndarray, of_history: np.ndarray, word: np.ndarray, ranges: int, fan: int) -> np.ndarray:
+    """A history's range within its range, by another hash at each height; of a frequent one by the word too."""
+    slices = (1 + of_history // HISTORY_SLICE).astype(np.uint64)
+    spread = mix(mix(history.view(np.uint64) ^ np.uint64(ranges)) + mix(word.view(np.uint64)) % slices * _ODD)
+    return (spread % np.uint64(fan)).astype(np.int64)
+
+
+def _pair_kind(unigrams: Unigrams, reply: str, fan: int) -> _Kind:
+    def ordered(wide: tuple[np.ndarray, ...], ranges: int) -> tuple[np.ndarray, np.ndarray]:
+        sub = _sub_range(wide[0], wide[1], wide[2], ranges, fan)
+        return np.lexsort((wide[2], wide[0], sub)), sub
+
+    def fold(rows: list[dict]) -> tuple[dict, list[np.ndarray]]:
+        parts = [_wide(r) for r in rows]
+        history, of_history, word, count, seen = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((word, history))
+        new = np.append(True, (history[order][1:] != history[order][:-1]) | (word[order][1:] != word[order][:-1]))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.cumsum(new) - 1
+        first = order[new]
+        total = np.bincount(place, seen, len(first)).astype(np.int64)
+        union = _narrow(history[first], of_history[first], word[first], count[first], total)
+        return union, np.split(place, np.cumsum([len(p[0]) for p in parts])[:-1])
+
+    def split(union: dict, ranges: int) -> Iterator[tuple[int, dict]]:
+        wide = _wide(union)
+        order, sub = ordered(wide, ranges)
+        cut = np.searchsorted(sub[order], np.arange(fan + 1))
+        for i in np.flatnonzero(np.diff(cut)):
+            yield int(i), _narrow(*(x[order[cut[i] : cut[i + 1]]] for x in wide))
+
+    def answer(union: dict, replies: list[dict], places: np.ndarray, ranges: int) -> dict:
+        wide = _wide(union)
+        count = np.empty(len(wide[0]), np.int64)
+        order, _ = ordered(wide, ranges)
+        count[order] = np.concatenate([_unpack(r["counts"]) for r in replies])
+        own = count[places]
+        open_ = (own == 0) & (wide[1][places] > 0)
+        return {"counts": _pack(own), "need": np.unique(wide[0][places][open_]).tolist()}
+
+    return _Kind(PAIRS, reply, _pair_merger(unigrams), fold, split, answer)
+
+
 def _totals(replies: DataFrame, size: int) -> list[int]:
     """The parts' statistics added up: one short row."""
     row = replies.where("block is null").agg(*(F.sum(F.col("times")[i]) for i in range(size))).first()
@@ -334,7 +479,7 @@ def _scores(joined: DataFrame, ranges: int, unigrams: Unigrams, discount: Discou
     return columns.mapInArrow(build, "id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
 
 
-def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
+def katz_scores(df: DataFrame, key: str, text: str, held_out: str, block_bytes: int = BLOCK_BYTES, fan: int = FAN) -> DataFrame:
     """(key, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row's whole text.
 
     Tokens are the words of a text (runs other than 0x20 and 0x09-0x0D, A-Z lower-cased) and one end. The
@@ -350,8 +495,9 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     Without training rows every token is unknown and scores 0.
 
     Blocks are written once, bucketed by their number, so each later step only shuffles requests and
-    replies to them. Requests are merged within hash ranges whose number grows with the blocks, and a
-    history with many tokens is dealt to several. Backoff weights are looked up only for histories that
+    replies to them. Requests are merged within hash ranges, 512 of a block at most; more blocks than that fold into
+    unions, which ask in finer ranges (`_replies`), so rows grow with the blocks and not with their
+    square. `block_bytes` of text make a block; up to `fan` requests meet in a task. A history with many tokens is dealt to several ranges. Backoff weights are looked up only for histories that
     stand before an unseen word.
     """
     spark = df.sparkSession
@@ -360,21 +506,21 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str) -> DataFrame:
     place = scratch_path(spark, "katz-blocks")
     # Bucketing needs a catalog table; its files lie in the shared folder, and it goes whatever happens.
     try:
-        _blocks(df, key, text, held_out).write.bucketBy(buckets, "block").format("parquet").option("path", place).saveAsTable(name)
-        return _scored(spark.table(name), key)
+        _blocks(df, key, text, held_out, block_bytes).write.bucketBy(buckets, "block").format("parquet").option("path", place).saveAsTable(name)
+        return _scored(spark.table(name), key, fan)
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         drop_path(spark, place)
 
 
-def _scored(blocks: DataFrame, key: str) -> DataFrame:
+def _scored(blocks: DataFrame, key: str, fan: int) -> DataFrame:
     """The result from stored blocks, itself stored."""
     number = blocks.count()
-    word_ranges = max(LEAST_RANGES, number // BLOCKS_PER_WORD_RANGE)
-    pair_ranges = max(LEAST_RANGES, number // BLOCKS_PER_PAIR_RANGE)
+    word_ranges = min(fan, max(LEAST_RANGES, number // BLOCKS_PER_WORD_RANGE))
+    pair_ranges = min(fan, max(LEAST_RANGES, number // BLOCKS_PER_PAIR_RANGE))
 
-    reply = "block long, part int, counts binary, places binary, times array<long>"
-    words = stored(_word_requests(blocks, word_ranges).groupBy("part").applyInArrow(_merge_words, reply), "katz-words")
+    reply = "block long, part long, counts binary, places binary, times array<long>"
+    words = _replies(_word_requests(blocks, word_ranges), number, word_ranges, _word_kind(reply, fan), fan, "katz-words")
     times = _totals(words, K + 3)
     discount = good_turing(times[: K + 1])
     tokens, distinct = times[K + 1 :]
@@ -386,9 +532,8 @@ def _scored(blocks: DataFrame, key: str) -> DataFrame:
 
     known = blocks.join(_gathered(words, "word_replies", "counts", "places").hint("merge"), "block")
     fields = ", ".join(f"{f.name}: {'double' if f.name == 'p1' else 'long'}" for f in _HISTORY)
-    reply = f"block long, part int, counts binary, need array<long>, histories array<struct<{fields}>>, times array<long>"
-    requests = _pair_requests(known, pair_ranges)
-    pairs = stored(requests.groupBy("part").applyInArrow(_pair_merger(unigrams), reply), "katz-pairs")
+    reply = f"block long, part long, counts binary, need array<long>, histories array<struct<{fields}>>, times array<long>"
+    pairs = _replies(_pair_requests(known, pair_ranges), number, pair_ranges, _pair_kind(unigrams, reply, fan), fan, "katz-pairs")
     discount = good_turing(_totals(pairs, K + 1))
     weights = stored(backoff_weights(pairs.where("block is null").select(F.inline("histories")), discount), "katz-weights")
     need = pairs.where("block is not null").select("block", F.explode("need").alias("h")).distinct()

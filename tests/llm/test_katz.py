@@ -61,9 +61,9 @@ def corpus(n=150, seed=4):
     return [*texts, None, "", " \n ", "W1 w2 unknown-word w1", texts[0], "w1 " * 40_000]
 
 
-def run(documents, texts, held):
+def run(documents, texts, held, **options):
     df = documents(list(enumerate(texts))).withColumn("held", F.lit(False) if not held else F.col("doc_id").isin(*held))
-    return {r.doc_id: r for r in katz.katz_scores(df.selectExpr("*", "1 as block", "2 as part"), "doc_id", "text", "held").collect()}
+    return {r.doc_id: r for r in katz.katz_scores(df.selectExpr("*", "1 as block", "2 as part"), "doc_id", "text", "held", **options).collect()}
 
 
 @pytest.mark.parametrize("slice_", [1 << 18, 50])
@@ -101,3 +101,47 @@ def test_no_training_rows_and_empty_table(spark, documents):
     out = run(documents, ["a b", None], [0, 1])
     assert [(out[i].n_tokens, out[i].n_known, out[i].train_tokens, out[i].score) for i in (0, 1)] == [(3, 0, 0, 0.0), (1, 0, 0, 0.0)]
     assert run(documents, [], []) == {}
+
+
+@pytest.mark.parametrize("fan", [2, 5])
+def test_folded_blocks_give_the_same(spark, documents, fan):
+    """Tens of blocks, folded at several heights, against the plain counts."""
+    texts = corpus(60)
+    held = [i for i in range(len(texts)) if i % 5 == 2]
+    out = run(documents, texts, held, block_bytes=3_000, fan=fan)
+    model = Direct([t for i, t in enumerate(texts) if i not in held])
+    for i, text in enumerate(texts):
+        assert out[i].n_known == sum(model.words[w] > 0 for w in tokens(text)) and out[i].train_tokens == model.total
+        assert out[i].score == pytest.approx(model.score(text))
+
+
+def test_rows_grow_with_the_blocks(spark, documents, monkeypatch):
+    """Requests, unions and replies of all heights are a bounded number for each block, not for each pair of them."""
+    rng = random.Random(8)
+    plain, counts = katz.stored, {}
+
+    def counted(df, label, **options):
+        kept = plain(df, label, **options)
+        counts[label] = counts.get(label, 0) + kept.count()
+        return kept
+
+    monkeypatch.setattr(katz, "stored", counted)
+    per_block = []
+    for blocks in (10, 90):
+        counts.clear()
+        texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(150)) for _ in range(blocks)]
+        df = documents(list(enumerate(texts))).coalesce(1).withColumn("held", F.lit(False))
+        katz.katz_scores(df, "doc_id", "text", "held", block_bytes=500, fan=8)
+        per_block.append(sum(n for label, n in counts.items() if label.startswith(("katz-words", "katz-pairs"))) / blocks)
+    assert per_block[1] < 2.5 * per_block[0] and "katz-pairs-above-folded" in counts
+
+
+def test_nothing_stays_behind_after_an_error(spark, documents, monkeypatch):
+    def broken(*_):
+        raise ValueError("stop")
+
+    monkeypatch.setattr(katz, "_totals", broken)
+    before = {t.name for t in spark.catalog.listTables()}
+    with pytest.raises(ValueError, match="stop"):
+        run(documents, ["a b c"], [])
+    assert {t.name for t in spark.catalog.listTables()} == before
