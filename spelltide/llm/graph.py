@@ -66,7 +66,8 @@ def components(edges: DataFrame) -> DataFrame:
     while not _are_stars(now):
         both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = stored(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")), "star-least")
-        large = both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        # Edges lead to the smaller node, so these are all from a node to a larger one, straight from storage.
+        large = now.select(F.col("b").alias("a"), F.col("a").alias("b")).join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
         large = stored(large.distinct(), "stars")
         if _are_stars(large):
             now = large
