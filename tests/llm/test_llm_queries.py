@@ -17,6 +17,9 @@ COLUMNS = {
     "op8": "doc_id item_id score question_overlap answer_overlap",
     "op9": "doc_id size text_crc32 law shard slot grown_shard",
     "op10": "page_id host path rule verdict",
+    "op11": "conv_id depth parent_conv_id n_convs n_children n_leaves saved_tokens ends_sha256",
+    "op12": "anchor_id positive_id rank negative_id positive_score negative_score",
+    "op13": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
 }
 
 
