@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spelltide.llm.scratch import extended, placed
-from spelltide.llm.words import PIECE_BYTES, pieces, spans
+from spelltide.llm.words import pieces, spans
 
 # The patterns, the least length of a hit, and the order of kinds.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -28,6 +28,8 @@ ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-
 SYMBOLS = len(ALPHABET) + 1
 START = SYMBOLS - 1
 ORDER = 2
+#: Characters that are looked at together.
+CODES = 2 << 20
 #: Shortest candidate for a random string.
 LEAST_RANDOM = 20
 #: Natural log of the odds at which a candidate counts as random: about one to 160 000.
@@ -64,12 +66,15 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def _codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Span and code of every character of the spans, about a million at a time; a code is two symbols of context and the symbol."""
+    """Span and code of every character of the spans, a few million at a time; a code is two symbols of context and the symbol."""
     after = np.cumsum(ends - starts)
-    for low in range(0, int(after[-1]) if len(after) else 0, PIECE_BYTES):
-        nth = np.arange(low, min(low + PIECE_BYTES, int(after[-1])))
-        which = np.searchsorted(after, nth, "right")
-        step = nth - (after - (ends - starts))[which]
+    before = after - (ends - starts)
+    for low in range(0, int(after[-1]) if len(after) else 0, CODES):
+        high = min(low + CODES, int(after[-1]))
+        first, last = np.searchsorted(after, low, "right"), np.searchsorted(after, high, "left") + 1
+        size = np.minimum(after[first:last], high) - np.maximum(before[first:last], low)
+        which = np.repeat(np.arange(first, last), size)
+        step = np.arange(low, high) - before[which]
         at = starts[which] + step
         code = _CLASS[data[at]]
         one = np.where(step >= 1, _CLASS[data[np.maximum(at - 1, 0)]], START)
@@ -77,6 +82,11 @@ def _codes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> Iterator[t
         yield which, (two * SYMBOLS + one) * SYMBOLS + code
 
 
+def _kept(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list | None:
+    """All codes at once where the spans are those of a usual piece; None where they are too many to keep."""
+    return list(_codes(data, starts, ends)) if int((ends - starts).sum()) <= CODES else None
+
+
 def _random_counts() -> np.ndarray:
     """Counts of the generated samples: characters drawn evenly from the usual alphabets of keys."""
     rng = np.random.Generator(np.random.PCG64(5))
@@ -141,10 +151,10 @@ def _labelled(data: np.ndarray, offsets: np.ndarray, texts: list[str]) -> tuple[
     return starts, ends, _touched(starts, ends, offsets, texts, [base_spans(text) for text in texts])
 
 
-def _random(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: SecretModel) -> np.ndarray:
+def _random(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, model: SecretModel, codes: list | None = None) -> np.ndarray:
     """Whether the model calls a span random."""
     total = np.zeros(len(starts))
-    for which, code in _codes(data, starts, ends):
+    for which, code in codes or _codes(data, starts, ends):
         total += np.bincount(which, model.ratio[code], len(starts))
     return total >= model.log_odds
 
@@ -181,12 +191,13 @@ def fit(df: DataFrame, text: str = "text", log_odds: float = LOG_ODDS) -> Secret
                 texts = batch.column(0).fill_null("")
                 for low, high, data, offsets in pieces(texts):
                     starts, ends, hit = _labelled(data, offsets, texts.slice(low, high - low).to_pylist())
+                    codes = _kept(data, starts, ends)
                     ordinary = ~hit & (ends - starts < LEAST_DOUBTED)
                     if shared.value:
-                        ordinary |= ~hit & ~_random(data, starts, ends, shared.value)
+                        ordinary |= ~hit & ~_random(data, starts, ends, shared.value, codes)
                     for label, chosen in ((0, ordinary), (1, hit & (ends - starts >= LEAST_RANDOM))):
-                        for _, code in _codes(data, starts[chosen], ends[chosen]):
-                            totals[label] += np.bincount(code, minlength=totals.shape[1])
+                        for which, code in codes or _codes(data, starts, ends):
+                            totals[label] += np.bincount(code[chosen[which]], minlength=totals.shape[1])
             label, code = np.nonzero(totals)
             yield pa.RecordBatch.from_pydict({"label": label.astype(np.int32), "code": code.astype(np.int32), "n": totals[label, code]})
 
