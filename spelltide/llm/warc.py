@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spelltide.llm.scratch import stored
-from spelltide.sources.scratch import scratch_path
+from spelltide.sources.scratch import file_system, hadoop_path, scratch_path
 
 # Magic numbers of the Zstandard and WARC-zstd formats.
 DICTIONARY_MAGIC = b"\x5d\x2a\x4d\x18"
@@ -234,7 +234,9 @@ def write_archives(pages: DataFrame, path: str, most: int = ARCHIVE_BYTES) -> No
     Only (hash, id) pairs are grouped, with partial maxima before the shuffle; only payloads that
     occur again are joined back. Both sides of that join are read from storage, so AQE can split a
     payload that a third of the pages share. Archives are rows until Spark's text writer puts each in
-    a file of its own, through the commit protocol of whatever store the path is in.
+    a file of its own, through the commit protocol of whatever store the path is in. That writer puts out the bytes
+    of a string as they are, UTF-8 or not; Spark does not promise it, so whoever reads an archive checks every
+    record's lengths and digest (`read_archives`), and `roundtrip` raises where one does not hold.
     """
     rows = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
@@ -308,7 +310,14 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
 
 
 def roundtrip(pages: DataFrame) -> DataFrame:
-    """Write the pages to archives under the shared folder and read all their records back."""
-    path = scratch_path(pages.sparkSession, "warc")
+    """Write the pages to archives under the shared folder and read all their records back.
+
+    A record that comes back damaged raises when it is read. The folder goes when the driver's JVM ends.
+    """
+    spark = pages.sparkSession
+    path = scratch_path(spark, "warc")
     write_archives(pages, path)
-    return read_archives(pages.sparkSession, path)
+    file_system(spark, path).deleteOnExit(hadoop_path(spark, path))
+    records = read_archives(spark, path)
+    sound = F.when(F.col("error").isNull(), F.col("record_type")).otherwise(F.raise_error(F.concat(F.lit("damaged archive: "), "error")))
+    return records.withColumn("record_type", sound.cast("string"))
