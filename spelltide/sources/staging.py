@@ -51,8 +51,10 @@ def staged(df: DataFrame, label: str, **options: str) -> DataFrame:
 
 def staging_path(target: str) -> str:
     """A hidden folder beside the target, so that publishing is a rename within one file system."""
-    parent, _, name = target.rstrip("/").rpartition("/")
-    return f"{parent}/_staging-{name}-{uuid.uuid4().hex}"
+    parent, slash, name = target.rstrip("/").rpartition("/")
+    if not name or parent.endswith((":", ":/")):
+        raise ValueError(f"{target} is the root of a store, name a folder in it")
+    return f"{parent}{slash}_staging-{name}-{uuid.uuid4().hex}"
 
 
 class _Moves:

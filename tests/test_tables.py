@@ -410,3 +410,16 @@ def test_scratch_scope_removes_what_it_staged(spark):
     assert not folder.exists()
     outside = staging.staged(spark.range(5), "unscoped")
     assert outside.count() == 5
+
+
+@pytest.mark.parametrize(
+    "target, start", [("out", "_staging-out-"), ("/out/", "/_staging-out-"), ("a/b", "a/_staging-b-"), ("s3a://bucket/x/y/", "s3a://bucket/x/_staging-y-"), ("s3a://bucket/x", "s3a://bucket/_staging-x-")]
+)
+def test_staging_lies_beside_the_target(target, start):
+    assert staging.staging_path(target).startswith(start)
+
+
+@pytest.mark.parametrize("target", ["s3a://bucket", "s3a://bucket/", "/", ""])
+def test_the_root_of_a_store_is_no_target(target):
+    with pytest.raises(ValueError, match="root"):
+        staging.staging_path(target)
