@@ -496,7 +496,7 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str, block_bytes:
     Null and empty texts are one end. Null keys stay null, repeated rows are scored each and count each.
     Without training rows every token is unknown and scores 0.
 
-    Blocks are written once, in buckets of about 32 MB of text, so each later step only shuffles requests and
+    Blocks are written once, in buckets of at most about 32 MB of text, so each later step only shuffles requests and
     replies to them. Requests are merged within hash ranges, 512 of a block at most; more blocks than that fold into
     unions, which ask in finer ranges (`_replies`), so rows grow with the blocks and not with their
     square. `block_bytes` of text make a block; up to `fan` requests meet in a task. A history with many tokens is dealt to several ranges. Backoff weights are looked up only for histories that
@@ -505,7 +505,8 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str, block_bytes:
     spark = df.sparkSession
     name = f"katz_blocks_{uuid.uuid4().hex}"
     size = df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
-    buckets = max(LEAST_BUCKETS, -(-size // BUCKET_BYTES))
+    # With fewer buckets than shuffles have partitions, Spark would shuffle the blocks for every join.
+    buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
     place = scratch_path(spark, "katz-blocks")
     # Bucketing needs a catalog table; its files lie in the shared folder, and it goes whatever happens.
     try:
