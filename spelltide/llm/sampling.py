@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,13 +24,16 @@ MODEL_FILE = "/opt/tokenizers/piece_bpe_32k.model"
 SAMPLES = 2
 #: Exponent of a segmentation's weight: 1 keeps to the likeliest ones, 0 draws evenly.
 SMOOTHING = 0.2
-PIECE_BYTES = 2 << 20
+#: Text in one lattice: more would outgrow the processor's caches and need more memory, less would repeat words in fewer places.
+PIECE_BYTES = 512 << 10
 #: No Gumbel variate made of a 32-bit uniform number is larger.
 MOST_GUMBEL = 22.9
 #: Weight of a character that the model only has as bytes.
 BYTE_WEIGHT = -16.0
 #: Units of more characters are summed in logarithms.
 LONG_UNIT = 200
+#: Units of up to so many characters are summed side by side, all of a length at once.
+SHORT_UNIT = 16
 SPACE, MARK, PLAIN_MARK = 0x20, 0x2581, 0x110000
 
 ENCODED = "sample int, ids array<int>, log_prob double, perturbed double, log_inclusion double"
@@ -46,6 +50,7 @@ class Vocabulary:
     bits: int
     table: np.ndarray  # node and class as one number, or -1
     child: np.ndarray
+    first: np.ndarray  # node of each class alone, or -1
     piece: np.ndarray  # piece that ends at a node, or -1
     longest: int
     bytes_first: int
@@ -58,14 +63,16 @@ class Vocabulary:
     def step(self, node: np.ndarray, symbol: np.ndarray) -> np.ndarray:
         """The child of each node by a character class, or -1."""
         key = (node << self.bits) | symbol
-        at, out = self.slots(key), np.full(len(key), -1, np.int64)
-        open_ = np.arange(len(key))
+        at = self.slots(key)
+        there = self.table.take(at)
+        out = np.where(there == key, self.child.take(at), -1)
+        open_ = np.flatnonzero((there != key) & (there != -1))
         while len(open_):
-            there = self.table[at]
-            hit = there == key[open_]
-            out[open_[hit]] = self.child[at[hit]]
-            more = ~hit & (there != -1)
-            open_, at = open_[more], (at[more] + 1) & (len(self.table) - 1)
+            at[open_] = (at[open_] + 1) & (len(self.table) - 1)
+            there, wanted = self.table[at[open_]], key[open_]
+            hit = there == wanted
+            out[open_[hit]] = self.child[at[open_[hit]]]
+            open_ = open_[~hit & (there != -1)]
         return out
 
 
@@ -109,13 +116,15 @@ def load_vocabulary(model_file: str = MODEL_FILE, smoothing: float = SMOOTHING)
         symbol[ord(ch)] = k
         alone[k] = ch not in shared
     bits = len(classes).bit_length()
-    table = np.full(1 << (4 * len(nodes)).bit_length(), -1, np.int64)
-    child = np.zeros(len(table), np.int64)
+    kind = np.int32 if len(nodes) + 1 < 1 << (31 - bits) else np.int64
+    table = np.full(1 << (4 * len(nodes)).bit_length(), -1, kind)
+    child = np.zeros(len(table), np.int32)
     texts = [n.replace("▁", " ").encode() if ok else b"" for n, ok in zip(names, usable)]
     for i in byte_ids:
         texts[i] = bytes([i - byte_ids[0]])
     found = Vocabulary(
         size, np.append(smoothing * weight, [smoothing * BYTE_WEIGHT, -np.inf]), symbol, alone, bits, table, child,
+        np.array([nodes.get((0, k), -1) for k in range(len(classes) + 1)], np.int64),
         np.array([ends.get(n, -1) for n in range(len(nodes) + 1)], np.int64), max(len(n) for n, ok in zip(names, usable) if ok),
         byte_ids[0], np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]),
     )
@@ -127,16 +136,28 @@ def load_vocabulary(model_file: str = MODEL_FILE, smoothing: float = SMOOTHING)
     return found
 
 
-def _uniform(*parts: np.ndarray) -> np.ndarray:
-    """Numbers in (0, 1) that depend on all parts and nothing else."""
-    x = np.full(1, 0x243F6A8885A308D3, np.uint64)
-    for part in parts:
-        x = mix(x ^ (np.atleast_1d(part).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x9E3779B97F4A7C15)))
-    return ((x >> np.uint64(32)).astype(float) + 0.5) * 2.0**-32
+def _stirred(x: np.ndarray, part: np.ndarray) -> np.ndarray:
+    return mix(x ^ (np.atleast_1d(part).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(0x9E3779B97F4A7C15)))
 
 
-def _gumbel(*parts: np.ndarray) -> np.ndarray:
-    return -np.log(-np.log(_uniform(*parts)))
+def _seeded(seeds: np.ndarray) -> np.ndarray:
+    """What all draws of a row begin with."""
+    return _stirred(np.full(1, 0x243F6A8885A308D3, np.uint64), seeds)
+
+
+def _uniform(seeded: np.ndarray, part: np.ndarray) -> np.ndarray:
+    """Numbers in (0, 1) that depend on a row's seed and a number and nothing else."""
+    return ((_stirred(seeded, part) >> np.uint64(32)).astype(float) + 0.5) * 2.0**-32
+
+
+def _gumbel(seeded: np.ndarray, part: np.ndarray) -> np.ndarray:
+    return -np.log(-np.log(_uniform(seeded, part)))
+
+
+@lru_cache(maxsize=1)
+def _odd_numbers() -> np.ndarray:
+    """One odd number per code point, so that units can be hashed like the spans of bytes."""
+    return mix(np.arange(PLAIN_MARK + 1, dtype=np.uint64)) | np.uint64(1)
 
 
 @dataclass
@@ -157,24 +178,25 @@ class Lattice:
     chance: np.ndarray
 
 
-def _chances(vocabulary: Vocabulary, edge: np.ndarray, spot: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The probability of each edge given its position: the edge's weight times the weights of all ways
-    on from its end, as a share. Ways are summed backwards, for all positions as far from their end at
-    once; in plain numbers for short units, in logarithms for long ones, where plain numbers run out."""
+def _weigh(vocabulary: Vocabulary, edge: np.ndarray, chance: np.ndarray, left: np.ndarray) -> None:
+    """Make chances of the weights of edges, for units of any length; `left` is how far each position is from its unit's end.
+
+    Ways on are summed backwards, for all positions as far from their end at once; in plain numbers for
+    short units, in logarithms for long ones, where plain numbers run out.
+    """
     cells, wide = edge.shape
     windows = lambda x: np.lib.stride_tricks.sliding_window_view(x, wide)
-    left = ends[spot] - spot
-    order = spot[np.argsort(left, kind="stable")]
-    bounds = np.concatenate([[0], np.cumsum(np.bincount(left))]) if len(left) else np.zeros(1, np.int64)
+    spot = np.flatnonzero(left)
+    order = spot[np.argsort(left[spot], kind="stable")]
+    bounds = np.concatenate([[0], np.cumsum(np.bincount(left[spot]))]) if len(spot) else np.zeros(1, np.int64)
     weight = vocabulary.weight.astype(np.float32)
-    chance = np.exp(weight)[edge]
     z = np.ones(cells + wide + 1)
     after = windows(z[1:])
     for r in range(1, min(len(bounds) - 1, LONG_UNIT + 1)):
         at = order[bounds[r] : bounds[r + 1]]
         k = min(r, wide)
         z[at] = np.einsum("ij,ij->i", chance[at, :k], after[at, :k])
-    long = spot[left > LONG_UNIT]
+    long = spot[left[spot] > LONG_UNIT]
     if len(long):
         log_z = np.log(z)
         later = windows(log_z[1:])
@@ -189,6 +211,33 @@ def _chances(vocabulary: Vocabulary, edge: np.ndarray, spot: np.ndarray, ends: n
         chance[part] *= after[low : low + len(chance[part])] / z[:cells][part, None]
     if len(long):
         chance[long] = np.exp(weight[edge[long]] + later[long] - log_z[long, None])
+
+
+def _chances(vocabulary: Vocabulary, edge: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The probability of each edge given its position: the edge's weight times the weights of all ways
+    on from its end, as a share. Units lie by length, so those of a short one are a block."""
+    cells, wide = edge.shape
+    plain = np.exp(vocabulary.weight.astype(np.float32))
+    chance = np.empty(edge.shape, np.float32)
+    for low in range(0, cells, 1 << 14):
+        chance[low : low + (1 << 14)] = plain.take(edge[low : low + (1 << 14)])
+    number = np.bincount(lengths, minlength=SHORT_UNIT + 1)
+    low = 0
+    for size in range(1, SHORT_UNIT + 1):
+        high = low + number[size] * (size + 1)
+        if high > low:
+            block = chance[low:high].reshape(number[size], size + 1, wide)
+            z = np.ones((size + 1, number[size]))
+            for i in range(size - 1, -1, -1):
+                k = min(size - i, wide)
+                ways = block[:, i, :k].T * z[i + 1 : i + 1 + k]
+                z[i] = ways.sum(0)
+                block[:, i, :k] = (ways / z[i]).T
+        low = high
+    if low < cells:
+        rest = lengths[lengths > SHORT_UNIT]
+        left = np.repeat(np.cumsum(rest + 1), rest + 1) - 1 - np.arange(cells - low)
+        _weigh(vocabulary, edge[low:], chance[low:], left)
     return chance
 
 
@@ -196,56 +245,63 @@ def build_lattice(vocabulary: Vocabulary, texts: list[str]) -> Lattice:
     marked = ["" if not t else " " + t for t in texts]
     points = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
     size = np.array([len(t) for t in marked], np.int64)
-    rows = np.repeat(np.arange(len(texts)), size)
     begin = np.cumsum(size) - size
-    points = np.where(points == MARK, PLAIN_MARK, points)
+    points[points == MARK] = PLAIN_MARK
     points[points == SPACE] = MARK
-    symbol = vocabulary.symbol[points]
+    symbol = vocabulary.symbol.take(points)
     cut = np.zeros(len(points), bool)
     if len(points):
-        space, alone = points == MARK, vocabulary.alone[symbol]
+        space, alone = points == MARK, vocabulary.alone.take(symbol)
         cut[1:] = (space[1:] & ~space[:-1]) | alone[1:] | alone[:-1]
         cut[begin[size > 0]] = True
     start = np.flatnonzero(cut)
     length = np.diff(np.append(start, len(points)))
-    row = rows[start]
-
-    # One odd number per code point, so that units can be hashed like the spans of bytes.
-    key = span_hashes(mix(points.astype(np.uint64)) | np.uint64(1), start, start + length)
-    _, chosen, kind = np.unique(key, return_index=True, return_inverse=True)
+    row = np.searchsorted(begin + size, start, "right")
+
+    key = span_hashes(_odd_numbers().take(points), start, start + length)
+    distinct = pa.array(key).dictionary_encode()
+    kind = distinct.indices.to_numpy()
+    chosen = np.zeros(len(distinct.dictionary), np.int64)
+    chosen[kind[::-1]] = np.arange(len(kind))[::-1]
+    by_length = np.argsort(length[chosen], kind="stable")
+    place = np.empty(len(by_length), np.int64)
+    place[by_length] = np.arange(len(by_length))
+    kind, chosen = place.take(kind), chosen[by_length]
 
     lengths = length[chosen]
     heads = np.cumsum(lengths + 1) - lengths - 1
+    tails = heads + lengths
     cells = int((lengths + 1).sum())
-    inside = np.repeat(np.arange(len(chosen)), lengths)
-    step = np.arange(lengths.sum()) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    spot = heads[inside] + step
-    ends = np.full(cells, -1, np.int64)
-    ends[spot] = (heads + lengths)[inside]
-    cell_points = np.zeros(cells, np.int64)
-    cell_points[spot] = points[start[chosen][inside] + step]
-    cell_symbol = vocabulary.symbol[cell_points]
+    source = np.repeat(start[chosen] - heads, lengths + 1) + np.arange(cells)
+    cell_points, cell_symbol = (x.take(source, mode="clip") if cells else x for x in (points, symbol))
+    cell_symbol[tails] = 0  # no piece reaches beyond an end
 
     columns = []
-    active, node = spot, np.zeros(len(spot), np.int64)
+    active = np.flatnonzero(cell_symbol)
+    node = vocabulary.first.take(cell_symbol[active])
     for d in range(vocabulary.longest):
-        fits = (active + d < ends[active]) & (cell_symbol[np.minimum(active + d, cells - 1)] > 0)
-        active, node = active[fits], node[fits]
-        node = vocabulary.step(node, cell_symbol[active + d])
-        active, node = active[node >= 0], node[node >= 0]
-        if not len(active):
+        if d:
+            after = cell_symbol.take(active + d)
+            fits = np.flatnonzero(after)
+            active = active.take(fits)
+            node = vocabulary.step(node.take(fits), after.take(fits))
+        there = np.flatnonzero(node >= 0)
+        if not len(there):
             break
-        columns.append((active, vocabulary.piece[node]))
+        active, node = active.take(there), node.take(there).astype(np.int64)
+        columns.append((active, vocabulary.piece.take(node)))
     edge = np.full((cells, max(1, len(columns))), -1, np.int32)
     for d, (active, piece) in enumerate(columns):
         edge[active, d] = piece
-    forced = spot[edge[spot, 0] < 0]
+    forced = edge[:, 0] < 0
+    forced[tails] = False
+    forced = np.flatnonzero(forced)
     edge[forced, 0] = vocabulary.size
 
-    chance = _chances(vocabulary, edge, spot, ends)
+    chance = _chances(vocabulary, edge, lengths)
     edge[forced, 0] += cell_points[forced]
     unit_row = np.searchsorted(row, np.arange(len(texts) + 1))
-    return Lattice(row, unit_row, heads[kind], (heads + lengths)[kind], start - begin[row], edge, chance)
+    return Lattice(row, unit_row, heads.take(kind), tails.take(kind), start - begin[row], edge, chance)
 
 
 def _log1mexp(x: np.ndarray) -> np.ndarray:
@@ -285,7 +341,8 @@ def search(lattice: Lattice, seeds: np.ndarray, samples: int) -> tuple[list[Samp
     waiting = np.full((n, keep), -np.inf)  # perturbed score
     state = np.zeros((n, keep, 5))  # log probability, unit, position, sample and depth it leaves
     token = np.zeros((n, keep), np.int64)
-    top = _gumbel(seeds, np.int64(-1))
+    seeded = _seeded(seeds)
+    top = _gumbel(seeded, np.int64(-1))
     done: list[Samples] = []
     begin, end = lattice.unit_row[:-1], lattice.unit_row[1:]
     for s in range(samples):
@@ -326,88 +383,100 @@ def search(lattice: Lattice, seeds: np.ndarray, samples: int) -> tuple[list[Samp
             if not len(active):
                 break
             at, depth = now.at[active], now.length[active]
-            with np.errstate(divide="ignore"):
-                log_p = now.log_p[active, None] + np.log(lattice.chance[at].astype(float))
-            drawn = _gumbel(seeds[active, None], (depth[:, None] * 64 + s) * 64 + np.arange(wide)[None, :])
+            chance = lattice.chance[at]
+            # Only edges that are there, as flat lists by position.
+            own, edge = np.nonzero(chance)
+            log_p = now.log_p[active][own] + np.log(chance[own, edge].astype(float))
+            raw = log_p + _gumbel(seeded[active][own], (depth[own] * 64 + s) * 64 + edge)
+            starts = np.searchsorted(own, np.arange(len(active)))
+            most = np.maximum.reduceat(raw, starts)[own]
+            lead = np.flatnonzero(raw == most)
+            lead = lead[np.searchsorted(own[lead], np.arange(len(active)))]
+            best, best_p = edge[lead], log_p[lead]
+            above = now.perturbed[active][own]
             with np.errstate(invalid="ignore"):
-                raw = np.where(log_p > -np.inf, log_p + drawn, -np.inf)
-                best = raw.argmax(1)
-                most = raw[np.arange(len(active)), best][:, None]
-                v = now.perturbed[active, None] - raw + _log1mexp(np.minimum(raw - most, 0))
-                score = now.perturbed[active, None] - np.maximum(v, 0) - np.log1p(np.exp(-np.abs(v)))
-            score[raw == -np.inf] = -np.inf
-            score[np.arange(len(active)), best] = -np.inf  # it is followed, not kept waiting
-            edge = lattice.edge[at]
-            fresh = np.stack([
-                log_p, np.broadcast_to(now.unit[active, None], log_p.shape), at[:, None] + 1 + np.arange(wide)[None, :],
-                np.full(log_p.shape, s), np.broadcast_to(depth[:, None], log_p.shape),
-            ], 2)
-            better = (score.max(1) > waiting[active, need - 1])
+                v = above - raw + _log1mexp(np.minimum(raw - most, 0))
+                score = above - np.maximum(v, 0) - np.log1p(np.exp(-np.abs(v)))
+            score[lead] = -np.inf  # it is followed, not kept waiting
+            better = np.maximum.reduceat(score, starts) > waiting[active, need - 1]
             rows = active[better]
             if len(rows):
-                scores = np.concatenate([waiting[rows], score[better]], 1)
+                number = np.cumsum(better) - 1
+                some = np.flatnonzero(better[own])
+                of, d = number[own[some]], edge[some]
+                scores, fresh = np.full((len(rows), wide), -np.inf), np.zeros((len(rows), wide, 5))
+                scores[of, d] = score[some]
+                whose = own[some]
+                fresh[of, d] = np.stack([log_p[some], now.unit[active][whose], at[whose] + 1 + d, np.full(len(some), s), depth[whose]], 1)
+                scores = np.concatenate([waiting[rows], scores], 1)
                 order = np.argsort(-scores, 1, kind="stable")[:, :keep]
                 line = np.arange(len(rows))[:, None]
                 waiting[rows] = scores[line, order]
-                state[rows] = np.concatenate([state[rows], fresh[better]], 1)[line, order]
-                token[rows] = np.concatenate([token[rows], edge[better]], 1)[line, order]
+                state[rows] = np.concatenate([state[rows], fresh], 1)[line, order]
+                token[rows] = np.concatenate([token[rows], lattice.edge[at[better]]], 1)[line, order]
             if depth.max() + 1 >= now.pieces.shape[1]:
                 now.pieces = np.concatenate([now.pieces, np.zeros_like(now.pieces)], 1)
-            line = np.arange(len(active))
-            now.pieces[active, depth] = edge[line, best]
+            now.pieces[active, depth] = lattice.edge[at, best]
             now.length[active] += 1
-            now.log_p[active] = log_p[line, best]
+            now.log_p[active] = best_p
             now.at[active] = at + 1 + best
         done.append(now)
     return done, waiting[:, 0]
 
 
-def _choose(lattice: Lattice, spot: np.ndarray, draw: np.ndarray) -> np.ndarray:
-    """The edge of each position whose range of chances holds the draw; the last one that is there, if rounding leaves a gap."""
-    choice = np.zeros(len(spot), np.int64)
-    open_, left = np.arange(len(spot)), draw
-    for d in range(lattice.edge.shape[1]):
-        chance = lattice.chance[spot[open_], d]
-        choice[open_[chance > 0]] = d
+def _choose(chances: np.ndarray, wide: int, spot: np.ndarray, draw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Place and chance of the edge of each position whose range of chances holds the draw; the last one that is there, if rounding leaves a gap."""
+    choice, chosen = np.empty(len(spot), np.int64), np.empty(len(spot), np.float32)
+    open_, at, left = np.arange(len(spot)), spot * wide, draw
+    for _ in range(wide):
+        chance = chances.take(at)
         more = left >= chance
-        open_, left = open_[more], (left - chance)[more]
-        if not len(open_):
+        done = np.flatnonzero(~more)
+        ended = open_.take(done)
+        choice[ended], chosen[ended] = at.take(done), chance.take(done)
+        more = np.flatnonzero(more)
+        if not len(more):
             break
-    return choice
+        open_, at, left = open_.take(more), at.take(more) + 1, left.take(more) - chance.take(more)
+    else:
+        for i in open_:
+            last = spot[i] * wide + np.flatnonzero(chances[spot[i] * wide : (spot[i] + 1) * wide])[-1]
+            choice[i], chosen[i] = last, chances[last]
+    return choice, chosen
 
 
 def complete(vocabulary: Vocabulary, lattice: Lattice, seeds: np.ndarray, sample: int, head: Samples) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(ids, row offsets, log probability) of a sample, its rest drawn for all units at once."""
-    n = len(seeds)
-    units = np.arange(len(lattice.row))
-    mine = units[(units >= head.unit[lattice.row]) & head.alive[lattice.row]]
-    at = lattice.first[mine]
-    opened = mine == head.unit[lattice.row[mine]]
-    at[opened] = head.at[lattice.row[mine]][opened]
-    log_p = head.log_p.copy()
-    steps = []
-    live = np.flatnonzero(at < lattice.last[mine])
+    n, wide = len(seeds), lattice.edge.shape[1]
+    chances, edges = lattice.chance.ravel(), lattice.edge.ravel()
+    mine = np.flatnonzero((np.arange(len(lattice.row)) >= head.unit[lattice.row]) & head.alive[lattice.row])
+    row = lattice.row.take(mine)
+    at, end = lattice.first.take(mine), lattice.last.take(mine)
+    shift = lattice.place.take(mine) - at
+    opened = np.flatnonzero(mine == head.unit[row])
+    at[opened] = head.at[row[opened]]
+    lives, places, chosen = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+    live = np.flatnonzero(at < end)
+    spot, end, shift, seeded = at.take(live), end.take(live), shift.take(live), _seeded(seeds).take(row.take(live))
     while len(live):
-        unit, spot = mine[live], at[live]
-        row = lattice.row[unit]
-        draw = _uniform(seeds[row], (lattice.place[unit] + spot - lattice.first[unit]) * 128 + sample + 64)
-        choice = _choose(lattice, spot, draw)
-        steps.append((live, lattice.edge[spot, choice]))
-        log_p += np.bincount(row, np.log(lattice.chance[spot, choice].astype(float)), n)
-        at[live] = spot + 1 + choice
-        live = live[at[live] < lattice.last[mine[live]]]
-    number = np.zeros(len(mine), np.int64)
-    for live, _ in steps:
-        number[live] += 1
+        place, chance = _choose(chances, wide, spot, _uniform(seeded, (shift + spot) * 128 + sample + 64))
+        lives.append(live)
+        places.append(place)
+        chosen.append(chance)
+        spot = place - spot * (wide - 1) + 1
+        more = np.flatnonzero(spot < end)
+        live, spot, end, shift, seeded = (x.take(more) for x in (live, spot, end, shift, seeded))
+    step = np.repeat(np.arange(len(lives)) - 1, [len(x) for x in lives])
+    live = np.concatenate(lives)
+    log_p = head.log_p + np.bincount(row.take(live), np.log(np.concatenate(chosen).astype(float)), n)
+    number = np.bincount(live, minlength=len(mine))
     heads = head.length * head.alive
-    row = lattice.row[mine]
     tail = np.bincount(row, number, n).astype(np.int64)
     offset = np.cumsum(heads + tail) - heads - tail
     ids = np.zeros(int((heads + tail).sum()), np.int64)
     before = np.cumsum(number) - number
-    base = offset[row] + heads[row] + before - before[np.searchsorted(row, row)] if len(row) else before
-    for k, (live, piece) in enumerate(steps):
-        ids[base[live] + k] = piece
+    base = offset[row] + heads[row] + before - before[np.searchsorted(row, np.arange(n)).clip(max=max(len(row) - 1, 0))][row] if len(row) else before
+    ids[base.take(live) + step] = edges.take(np.concatenate(places))
     for r in np.flatnonzero(heads):
         ids[offset[r] : offset[r] + heads[r]] = head.pieces[r, : heads[r]]
     return *_spell(vocabulary, ids, offset), log_p

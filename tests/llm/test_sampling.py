@@ -1,12 +1,14 @@
 import math
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
 from spelltide.llm import sampling
-from spelltide.llm.words import mix
+from spelltide.llm.words import mix, pieces
 
 TEXTS = ["Hello  world\n x", "", " lead", "a▁b", "é😀\x00\t", "the end of  ", "x", "ÄÖ\n\n\n", "▁", "  ", "中文 text 中文", "a" * 700 + " tail " + "é" * 300]
 
@@ -108,3 +110,28 @@ def test_samples_depend_on_key_and_text_alone(spark, documents):
 
 def test_empty_table(spark, documents):
     assert sampling.decode(sampling.encode(documents([]), "doc_id")).count() == 0
+
+
+def test_only_edges_that_are_there_are_drawn(vocabulary, monkeypatch):
+    texts = ["the quick brown fox jumps over the lazy dog " * 3, "=" * 32, "a b", "中文 text"]
+    lattice = sampling.build_lattice(vocabulary, texts)
+    drawn, plain = [], sampling._gumbel
+    monkeypatch.setattr(sampling, "_gumbel", lambda *parts: drawn.append(plain(*parts)) or drawn[-1])
+    heads, _ = sampling.search(lattice, np.arange(4, dtype=np.uint64), 2)
+    steps = sum(int(h.length.sum()) for h in heads)
+    most = np.sort((lattice.chance > 0).sum(1))[-steps:].sum()
+    assert lattice.edge.shape[1] > 8
+    assert sum(x.size for x in drawn) <= len(texts) + 2 * most < steps * lattice.edge.shape[1]
+
+
+def test_memory_of_a_batch_is_bounded(vocabulary):
+    number = np.random.default_rng(5).integers(0, 1 << 40, 250_000)
+    column = pa.array([" ".join(f"{x:x}" for x in part) for part in np.split(number, 1000)])
+    seeds = np.arange(len(column), dtype=np.uint64)
+    sampling.encode_texts(vocabulary, ["warm"], seeds[:1], 2)
+    tracemalloc.start()
+    for low, high, _, _ in pieces(column, sampling.PIECE_BYTES):
+        sampling.encode_texts(vocabulary, column[low:high].to_pylist(), seeds[low:high], 2)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 150 << 20
