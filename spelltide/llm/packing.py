@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -21,12 +22,33 @@ WORDS, REMEMBERED = 2_000, 1 << 20
 #: ASCII white space, which no token of a tokenizer that drops white space can span.
 WHITE = b"\t\n\x0b\x0c\r "
 #: One word for the tokenizer: letters alone, each a character that it neither composes with another nor splits.
-LETTERS = "^[a-zß-öø-įı-ňŊ-ſ]+$"
+LETTERS = "^[A-Za-zÀ-ÖØ-öø-įı-ňŊ-ſ]+$"
+#: Steps of a tokenizer that only lower such words, or cut a text of them at white space.
+LOWERING, CUTTING = {"NFC", "Replace", "Lowercase"}, r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 #: A word that ends in such a letter, and the punctuation behind it.
 TAIL = r"^(?P<head>.*[a-z\x{df}-\x{f6}\x{f8}-\x{12f}\x{131}-\x{148}\x{14a}-\x{17f}])(?P<tail>[.,;:!?]+)$"
 WORD_END = "</w>"
 
 
+def _shortened(steps: dict) -> dict | None:
+    """The tokenizer for texts of lower-case plain words and spaces alone: the same model without the steps that leave
+    them as they are. Nothing where a step is none of those known."""
+    normal, before = steps["normalizer"] or {}, (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+    spaces = [n for n in normal.get("normalizers", []) if n["type"] == "Replace"]
+    known = (
+        all(any(not c.isalpha() and c != " " for c in t["content"]) for t in steps["added_tokens"])
+        and normal.get("type") == "Sequence" and {n["type"] for n in normal["normalizers"]} <= LOWERING
+        and any(n["type"] == "Lowercase" for n in normal["normalizers"])
+        and all(n["pattern"] == {"Regex": "\\s+"} and n["content"] == " " for n in spaces)
+        and [b["type"] for b in before] == ["Split", "ByteLevel"]
+        and before[0]["pattern"] == {"Regex": CUTTING} and before[0]["behavior"] == "Removed" and before[0]["invert"]
+        and not before[1]["add_prefix_space"] and not before[1]["use_regex"]
+    )
+    if not known:
+        return None
+    return {**steps, "normalizer": None, "pre_tokenizer": {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, before[1]]}}
+
+
 class _Words:
     """Ids of many texts by a tokenizer that drops white space, by way of their distinct words.
 
@@ -39,6 +61,8 @@ class _Words:
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path)
+        short = _shortened(json.loads(self.model.to_str()))
+        self.short = Tokenizer.from_str(json.dumps(short)) if short else None
         size = self.model.get_vocab_size(with_added_tokens=True)
         self.ends = np.array([(self.model.id_to_token(i) or "").endswith(WORD_END) for i in range(size)], bool)
         self._forget()
@@ -51,23 +75,27 @@ class _Words:
         """Where distinct words are among those remembered; new ones are encoded first."""
         if len(self.known) > REMEMBERED:
             self._forget()
-        fresh = words.filter(pc.invert(pc.is_in(words, value_set=self.known)))
+        found = pc.index_in(words, value_set=self.known)
+        fresh = words.filter(found.is_null())
+        place = found.fill_null(0).to_numpy().astype(np.int64)
         if len(fresh):
+            place[found.is_null().to_numpy(zero_copy_only=False)] = len(self.known) + np.arange(len(fresh))
             ids, starts = self.table(fresh)
             self.known = pa.concat_arrays([self.known, fresh])
             self.starts = np.concatenate([self.starts, self.starts[-1] + starts[1:]])
             self.flat = np.concatenate([self.flat, ids])
-        return pc.index_in(words, value_set=self.known).to_numpy()
+        return place
 
-    def _each(self, words: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32) for e in self.model.encode_batch(words, add_special_tokens=False)]
+    def _each(self, words: list[str], model=None) -> list[np.ndarray]:
+        # The fast way makes the same ids without the words' places in the text.
+        return [np.array(e.ids, np.uint32) for e in (model or self.model).encode_batch_fast(words, add_special_tokens=False)]
 
     def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in order, and how many each has; one by one where the ends don't tell."""
         flat, sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for low in range(0, len(words), WORDS):
             part = words[low : low + WORDS]
-            ids = np.array(self.model.encode(" ".join(part), add_special_tokens=False).ids, np.uint32)
+            (ids,) = self._each([" ".join(part)], self.short)
             last = np.flatnonzero(self.ends[ids])
             if len(last) == len(part) and last[-1] == len(ids) - 1:
                 count = np.diff(last, prepend=-1)
@@ -81,7 +109,7 @@ class _Words:
     def table(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of distinct words, one after the other, and the places where each begins, with the end of the last."""
         plain = pc.match_substring_regex(words, LETTERS).to_numpy(zero_copy_only=False)
-        flat, sizes = self._plain(words.filter(pa.array(plain)).to_pylist())
+        flat, sizes = self._plain(pc.utf8_lower(words.filter(pa.array(plain))).to_pylist())
         others = self._each(words.filter(pa.array(~plain)).to_pylist())
         count = np.zeros(len(words), np.int64)
         count[plain] = sizes
@@ -95,12 +123,12 @@ class _Words:
 
     def ids(self, texts: pa.Array) -> list[np.ndarray]:
         split = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
-        words = split.flatten()
+        words = split.flatten().dictionary_encode()
         # Lower case commutes with the tokenizer's own steps only where no mark can be composed with a letter.
-        words = pc.if_else(pc.string_is_ascii(words), pc.ascii_lower(words), words).dictionary_encode()
-        parts = pc.extract_regex(words.dictionary, TAIL)
-        heads = pc.if_else(pc.is_valid(parts), pc.struct_field(parts, "head"), words.dictionary)
-        tails = pc.if_else(pc.is_valid(parts), pc.struct_field(parts, "tail"), pa.scalar("", words.dictionary.type))
+        lower = pc.if_else(pc.string_is_ascii(words.dictionary), pc.ascii_lower(words.dictionary), words.dictionary)
+        parts = pc.extract_regex(lower, TAIL)
+        heads = pc.if_else(pc.is_valid(parts), pc.struct_field(parts, "head"), lower)
+        tails = pc.if_else(pc.is_valid(parts), pc.struct_field(parts, "tail"), pa.scalar("", lower.type))
         pairs = pa.concat_arrays([heads, tails]).dictionary_encode()
         code = self.places(pairs.dictionary)[pairs.indices.to_numpy()]
         ids, starts = self.flat, self.starts

@@ -1,5 +1,7 @@
 """Packed sequences against a plain encoding of every text."""
 
+import json
+import re
 import zlib
 from collections import defaultdict
 
@@ -95,6 +97,31 @@ def test_ids_are_those_of_the_tokenizer(texts):
     assert [x.tolist() for x in words.ids(packing.pa.array(texts, packing.pa.string()))] == [plain(t, ()) for t in texts]
 
 
+def test_capital_letters_travel_with_plain_words():
+    words, told = packing._Words(PATH), []
+    joined = words._plain
+    words._plain = lambda some: told.extend(some) or joined(some)
+    text = "Été ÀÖÞ Straße Łódź Ÿes plain 12 a-b"
+    assert words.ids(packing.pa.array([text]))[0].tolist() == plain(text, ())
+    assert set(told) >= {"été", "àöþ", "straße", "łódź", "ÿes", "plain"}
+
+
+def test_every_plain_letter_has_the_ids_of_the_whole_tokenizer():
+    words = packing._Words(PATH)
+    assert words.short is not None
+    letters = [chr(c) for c in range(0x180) if re.match(packing.LETTERS, chr(c))]
+    texts = [f"{c} a{c}b {c}{c} x{c}, s{c}" for c in letters]
+    assert len(letters) > 200 and [x.tolist() for x in words.ids(packing.pa.array(texts))] == [plain(t, ()) for t in texts]
+
+
+def test_no_step_is_left_out_of_an_unknown_tokenizer():
+    steps = json.loads(Tokenizer.from_file(PATH).to_str())
+    assert packing._shortened(steps) is not None
+    assert packing._shortened({**steps, "normalizer": None}) is None
+    assert packing._shortened({**steps, "pre_tokenizer": {"type": "Whitespace"}}) is None
+    assert packing._shortened({**steps, "added_tokens": [{"content": "abc"}]}) is None
+
+
 def test_query(spark, sf):
     texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
     whole = {k: np.array(plain(t), "<u4") for k, t in texts}
