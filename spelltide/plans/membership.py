@@ -65,35 +65,40 @@ def order_columns(df: DataFrame, codes: list[str], strict: bool = False) -> Data
     return lenient_select(df, wanted)
 
 
-# More than the days between the first and last date that has a four-digit year.
-DAY_SPAN = 4_000_000
+# Bits for a number of days, so that a preference fits a long; the end counts from so many days before 1970.
+DAY_BITS = 30
+DAY_ORIGIN = 1 << (DAY_BITS - 1)
 
 
 def _preference(active: Column) -> Column:
     """One number that orders the spells of a member and month as `best_spell_per_month` does:
-    eligible first, nearest start, earlier start, earlier end."""
+    eligible first, nearest start, earlier start, earlier end. The spell can be read off it, see `_preferred`."""
     distance = F.datediff(F.col(MONTH), F.col(FROM)).cast("bigint")
     later = F.when(distance < 0, 1).otherwise(0)
-    end = F.datediff(F.col(TO), F.lit("0001-01-01").cast("date"))
-    return (((1 - active) * DAY_SPAN + F.abs(distance)) * 2 + later) * DAY_SPAN + end
+    end = F.datediff(F.col(TO), F.lit("1970-01-01").cast("date")) + DAY_ORIGIN
+    return (((1 - active) * (1 << DAY_BITS) + F.abs(distance)) * 2 + later) * (1 << DAY_BITS) + end
+
+
+def _preferred(preference: Column) -> tuple[Column, Column]:
+    """Start and end of the spell that a preference was made of, in the row of its month."""
+    days = lambda bits: F.shiftright(preference, bits).bitwiseAND((1 << DAY_BITS) - 1).cast("int")
+    later = F.shiftright(preference, DAY_BITS).bitwiseAND(1) == 1
+    start = F.date_sub(F.col(MONTH), F.when(later, -days(DAY_BITS + 1)).otherwise(days(DAY_BITS + 1)))
+    return start, F.date_add(F.lit("1970-01-01").cast("date"), days(0) - DAY_ORIGIN)
 
 
 def best_months(spells: DataFrame, codes: list[str], as_of=None) -> DataFrame:
     """The spell that counts for each member and month, as bare keys, of spells with their held covers.
 
     Only keys and dates are expanded to months and shuffled, and each task keeps its own best
-    candidate per member and month before the shuffle. The preference is a plain number, so both
-    steps are hash aggregates and nothing is sorted.
+    candidate per member and month before the shuffle. The preference is a plain number from which the spell can be read
+    off, so both steps are hash aggregates of one long, nothing is sorted, and no spell is shuffled beside its preference.
     """
     held = F.coalesce(F.lit(None).cast("int"), *[F.col(c) for c in S.held_columns(codes)])
     active = F.when(held == 1, touches_month(F.col(MONTH), F.col(FROM), F.col(TO))).otherwise(0)
-    return (
-        S.month_expand(spells, as_of)
-        .withColumn("_preference", _preference(active))
-        .groupBy("memberid", MONTH)
-        .agg(F.min_by(FROM, "_preference").alias(FROM), F.min_by(TO, "_preference").alias(TO))
-        .select("memberid", FROM, TO, MONTH)
-    )
+    best = S.month_expand(spells, as_of).groupBy("memberid", MONTH).agg(F.min(_preference(active)).alias("_preference"))
+    start, end = _preferred(F.col("_preference"))
+    return best.select("memberid", start.alias(FROM), end.alias(TO), MONTH)
 
 
 def membership_report(

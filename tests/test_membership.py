@@ -153,3 +153,18 @@ def test_jobs_over_stored_tables_validate_and_clean_up(spark, sf, tmp_path):
         M.run_medical(spark, TableSpec(name="spells", database="spelltide_tests", predicate="memberid = 'nobody'"), medical, AS_OF)
     assert spark.read.parquet(report).count() > 0 < spark.read.parquet(medical).count()
     assert set(shared.iterdir()) == before and not [p for p in tmp_path.iterdir() if p.name.startswith("_")]
+
+
+def test_best_months_shuffle_one_number_beside_their_key(spark, sf, capsys):
+    keys = S.spell_covers(S.cover_override(S.as_dates(B.eligibility(spark, sf))), CODES)
+    best = M.best_months(keys, CODES, AS_OF)
+    assert "min_by" not in plan_of(best, capsys)
+    assert best.schema == best.selectExpr("memberid", f"date({FROM}) {FROM}", f"date({TO}) {TO}", MONTH).schema
+
+
+def test_spell_is_read_off_its_preference(spark):
+    rows = [("2024-02-01", a, b) for a in ("0001-01-01", "1969-12-31", "2024-01-31", "2024-02-01", "2024-02-02", "9999-12-31") for b in ("0001-01-01", "1970-01-01", "9999-12-31")]
+    df = spark.createDataFrame(rows, f"{MONTH} string, {FROM} string, {TO} string").select(*[F.col(c).cast("date").alias(c) for c in (MONTH, FROM, TO)])
+    for active in (0, 1):
+        start, end = M._preferred(M._preference(F.lit(active)))
+        assert df.where((start != F.col(FROM)) | (end != F.col(TO)) | start.isNull() | end.isNull()).isEmpty()
