@@ -189,15 +189,15 @@ def spell_snapshot(df: DataFrame) -> DataFrame:
 def spell_snapshot_join(months: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Attach each spell's snapshot to its months, on member and day.
 
-    The join is sort-merge by hint: months outgrow the size Spark estimates for them, which must not
-    make them the side that is broadcast.
+    The join is a shuffled hash join by hint, with the snapshot, one row per spell, as the side that is kept: months outgrow
+    the size Spark estimates for them, so they must neither be broadcast nor sorted, but only pass.
     """
     a = as_dates(months)
     b = snapshot.withColumns({f"{c}_source": F.col(f"{c}_source").cast("date") for c in (FROM, TO)})
     on = F.lit(True)
     for c in SPELL:
         on = on & (F.col(c) == F.col(f"{c}_source"))
-    return a.join(b.hint("merge"), on, "inner")
+    return a.join(b.hint("shuffle_hash"), on, "inner")
 
 
 def with_source_key(df: DataFrame) -> DataFrame:

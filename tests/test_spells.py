@@ -190,3 +190,9 @@ def test_of_rows_loaded_together_the_first_in_the_table_counts(spark, tmp_path):
     months = M.membership_months(df, as_of="2024-01-01")
     assert rows(months, "sourcesystemid", "DEN", "MED") == [("9", 1, 1)]
     assert M.membership_months(located(spark.read.parquet(str(tmp_path / "t")).where("false")), ["MED"], "2024-01-01").count() == 0
+
+
+def test_months_are_not_sorted_for_their_snapshot(spark, sf, capsys):
+    rows_ = S.cover_override(B.eligibility(spark, sf))
+    plan = plan_of(S.spell_snapshot_join(S.cover_pivot(rows_, ["DEN", "MED", "VIS"], "2001-12-31"), S.spell_snapshot(rows_)), capsys)
+    assert "ShuffledHashJoin" in plan and "BuildRight" in plan and "SortMergeJoin" not in plan
