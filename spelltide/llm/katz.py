@@ -35,6 +35,8 @@ HIGH_DISCOUNT = 0.05
 HISTORY_SLICE = 1 << 18
 #: Hash ranges of words and of bigrams: at least so many, and one per so many blocks.
 LEAST_RANGES, BLOCKS_PER_WORD_RANGE, BLOCKS_PER_PAIR_RANGE = 64, 2, 1
+#: Blocks that Spark hands to Python at a time; by thousands, all blocks of a task would be held at once, on both sides.
+BATCH_BLOCKS, BATCH_OPTION = 4, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Requests that meet in one task; of more blocks, so many are folded into one first. Also the most ranges of a block.
 FAN = 512
 
@@ -53,6 +55,14 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<i8").ravel()
 
 
+def _rows(batch: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch one by one, so that only one block is copied out of it at a time; lists of many small structs
+    stay Arrow arrays."""
+    kept = [pa.types.is_list(c.type) and pa.types.is_struct(c.type.value_type) and not any(pa.types.is_binary(f.type) for f in c.type.value_type) for c in batch.columns]
+    for i in range(batch.num_rows):
+        yield [c[i].values if whole else c[i].as_py() for c, whole in zip(batch.columns, kept)]
+
+
 @dataclass(frozen=True)
 class Discount:
     """The factor of a count: Good-Turing up to K, close to 1 above."""
@@ -151,7 +161,7 @@ def _cuts(words: np.ndarray, ranges: int) -> np.ndarray:
 def _word_requests(blocks: DataFrame, ranges: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for block, words, counts in zip(*(x.to_pylist() for x in batch.columns)):
+            for block, words, counts in _rows(batch):
                 words, counts = np.frombuffer(words, np.uint64), _unpack(counts)
                 cut = _cuts(words, ranges)
                 full = np.flatnonzero(np.diff(cut))
@@ -234,7 +244,7 @@ PAIRS = "heads binary, head_counts binary, lengths binary, words binary, word_co
 def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
     def ask(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for number, held, words, sizes, tokens, replies in zip(*(x.to_pylist() for x in batch.columns)):
+            for number, held, words, sizes, tokens, replies in _rows(batch):
                 block = Block.of(words, sizes, tokens, replies)
                 history, word, place, cut = block.pairs(ranges)
                 trains = np.repeat(~np.array(held, bool), block.sizes)
@@ -454,15 +464,15 @@ def backoff_weights(histories: DataFrame, discount: Discount) -> DataFrame:
 def _scores(joined: DataFrame, ranges: int, unigrams: Unigrams, discount: Discount) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
-            for ids, held, words, sizes, tokens, word_replies, pair_replies, weights in zip(*(x.to_pylist() for x in batch.columns)):
+            for ids, held, words, sizes, tokens, word_replies, pair_replies, weights in _rows(batch):
                 block = Block.of(words, sizes, tokens, word_replies)
                 history, word, place, _ = block.pairs(ranges)
                 count = np.concatenate([_unpack(r["counts"]) for r in pair_replies])
                 alpha = np.ones(len(block.words))
-                if weights:
+                if weights is not None and len(weights):
                     by_id = np.argsort(block.ids)
-                    at = np.searchsorted(block.ids[by_id], [w["h"] for w in weights])
-                    alpha[by_id[at]] = [w["alpha"] for w in weights]
+                    at = np.searchsorted(block.ids[by_id], weights.field("h").to_numpy(zero_copy_only=False))
+                    alpha[by_id[at]] = weights.field("alpha").to_numpy(zero_copy_only=False)
                 with np.errstate(divide="ignore"):
                     p = np.where(
                         count > 0, discount(count) / np.maximum(block.counts[history], 1), alpha[history] * unigrams.probability(block.counts[word])
@@ -507,12 +517,14 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str, block_bytes:
     size = df.agg(F.sum(F.octet_length(F.col(text).cast("string")))).first()[0] or 0
     # With fewer buckets than shuffles have partitions, Spark would shuffle the blocks for every join.
     buckets = max(LEAST_BUCKETS, int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
-    place = scratch_path(spark, "katz-blocks")
+    place, batch = scratch_path(spark, "katz-blocks"), spark.conf.get(BATCH_OPTION)
     # Bucketing needs a catalog table; its files lie in the shared folder, and it goes whatever happens.
     try:
         _blocks(df, key, text, held_out, block_bytes).write.bucketBy(buckets, "block").format("parquet").option("path", place).saveAsTable(name)
+        spark.conf.set(BATCH_OPTION, BATCH_BLOCKS)
         return _scored(spark.table(name), key, fan)
     finally:
+        spark.conf.set(BATCH_OPTION, batch)
         spark.sql(f"DROP TABLE IF EXISTS {name}")
         drop_path(spark, place)
 

@@ -1,8 +1,10 @@
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -145,3 +147,24 @@ def test_nothing_stays_behind_after_an_error(spark, documents, monkeypatch):
     with pytest.raises(ValueError, match="stop"):
         run(documents, ["a b c"], [])
     assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_blocks_of_a_batch_are_copied_one_at_a_time():
+    weights = pa.array([[{"h": h, "alpha": 0.5} for h in range(20_000)]] * 8 + [None])
+    batch = pa.RecordBatch.from_pydict({"words": pa.array([b"x" * (4 << 20)] * 9, pa.binary()), "weights": weights})
+    tracemalloc.start()
+    seen = 0
+    for words, found in katz._rows(batch):
+        seen += len(words) + (0 if found is None else int(found.field("h").to_numpy().sum()))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 9 * (4 << 20) + 8 * 20_000 * 19_999 // 2 and peak < 10 << 20
+
+
+def test_python_gets_few_blocks_at_a_time(documents, spark, monkeypatch):
+    option, seen, plain = "spark.sql.execution.arrow.maxRecordsPerBatch", [], katz._scored
+    before = spark.conf.get(option)
+    monkeypatch.setattr(katz, "_scored", lambda *a: seen.append(int(spark.conf.get(option))) or plain(*a))
+    df = documents([(1, "a b c"), (2, "a b")]).withColumn("held", F.lit(False))
+    assert katz.katz_scores(df, "doc_id", "text", "held").count() == 2
+    assert seen == [katz.BATCH_BLOCKS] and seen[0] < 10 and spark.conf.get(option) == before
