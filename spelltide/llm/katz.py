@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +25,7 @@ from spelltide.llm.scratch import stored
 from spelltide.llm.words import PIECE_BYTES, mix, pieces, word_hashes
 from spelltide.sources.scratch import drop_path, scratch_path
 
-BLOCK_BYTES = 3 << 20
+BLOCK_BYTES = 8 << 20
 #: Text in a bucket of blocks, which one task works on, and the fewest buckets.
 BUCKET_BYTES, LEAST_BUCKETS = 32 << 20, 8
 #: Counts above this are hardly discounted.
@@ -36,23 +37,53 @@ HISTORY_SLICE = 1 << 18
 #: Hash ranges of words and of bigrams: at least so many, and one per so many blocks.
 LEAST_RANGES, BLOCKS_PER_WORD_RANGE, BLOCKS_PER_PAIR_RANGE = 64, 2, 1
 #: Blocks that Spark hands to Python at a time; by thousands, all blocks of a task would be held at once, on both sides.
-BATCH_BLOCKS, BATCH_OPTION = 4, "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_BLOCKS, BATCH_OPTION = 2, "spark.sql.execution.arrow.maxRecordsPerBatch"
 #: Requests that meet in one task; of more blocks, so many are folded into one first. Also the most ranges of a block.
-FAN = 512
+FAN = 8192
 
 END, START = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
+#: Bytes of a word's id, of a count and of a number of bigrams in a request.
+ID, COUNT, LENGTH = 7, 6, 4
+
+
+@lru_cache(maxsize=1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once a process: making them takes longer than a short request."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
+def _planes(x: np.ndarray, width: int) -> np.ndarray:
+    """Numbers from 0 as `width` rows of bytes, the low bytes of all first."""
+    return np.ascontiguousarray(np.ascontiguousarray(x, "<i8").view(np.uint8).reshape(-1, 8)[:, :width].T)
+
+
+def _numbers(planes: np.ndarray) -> np.ndarray:
+    wide = np.zeros((planes.shape[1], 8), np.uint8)
+    wide[:, : len(planes)] = planes.T
+    return wide.view("<i8").ravel()
 
 
 def _pack(x: np.ndarray) -> bytes:
-    """Numbers as bytes, the low bytes of all first, compressed."""
-    planes = np.ascontiguousarray(x.astype("<u8")).view(np.uint8).reshape(-1, 8).T
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(planes).tobytes())
+    """Numbers from 0 as bytes, the low bytes of all first, compressed; first, how many bytes a number takes."""
+    width = max(1, (int(x.max()).bit_length() + 7) // 8) if len(x) else 1
+    return _zstd()[0].compress(bytes([width]) + _planes(x, width).tobytes())
 
 
 def _unpack(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(8, -1)
-    return np.ascontiguousarray(planes.T).view("<i8").ravel()
+    data = np.frombuffer(_zstd()[1].decompress(data), np.uint8)
+    return _numbers(data[1:].reshape(data[0], -1))
+
+
+def _pack_all(x: np.ndarray, cut: np.ndarray) -> list[bytes]:
+    """The counts from each cut to the next, packed."""
+    planes, compress = _planes(x, COUNT), _zstd()[0].compress
+    return [compress(planes[:, a:b].tobytes()) for a, b in zip(cut[:-1].tolist(), cut[1:].tolist())]
+
+
+def _unpack_all(packed: list[bytes]) -> np.ndarray:
+    """All counts, one after the other."""
+    return _numbers(np.concatenate([np.frombuffer(_zstd()[1].decompress(x), np.uint8).reshape(COUNT, -1) for x in packed], axis=1))
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[list]:
@@ -187,7 +218,7 @@ def _merge_words(group: pa.Table) -> pa.Table:
     return pa.table({
         "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([part] * (len(words) + 1), pa.int64()),
         "counts": pa.array([*map(_pack, np.split(total[place], cut)), None], pa.binary()),
-        "places": pa.array([*map(_pack, np.split(place + (part << 32), cut)), None], pa.binary()),
+        "places": pa.array([*map(_pack, np.split(place + (part << 32) + 1, cut)), None], pa.binary()),
         "times": pa.array([*[None] * len(words), [int(t) for t in times]], pa.list_(pa.int64())),
     })
 
@@ -203,7 +234,7 @@ class Block:
     """A block's texts with the counts of its words."""
 
     words: np.ndarray  # hashes, that of the start last
-    ids: np.ndarray  # range and place in it, the same in all blocks and shorter than a hash once packed
+    ids: np.ndarray  # range and place in it from 1, the same in all blocks and shorter than a hash once packed; 0 is the start
     counts: np.ndarray  # in training texts; of the start, how many these are
     history: np.ndarray  # by token
     token: np.ndarray
@@ -215,10 +246,10 @@ class Block:
         ids = np.concatenate([_unpack(r["places"]) for r in replies])
         counts = np.concatenate([_unpack(r["counts"]) for r in replies])
         counts = np.append(counts, counts[np.searchsorted(words[:-1], END)])
-        sizes, token = _unpack(sizes), _unpack(tokens)
-        history = np.append(len(words) - 1, token[:-1])
+        sizes, token = _unpack(sizes), _unpack(tokens).astype(np.int32)
+        history = np.append(np.int32(len(words) - 1), token[:-1])
         history[np.cumsum(sizes)[:-1]] = len(words) - 1
-        return cls(words, np.append(ids, -1), counts, history, token, sizes)
+        return cls(words, np.append(ids, 0), counts, history, token, sizes)
 
     def pairs(self, ranges: int) -> tuple[np.ndarray, ...]:
         """History and word of the distinct bigrams by part, which of them each token is, and where the parts begin.
@@ -226,19 +257,66 @@ class Block:
         A history's bigrams are dealt to parts by its hash, those of a frequent one by the word too.
         """
         wide = len(self.words)
-        pair, place = np.unique(self.history * wide + self.token, return_inverse=True)
-        history, word = pair // wide, pair % wide
+        pair, place = _distinct(self.history * np.int64(wide) + self.token)
+        history, word = (x.astype(np.int32) for x in np.divmod(pair, wide))
+        del pair
         slices = (1 + self.counts // HISTORY_SLICE).astype(np.uint64)[history]
         spread = mix(self.words[history] + self.words[word] % slices * _ODD)
-        part = (spread % np.uint64(ranges)).astype(np.uint32)
+        part = (spread % np.uint64(ranges)).astype(np.uint16 if ranges <= 1 << 16 else np.uint32)
+        del slices, spread
         order = np.argsort(part, kind="stable")
-        back = np.empty(len(order), np.int64)
-        back[order] = np.arange(len(order))
-        history, word = history[order], word[order]
-        return history, word, back[place], np.searchsorted(part[order], np.arange(ranges + 1))
-
-
-PAIRS = "heads binary, head_counts binary, lengths binary, words binary, word_counts binary, seen binary"
+        back = np.empty(len(order), np.int32)
+        back[order] = np.arange(len(order), dtype=np.int32)
+        cut = np.append(0, np.cumsum(np.bincount(part, minlength=ranges)))
+        return history[order], word[order], back[place], cut
+
+
+def _distinct(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers in order, and which of them each is; in less memory than `np.unique`."""
+    order = np.argsort(x)
+    x = x[order]
+    new = np.append(np.ones(min(1, len(x)), bool), x[1:] != x[:-1])
+    place = np.empty(len(x), np.int32)
+    place[order] = np.cumsum(new, dtype=np.int32) - 1
+    return x[new], place
+
+
+#: Of a request: its heads' ids, counts in training texts and numbers of bigrams; its bigrams' words, these words' counts, and theirs.
+HEAD, PAIR = (ID, COUNT, LENGTH), (ID, COUNT, COUNT)
+PAIRS = "pairs binary"
+
+
+def _pack_pairs(history: np.ndarray, of_history: np.ndarray, word: np.ndarray, count: np.ndarray, seen: np.ndarray, cut: np.ndarray) -> Iterator[bytes]:
+    """Requests of the bigrams from each cut to the next, those of a history side by side."""
+    new = np.append(True, history[1:] != history[:-1])
+    new[cut[:-1][cut[:-1] < len(new)]] = True
+    first = np.flatnonzero(new)
+    heads = [_planes(x, w) for x, w in zip((history[first], of_history[first], np.diff(np.append(first, len(history)))), HEAD)]
+    pairs = [_planes(x, w) for x, w in zip((word, count, seen), PAIR)]
+    compress = _zstd()[0].compress
+    bounds = np.searchsorted(first, cut)
+    for a, b, c, d in zip(cut[:-1].tolist(), cut[1:].tolist(), bounds[:-1].tolist(), bounds[1:].tolist()):
+        yield compress(b"".join([(d - c).to_bytes(4, "little"), *(x[:, c:d].tobytes() for x in heads), *(x[:, a:b].tobytes() for x in pairs)]))
+
+
+def _unpack_pairs(requests: list[bytes]) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """Ids, counts and lengths of all heads, and words, counts and training counts of all bigrams; where each request's heads and
+    bigrams begin, and the end."""
+    fields, sizes = [[] for _ in (*HEAD, *PAIR)], []
+    for request in requests:
+        data = np.frombuffer(_zstd()[1].decompress(request), np.uint8)
+        heads = int.from_bytes(data[:4].tobytes(), "little")
+        pairs, low = (len(data) - 4 - heads * sum(HEAD)) // sum(PAIR), 4
+        sizes.append((heads, pairs))
+        for field, width, n in zip(fields, (*HEAD, *PAIR), (heads,) * 3 + (pairs,) * 3):
+            field.append(data[low : low + width * n].reshape(width, n))
+            low += width * n
+    out = []
+    for i in range(len(fields)):
+        out.append(_numbers(np.concatenate(fields[i], axis=1)))
+        fields[i] = None
+    of_heads, of_pairs = (np.append(0, np.cumsum(x)) for x in zip(*sizes))
+    return out[:3], out[3:], of_heads, of_pairs
 
 
 def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
@@ -247,20 +325,12 @@ def _pair_requests(joined: DataFrame, ranges: int) -> DataFrame:
             for number, held, words, sizes, tokens, replies in _rows(batch):
                 block = Block.of(words, sizes, tokens, replies)
                 history, word, place, cut = block.pairs(ranges)
-                trains = np.repeat(~np.array(held, bool), block.sizes)
-                seen = np.bincount(place[trains], minlength=len(word))
-                rows = []
-                for i in np.flatnonzero(np.diff(cut)):
-                    own = slice(cut[i], cut[i + 1])
-                    first = np.flatnonzero(np.append(True, history[own][1:] != history[own][:-1]))
-                    heads = history[own][first]
-                    rows.append((
-                        int(i), number, _pack(block.ids[heads]), _pack(block.counts[heads]), _pack(np.diff(np.append(first, cut[i + 1] - cut[i]))),
-                        _pack(block.ids[word[own]]), _pack(block.counts[word[own]]), _pack(seen[own]),
-                    ))
-                names = ("part", "block", "heads", "head_counts", "lengths", "words", "word_counts", "seen")
-                kinds = (pa.int64(), pa.int64(), *[pa.binary()] * 6)
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], list(names))
+                seen = np.bincount(place[np.repeat(~np.array(held, bool), block.sizes)], minlength=len(word))
+                ids, counts = block.ids, block.counts
+                del block, place, words, tokens, replies
+                full = np.flatnonzero(np.diff(cut))
+                requests = _pack_pairs(ids[history], counts[history], ids[word], counts[word], seen, np.append(cut[full], len(word)))
+                yield pa.RecordBatch.from_pydict({"part": full, "block": np.full(len(full), number), "pairs": pa.array(requests, pa.binary())})
 
     return joined.select("block", "held", "words", "sizes", "tokens", "word_replies").mapInArrow(ask, f"part long, block long, {PAIRS}")
 
@@ -272,38 +342,39 @@ def _pair_merger(unigrams: Unigrams):
     def merge(group: pa.Table) -> pa.Table:
         """A reply per request with the histories whose backoff weight it needs; in a row without block what
         those histories' continuations add up to, and how many bigrams occur once, twice, ..."""
-        heads = [_unpack(x) for x in group["heads"].to_pylist()]
-        lengths = [_unpack(x) for x in group["lengths"].to_pylist()]
-        head_counts = [_unpack(x) for x in group["head_counts"].to_pylist()]
-        words = [_unpack(x) for x in group["words"].to_pylist()]
-        history = np.concatenate([np.repeat(h, n) for h, n in zip(heads, lengths)])
-        of_history = np.concatenate([np.repeat(c, n) for c, n in zip(head_counts, lengths)])
-        word = np.concatenate([_unpack(x) for x in group["word_counts"].to_pylist()])
-        seen = np.concatenate([_unpack(x) for x in group["seen"].to_pylist()])
-        key = mix(mix(history.view(np.uint64)) + np.concatenate(words).view(np.uint64) * _ODD)
-        _, first, place = np.unique(key, return_index=True, return_inverse=True)
+        (heads, head_counts, lengths), (words, word_counts, seen), of_heads, cut = _unpack_pairs(group["pairs"].to_pylist())
+        number = len(cut) - 1
+        history, of_history = np.repeat(heads, lengths), np.repeat(head_counts, lengths)
+        key = mix(mix(history.view(np.uint64)) + words.view(np.uint64) * _ODD)
+        del words
+        key, place = _distinct(key)
+        first = np.empty(len(key), np.int64)
+        first[place] = np.arange(len(place))
+        del key
         total = np.bincount(place, seen, len(first)).astype(np.int64)
+        del seen
         count = total[place]
-        cut = np.cumsum([len(w) for w in words])
+        del place
         open_ = (count == 0) & (of_history > 0)
-        need = [np.unique(h[o]) for h, o in zip(np.split(history, cut[:-1]), np.split(open_, cut[:-1]))]
+        # Bigrams of a history lie side by side in a request, so a head is needed where one of them is open.
+        needed = np.add.reduceat(open_, np.cumsum(lengths) - lengths, dtype=np.int64) > 0
+        need = pa.ListArray.from_arrays(pa.array(np.append(np.append(0, np.cumsum(needed))[of_heads], needed.sum()), pa.int32()), pa.array(heads[needed]))
 
         own, known = np.unique(history, return_inverse=True)
         told = np.zeros(len(own), bool)
         told[known[open_ | (of_history >= HISTORY_SLICE)]] = True
         there = total > 0
-        known, count_of, p1 = known[first][there], total[there], unigrams.probability(word[first][there])
+        known, count_of, p1 = known[first][there], total[there], unigrams.probability(word_counts[first][there])
         sums = [np.bincount(known, count_of == r, len(own)) for r in range(1, K + 1)]
         sums += [np.bincount(known, np.where(count_of > K, x, 0), len(own)) for x in (count_of, 1)]
         fields = [pa.array(own[told]), *(pa.array(s[told].astype(np.int64)) for s in sums), pa.array(np.bincount(known, p1, len(own)).astype(float)[told])]
         table = pa.StructArray.from_arrays(fields, fields=list(_HISTORY))
-        histories = pa.ListArray.from_arrays(pa.array([0] * (len(words) + 1) + [len(table)], pa.int32()), table)
+        histories = pa.ListArray.from_arrays(pa.array([0] * (number + 1) + [len(table)], pa.int32()), table)
         times = [int(t) for t in np.bincount(np.minimum(total, K + 2), minlength=K + 3)[1 : K + 2]]
         return pa.table({
-            "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (len(words) + 1), pa.int64()),
-            "counts": pa.array([*map(_pack, np.split(count, cut[:-1])), None], pa.binary()),
-            "need": pa.array([*need, []], pa.list_(pa.int64())), "histories": histories,
-            "times": pa.array([*[None] * len(words), times], pa.list_(pa.int64())),
+            "block": pa.array([*group["block"].to_pylist(), None], pa.int64()), "part": pa.array([group["part"][0].as_py()] * (number + 1), pa.int64()),
+            "counts": pa.array([*_pack_all(count, cut), None], pa.binary()), "need": need, "histories": histories,
+            "times": pa.array([*[None] * number, times], pa.list_(pa.int64())),
         })
 
     return merge
@@ -317,21 +388,23 @@ class _Kind:
     reply: str
     merge: Callable[[pa.Table], pa.Table]
     fold: Callable[[list[dict]], tuple[dict, list[np.ndarray]]]  # requests of one range to their union and each one's places in it
-    split: Callable[[dict, int], Iterator[tuple[int, dict]]]  # a union by ranges within its range, in its order
-    answer: Callable[[dict, list[dict], np.ndarray, int], dict]  # a request's reply from the union, the replies to that in order, and its places
+    split: Callable[[dict, int, int], Iterator[tuple[int, dict]]]  # a union by so many ranges within its range, in its order
+    answer: Callable[[dict, list[dict], int, int], Callable[[np.ndarray], dict]]  # from a union and the replies to it in order, a member's reply by its places
 
 
 def _replies(requests: DataFrame, nodes: int, ranges: int, kind: _Kind, fan: int, label: str) -> DataFrame:
     """The replies to the requests of so many blocks, merged by range.
 
     Up to `fan` blocks meet in their ranges. Of more, about `fan` at a time are folded into one by range, and the
-    unions ask in their stead, each in `fan` ranges within every range; the replies to a union are then handed
-    down to its members. So a block makes as many requests as the first height has ranges, a union `fan` for each of its
-    ranges, and no task gets more than about `fan` of them, however many blocks there are.
+    unions ask in their stead, each in as many ranges within every range as there are unions, `fan` at most; the replies to a
+    union are then handed down to its members. So a block makes as many requests as the first height has ranges, a union at most
+    `fan` for each of its ranges, and no task gets more than about `fan` of them, however many blocks there are. A union
+    is opened once for all its members.
     """
     if nodes <= fan:
         return stored(requests.groupBy("part").applyInArrow(kind.merge, kind.reply), label)
     above = -(-nodes // fan)
+    subs = min(fan, above)
     met = requests.withColumn("above", F.pmod(F.xxhash64(F.lit(ranges), "block"), F.lit(above)))
 
     def fold(group: pa.Table) -> pa.Table:
@@ -348,100 +421,92 @@ def _replies(requests: DataFrame, nodes: int, ranges: int, kind: _Kind, fan: int
     def split(batches: Iterator[pa.RecordBatch]):
         for batch in batches:
             for union in batch.to_pylist():
-                for sub, request in kind.split(union, ranges):
-                    yield pa.RecordBatch.from_pylist([{"part": union["part"] * fan + sub, "block": union["above"], **request}], schema=request_schema)
+                for sub, request in kind.split(union, ranges, subs):
+                    yield pa.RecordBatch.from_pylist([{"part": union["part"] * subs + sub, "block": union["above"], **request}], schema=request_schema)
 
     request_schema = pa.schema([("part", pa.int64()), ("block", pa.int64()), *((c, pa.binary()) for c in columns[4:])])
     asked = folded.where("block is null").mapInArrow(split, f"part long, block long, {kind.payload}")
-    told = _replies(asked, above, ranges * fan, kind, fan, f"{label}-above")
+    told = _replies(asked, above, ranges * subs, kind, fan, f"{label}-above")
 
     def hand_down(left: pa.Table, right: pa.Table) -> pa.Table:
         rows, replies = left.to_pylist(), sorted(right.to_pylist(), key=lambda r: r["sub"])
-        union = next(r for r in rows if r["block"] is None)
-        out = [{"block": r["block"], "part": r["part"], **kind.answer(union, replies, _unpack(r["places"]), ranges)} for r in rows if r["block"] is not None]
-        return pa.Table.from_pylist(out, schema=reply_schema)
+        answer = kind.answer(next(r for r in rows if r["block"] is None), replies, ranges, subs)
+        out = [{"block": r["block"], "part": r["part"], **answer(_unpack(r["places"]))} for r in rows if r["block"] is not None]
+        return pa.Table.from_arrays([pa.array([r.get(f.name) for r in out], f.type) for f in reply_schema], schema=reply_schema)
 
     reply_schema = to_arrow_schema(T.StructType.fromDDL(kind.reply))
-    there = told.where("block is not null").withColumnsRenamed({"block": "above", "part": "sub"}).withColumn("part", F.expr(f"sub div {fan}"))
+    there = told.where("block is not null").withColumnsRenamed({"block": "above", "part": "sub"}).withColumn("part", F.expr(f"sub div {subs}"))
     down = folded.groupBy("above", "part").cogroup(there.groupBy("above", "part")).applyInArrow(hand_down, kind.reply)
     return stored(down.unionByName(told.where("block is null")), label)
 
 
-def _word_kind(reply: str, fan: int) -> _Kind:
+def _word_kind(reply: str) -> _Kind:
     def fold(rows: list[dict]) -> tuple[dict, list[np.ndarray]]:
         words = [np.frombuffer(r["words"], np.uint64) for r in rows]
         known, place = np.unique(np.concatenate(words), return_inverse=True)
         total = np.bincount(place, np.concatenate([_unpack(r["counts"]) for r in rows]), len(known)).astype(np.int64)
         return {"words": known.tobytes(), "counts": _pack(total)}, np.split(place, np.cumsum([len(w) for w in words])[:-1])
 
-    def split(union: dict, ranges: int) -> Iterator[tuple[int, dict]]:
+    def split(union: dict, ranges: int, subs: int) -> Iterator[tuple[int, dict]]:
         words, counts = np.frombuffer(union["words"], np.uint64), _unpack(union["counts"])
-        first = union["part"] * fan
-        edges = [np.uint64(((1 << 64) * (first + i)) // (ranges * fan)) for i in range(fan)]
+        first = union["part"] * subs
+        edges = [np.uint64(((1 << 64) * (first + i)) // (ranges * subs)) for i in range(subs)]
         cut = np.append(np.searchsorted(words, edges), len(words))
         for i in np.flatnonzero(np.diff(cut)):
             own = slice(cut[i], cut[i + 1])
             yield int(i), {"words": words[own].tobytes(), "counts": _pack(counts[own])}
 
-    def answer(union: dict, replies: list[dict], places: np.ndarray, ranges: int) -> dict:
-        return {c: _pack(np.concatenate([_unpack(r[c]) for r in replies])[places]) for c in ("counts", "places")}
+    def answer(union: dict, replies: list[dict], ranges: int, subs: int) -> Callable[[np.ndarray], dict]:
+        whole = {c: np.concatenate([_unpack(r[c]) for r in replies]) for c in ("counts", "places")}
+        return lambda places: {c: _pack(x[places]) for c, x in whole.items()}
 
     return _Kind("words binary, counts binary", reply, _merge_words, fold, split, answer)
 
 
-def _wide(request: dict) -> tuple[np.ndarray, ...]:
-    """History, its count, word, its count and training count of each bigram of a request."""
-    lengths = _unpack(request["lengths"])
-    heads, head_counts = (np.repeat(_unpack(request[c]), lengths) for c in ("heads", "head_counts"))
-    return heads, head_counts, *(_unpack(request[c]) for c in ("words", "word_counts", "seen"))
-
-
-def _narrow(history: np.ndarray, of_history: np.ndarray, word: np.ndarray, count: np.ndarray, seen: np.ndarray) -> dict:
-    """The request of bigrams that lie together by history."""
-    first = np.flatnonzero(np.append(True, history[1:] != history[:-1]))
-    fields = (history[first], of_history[first], np.diff(np.append(first, len(history))), word, count, seen)
-    return {c.split()[0]: _pack(x) for c, x in zip(PAIRS.split(", "), fields)}
+def _wide(requests: list[dict]) -> tuple[tuple[np.ndarray, ...], np.ndarray]:
+    """History, its count, word, its count and training count of each bigram of all requests; where each request begins, and the end."""
+    (heads, head_counts, lengths), pairs, _, cut = _unpack_pairs([r["pairs"] for r in requests])
+    return (np.repeat(heads, lengths), np.repeat(head_counts, lengths), *pairs), cut
 
 
-def _sub_range(history: np.ndarray, of_history: np.ndarray, word: np.ndarray, ranges: int, fan: int) -> np.ndarray:
+def _sub_range(history: np.ndarray, of_history: np.ndarray, word: np.ndarray, ranges: int, subs: int) -> np.ndarray:
     """A history's range within its range, by another hash at each height; of a frequent one by the word too."""
     slices = (1 + of_history // HISTORY_SLICE).astype(np.uint64)
     spread = mix(mix(history.view(np.uint64) ^ np.uint64(ranges)) + mix(word.view(np.uint64)) % slices * _ODD)
-    return (spread % np.uint64(fan)).astype(np.int64)
+    return (spread % np.uint64(subs)).astype(np.int64)
 
 
-def _pair_kind(unigrams: Unigrams, reply: str, fan: int) -> _Kind:
-    def ordered(wide: tuple[np.ndarray, ...], ranges: int) -> tuple[np.ndarray, np.ndarray]:
-        sub = _sub_range(wide[0], wide[1], wide[2], ranges, fan)
+def _pair_kind(unigrams: Unigrams, reply: str) -> _Kind:
+    def ordered(wide: tuple[np.ndarray, ...], ranges: int, subs: int) -> tuple[np.ndarray, np.ndarray]:
+        sub = _sub_range(wide[0], wide[1], wide[2], ranges, subs)
         return np.lexsort((wide[2], wide[0], sub)), sub
 
     def fold(rows: list[dict]) -> tuple[dict, list[np.ndarray]]:
-        parts = [_wide(r) for r in rows]
-        history, of_history, word, count, seen = (np.concatenate(x) for x in zip(*parts))
+        (history, of_history, word, count, seen), cut = _wide(rows)
         order = np.lexsort((word, history))
         new = np.append(True, (history[order][1:] != history[order][:-1]) | (word[order][1:] != word[order][:-1]))
         place = np.empty(len(order), np.int64)
         place[order] = np.cumsum(new) - 1
         first = order[new]
         total = np.bincount(place, seen, len(first)).astype(np.int64)
-        union = _narrow(history[first], of_history[first], word[first], count[first], total)
-        return union, np.split(place, np.cumsum([len(p[0]) for p in parts])[:-1])
-
-    def split(union: dict, ranges: int) -> Iterator[tuple[int, dict]]:
-        wide = _wide(union)
-        order, sub = ordered(wide, ranges)
-        cut = np.searchsorted(sub[order], np.arange(fan + 1))
-        for i in np.flatnonzero(np.diff(cut)):
-            yield int(i), _narrow(*(x[order[cut[i] : cut[i + 1]]] for x in wide))
-
-    def answer(union: dict, replies: list[dict], places: np.ndarray, ranges: int) -> dict:
-        wide = _wide(union)
-        count = np.empty(len(wide[0]), np.int64)
-        order, _ = ordered(wide, ranges)
-        count[order] = np.concatenate([_unpack(r["counts"]) for r in replies])
-        own = count[places]
-        open_ = (own == 0) & (wide[1][places] > 0)
-        return {"counts": _pack(own), "need": np.unique(wide[0][places][open_]).tolist()}
+        union = _pack_pairs(history[first], of_history[first], word[first], count[first], total, np.array([0, len(first)]))
+        return {"pairs": next(union)}, np.split(place, cut[1:-1])
+
+    def split(union: dict, ranges: int, subs: int) -> Iterator[tuple[int, dict]]:
+        wide, _ = _wide([union])
+        order, sub = ordered(wide, ranges, subs)
+        cut = np.searchsorted(sub[order], np.arange(subs + 1))
+        full = np.flatnonzero(np.diff(cut))
+        for i, request in zip(full, _pack_pairs(*(x[order] for x in wide), np.append(cut[full], len(order)))):
+            yield int(i), {"pairs": request}
+
+    def answer(union: dict, replies: list[dict], ranges: int, subs: int) -> Callable[[np.ndarray], dict]:
+        wide, _ = _wide([union])
+        history, of_history = wide[:2]
+        count = np.empty(len(history), np.int64)
+        count[ordered(wide, ranges, subs)[0]] = _unpack_all([r["counts"] for r in replies])
+        open_ = (count == 0) & (of_history > 0)
+        return lambda places: {"counts": _pack_all(count[places], np.array([0, len(places)]))[0], "need": np.unique(history[places[open_[places]]])}
 
     return _Kind(PAIRS, reply, _pair_merger(unigrams), fold, split, answer)
 
@@ -466,25 +531,28 @@ def _scores(joined: DataFrame, ranges: int, unigrams: Unigrams, discount: Discou
         for batch in batches:
             for ids, held, words, sizes, tokens, word_replies, pair_replies, weights in _rows(batch):
                 block = Block.of(words, sizes, tokens, word_replies)
+                del words, tokens, word_replies
                 history, word, place, _ = block.pairs(ranges)
-                count = np.concatenate([_unpack(r["counts"]) for r in pair_replies])
                 alpha = np.ones(len(block.words))
                 if weights is not None and len(weights):
                     by_id = np.argsort(block.ids)
                     at = np.searchsorted(block.ids[by_id], weights.field("h").to_numpy(zero_copy_only=False))
                     alpha[by_id[at]] = weights.field("alpha").to_numpy(zero_copy_only=False)
+                count = _unpack_all([r["counts"] for r in pair_replies])
+                del pair_replies, weights
+                seen = np.flatnonzero(count)
+                # By bigram: what is seen by its own count, all else by backoff.
+                log_p = alpha[history] * unigrams.probability(block.counts)[word]
+                log_p[seen] = discount(count[seen]) / block.counts[history[seen]]
+                del history, word, count, seen
                 with np.errstate(divide="ignore"):
-                    p = np.where(
-                        count > 0, discount(count) / np.maximum(block.counts[history], 1), alpha[history] * unigrams.probability(block.counts[word])
-                    )
-                    log_p = np.log10(p)
+                    np.log10(log_p, out=log_p)
+                base = np.log10((block.counts + 1) / (unigrams.tokens + unigrams.distinct + 1))
                 row = np.repeat(np.arange(len(block.sizes)), block.sizes)
-                own = block.counts[block.token]
-                base = np.log10((own + 1) / (unigrams.tokens + unigrams.distinct + 1))
                 by_row = lambda x: np.bincount(row, x, len(block.sizes))
                 yield pa.RecordBatch.from_pydict({
                     "id": pa.array(ids, pa.int64()), "held_out": pa.array(held, pa.bool_()), "n_tokens": block.sizes.astype(np.int64),
-                    "n_known": by_row(own > 0).astype(np.int64), "base_score": by_row(base), "score": by_row(log_p[place]),
+                    "n_known": by_row((block.counts > 0)[block.token]).astype(np.int64), "base_score": by_row(base[block.token]), "score": by_row(log_p[place]),
                 })
 
     columns = joined.select("ids", "held", "words", "sizes", "tokens", "word_replies", "pair_replies", "weights")
@@ -507,7 +575,7 @@ def katz_scores(df: DataFrame, key: str, text: str, held_out: str, block_bytes:
     Without training rows every token is unknown and scores 0.
 
     Blocks are written once, in buckets of at most about 32 MB of text, so each later step only shuffles requests and
-    replies to them. Requests are merged within hash ranges, 512 of a block at most; more blocks than that fold into
+    replies to them. Requests are merged within hash ranges, `fan` of a block at most; more blocks than that fold into
     unions, which ask in finer ranges (`_replies`), so rows grow with the blocks and not with their
     square. `block_bytes` of text make a block; up to `fan` requests meet in a task. A history with many tokens is dealt to several ranges. Backoff weights are looked up only for histories that
     stand before an unseen word.
@@ -536,7 +604,7 @@ def _scored(blocks: DataFrame, key: str, fan: int) -> DataFrame:
     pair_ranges = min(fan, max(LEAST_RANGES, number // BLOCKS_PER_PAIR_RANGE))
 
     reply = "block long, part long, counts binary, places binary, times array<long>"
-    words = _replies(_word_requests(blocks, word_ranges), number, word_ranges, _word_kind(reply, fan), fan, "katz-words")
+    words = _replies(_word_requests(blocks, word_ranges), number, word_ranges, _word_kind(reply), fan, "katz-words")
     times = _totals(words, K + 3)
     discount = good_turing(times[: K + 1])
     tokens, distinct = times[K + 1 :]
@@ -549,7 +617,7 @@ def _scored(blocks: DataFrame, key: str, fan: int) -> DataFrame:
     known = blocks.join(_gathered(words, "word_replies", "counts", "places").hint("merge"), "block")
     fields = ", ".join(f"{f.name}: {'double' if f.name == 'p1' else 'long'}" for f in _HISTORY)
     reply = f"block long, part long, counts binary, need array<long>, histories array<struct<{fields}>>, times array<long>"
-    pairs = _replies(_pair_requests(known, pair_ranges), number, pair_ranges, _pair_kind(unigrams, reply, fan), fan, "katz-pairs")
+    pairs = _replies(_pair_requests(known, pair_ranges), number, pair_ranges, _pair_kind(unigrams, reply), fan, "katz-pairs")
     discount = good_turing(_totals(pairs, K + 1))
     weights = stored(backoff_weights(pairs.where("block is null").select(F.inline("histories")), discount), "katz-weights")
     need = pairs.where("block is not null").select("block", F.explode("need").alias("h")).distinct()

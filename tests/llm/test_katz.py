@@ -1,9 +1,11 @@
+import dataclasses
 import math
 import random
 import re
 import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -168,3 +170,50 @@ def test_python_gets_few_blocks_at_a_time(documents, spark, monkeypatch):
     df = documents([(1, "a b c"), (2, "a b")]).withColumn("held", F.lit(False))
     assert katz.katz_scores(df, "doc_id", "text", "held").count() == 2
     assert seen == [katz.BATCH_BLOCKS] and seen[0] < 10 and spark.conf.get(option) == before
+
+
+def test_unions_are_opened_once_and_ask_in_few_ranges(spark, documents, monkeypatch, tmp_path):
+    """A union is read once for all its members, and asks in as many ranges within its own as there are unions."""
+    plain, kind, rows = katz.stored, katz._pair_kind, {}
+    opened = str(tmp_path / "opened")
+
+    def counted(df, label, **options):
+        kept = plain(df, label, **options)
+        rows[label] = kept.count()
+        return kept
+
+    def noted(*args):
+        made = kind(*args)
+
+        def answer(*args):
+            with open(opened, "a") as f:
+                f.write("x")
+            return made.answer(*args)
+
+        return dataclasses.replace(made, answer=answer)
+
+    monkeypatch.setattr(katz, "stored", counted)
+    monkeypatch.setattr(katz, "_pair_kind", noted)
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(400)}" for _ in range(150)) for _ in range(90)]
+    df = documents(list(enumerate(texts))).coalesce(1).withColumn("held", F.lit(False))
+    out = {r.doc_id: r.score for r in katz.katz_scores(df, "doc_id", "text", "held", block_bytes=500, fan=32).collect()}
+    unions, ranges = 3, 32
+    with open(opened) as f:
+        assert len(f.read()) <= unions * ranges
+    assert rows["katz-pairs-above"] <= ranges * unions * (unions + 1)
+    model = Direct(texts)
+    assert all(out[i] == pytest.approx(model.score(text)) for i, text in enumerate(texts))
+
+
+def test_requests_hold_what_went_in():
+    """Also where one history ends a request and begins the next."""
+    history, word = np.array([0, 0, 7, 7, 7, 9 << 40]), np.array([1, 5 << 45, 2, 3, 4, 1])
+    of_history, count, seen = np.array([300, 300, 0, 0, 0, 1 << 33]), np.array([0, 1, 2, 3, 70_000, 1 << 40]), np.arange(6)
+    requests = list(katz._pack_pairs(history, of_history, word, count, seen, np.array([0, 3, 6])))
+    (heads, head_counts, lengths), pairs, of_heads, of_pairs = katz._unpack_pairs(requests)
+    assert (heads.tolist(), head_counts.tolist(), lengths.tolist()) == ([0, 7, 7, 9 << 40], [300, 0, 0, 1 << 33], [2, 1, 2, 1])
+    assert [x.tolist() for x in pairs] == [word.tolist(), count.tolist(), seen.tolist()] and (of_heads.tolist(), of_pairs.tolist()) == ([0, 2, 4], [0, 3, 6])
+    assert katz._unpack_all(katz._pack_all(count, np.array([0, 2, 2, 6]))).tolist() == count.tolist()
+    for x in ([], [0], [0, 255], [1 << 56, 3]):
+        assert katz._unpack(katz._pack(np.array(x, np.int64))).tolist() == x
